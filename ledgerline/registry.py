@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["reconciliation"]
+_MODULES = ["reconciliation", "rollups", "loads"]
 
 
 def _load():
