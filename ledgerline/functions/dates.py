@@ -86,6 +86,12 @@ def iso_utc_text(c) -> Column:
     return F.concat(F.date_format(as_col(c), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
 
 
+def ts_micros(c) -> Column:
+    """Microseconds since 1970-01-01 of an NTZ timestamp (zone-free), for
+    numeric ordering tricks such as "latest first" inside ``min_by``."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), as_col(c))
+
+
 def whole_days(asof, c) -> Column:
     """DT8: age in whole 24-hour periods, ``(asof - c).days`` (floor), not a
     calendar-day difference."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["reconciliation", "rollups", "loads", "cleaning"]
+_MODULES = ["reconciliation", "rollups", "loads", "cleaning", "documents"]
 
 
 def _load():

@@ -42,6 +42,20 @@ def column_between(df: DataFrame, target_col: str, compare_col: str, start, end)
     return df.where(between_days(F.col(compare_col), start, end)).select(target_col)
 
 
+_OPS = {"=": "__eq__", "==": "__eq__", "<>": "__ne__", "!=": "__ne__", ">": "__gt__",
+        ">=": "__ge__", "<": "__lt__", "<=": "__le__"}
+
+
+def where_all(df: DataFrame, predicates: list[tuple]) -> DataFrame:
+    """FL11: source-side ``(field, op, value)`` predicates folded with AND;
+    a null comparison excludes the row, as in SQL."""
+    cond = None
+    for field, op, value in predicates:
+        c = getattr(F.col(field), _OPS[op])(F.lit(value))
+        cond = c if cond is None else cond & c
+    return df if cond is None else df.where(cond)
+
+
 def require_row(df: DataFrame, cond: Column, what: str = "row") -> DataFrame:
     """SC20: key lookup that must hit: raises ``ValueError`` when absent."""
     hit = df.where(cond)
