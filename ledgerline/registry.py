@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import importlib
+import textwrap
 
-_MODULES = ["reconciliation", "rollups", "loads", "cleaning", "documents"]
+_MODULES = ["reconciliation", "rollups", "loads", "cleaning", "documents", "ledger"]
 
 
 def _load():
@@ -22,4 +23,4 @@ def queries():
 
 def oracle_sql():
     q, o = _load()
-    return {k: " ".join(v.split()) for k, v in o.items() if k in q}
+    return {k: textwrap.dedent(v).strip() for k, v in o.items() if k in q}
