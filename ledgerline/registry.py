@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 import textwrap
 
-_MODULES = ["reconciliation", "rollups", "loads", "cleaning", "documents", "ledger"]
+_MODULES = ["reconciliation", "rollups", "loads", "cleaning", "documents", "ledger", "events"]
 
 
 def _load():
