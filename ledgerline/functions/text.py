@@ -138,12 +138,11 @@ def html_link(base_url: str, id_col, label_col) -> Column:
 
 
 def address_text(street, city) -> Column:
-    """ST19: ``"{street}, {city}"``; a missing part drops the comma."""
-    s, c = as_col(street), as_col(city)
-    s_ok = s.isNotNull() & (s != "")
-    c_ok = c.isNotNull() & (c != "")
-    return (F.when(s_ok & c_ok, F.concat(s, F.lit(", "), c))
-            .when(s_ok, s).when(c_ok, c).otherwise(F.lit("")))
+    """ST19: ``"{street}, {city}"`` when either part is non-empty, else ''
+    (a missing part prints as '', so one side may be empty around the comma)."""
+    s = F.coalesce(as_col(street).cast("string"), F.lit(""))
+    c = F.coalesce(as_col(city).cast("string"), F.lit(""))
+    return F.when((s != "") | (c != ""), F.concat(s, F.lit(", "), c)).otherwise(F.lit(""))
 
 
 def split_list(c, sep: str = ", ") -> Column:

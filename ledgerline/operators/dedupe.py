@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from ..session import ensure_checkpoint_dir
 from .merge import duplicate_keys
 
 __all__ = ["duplicate_keys", "exclude_duplicated", "keep_first", "latest_by",
@@ -88,8 +89,13 @@ def number_within(df: DataFrame, partition_cols: list[str], order_cols: list[str
         w = Window.partitionBy(*partition_cols).orderBy(*order_cols)
         return df.withColumn(name, F.row_number().over(w))
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The slice id is the task that holds the row after range partitioning; it
+    # is read by two branches (counts, rows), so the slices are materialised
+    # once in the shared checkpoint folder: both branches then see the same
+    # assignment, and a lost executor cannot re-slice rows differently.
+    ensure_checkpoint_dir(df.sparkSession)
     ranged = df.repartitionByRange(n, *partition_cols, *order_cols) \
-        .withColumn("_slice", F.spark_partition_id())
+        .withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True)
     counts = ranged.groupBy(*partition_cols, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     wo = Window.partitionBy(*partition_cols).orderBy("_slice") \
         .rowsBetween(Window.unboundedPreceding, -1)

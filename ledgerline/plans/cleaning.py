@@ -285,7 +285,7 @@ ORACLE = {
                CASE WHEN c_acctbal < 0 OR c_acctbal > 9000 THEN '' ELSE CAST(c_nationkey AS VARCHAR) END AS nation_text,
                CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_mktsegment END AS segment,
                c_mktsegment || ', ' || c_name AS joined,
-               CASE WHEN c_acctbal > 0 THEN c_name || ', ' || c_mktsegment ELSE c_name END AS address,
+               c_name || ', ' || CASE WHEN c_acctbal > 0 THEN c_mktsegment ELSE '' END AS address,
                '<a href="https://shop.example/customers/' || CAST(c_custkey AS VARCHAR) || '" target="_blank">' || c_name || '</a>' AS link
         FROM customer""",
     "q_safe_casts": """
