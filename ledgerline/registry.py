@@ -8,10 +8,13 @@ import textwrap
 _MODULES = ["reconciliation", "rollups", "loads", "cleaning", "documents", "ledger", "events", "replenishment"]
 
 
+_EXTRA = ["ledgerline.streaming.incremental"]
+
+
 def _load():
     queries, oracle = {}, {}
-    for m in _MODULES:
-        mod = importlib.import_module(f"ledgerline.plans.{m}")
+    for m in [f"ledgerline.plans.{m}" for m in _MODULES] + _EXTRA:
+        mod = importlib.import_module(m)
         queries.update(mod.QUERIES)
         oracle.update(mod.ORACLE)
     return queries, oracle
