@@ -147,7 +147,8 @@ def month_end_fanout(spark, sf):
     once more as the closing rate on month-end days (fixed list: 28 Feb
     always, 29 Feb never)."""
     o = table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("rate_date"),
-                                          F.round(F.col("o_totalprice") / 1000, 2).alias("rate"))
+                                          F.round(F.col("o_totalprice").cast("decimal(18,2)")
+                                                  * F.lit("0.001").cast("decimal(4,3)"), 2).cast("double").alias("rate"))
     types = F.array(*[F.struct(F.lit(t).alias("rate_type"), F.lit(True).alias("keep")) for t in D.RATE_TYPES],
                     F.struct(F.lit(D.MONTH_END_RATE_TYPE).alias("rate_type"), D.is_month_end("rate_date").alias("keep")))
     return o.select("o_orderkey", F.date_format("rate_date", "yyyy-MM-dd").alias("rate_date"), "rate",
@@ -335,7 +336,9 @@ ORACLE = {
                strftime(TRY_CAST(left(iso_raw, 10) AS DATE), '%Y-%m-%d') AS day_text
         FROM r""",
     "q_month_end_fanout": """
-        WITH r AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, ROUND(o_totalprice / 1000, 2) AS rate FROM orders)
+        WITH r AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d,
+                          CAST(ROUND(CAST(o_totalprice AS DECIMAL(18,2)) * CAST('0.001' AS DECIMAL(4,3)), 2) AS DOUBLE) AS rate
+                   FROM orders)
         SELECT o_orderkey, strftime(d, '%Y-%m-%d') AS rate_date, rate, 'Predeterminado' AS rate_type FROM r
         UNION ALL SELECT o_orderkey, strftime(d, '%Y-%m-%d'), rate, 'Tienda' FROM r
         UNION ALL SELECT o_orderkey, strftime(d, '%Y-%m-%d'), rate, 'Cierre' FROM r

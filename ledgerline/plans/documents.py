@@ -352,7 +352,8 @@ ORACLE = {
         FROM part""",
     "q_line_map_lookup": """
         WITH l AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey * 100 + l_linenumber
-                                                ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn
+                                                ORDER BY l_linenumber, l_partkey, l_suppkey, l_discount,
+                                                         l_extendedprice, l_quantity) AS rn
                    FROM lineitem),
              tw AS (SELECT l_orderkey AS k, l_partkey AS p,
                            string_agg(DISTINCT 'WH' || CAST(l_suppkey AS VARCHAR), ', ' ORDER BY 'WH' || CAST(l_suppkey AS VARCHAR)) AS w
