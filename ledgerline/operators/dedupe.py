@@ -74,20 +74,11 @@ def exclude_duplicated(df: DataFrame, group_cols: list[str], entity_col: str) ->
     return not_in(df, entity_col, dups, entity_col)
 
 
-def number_within(df: DataFrame, partition_cols: list[str], order_cols: list[str],
-                  name: str = "line_number", skew_safe: bool = True) -> DataFrame:
-    """WN2/WN3: ``row_number() OVER (PARTITION BY p ORDER BY o)``.
+HOT_GROUP_ROWS = 2_000_000
 
-    ``skew_safe`` numbers a hot partition key across many tasks: the rows are
-    range-partitioned on ``(p, o)`` (the sampler splits a hot ``p`` over
-    several ranges), each task numbers its own slice, and a small per-slice
-    count table (at most tasks x keys rows) gives each slice its offset.
-    Requires ``order_cols`` to be a total order within ``p`` for a
-    deterministic result, as the plain window does.
-    """
-    if not skew_safe:
-        w = Window.partitionBy(*partition_cols).orderBy(*order_cols)
-        return df.withColumn(name, F.row_number().over(w))
+
+def _sliced_numbering(df: DataFrame, partition_cols: list[str], order_cols: list[str], name: str) -> DataFrame:
+    """Row numbers for (possibly huge) groups spread over many tasks."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The slice id is the task that holds the row after range partitioning; it
     # is read by two branches (counts, rows), so the slices are materialised
@@ -109,3 +100,35 @@ def number_within(df: DataFrame, partition_cols: list[str], order_cols: list[str
     return (ranged.join(offsets, cond, "inner")
             .withColumn(name, (F.col("_off") + F.row_number().over(local)).cast("int"))
             .drop("_slice", "_off", "_o_slice", *[f"_o_{c}" for c in partition_cols]))
+
+
+def number_within(df: DataFrame, partition_cols: list[str], order_cols: list[str],
+                  name: str = "line_number", skew_safe: bool = True,
+                  hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """WN2/WN3: ``row_number() OVER (PARTITION BY p ORDER BY o)``.
+
+    A plain window numbers a whole group inside one task.  With
+    ``skew_safe`` the groups are first sized with one partial aggregate;
+    groups above ``hot_rows`` (at most ``rows / hot_rows`` of them, so the
+    list is small and broadcast) are numbered by :func:`_sliced_numbering`:
+    range-partitioned on ``(p, o)`` so the sampler spreads a hot group over
+    many tasks, numbered per slice, plus per-slice offsets from a small
+    (tasks x groups) count table.  All other groups use the window, each
+    bounded by ``hot_rows``.  ``order_cols`` must be a total order within
+    ``p`` for a deterministic result, as for the window itself.
+    """
+    w = Window.partitionBy(*partition_cols).orderBy(*order_cols)
+    if not skew_safe:
+        return df.withColumn(name, F.row_number().over(w).cast("int"))
+    hot = (df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("_rows"))
+           .where(F.col("_rows") > hot_rows).drop("_rows"))
+    if hot.isEmpty():
+        return df.withColumn(name, F.row_number().over(w).cast("int"))
+    hot = F.broadcast(hot.select(*[F.col(c).alias(f"_h_{c}") for c in partition_cols]))
+    cond = None
+    for c in partition_cols:
+        e = F.col(c).eqNullSafe(F.col(f"_h_{c}"))
+        cond = e if cond is None else cond & e
+    cold_rows = df.join(hot, cond, "left_anti").withColumn(name, F.row_number().over(w).cast("int"))
+    hot_rows_df = _sliced_numbering(df.join(hot, cond, "left_semi"), partition_cols, order_cols, name)
+    return cold_rows.unionByName(hot_rows_df)

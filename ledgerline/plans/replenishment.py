@@ -16,6 +16,7 @@ from ..functions import text as T
 from ..operators.dedupe import number_within
 from ..operators.lookup import exact_lookup
 from ..operators.merge import update_from
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import table
 
 # Fixed values of the transfer documents (reference constants).
@@ -194,36 +195,44 @@ def _inputs(spark, sf):
     return lines, products, store_info
 
 
-def _results(lines, products):
+def _results(enriched):
     """The ERP's answers for the lines with a product: refused when the
     quantity is large; the transfer id is per replenishment and store."""
-    ok = lines.join(products.select("SKU"), "SKU", "left_semi")
+    ok = enriched.where(~F.col("IS_MISSING_ERP_DATA"))
     return ok.select(*KEYS,
                      F.concat(F.lit("TR-"), F.col("REPLENISHMENT_ID"), F.lit("-"), F.col("STORE")).alias("ERP_TR_ID"),
-                     F.when(F.col("REPLENISHMENT") <= 150, F.concat(F.col("SKU"), F.lit("-L"))).alias("ERP_LINE_ID"),
-                     F.when(F.col("REPLENISHMENT") > 150, F.lit("API error")).alias("ERROR"),
+                     F.when(F.col("TRANSFERQUANTITY") <= 150, F.concat(F.col("SKU"), F.lit("-L"))).alias("ERP_LINE_ID"),
+                     F.when(F.col("TRANSFERQUANTITY") > 150, F.lit("API error")).alias("ERROR"),
                      F.lit("sent").alias("WMS_SEND_STATUS"))
 
 
+def _prepared(spark, sf):
+    """Enriched lines materialised once (they feed valid / missing / results
+    / documents), cutting the lineage in the shared checkpoint folder."""
+    lines, products, store_info = _inputs(spark, sf)
+    ensure_checkpoint_dir(spark)
+    enriched = enrich_lines(lines, products).checkpoint(eager=True)
+    valid, missing = split_valid(enriched)
+    return lines, products, store_info, valid, missing, _results(enriched)
+
+
 def replenish_summary(spark, sf):
     """PL19 tally: per replenishment attempted / successful / refused /
     missing counts and the outcome class."""
-    lines, products, _ = _inputs(spark, sf)
-    valid, missing = split_valid(enrich_lines(lines, products))
-    return outcome(valid, missing, _results(lines, products))
+    _, _, _, valid, missing, res = _prepared(spark, sf)
+    return outcome(valid, missing, res)
 
 
 def replenish_transfers(spark, sf):
     """SK11/AG9: answers applied to the lines, summarised per transfer."""
-    lines, products, _ = _inputs(spark, sf)
-    return transfer_summary(apply_results(lines, _results(lines, products)))
+    lines, _, _, _, _, res = _prepared(spark, sf)
+    return transfer_summary(apply_results(lines, res))
 
 
 def replenish_lines(spark, sf):
     """JN9/WN2/WN3/FL12: enriched lines with their store numbering, the
     missing flag and the renumbering of the valid ones."""
-    lines, products, _ = _inputs(spark, sf)
-    valid, missing = split_valid(enrich_lines(lines, products))
+    _, _, _, valid, missing, _ = _prepared(spark, sf)
     return valid.unionByName(missing, allowMissingColumns=True).select(
         "REPLENISHMENT_ID", "STORE", "SKU", "LINENUMBER", "LINE_NO", "IS_MISSING_ERP_DATA", "ITEMNUMBER",
         "TRANSFERQUANTITY")
@@ -231,17 +240,15 @@ def replenish_lines(spark, sf):
 
 def replenish_failures(spark, sf):
     """SE5: missing-product lines and refused lines in one list."""
-    lines, products, _ = _inputs(spark, sf)
-    valid, missing = split_valid(enrich_lines(lines, products))
-    return failures(missing, _results(lines, products), valid)
+    _, _, _, valid, missing, res = _prepared(spark, sf)
+    return failures(missing, res, valid)
 
 
 def transfer_documents_q(spark, sf):
     """AG12/JS3/JN18: transfer documents; the XML is parsed back and its
     detail count, unit total and observations are returned."""
-    lines, products, store_info = _inputs(spark, sf)
-    valid, _ = split_valid(enrich_lines(lines, products))
-    docs = transfer_documents(valid, _results(lines, products), "2001-08-01", store_info)
+    _, _, store_info, valid, _, res = _prepared(spark, sf)
+    docs = transfer_documents(valid, res, "2001-08-01", store_info)
     schema = ("IdDocSalida string, IdSucursal string, Observaciones string, "
               "Detalles struct<DetalleSalida:array<struct<IdArticulo:string,NroLinea:int,Cantidad:int>>>")
     parsed = F.from_xml(F.regexp_extract("document", r"(?s)(<documento>.*</documento>)", 1), schema,

@@ -36,7 +36,15 @@ def test_exclude_duplicated(spark):
                 min_size=1, max_size=300, unique_by=lambda t: t[1]))
 def test_number_within_matches_window(spark, data):
     df = spark.createDataFrame(data, "store string, sku int")
-    got = rows(number_within(df, ["store"], ["sku"], "n"), "store", "sku", "n")
+    got = rows(number_within(df, ["store"], ["sku"], "n", hot_rows=20), "store", "sku", "n")
     w = Window.partitionBy("store").orderBy("sku")
     want = rows(df.withColumn("n", F.row_number().over(w)), "store", "sku", "n")
     assert got == want
+
+
+def test_number_within_hot_and_cold_paths(spark):
+    data = [("hot", i) for i in range(200)] + [("cold", i) for i in range(5)] + [(None, i) for i in range(30)]
+    df = spark.createDataFrame(data, "store string, sku int")
+    got = rows(number_within(df, ["store"], ["sku"], "n", hot_rows=25), "store", "sku", "n")
+    want = [(s, k, i + 1) for s, n in (("hot", 200), ("cold", 5), (None, 30)) for i, k in enumerate(range(n))]
+    assert got == sorted(want, key=lambda t: tuple((x is not None, "" if x is None else x) for x in t))
