@@ -52,17 +52,24 @@ def alert(reports: dict, asof, max_days: int, min_rows: int) -> DataFrame:
     """AG17: one-row alert over several reports.
 
     ``reports`` maps a name to ``(DataFrame, timestamp column)``.  The alert
-    is raised when any report has a row older than ``max_days`` or at least
-    ``min_rows`` rows.  Each report is reduced to one row first; the one-row
-    summaries are then combined side by side with a join on a constant key,
-    which stays a one-row operation whatever the report sizes.
+    is raised when any report has a row older than ``max_days`` whole days
+    or at least ``min_rows`` rows.  The reports are stacked (name, time) and
+    reduced by one global aggregate with per-report conditional counts, so
+    there is no join at all and the work is one partial aggregate per task.
     """
-    out = None
-    for name, (df, ts) in reports.items():
-        s = report_summary(df, ts, asof, max_days, name).withColumn("_one", F.lit(1))
-        out = s if out is None else out.join(s, "_one", "inner")
+    parts = [df.select(F.lit(name).alias("_report"), F.col(ts).alias("_ts")) for name, (df, ts) in reports.items()]
+    stacked = parts[0]
+    for p in parts[1:]:
+        stacked = stacked.unionByName(p)
+    older = whole_days(asof, F.col("_ts")) > F.lit(max_days)
+    aggs = []
+    for name in reports:
+        mine = F.col("_report") == name
+        aggs.append(F.count_if(mine).cast("bigint").alias(f"{name}_count"))
+        aggs.append(F.coalesce(F.bool_or(mine & older), F.lit(False)).alias(f"{name}_older"))
+    out = stacked.agg(*aggs)
     cond = None
     for name in reports:
         c = F.col(f"{name}_older") | (F.col(f"{name}_count") >= F.lit(min_rows))
         cond = c if cond is None else cond | c
-    return out.drop("_one").withColumn("alert", cond)
+    return out.withColumn("alert", cond)

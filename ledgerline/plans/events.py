@@ -21,6 +21,7 @@ from ..functions import casts as C
 from ..functions import dates as D
 from ..functions import text as T
 from ..operators.dedupe import keep_first, latest_by
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import table
 
 # Fixed values of the event documents (reference constants).
@@ -138,7 +139,9 @@ def retail_events(sales: DataFrame, erp_customers: DataFrame, shop_addresses: Da
     new = first.join(prof, first.LINE_EMAIL == prof._pe, "left_anti").select("CUSTACCOUNT")
     known_lines = base.join(new, "CUSTACCOUNT", "left_anti")
     back_lines = retail_lines(sales, erp_customers, shop_addresses, back, end).join(new, "CUSTACCOUNT", "left_semi")
-    lines = with_variants(known_lines.unionByName(back_lines), variants)
+    # the event lines feed two aggregations (customer, sale): materialise once
+    ensure_checkpoint_dir(sales.sparkSession)
+    lines = with_variants(known_lines.unionByName(back_lines), variants).checkpoint(eager=True)
 
     cust = keep_first(lines.select("CUSTACCOUNT", *_ARRIVAL, F.col("LINE_EMAIL").alias("EMAIL"),
                                    F.col("ORGANIZATIONNAME").alias("FULL_NAME")), ["CUSTACCOUNT"], _ARRIVAL) \

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import arrays as A
 from ..operators.dedupe import not_in
 from ..operators.lookup import cascading_lookup, exact_lookup
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import table
 from . import footprint_tables as FT
 
@@ -120,7 +121,10 @@ def freight_ledger(headers: DataFrame, lines: DataFrame, sales: DataFrame, start
         F.lit("Wholesale").alias("CHANNEL"), F.col("PURCHORDERFORMNUM").alias("REFERENCE_NUMBER"),
         F.lit(wholesale_destination).alias("DEST"), F.col("TOTAL_QUANTITY").cast("double").alias("TOTAL_QUANTITY"),
         F.col("ORDER_DATE").alias("FECHA"))
-    recs = tr.unionByName(wh)
+    # one row per shipment; materialised once because the lookup reads it
+    # twice (its distinct destinations, then the join back)
+    ensure_checkpoint_dir(spark)
+    recs = tr.unionByName(wh).checkpoint(eager=True)
     recs = cascading_lookup(recs, "DEST", distances, "city", ["zip", "km"], "ordinal",
                             {"zip": FT.DEFAULT_ZIP, "km": FT.DEFAULT_KM}, table_rows=known)
     return recs.select(
