@@ -16,6 +16,7 @@ from ..functions import arrays as A
 from ..functions import casts as C
 from ..functions import dates as D
 from ..functions import text as T
+from ..operators.calendar import rate_fanout
 from ..operators.conform import conform, rename, upper_names
 from ..sources.tables import scan, table
 
@@ -149,11 +150,8 @@ def month_end_fanout(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("rate_date"),
                                           F.round(F.col("o_totalprice").cast("decimal(18,2)")
                                                   * F.lit("0.001").cast("decimal(4,3)"), 2).cast("double").alias("rate"))
-    types = F.array(*[F.struct(F.lit(t).alias("rate_type"), F.lit(True).alias("keep")) for t in D.RATE_TYPES],
-                    F.struct(F.lit(D.MONTH_END_RATE_TYPE).alias("rate_type"), D.is_month_end("rate_date").alias("keep")))
-    return o.select("o_orderkey", F.date_format("rate_date", "yyyy-MM-dd").alias("rate_date"), "rate",
-                    F.explode(F.filter(types, lambda x: x["keep"])).alias("t")) \
-        .select("o_orderkey", "rate_date", "rate", "t.rate_type")
+    out = rate_fanout(o, "rate_date")
+    return out.select("o_orderkey", F.date_format("rate_date", "yyyy-MM-dd").alias("rate_date"), "rate", "rate_type")
 
 
 def decimal_round(spark, sf):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import double_or_zero, fill_blank_strings
 from ..functions.dates import lookback_filter, period_filter
+from ..operators.calendar import calendar_from
 from ..operators.dedupe import latest_by
 from ..operators.merge import update_from, upsert, upsert_stats
 from ..sources.tables import scan, table
@@ -101,9 +102,8 @@ def period_calendar(spark, sf):
     """DT10/DT11: month calendar spanning the order dates (bounds from the
     data, both ends inclusive), left-joined to order counts per month."""
     o = table(spark, sf, "orders")
-    bounds = o.agg(F.date_trunc("month", F.min("o_orderdate")).cast("date").alias("lo"),
-                   F.date_trunc("month", F.max("o_orderdate")).cast("date").alias("hi"))
-    cal = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("month_start")) \
+    bounds = o.agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"))
+    cal = calendar_from(bounds, "lo", "hi", "month", "month_start") \
         .withColumn("month_end", F.date_sub(F.add_months("month_start", 1), 1))
     counts = o.groupBy(F.date_trunc("month", "o_orderdate").cast("date").alias("month_start")) \
         .agg(F.count(F.lit(1)).alias("n_orders"))

@@ -137,3 +137,18 @@ def test_decimal_half_up(spark):
     assert [None if g is None else float(g) for g in got] == [0.96, 2.24, None]
     # 0.125 and 2.675 round up (HALF_UP on decimals, not binary floats)
     assert [float(x) for x in one(spark, A.round_half_up("v", 2), [(0.125,), (2.675,)], "v double")] == [0.13, 2.68]
+
+
+def test_calendars_and_rate_fanout(spark):
+    from ledgerline.operators.calendar import day_pairs, period_calendar, rate_fanout
+    months = [r[0] for r in period_calendar(spark, "2024-01-15", "2024-03-02", "month").collect()]
+    assert months == [dt.date(2024, 1, 1), dt.date(2024, 2, 1), dt.date(2024, 3, 1)]
+    pairs = [(r[0], r[1]) for r in day_pairs(spark, "2024-02-28", "2024-03-01").collect()]
+    assert pairs == [(dt.date(2024, 2, 28), dt.date(2024, 2, 29)), (dt.date(2024, 2, 29), dt.date(2024, 3, 1))]
+    assert day_pairs(spark, "2024-03-01", "2024-03-01").count() == 0
+    rates = spark.createDataFrame([(dt.date(2024, 2, 28), 1.0), (dt.date(2024, 2, 29), 2.0), (dt.date(2024, 3, 15), 3.0)],
+                                  "d date, rate double")
+    got = sorted((r["d"].isoformat(), r["rate_type"]) for r in rate_fanout(rates, "d").collect())
+    assert got == [("2024-02-28", "Cierre"), ("2024-02-28", "Predeterminado"), ("2024-02-28", "Tienda"),
+                   ("2024-02-29", "Predeterminado"), ("2024-02-29", "Tienda"),
+                   ("2024-03-15", "Predeterminado"), ("2024-03-15", "Tienda")]
