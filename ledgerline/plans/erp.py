@@ -7,6 +7,8 @@ with :func:`ledgerline.operators.merge.upsert` on the job's key.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -139,6 +141,47 @@ def sales_invoices(rows: DataFrame, columns: list[tuple[str, str]]) -> DataFrame
     return out.fillna("", subset=[c for c in text_cols if isinstance(out.schema[c].dataType, StringType)]).distinct()
 
 
+# Source names whose upper-snake form is not rule-derived.
+TRANSFER_NAME_OVERRIDES = {"AXXWMSLocationId": "AXX_WMS_LOCATION_ID", "AXXDriverID": "AXX_DRIVER_ID",
+                           "AXXDocTypeCode": "AXX_DOC_TYPE_CODE"}
+
+
+def snake_upper(name: str) -> str:
+    """PR10 helper: ``TransferOrderNumber`` -> ``TRANSFER_ORDER_NUMBER``."""
+    s = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", name)
+    s = re.sub(r"([A-Z]+)([A-Z][a-z])", r"\1_\2", s)
+    return s.upper()
+
+
+def rename_snake(df: DataFrame, overrides: dict | None = None) -> DataFrame:
+    """PR10/PR11: camelCase source columns renamed to upper snake case; an
+    explicit ``overrides`` mapping wins over the rule."""
+    overrides = {**TRANSFER_NAME_OVERRIDES, **(overrides or {})}
+    return df.select(*[F.col(f"`{c}`").alias(overrides.get(c, snake_upper(c))) for c in df.columns])
+
+
+def transfer_orders(headers: DataFrame, lines: DataFrame, asof, days_lookback: int,
+                    overrides: dict | None = None):
+    """PL14 (SC15/SC16/JN19/PR10/PR11/CV5/DT3): transfer headers whose
+    requested receipt date falls in the ``days_lookback`` days up to
+    ``asof``, and the lines of exactly those headers (one left semi join
+    instead of one request per header).  Dates parse safely; the
+    ``Yes``/``No`` reservation flag becomes a boolean (missing -> false).
+    Returns ``(headers, lines)``."""
+    h = rename_snake(headers, overrides)
+    for c in [c for c in h.columns if c.endswith("_DATE")]:
+        h = h.withColumn(c, D.safe_timestamp(c))
+    end = D._lit_date(asof)
+    h = h.where(F.to_date("REQUESTED_RECEIPT_DATE").between(F.date_sub(end, int(days_lookback)), end))
+    ln = rename_snake(lines, overrides)
+    for c in [c for c in ln.columns if c.endswith("_DATE")]:
+        ln = ln.withColumn(c, D.safe_timestamp(c))
+    if "IS_AUTOMATICALLY_RESERVED" in ln.columns:
+        ln = ln.withColumn("IS_AUTOMATICALLY_RESERVED", C.flag_from_yes_no("IS_AUTOMATICALLY_RESERVED"))
+    ln = ln.join(h.select("TRANSFER_ORDER_NUMBER"), "TRANSFER_ORDER_NUMBER", "left_semi")
+    return h, ln
+
+
 # ------------------------------------------------------- test-table inputs
 def _erp_lines(spark, sf):
     """Sales lines in the ERP shape from ``lineitem`` (the 12 key parts)."""

@@ -121,7 +121,8 @@ def _event_docs(sale: DataFrame, show_location: Column) -> Column:
 
 def retail_events(sales: DataFrame, erp_customers: DataFrame, shop_addresses: DataFrame,
                   variants: DataFrame, profiles: DataFrame, start, end) -> DataFrame:
-    """PL17: one event document per (customer, sale) and location flag.
+    """PL17/AR5: one event document per (customer, sale) and location flag
+    (line lists mapped to lists of item structs with ``transform``).
 
     Customers whose e-mail has no profile get the sales of the 12 months
     before ``start`` too (DT7).  Each sale yields two events, without and

@@ -131,7 +131,7 @@ def transfer_summary(lines: DataFrame) -> DataFrame:
 
 def transfer_documents(valid: DataFrame, results: DataFrame, fecha: str,
                        store_info: DataFrame | None = None) -> DataFrame:
-    """AG12/JN18/JS3: one outbound-document XML per transfer with the lines
+    """AG12/JN18/JS3/AR5: one outbound-document XML per transfer with the lines
     the ERP accepted (``SKU``, line number, integer quantity) and the store's
     delivery address (default '' when the store is unknown).  Text is
     XML-escaped (the reference writes it raw)."""

@@ -55,3 +55,17 @@ def test_export_csv(spark, tmp_path):
     export_csv(df.coalesce(1), str(tmp_path / "out"), order_by=["store"])
     text = "".join(p.read_text() for p in (tmp_path / "out").glob("part-*.csv"))
     assert text.splitlines() == ["store;n", "S1;2", "S2;1"]
+
+
+def test_transfer_orders(spark):
+    assert erp.snake_upper("TransferOrderNumber") == "TRANSFER_ORDER_NUMBER"
+    assert erp.snake_upper("ShippingAddressStateId") == "SHIPPING_ADDRESS_STATE_ID"
+    hdr = spark.createDataFrame([("TR1", "2024-03-10T00:00:00Z", "x"), ("TR2", "2024-01-01T00:00:00Z", "y"),
+                                 ("TR3", "broken", "z")],
+                                "TransferOrderNumber string, RequestedReceiptDate string, AXXWMSLocationId string")
+    lines = spark.createDataFrame([("TR1", 1, "Yes"), ("TR1", 2, None), ("TR2", 1, "No")],
+                                  "TransferOrderNumber string, LineNumber int, IsAutomaticallyReserved string")
+    h, ln = erp.transfer_orders(hdr, lines, "2024-03-12", 10)
+    assert h.columns == ["TRANSFER_ORDER_NUMBER", "REQUESTED_RECEIPT_DATE", "AXX_WMS_LOCATION_ID"]
+    assert rows(h, "TRANSFER_ORDER_NUMBER") == [("TR1",)]
+    assert rows(ln, "TRANSFER_ORDER_NUMBER", "LINE_NUMBER", "IS_AUTOMATICALLY_RESERVED") == [("TR1", 1, True), ("TR1", 2, False)]
