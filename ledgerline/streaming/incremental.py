@@ -154,6 +154,53 @@ def daily_closing(history: DataFrame, keys: list[str], ts_col: str) -> DataFrame
     return latest_by(h, keys + ["day"], [ts_col])
 
 
+def stream_rollup(stream: DataFrame, lines: DataFrame, key: str, table_path: str, asof_col: str,
+                  checkpoint: str | None = None, **rollup_args) -> StreamingQuery:
+    """SM4: for every micro-batch of changed lines, re-aggregate *all* lines
+    of the changed keys (``lines`` is the full line table, read fresh each
+    batch) and replace those keys' rows in the versioned header table.
+    ``asof_col`` names the batch column whose maximum stamps ``updated_at``."""
+    spark = stream.sparkSession
+    table = VersionedTable(spark, table_path)
+
+    def merge_batch(batch: DataFrame, epoch: int) -> None:
+        if batch.isEmpty():
+            return
+        heads = changed_keys_rollup(lines, batch, key, **rollup_args) \
+            .join(batch.groupBy(key).agg(F.max(asof_col).alias("updated_at")), key)
+        prev = [v for v in table.versions() if v < epoch]
+        if prev:
+            current = spark.read.parquet(f"{table.base}/{VERSION_PREFIX}{prev[-1]:010d}")
+            heads = current.join(heads.select(key), key, "left_anti").unionByName(heads)
+        table.publish(heads, epoch)
+
+    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/rollup-{uuid.uuid4().hex}"
+    return (stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", ckpt)
+            .trigger(availableNow=True).start())
+
+
+def stream_snapshots(stream: DataFrame, history_path: str, snapshot_path: str, keys: list[str],
+                     capture_col: str, checkpoint: str | None = None) -> StreamingQuery:
+    """SM5/SK7: each micro-batch is one stock capture: appended to the
+    history (partitioned by capture day) and published as the new snapshot
+    version (truncate + load).  ``daily_closing`` over the history gives the
+    closing row per key and day."""
+    spark = stream.sparkSession
+    snap = VersionedTable(spark, snapshot_path)
+
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        if batch.isEmpty():
+            return
+        b = batch.dropDuplicates()
+        (b.withColumn("capture_day", F.to_date(capture_col)).write.mode("append")
+         .partitionBy("capture_day").parquet(history_path))
+        snap.publish(b, epoch)
+
+    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/snap-{uuid.uuid4().hex}"
+    return (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
+            .trigger(availableNow=True).start())
+
+
 # ------------------------------------------------------------------ query
 def stream_dedupe_upsert(spark, sf):
     """SM1-SM3: the ``events`` file as a stream (availableNow), repeats
