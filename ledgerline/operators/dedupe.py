@@ -77,36 +77,55 @@ def exclude_duplicated(df: DataFrame, group_cols: list[str], entity_col: str) ->
 HOT_GROUP_ROWS = 2_000_000
 
 
-def _sliced_numbering(df: DataFrame, partition_cols: list[str], order_cols: list[str], name: str) -> DataFrame:
-    """Row numbers for (possibly huge) groups spread over many tasks."""
+def _sliced_numbering(df: DataFrame, partition_cols: list[str], order_cols: list[str], name: str,
+                      counters: dict | None = None) -> DataFrame:
+    """Row numbers (and running conditional counts) for (possibly huge)
+    groups spread over many tasks."""
+    counters = counters or {}
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The slice id is the task that holds the row after range partitioning; it
     # is read by two branches (counts, rows), so the slices are materialised
     # once in the shared checkpoint folder: both branches then see the same
     # assignment, and a lost executor cannot re-slice rows differently.
     ensure_checkpoint_dir(df.sparkSession)
-    ranged = df.repartitionByRange(n, *partition_cols, *order_cols) \
+    flags = {c: f"_f_{c}" for c in counters}
+    base = df
+    for c, pred in counters.items():
+        base = base.withColumn(flags[c], F.when(pred, F.lit(1)).otherwise(F.lit(0)))
+    ranged = base.repartitionByRange(n, *partition_cols, *order_cols) \
         .withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True)
-    counts = ranged.groupBy(*partition_cols, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    wo = Window.partitionBy(*partition_cols).orderBy("_slice") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(wo), F.lit(0))) \
-        .select(*[F.col(c).alias(f"_o_{c}") for c in partition_cols],
-                F.col("_slice").alias("_o_slice"), "_off")
+    counts = ranged.groupBy(*partition_cols, "_slice").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(flags[c]).alias(f"_n_{c}") for c in counters])
+    wo = Window.partitionBy(*partition_cols).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*[F.col(c).alias(f"_o_{c}") for c in partition_cols],
+                            F.col("_slice").alias("_o_slice"),
+                            F.coalesce(F.sum("_n").over(wo), F.lit(0)).alias("_off"),
+                            *[F.coalesce(F.sum(f"_n_{c}").over(wo), F.lit(0)).alias(f"_off_{c}") for c in counters])
     cond = F.col("_slice") == F.col("_o_slice")
     for c in partition_cols:  # null-safe: a null store is a group too
         cond = cond & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
     local = Window.partitionBy(*partition_cols, "_slice").orderBy(*order_cols)
-    return (ranged.join(offsets, cond, "inner")
-            .withColumn(name, (F.col("_off") + F.row_number().over(local)).cast("int"))
-            .drop("_slice", "_off", "_o_slice", *[f"_o_{c}" for c in partition_cols]))
+    running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = ranged.join(offsets, cond, "inner") \
+        .withColumn(name, (F.col("_off") + F.row_number().over(local)).cast("int"))
+    for c in counters:
+        out = out.withColumn(c, F.when(F.col(flags[c]) == 1,
+                                       (F.col(f"_off_{c}") + F.sum(flags[c]).over(running)).cast("int")))
+    drop = ["_slice", "_off", "_o_slice", *[f"_o_{c}" for c in partition_cols],
+            *[f"_off_{c}" for c in counters], *flags.values()]
+    return out.drop(*drop)
 
 
 def number_within(df: DataFrame, partition_cols: list[str], order_cols: list[str],
                   name: str = "line_number", skew_safe: bool = True,
-                  hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+                  hot_rows: int = HOT_GROUP_ROWS, counters: dict | None = None) -> DataFrame:
     """WN2/WN3: ``row_number() OVER (PARTITION BY p ORDER BY o)``.
 
+    ``counters`` maps extra output columns to predicates: each gets the
+    running count of rows satisfying its predicate up to this row (null
+    where the predicate is false), i.e. the renumbering 1..n of the rows that
+    pass a filter (WN3) in the same pass.
+
     A plain window numbers a whole group inside one task.  With
     ``skew_safe`` the groups are first sized with one partial aggregate;
     groups above ``hot_rows`` (at most ``rows / hot_rows`` of them, so the
@@ -117,18 +136,28 @@ def number_within(df: DataFrame, partition_cols: list[str], order_cols: list[str
     bounded by ``hot_rows``.  ``order_cols`` must be a total order within
     ``p`` for a deterministic result, as for the window itself.
     """
+    counters = counters or {}
     w = Window.partitionBy(*partition_cols).orderBy(*order_cols)
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def windowed(d):
+        d = d.withColumn(name, F.row_number().over(w).cast("int"))
+        for c, pred in counters.items():
+            d = d.withColumn(c, F.when(pred, F.sum(F.when(pred, F.lit(1)).otherwise(F.lit(0))).over(running)
+                                       .cast("int")))
+        return d
+
     if not skew_safe:
-        return df.withColumn(name, F.row_number().over(w).cast("int"))
+        return windowed(df)
     hot = (df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("_rows"))
            .where(F.col("_rows") > hot_rows).drop("_rows"))
     if hot.isEmpty():
-        return df.withColumn(name, F.row_number().over(w).cast("int"))
+        return windowed(df)
     hot = F.broadcast(hot.select(*[F.col(c).alias(f"_h_{c}") for c in partition_cols]))
     cond = None
     for c in partition_cols:
         e = F.col(c).eqNullSafe(F.col(f"_h_{c}"))
         cond = e if cond is None else cond & e
-    cold_rows = df.join(hot, cond, "left_anti").withColumn(name, F.row_number().over(w).cast("int"))
-    hot_rows_df = _sliced_numbering(df.join(hot, cond, "left_semi"), partition_cols, order_cols, name)
+    cold_rows = windowed(df.join(hot, cond, "left_anti"))
+    hot_rows_df = _sliced_numbering(df.join(hot, cond, "left_semi"), partition_cols, order_cols, name, counters)
     return cold_rows.unionByName(hot_rows_df)

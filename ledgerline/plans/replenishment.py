@@ -65,22 +65,25 @@ def enrich_lines(lines: DataFrame, products: DataFrame, replenishment_id: str |
             raise ValueError(f"replenishment {replenishment_id} not found")
     prod = products.select("SKU", "ITEMNUMBER", "COLOR", "CONFIGURATION", "SIZE", "TEAM", "CATEGORY", "PRODUCTNAME")
     j = lines.join(prod, "SKU", "left")
-    j = number_within(j, ["REPLENISHMENT_ID", "STORE"], ["SKU"], "LINENUMBER")
+    # LINENUMBER over all lines (WN2) and LINE_NO, the 1..n renumbering of
+    # the lines with a product (WN3), in one numbering pass
+    j = number_within(j, ["REPLENISHMENT_ID", "STORE"], ["SKU"], "LINENUMBER",
+                      counters={"LINE_NO": F.col("ITEMNUMBER").isNotNull()})
     return j.select(
         "REPLENISHMENT_ID", "LINENUMBER", "ITEMNUMBER", F.lit(INVENTORY_STATUS).alias("ORDEREDINVENTORYSTATUSID"),
         F.col("COLOR").alias("PRODUCTCOLORID"), F.col("CONFIGURATION").alias("PRODUCTCONFIGURATIONID"),
         F.col("SIZE").alias("PRODUCTSIZEID"), F.lit(PRODUCT_STYLE).alias("PRODUCTSTYLEID"),
         F.lit(SHIPPING_WAREHOUSE).alias("SHIPPINGWAREHOUSEID"), F.lit(SHIPPING_LOCATION).alias("SHIPPINGWAREHOUSELOCATIONID"),
         F.col("REPLENISHMENT").alias("TRANSFERQUANTITY"), "STORE", "SKU", "TEAM", "CATEGORY", "PRODUCTNAME",
-        "DELIVERY", F.col("ITEMNUMBER").isNull().alias("IS_MISSING_ERP_DATA"))
+        "DELIVERY", F.col("ITEMNUMBER").isNull().alias("IS_MISSING_ERP_DATA"), "LINE_NO")
 
 
 def split_valid(enriched: DataFrame):
-    """FL12/WN3: ``(valid, missing)``; valid lines renumbered 1..n per
-    (replenishment, store) in their original order (``LINE_NO``)."""
+    """FL12/WN3: ``(valid, missing)``; the valid lines carry ``LINE_NO``,
+    their 1..n renumbering per (replenishment, store) in line order, which
+    :func:`enrich_lines` computed in its numbering pass."""
     valid = enriched.where(~F.col("IS_MISSING_ERP_DATA"))
-    missing = enriched.where(F.col("IS_MISSING_ERP_DATA"))
-    valid = number_within(valid, ["REPLENISHMENT_ID", "STORE"], ["LINENUMBER"], "LINE_NO")
+    missing = enriched.where(F.col("IS_MISSING_ERP_DATA")).drop("LINE_NO")
     return valid, missing
 
 
