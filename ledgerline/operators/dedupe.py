@@ -128,8 +128,7 @@ def number_within(df: DataFrame, partition_cols: list[str], order_cols: list[str
 
     A plain window numbers a whole group inside one task.  With
     ``skew_safe`` the groups are first sized with one partial aggregate;
-    groups above ``hot_rows`` (at most ``rows / hot_rows`` of them, so the
-    list is small and broadcast) are numbered by :func:`_sliced_numbering`:
+    groups above ``hot_rows`` (at most ``rows / hot_rows`` of them) are numbered by :func:`_sliced_numbering`:
     range-partitioned on ``(p, o)`` so the sampler spreads a hot group over
     many tasks, numbered per slice, plus per-slice offsets from a small
     (tasks x groups) count table.  All other groups use the window, each
@@ -153,7 +152,9 @@ def number_within(df: DataFrame, partition_cols: list[str], order_cols: list[str
            .where(F.col("_rows") > hot_rows).drop("_rows"))
     if hot.isEmpty():
         return windowed(df)
-    hot = F.broadcast(hot.select(*[F.col(c).alias(f"_h_{c}") for c in partition_cols]))
+    # no broadcast hint: the hot list is small by construction (<= rows / hot_rows)
+    # and AQE turns the join into a broadcast at run time when it is
+    hot = hot.select(*[F.col(c).alias(f"_h_{c}") for c in partition_cols])
     cond = None
     for c in partition_cols:
         e = F.col(c).eqNullSafe(F.col(f"_h_{c}"))

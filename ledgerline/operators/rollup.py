@@ -63,10 +63,15 @@ def sum_having_positive(df: DataFrame, keys: list[str], qty_col: str, name: str)
     return df.groupBy(*keys).agg(F.sum(qty_col).alias(name)).where(F.col(name) > 0)
 
 
-def distinct_tags(tags_col, sep: str = ", ") -> Column:
-    """AG15: sorted distinct tags of a group from ``sep``-joined text."""
-    c = F.col(tags_col) if isinstance(tags_col, str) else tags_col
-    return F.array_sort(F.array_distinct(F.flatten(F.collect_list(split_list(c, sep)))))
+def distinct_values_per_group(df: DataFrame, keys: list[str], list_col, sep: str = ", ",
+                              name: str = "tags") -> DataFrame:
+    """AG15 (skew-safe form): sorted distinct values of a ``sep``-joined list
+    column per group.  The lists are exploded and reduced with
+    ``collect_set`` (merged map-side), so a group's buffer holds each
+    distinct value once however many rows the group has."""
+    c = F.col(list_col) if isinstance(list_col, str) else list_col
+    exploded = df.select(*keys, F.explode(split_list(c, sep)).alias("_v"))
+    return exploded.groupBy(*keys).agg(F.array_sort(F.collect_set("_v")).alias(name))
 
 
 def all_present(c) -> Column:

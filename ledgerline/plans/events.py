@@ -21,6 +21,7 @@ from ..functions import casts as C
 from ..functions import dates as D
 from ..functions import text as T
 from ..operators.dedupe import keep_first, latest_by
+from ..operators.rollup import distinct_values_per_group
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import table
 
@@ -154,8 +155,10 @@ def retail_events(sales: DataFrame, erp_customers: DataFrame, shop_addresses: Da
     sale = lines.groupBy("CUSTACCOUNT", "SALESID").agg(
         first_line.alias("_s"), F.array_sort(F.collect_list(line)).alias("lines"),
         F.bool_and(F.col("VARIANT_ID").isNotNull()).alias("all_matched"),
-        F.round(F.sum("LINEAMOUNTWITHTAXES"), 2).alias("total"), F.count(F.lit(1)).alias("item_count"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(T.split_list(F.col("PRODUCT_TAGS")))))).alias("tags"))
+        F.round(F.sum("LINEAMOUNTWITHTAXES"), 2).alias("total"), F.count(F.lit(1)).alias("item_count"))
+    tags = distinct_values_per_group(lines, ["CUSTACCOUNT", "SALESID"], "PRODUCT_TAGS", name="tags")
+    sale = sale.join(tags, ["CUSTACCOUNT", "SALESID"], "left") \
+        .withColumn("tags", F.coalesce("tags", F.array().cast("array<string>")))
     sale = sale.select("*", "_s.*").drop("_s") \
         .withColumn("event_time", D.iso_utc_text("CREATEDTRANSACTIONDATE2")) \
         .join(cust, "CUSTACCOUNT", "inner")
@@ -276,7 +279,7 @@ var0 AS (
   SELECT 'I' || CAST(p_partkey AS VARCHAR) || sfx AS VARIANT_SKU,
          p_partkey + CASE WHEN sfx = '-A-O' THEN 0 ELSE 100000 END AS VARIANT_ID,
          p_type || ', ' || p_brand AS PRODUCT_TAGS
-  FROM part, (VALUES ('-N-O'), ('-N-F'), ('-A-F'), ('-A-O')) v(sfx)),
+  FROM (SELECT *, UNNEST(['-N-O', '-N-F', '-A-F', '-A-O']) AS sfx FROM part)),
 var1 AS (SELECT * FROM var0 UNION ALL
          SELECT VARIANT_SKU, VARIANT_ID + 500000, PRODUCT_TAGS || ', dup' FROM var0 WHERE VARIANT_SKU LIKE '%-N-O'),
 var AS (SELECT VARIANT_SKU, VARIANT_ID, PRODUCT_TAGS FROM (
@@ -301,10 +304,9 @@ sale AS (
              LEFT JOIN tags t ON a.CUSTACCOUNT = t.CUSTACCOUNT AND a.SALESID = t.SALESID
              JOIN cust c ON a.CUSTACCOUNT = c.CUSTACCOUNT),
 ev AS (
-  SELECT s.*, loc.show_location,
-         CASE WHEN starts_with(INVOICEID, '61-') THEN '[NC] Placed retail return' ELSE 'Placed Retail Order' END
-           || CASE WHEN loc.show_location THEN ' - ' || upper(CANAL) ELSE '' END AS event
-  FROM sale s, (VALUES (FALSE), (TRUE)) loc(show_location))
+  SELECT *, CASE WHEN starts_with(INVOICEID, '61-') THEN '[NC] Placed retail return' ELSE 'Placed Retail Order' END
+           || CASE WHEN show_location THEN ' - ' || upper(CANAL) ELSE '' END AS event
+  FROM (SELECT *, UNNEST([FALSE, TRUE]) AS show_location FROM sale))
 SELECT CUSTACCOUNT, SALESID, show_location, event, EMAIL, all_matched, total, item_count, tags,
        strftime(CTD, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS event_time,
        SALESID AS doc_order_id, total AS doc_value, event AS doc_event
