@@ -175,13 +175,13 @@ def line_map_lookup(spark, sf):
 
 
 def land_status_docs(spark, sf):
-    """OMS status-history documents: one per user, its events as the
-    history (``error`` events carry a blank status)."""
+    """OMS status-history documents: one per user and day, that day's events
+    as the history (``error`` events carry a blank status)."""
     e = table(spark, sf, "events")
     e = where_all(e, [("value", ">", 0.5)])  # FL11: source-side tuple predicates
     st = F.struct(F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.col("event_type")).alias("status"),
                   F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("create_date"))
-    g = e.groupBy("user_id").agg(F.collect_list(st).alias("h"))
+    g = e.groupBy("user_id", F.to_date("ts").alias("day")).agg(F.array_sort(F.collect_list(st)).alias("h"))
     doc = F.struct(F.col("user_id").alias("id"), F.col("user_id").cast("string").alias("ecommerce_name_child"),
                    F.col("h").alias("status_histories_ids"))
     return g.select(F.to_json(doc).alias("payload"))
@@ -196,13 +196,14 @@ def nest_flatten_status(spark, sf):
 
 
 def land_incidences(spark, sf):
-    """OMS incidence documents (B5 shape): one per user and event type."""
+    """OMS incidence documents (B5 shape): one per user, event type and day."""
     e = table(spark, sf, "events")
     h = F.struct(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("create_date"), F.col("event_type").alias("name"),
                  F.col("props").alias("description"),
                  F.when(F.col("value") > 50, F.lit("done")).alias("state"),
                  F.when(F.col("value") <= 80, F.concat(F.lit("u"), F.col("user_id").cast("string"))).alias("user"))
-    g = e.groupBy("user_id", "event_type").agg(F.min("ts").alias("first_ts"), F.array_sort(F.collect_list(h)).alias("history"))
+    g = e.groupBy("user_id", "event_type", F.to_date("ts").alias("day")) \
+        .agg(F.min("ts").alias("first_ts"), F.array_sort(F.collect_list(h)).alias("history"))
     doc = F.struct(F.col("user_id").cast("string").alias("ecommerce_name_child"),
                    F.date_format("first_ts", "yyyy-MM-dd HH:mm:ss").alias("create_date"), "history")
     return g.select(F.to_json(doc).alias("payload"), F.col("event_type").alias("arrival"))
