@@ -251,7 +251,6 @@ def scan_pruned(spark, sf):
                 D.period_filter(F.col("l_shipdate"), "1999-06-01", "month") & (F.col("l_returnflag") == "N"))
 
 
-_PY_FLOAT = "CASE WHEN {x} IS NULL THEN NULL ELSE CAST({x} AS VARCHAR) END"
 
 ORACLE = {
     "q_composite_key": """

@@ -29,7 +29,7 @@ from ..sources.tables import table
 AVOID_ACCOUNTS = ("55555555-5", "66666666-6", "22222222-2")
 RETAIL_COST_CENTRE = "Retail"
 CURRENCY = "CLP"
-VENDOR = "Patagonia"
+DEFAULT_VENDOR = "VENDOR"  # the seller's name is configuration (retail_events(vendor=...))
 SOURCE_NAME = "retail"
 LINE_GRAMS = 200
 IMAGE_SIZE = 2000
@@ -66,7 +66,7 @@ def with_variants(lines: DataFrame, variants: DataFrame) -> DataFrame:
     return lines.join(v, lines.SKU == v.VARIANT_SKU, "left").drop("VARIANT_SKU")
 
 
-def _event_docs(sale: DataFrame, show_location: Column) -> Column:
+def _event_docs(sale: DataFrame, show_location: Column, vendor: str = DEFAULT_VENDOR) -> Column:
     lines = F.col("lines")
     store = F.col("CANAL")
     name = F.when(F.col("INVOICEID").startswith(T.RETURN_INVOICE_PREFIX), F.lit("[NC] Placed retail return")) \
@@ -86,10 +86,10 @@ def _event_docs(sale: DataFrame, show_location: Column) -> Column:
         l["PRODUCT_ID"].alias("product_id"), l["QTY"].alias("quantity"), F.lit(True).alias("requires_shipping"),
         l["SKU"].alias("sku"), F.lit(False).alias("taxable"), l["PRODUCT_TITLE"].alias("title"),
         F.lit("0").alias("total_discount"), l["VARIANT_ID"].alias("variant_id"),
-        F.lit("shopify").alias("variant_inventory_management"), F.lit(VENDOR).alias("vendor"),
+        F.lit("shopify").alias("variant_inventory_management"), F.lit(vendor).alias("vendor"),
         l["PRICE"].alias("line_price"),
         F.struct(l["PRODUCT_ID"].alias("id"), l["PRODUCT_TITLE"].alias("title"), l["PRODUCT_HANDLE"].alias("handle"),
-                 F.lit(VENDOR).alias("vendor"), l["PRODUCT_TYPE"].alias("product_type"), image(l).alias("images"),
+                 F.lit(vendor).alias("vendor"), l["PRODUCT_TYPE"].alias("product_type"), image(l).alias("images"),
                  F.struct(l["SKU"].alias("sku"), image(l).alias("images")).alias("variant")).alias("product"))
     total = F.col("total")
     shop_shape = F.struct(
@@ -121,7 +121,8 @@ def _event_docs(sale: DataFrame, show_location: Column) -> Column:
 
 
 def retail_events(sales: DataFrame, erp_customers: DataFrame, shop_addresses: DataFrame,
-                  variants: DataFrame, profiles: DataFrame, start, end) -> DataFrame:
+                  variants: DataFrame, profiles: DataFrame, start, end,
+                  vendor: str = DEFAULT_VENDOR) -> DataFrame:
     """PL17/AR5: one event document per (customer, sale) and location flag
     (line lists mapped to lists of item structs with ``transform``).
 
@@ -163,7 +164,7 @@ def retail_events(sales: DataFrame, erp_customers: DataFrame, shop_addresses: Da
         .withColumn("event_time", D.iso_utc_text("CREATEDTRANSACTIONDATE2")) \
         .join(cust, "CUSTACCOUNT", "inner")
     ev = sale.select("*", F.explode(F.array(F.lit(False), F.lit(True))).alias("show_location"))
-    name, doc = _event_docs(ev, F.col("show_location"))
+    name, doc = _event_docs(ev, F.col("show_location"), vendor)
     return ev.select("CUSTACCOUNT", "SALESID", "show_location", name.alias("event"), "EMAIL", "all_matched",
                      "total", "item_count", F.array_join("tags", ", ").alias("tags"), "event_time",
                      doc.alias("document"))

@@ -19,18 +19,20 @@ from ..operators.merge import update_from
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import table
 
-# Fixed values of the transfer documents (reference constants).
+# Fixed values of the transfer documents (must equal the reference's).
 INVENTORY_STATUS = "DISPONIBLE"
 PRODUCT_STYLE = "GEN"
 SHIPPING_WAREHOUSE = "CD"
 SHIPPING_LOCATION = "GENERICA"
-WMS_OWNER = "PATAGONIA"
 WMS_WAREHOUSE = "04"
-CLIENT_ID = "76018478-0"
-CLIENT_NAME = "Patagonia Chile Limitada"
+# The owner / client identity of the outbound documents is deployment
+# configuration (arguments of transfer_documents), not a library constant.
+DEFAULT_OWNER = "OWNER"
+DEFAULT_CLIENT_ID = ""
+DEFAULT_CLIENT_NAME = ""
 MISSING_ERROR = "Missing ERP data"
 
-# Store -> delivery address (region, comuna, city, street), reference table.
+# Store -> delivery address (region, comuna, city, street).
 STORE_DELIVERY_INFO = [
     ("BNAVENTURA", "RM", "Quilicura", "Santiago", "San Ignacio 500. Local 12-H"),
     ("MALLSPORT", "RM", "Las Condes", "Santiago", "Avda. Las Condes 13451. Local 225"),
@@ -133,7 +135,8 @@ def transfer_summary(lines: DataFrame) -> DataFrame:
 
 
 def transfer_documents(valid: DataFrame, results: DataFrame, fecha: str,
-                       store_info: DataFrame | None = None) -> DataFrame:
+                       store_info: DataFrame | None = None, owner: str = DEFAULT_OWNER,
+                       client_id: str = DEFAULT_CLIENT_ID, client_name: str = DEFAULT_CLIENT_NAME) -> DataFrame:
     """AG12/JN18/JS3/AR5: one outbound-document XML per transfer with the lines
     the ERP accepted (``SKU``, line number, integer quantity) and the store's
     delivery address (default '' when the store is unknown).  Text is
@@ -147,11 +150,11 @@ def transfer_documents(valid: DataFrame, results: DataFrame, fecha: str,
     g = exact_lookup(g, F.col("STORE"), store_info, "store", ["region", "comuna", "ciudad", "direccion"],
                      default={"region": "", "comuna": "", "ciudad": "", "direccion": ""})
     doc = F.struct(
-        F.lit(WMS_WAREHOUSE).alias("IdAlmacen"), F.lit(WMS_OWNER).alias("IdOwner"), F.col("ERP_TR_ID").alias("IdDocSalida"),
+        F.lit(WMS_WAREHOUSE).alias("IdAlmacen"), F.lit(owner).alias("IdOwner"), F.col("ERP_TR_ID").alias("IdDocSalida"),
         F.col("ERP_TR_ID").alias("NroReferencia"), F.lit("TRF").alias("Tipo"), F.lit(fecha).alias("FechaEmision"),
         F.lit(fecha).alias("FechaCompromiso"), F.lit(fecha).alias("FechaExpiracion"),
-        F.lit(WMS_WAREHOUSE).alias("IdAlmacenDestino"), F.lit(CLIENT_ID).alias("IdCliente"),
-        F.lit(CLIENT_ID).alias("CodCliente"), F.lit(CLIENT_NAME).alias("NomCliente"),
+        F.lit(WMS_WAREHOUSE).alias("IdAlmacenDestino"), F.lit(client_id).alias("IdCliente"),
+        F.lit(client_id).alias("CodCliente"), F.lit(client_name).alias("NomCliente"),
         F.col("direccion").alias("DireccionDespacho"), F.col("comuna").alias("ComunaDespacho"),
         F.col("ciudad").alias("CiudadDespacho"), F.col("region").alias("LocalidadDespacho"),
         F.lit("CHL").alias("PaisDespacho"), F.lit(0).alias("Prioridad"),

@@ -24,6 +24,8 @@ def survey_ids():
             desc = m.group(2)
             if re.fullmatch(r"[a-z]+", desc):  # category column (scalar functions)
                 desc = line.split("|")[3].strip()
+            desc = re.sub(r"`[^`]*\([^`]*\)`,?:?", "", desc)         # no source function names
+            desc = re.sub(r"\s+", " ", desc).strip(" ,:")
             ids.append((m.group(1), desc[:90]))
     return ids
 
