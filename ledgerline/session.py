@@ -10,11 +10,19 @@ from pyspark.sql import SparkSession
 # Settings every job relies on: UTC session zone (source timestamps are NTZ and
 # only DT6 converts zones explicitly), adaptive execution for runtime
 # re-planning (partition coalescing, skew-join splitting, broadcast demotion).
+#
+# On a cluster, size shuffles for the data rather than the cores: set
+# ``spark.sql.shuffle.partitions`` to about (largest shuffle bytes / 128 MiB)
+# (e.g. 4000-20000 at 100 TB) and let AQE coalesce small stages toward the
+# advisory size; ``spark.sql.files.maxPartitionBytes`` (128 MiB) keeps scan
+# tasks memory-sized.  ``spark.checkpoint.dir`` must name a shared file
+# system folder (HDFS / object store), never a machine-local one.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
