@@ -165,13 +165,15 @@ def snapshot_and_history(history: DataFrame, capture: DataFrame, keys: list[str]
     return snapshot, hist.table
 
 
-def write_version(df: DataFrame, base_path: str, version: int, mode: str = "errorifexists",
+def write_version(df: DataFrame, base_path: str, version: int, mode: str = "overwrite",
                   partition_by: list[str] | None = None) -> str:
     """SK6/SK8: publish a table state to ``base/v=NNNNNN``.
 
-    Spark's commit protocol makes the directory appear only when every task
+    Spark's commit protocol writes ``_SUCCESS`` only when every task
     succeeded, so a failed load leaves the previous version untouched
-    (staged full refresh).  Readers pick the newest complete version.
+    (staged full refresh) and readers pick the newest complete version.  A
+    version path is private until then, so a retried job overwrites what a
+    failed attempt left behind.
     """
     path = f"{base_path.rstrip('/')}/v={version:06d}"
     w = df.write.mode(mode)
