@@ -8,7 +8,9 @@ match steps are equi-joins:
 2. case-insensitive name;
 3. containment either way, found by joining on substrings: the value's
    substrings of every name length in the table (``name in value``) and
-   the names' substrings (``value in name``).
+   the names' substrings of every distinct value length (``value in
+   name``); both length sets are small (bounded by the longest string), so
+   each side explodes to O(length x lengths) rows.
 
 Nothing is a nested-loop join, so the table may be large; it is broadcast
 only when its row count is below ``broadcast_rows`` (checked).
@@ -68,8 +70,11 @@ def cascading_lookup(df: DataFrame, value_col: str, table: DataFrame, name_col:
     v_sub = (vals.select("_v", F.explode(_substrings(F.col("_lv"), ks_col)).alias("_s")).distinct())
     in_value = v_sub.join(tbl, F.col("_s") == F.col("_lname")) \
         .select("_v", F.lit(3).alias("_rank"), "_ord", *pcols)
-    # value contained in name: substrings of the names
-    n_sub = tbl.select("_ord", *pcols, F.explode(F.array_distinct(_substrings(F.col("_lname")))).alias("_s"))
+    # value contained in name: the names' substrings, only of the lengths the
+    # distinct values have (a small set, bounded by the longest value)
+    vls = sorted(r[0] for r in vals.select(F.length("_lv")).distinct().collect() if r[0])
+    vls_col = F.array(*[F.lit(k) for k in vls]) if vls else F.array().cast("array<int>")
+    n_sub = tbl.select("_ord", *pcols, F.explode(F.array_distinct(_substrings(F.col("_lname"), vls_col))).alias("_s"))
     in_name = vals.join(n_sub, F.col("_lv") == F.col("_s")) \
         .select("_v", F.lit(3).alias("_rank"), "_ord", *pcols)
 
