@@ -7,6 +7,7 @@ On the test tables ``orders`` plays the commerce / order-management header,
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import lookback_filter
@@ -19,6 +20,75 @@ ASOF = "2001-08-01 00:00:00"
 ORDER_LINK = "https://orders.example/orders/"
 
 
+# Fixed values of the reconciliation (must equal the reference's).
+ECOM_POOL = "ECOM"
+PAID = "paid"
+SHIPPING_ITEM = "DESPACHO"
+CREDIT_NOTE_PREFIX = "NC-"
+SUFFIXED_ORDER = "1"
+
+
+def _start(asof, days):
+    return F.lit(str(asof)[:10]).cast("date") - F.make_dt_interval(F.lit(days))
+
+
+def oms_missing(suborders: DataFrame, erp_lines: DataFrame, asof, interval_days: int,
+                link_base: str = "") -> DataFrame:
+    """PL16 report 1 (JN1/FL4/FL7/SO1/PR17/PR19): suborders since ``asof -
+    interval`` (day start) with no ERP line in the e-commerce pool carrying
+    their e-commerce name; renamed, with a link, oldest first."""
+    left = suborders.where(F.col("ORDER_DATE") >= _start(asof, interval_days).cast("timestamp_ntz"))
+    out = missing_in(left, erp_lines, "ECOMMERCE_NAME", "PURCHORDERFORMNUM",
+                     right_where=F.col("SALESPOOLID").like(ECOM_POOL))
+    return out.select(F.col("ORDER_ID").alias("order_id"), F.col("ECOMMERCE_NAME").alias("order_number"),
+                      html_link(link_base, "ORDER_ID", "ECOMMERCE_NAME").alias("order_link"),
+                      F.col("ORDER_DATE").alias("created_at")).orderBy("created_at", "order_id")
+
+
+def shop_missing(orders: DataFrame, erp_lines: DataFrame, asof, interval_days: int,
+                 link_base: str = "") -> DataFrame:
+    """PL16 report 2 (JN2/FL5): paid commerce orders processed after ``asof
+    - interval`` with no ERP line in the e-commerce pool; by name."""
+    left = orders.where((F.col("PROCESSED_AT") > F.lit(str(asof)).cast("timestamp_ntz")
+                         - F.make_dt_interval(F.lit(interval_days)))
+                        & (F.col("FINANCIAL_STATUS") == PAID))
+    out = missing_in(left, erp_lines, "NAME", "PURCHORDERFORMNUM", right_where=F.col("SALESPOOLID").like(ECOM_POOL))
+    return out.select(F.col("ORDER_ID").alias("order_id"), F.col("NAME").alias("order_number"),
+                      html_link(link_base, "ORDER_ID", "NAME").alias("order_link"),
+                      F.col("CREATED_AT").alias("created_at")).orderBy("order_number")
+
+
+def quantity_discrepancies(shop_lines: DataFrame, erp_lines: DataFrame, asof, interval_days: int,
+                           link_base: str = "") -> DataFrame:
+    """PL16 report 3 (JN3-JN5/AG6/CV6/CV8/SO2/SO3): per commerce order of the
+    period, line quantity (text, safely cast) vs the ERP quantity without the
+    shipping item, joined on the order name = the ERP order number as a
+    number, kept when they differ and the ERP has neither a credit note
+    (``NC-`` + name) nor a suffixed order (name + ``1``)."""
+    shop = shop_lines.where(F.col("CREATED_AT") >= _start(asof, interval_days).cast("timestamp_ntz"))
+    erp = erp_lines.where(F.col("ITEMID") != SHIPPING_ITEM)
+    r = quantity_mismatch(shop, ["ORDER_ID", "ORDER_NAME", "CREATED_AT"], F.col("ORDER_NAME").try_cast("decimal(38,0)"),
+                          F.col("QUANTITY").try_cast("decimal(38,6)"),
+                          erp, F.col("PURCHORDERFORMNUM").try_cast("decimal(38,0)"), F.col("QTY"),
+                          "total_shop", "total_erp")
+    name = F.col("ORDER_NAME").cast("string")
+    r = missing_in(r, erp_lines, F.concat(F.lit(CREDIT_NOTE_PREFIX), name), "PURCHORDERFORMNUM")
+    r = missing_in(r, erp_lines, F.concat(name, F.lit(SUFFIXED_ORDER)), "PURCHORDERFORMNUM")
+    return r.select(F.col("ORDER_ID").alias("order_id"), F.col("ORDER_NAME").alias("order_number"),
+                    html_link(link_base, "ORDER_ID", "ORDER_NAME").alias("order_link"),
+                    F.col("CREATED_AT").alias("created_at"), F.col("total_shop").cast("double").alias("total_shop"),
+                    F.col("total_erp").cast("int").alias("total_erp")) \
+        .orderBy(F.col("order_number").try_cast("decimal(38,0)").desc())
+
+
+def discrepancy_alert(oms: DataFrame, shop: DataFrame, qty: DataFrame, asof, max_days: int,
+                      number_results: int) -> DataFrame:
+    """PL16 alert (AG16/AG17/DT8): one row of counts, "older than
+    ``max_days`` whole days" flags and the combined alert."""
+    return alert({"oms": (oms, "created_at"), "shop": (shop, "created_at"), "qty": (qty, "created_at")},
+                 asof, max_days, number_results)
+
+
 def missing_in_erp(spark, sf, asof=ASOF, interval_days=212):
     """JN1/FL4/FL7/PR18/SO1: finished orders of the last ``interval_days``
     with no line in the ``R`` pool (right-side predicate in the ON clause)."""
