@@ -6,13 +6,66 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.dedupe import duplicate_keys, keep_first, latest_by, number_within
-from ..operators.rollup import mode_per_group, rollup_lines
+from ..operators.rollup import listagg_by_value, mode_per_group, rollup_lines
 from ..sources.tables import table
 
 
+# Fixed values (must equal the reference's): the suborder rollup of OMS lines,
+# (output column, aggregate, line column), in the reference's order.
+SUBORDER_ROLLUP = [
+    ("ORDER_ID", "max", "ORDER_ID"), ("ORDER_DATE", "max", "DATE_ORDER"),
+    ("TOTAL_DISCOUNT", "sum", "AMOUNT_DISCOUNT"), ("TOTAL_TAX", "sum", "AMOUNT_TAX"),
+    ("TOTAL_AMOUNT", "sum", "AMOUNT_TOTAL"), ("TOTAL_UNTAXED", "sum", "AMOUNT_UNTAXED"),
+    ("STATE", "max", "STATE_OPTION_NAME"), ("DELIVERY_DATE", "max", "DELIVERY_CLIENT_DATE"),
+    ("DELIVERY_METHOD", "max", "DELIVERY_METHOD_NAME"), ("ECOMMERCE_NAME", "max", "ECOMMERCE_NAME"),
+    ("ECOMMERCE_NAME_CHILD", "max", "ECOMMERCE_NAME_CHILD"), ("WAREHOUSE", "max", "WAREHOUSE"),
+    ("NUMBER_OF_ITEMS", "count", None), ("NUMBER_OF_PRODUCTS", "sum", "PRODUCT_UOM_QTY"),
+    ("CITY_NAME", "max", "CITY_NAME"), ("STREET", "max", "STREET"), ("PHONE", "max", "PHONE"),
+    ("STATE_NAME", "max", "STATE_NAME"), ("DISCOUNT", "max", "DISCOUNT"),
+    ("PRICE_REDUCE", "sum", "PRICE_REDUCE"), ("PRICE_TOTAL", "sum", "PRICE_TOTAL"),
+    ("EMAIL", "max", "EMAIL"), ("PARTNER_NAME", "max", "PARTNER_NAME"), ("PARTNER_VAT", "max", "PARTNER_VAT"),
+    ("PAYMENT_METHOD_NAME", "max", "PAYMENT_METHOD_NAME"), ("TRANSFER_WAREHOUSE", "listagg", "TRANSFER_WAREHOUSE"),
+]
+
+
+def oms_suborder_rollup(lines: DataFrame) -> DataFrame:
+    """PL4/AG2/AG3/ST10/Q1: OMS lines -> one row per suborder.  Order-level
+    amounts are repeated on every line and summed, so totals are multiplied
+    by the line count (quirk Q1, kept for parity); the transfer warehouses
+    are a ``LISTAGG`` of the non-blank values ordered by value (the
+    reference orders by the group key, which leaves the order undefined)."""
+    aggs = []
+    for out, how, col in SUBORDER_ROLLUP:
+        if how == "max":
+            aggs.append(F.max(col).alias(out))
+        elif how == "sum":
+            aggs.append(F.sum(col).alias(out))
+        elif how == "count":
+            aggs.append(F.count(F.lit(1)).alias(out))
+        else:
+            aggs.append(listagg_by_value(col).alias(out))
+    return lines.groupBy("SUBORDER_ID").agg(*aggs)
+
+
+def oms_suborder_rollup_q(spark, sf):
+    """PL4 end to end: OMS documents flattened to lines (first of a repeated
+    line id kept) and rolled up per suborder."""
+    from .documents import land_oms_orders
+    from ..operators.nested import flatten_oms_orders
+    from ..sources import documents as S
+    docs = land_oms_orders(spark, sf).select(S.parse_json(F.col("payload"), S.OMS_ORDER).alias("d")).select("d.*")
+    lines, _ = flatten_oms_orders(docs)
+    r = oms_suborder_rollup(lines)
+    return r.select("SUBORDER_ID", "ORDER_ID", F.round("TOTAL_AMOUNT", 2).alias("TOTAL_AMOUNT"), "WAREHOUSE",
+                    "NUMBER_OF_ITEMS", F.round("NUMBER_OF_PRODUCTS", 2).alias("NUMBER_OF_PRODUCTS"),
+                    F.round("PRICE_TOTAL", 2).alias("PRICE_TOTAL"), "DISCOUNT", "PARTNER_VAT", "CITY_NAME",
+                    "TRANSFER_WAREHOUSE")
+
+
 def header_rollup(spark, sf):
     """AG1/ST8: ERP line -> order header: ``MAX`` of carried attributes,
     ``SUM`` of measures, ``LEFT(MAX(x), n)`` of a text column."""
@@ -121,6 +174,27 @@ def duplicate_groups(spark, sf):
 
 
 ORACLE = {
+    "q_oms_suborder_rollup": """
+        WITH l AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey * 100 + l_linenumber
+                                                ORDER BY l_linenumber, l_partkey, l_suppkey, l_discount,
+                                                         l_extendedprice, l_quantity) AS rn
+                   FROM lineitem),
+             tw AS (SELECT l_orderkey AS k, l_partkey AS p,
+                           string_agg(DISTINCT 'WH' || CAST(l_suppkey AS VARCHAR), ', ' ORDER BY 'WH' || CAST(l_suppkey AS VARCHAR)) AS w
+                    FROM lineitem GROUP BY 1, 2),
+             x AS (SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, o.o_orderpriority, o.o_orderstatus,
+                          l.l_quantity, l.l_extendedprice, l.l_discount, tw.w
+                   FROM l JOIN orders o ON o.o_orderkey = l.l_orderkey
+                          JOIN tw ON tw.k = l.l_orderkey AND tw.p = l.l_partkey
+                   WHERE l.rn = 1)
+        SELECT o_orderkey AS SUBORDER_ID, MAX(o_custkey) AS ORDER_ID, ROUND(SUM(o_totalprice), 2) AS TOTAL_AMOUNT,
+               MAX(o_orderpriority) AS WAREHOUSE, COUNT(*) AS NUMBER_OF_ITEMS,
+               ROUND(SUM(l_quantity), 2) AS NUMBER_OF_PRODUCTS, ROUND(SUM(l_extendedprice), 2) AS PRICE_TOTAL,
+               MAX(l_discount) AS DISCOUNT,
+               MAX(CASE WHEN o_orderstatus = 'F' THEN '' ELSE 'V-' || CAST(o_custkey AS VARCHAR) END) AS PARTNER_VAT,
+               '' AS CITY_NAME,
+               COALESCE(STRING_AGG(NULLIF(w, ''), ', ' ORDER BY NULLIF(w, '')), '') AS TRANSFER_WAREHOUSE
+        FROM x GROUP BY o_orderkey""",
     "q_header_rollup": """
         SELECT l_orderkey, MAX(l_partkey) AS l_partkey, MAX(l_suppkey) AS l_suppkey,
                MAX(l_linenumber) AS l_linenumber, MAX(l_returnflag) AS l_returnflag,
@@ -188,6 +262,7 @@ ORACLE = {
 }
 
 QUERIES = {
+    "q_oms_suborder_rollup": oms_suborder_rollup_q,
     "q_header_rollup": header_rollup,
     "q_suborder_rollup": suborder_rollup,
     "q_changed_rollup": changed_rollup,
