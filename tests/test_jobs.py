@@ -109,3 +109,42 @@ def test_replenishment_edge_rows(spark):
     assert f == [("S1", "B", "Missing ERP data", None), ("S1", "C", "boom", 2), ("S2", "A", "boom", 1)]
     with pytest.raises(ValueError):
         R.enrich_lines(lines, products, "nope")
+
+
+def test_retail_events_edge_rows(spark):
+    from ledgerline.plans.events import retail_events
+    S_ = ("SALESID string, SALESLINEPK string, LINENUM int, INVOICEID string, CUSTACCOUNT string, ORGANIZATIONNAME string, "
+          "PRIMARYCONTACTEMAIL string, CANAL string, CECO string, INVOICEDATE date, CREATEDTRANSACTIONDATE2 timestamp_ntz, "
+          "ITEMID string, INVENTCOLORID string, INVENTSIZEID string, QTY double, LINEAMOUNTWITHTAXES double")
+    t = dt.datetime(2024, 3, 5, 15, 0)
+    sales = spark.createDataFrame([
+        ("S1", "1", 1, "1-9", "C1", "Ana Perez", None, "costanera", "Retail", dt.date(2024, 3, 5), t, "I1", "R", "M", 1.0, 10.0),
+        ("S1", "2", 2, "1-9", "C1", "Ana Perez", None, "costanera", "Retail", dt.date(2024, 3, 5), t, "I2", "R", "M", 2.0, 5.5),
+        ("S2", "1", 1, "61-3", "C2", "Solo", "line@x", "pucon", "Retail", dt.date(2024, 3, 6), t, "I9", "B", "S", 1.0, 3.0),
+        ("S0", "1", 1, "1-1", "C2", "Solo", "line@x", "pucon", "Retail", dt.date(2023, 6, 1), t, "I9", "B", "S", 1.0, 1.0),
+        ("S3", "1", 1, "1-4", "55555555-5", "X", "x@x", "pucon", "Retail", dt.date(2024, 3, 6), t, "I1", "R", "M", 1.0, 1.0),
+        ("S4", "1", 1, "1-5", "C3", "Nadie", None, "pucon", "Retail", dt.date(2024, 3, 6), t, "I1", "R", "M", 1.0, 1.0),
+    ], S_)
+    erp_c = spark.createDataFrame([("C1", "", "receipt@x"), ("C2", None, None)],
+                                  "CUSTOMERACCOUNT string, PRIMARYCONTACTEMAIL string, RECEIPTEMAIL string")
+    addrs = spark.createDataFrame([], "CUSTOMER_ID string, ORDER_ID string, EMAIL string")
+    variants = spark.createDataFrame([("I1-R-M", 11, 1, "Tee", "Top", "tee", "tops, summer", "im", "alt", "src"),
+                                      ("I2-R-M", 12, 2, "Cap", "Hat", "cap", "hats", "im", "alt", "src")],
+                                     "VARIANT_SKU string, VARIANT_ID bigint, PRODUCT_ID bigint, PRODUCT_TITLE string, "
+                                     "PRODUCT_TYPE string, PRODUCT_HANDLE string, PRODUCT_TAGS string, IMAGE_ID string, "
+                                     "IMAGE_ALT string, IMAGE_SRC string")
+    profiles = spark.createDataFrame([("receipt@x",)], "EMAIL string")
+    ev = retail_events(sales, erp_c, addrs, variants, profiles, "2024-03-01", "2024-03-31")
+    got = {(r["SALESID"], r["show_location"]): r for r in ev.collect()}
+    assert {k[0] for k in got} == {"S1", "S2", "S0"}        # avoided account and no-email customer dropped;
+    s1 = got[("S1", False)]                                  # C2 has no profile -> its older sale S0 too
+    assert (s1["EMAIL"], s1["all_matched"], s1["total"], s1["item_count"]) == ("receipt@x", True, 15.5, 2)
+    assert s1["tags"] == "hats, summer, tops" and s1["event"] == "Placed Retail Order"
+    assert got[("S1", True)]["event"] == "Placed Retail Order - COSTANERA"
+    assert got[("S2", True)]["event"] == "[NC] Placed retail return - PUCON"
+    doc = json.loads(s1["document"])
+    assert doc["customer_properties"]["$first_name"] == "Ana" and doc["customer_properties"]["$last_name"] == "Perez"
+    assert doc["properties"]["Items"] == ["Tee", "Cap"] and doc["time"] == "2024-03-05T15:00:00+00:00"
+    short = json.loads(got[("S2", False)]["document"])
+    assert set(short["properties"]) == {"Order ID", "Categories", "ItemNames", "Skus", "RetailStore", "$value"}
+    assert short["properties"]["Skus"] == ["I9-B-S"]
