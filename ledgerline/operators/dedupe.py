@@ -52,14 +52,17 @@ def not_in(left: DataFrame, left_col: str, values: DataFrame, value_col: str) ->
     * a null ``left_col`` is kept only when ``values`` is empty.
 
     Spark would plan the null-aware form as a broadcast of ``values``; here
-    the two null facts come from one global aggregate (one small action) and
-    the anti join stays a shuffle join, so ``values`` may be any size.
+    the distinct value set is computed once and materialised in the shared
+    checkpoint folder, the two null facts come from it (one small action)
+    and the anti join against it stays a shuffle join, so ``values`` may be
+    any size and is never computed twice.
     """
-    facts = values.agg(F.count(F.lit(1)).alias("n"),
-                       F.count_if(F.col(value_col).isNull()).alias("n_null")).first()
+    ensure_checkpoint_dir(values.sparkSession)
+    v = values.select(F.col(value_col).alias("_nin_v")).distinct().checkpoint(eager=True)
+    facts = v.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_nin_v").isNull()).alias("n_null")).first()
     if facts["n_null"] > 0:
         return left.limit(0)
-    v = values.where(F.col(value_col).isNotNull()).select(F.col(value_col).alias("_nin_v")).distinct()
+    v = v.where(F.col("_nin_v").isNotNull())
     out = left.join(v, F.col(left_col) == F.col("_nin_v"), "left_anti")
     if facts["n"] > 0:
         out = out.where(F.col(left_col).isNotNull())
