@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 BROADCAST_ROWS = 100_000
 
 
@@ -57,8 +59,11 @@ def cascading_lookup(df: DataFrame, value_col: str, table: DataFrame, name_col:
                        *[F.col(p).alias(f"_p_{p}") for p in payload])
     tbl = tbl.withColumn("_lname", F.lower("_name"))
     tbl = _maybe_broadcast(tbl, broadcast_rows, table_rows)
+    # the distinct values feed four candidate joins and a length scan: computed
+    # once and materialised (a small set) in the shared checkpoint folder
+    ensure_checkpoint_dir(df.sparkSession)
     vals = (df.select(F.trim(F.col(value_col)).alias("_v")).where(F.col("_v") != "")
-            .distinct().withColumn("_lv", F.lower("_v")))
+            .distinct().withColumn("_lv", F.lower("_v")).checkpoint(eager=True))
     pcols = [f"_p_{p}" for p in payload]
 
     exact = vals.join(tbl, F.col("_v") == F.col("_name")).select("_v", F.lit(1).alias("_rank"), "_ord", *pcols)
