@@ -179,11 +179,13 @@ def export_rows(lines: DataFrame, products: DataFrame) -> DataFrame:
 # ------------------------------------------------------- test-table inputs
 def _inputs(spark, sf):
     li, p, s = table(spark, sf, "lineitem"), table(spark, sf, "part"), table(spark, sf, "supplier")
-    lines = (li.groupBy(F.concat(F.lit("RPL-"), F.col("l_returnflag")).alias("REPLENISHMENT_ID"),
-                        F.concat(F.lit("ST"), F.col("l_suppkey").cast("string")).alias("STORE"),
-                        F.concat(F.lit("SKU"), F.col("l_partkey").cast("string")).alias("SKU"))
+    lines = (li.groupBy("l_returnflag", "l_suppkey", "l_partkey")
              .agg(F.sum("l_quantity").cast("int").alias("REPLENISHMENT"),
                   F.date_format(F.max("l_shipdate"), "yyyy-MM-dd").alias("DELIVERY"))
+             .select(F.concat(F.lit("RPL-"), F.col("l_returnflag")).alias("REPLENISHMENT_ID"),
+                     F.concat(F.lit("ST"), F.col("l_suppkey").cast("string")).alias("STORE"),
+                     F.concat(F.lit("SKU"), F.col("l_partkey").cast("string")).alias("SKU"),
+                     "REPLENISHMENT", "DELIVERY")
              .withColumn("ERP_TR_ID", F.lit(None).cast("string")).withColumn("ERP_LINE_ID", F.lit(None).cast("string"))
              .withColumn("WMS_SEND_STATUS", F.lit(None).cast("string")))
     products = p.where(F.col("p_size") > 5).select(
