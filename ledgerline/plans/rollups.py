@@ -157,9 +157,12 @@ def first_per_customer(spark, sf):
 
 
 def keep_first_lines(spark, sf):
-    """DS2: one line per (order, line number), the lowest (part, supplier)."""
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    return keep_first(li, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
+    """DS2: one line per (order, line number), the lowest (part, supplier),
+    then quantity and ship date so the order is total."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                                             "l_shipdate")
+    return keep_first(li, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_quantity", "l_shipdate"]) \
+        .drop("l_shipdate")
 
 
 def distinct_rows(spark, sf):
@@ -253,7 +256,8 @@ ORACLE = {
     "q_keep_first": """
         SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM (
           SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
-                                       ORDER BY l_partkey NULLS FIRST, l_suppkey NULLS FIRST) AS rn
+                                       ORDER BY l_partkey NULLS FIRST, l_suppkey NULLS FIRST,
+                                                l_quantity NULLS FIRST, l_shipdate NULLS FIRST) AS rn
           FROM lineitem) WHERE rn = 1""",
     "q_distinct_rows": "SELECT DISTINCT p_brand, p_type, p_size FROM part",
     "q_duplicate_groups": """
