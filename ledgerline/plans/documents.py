@@ -19,7 +19,7 @@ from ..operators.nested import (flatten_commerce_customers, flatten_commerce_ord
                                 flatten_incidences, flatten_oms_orders, flatten_product_variants,
                                 parse_tax_payload)
 from ..sources import documents as S
-from ..sources.tables import table, where_all
+from ..sources.tables import column_between, table, where_all
 
 _money = lambda c: F.struct(F.struct(c.cast("string").alias("amount"), F.lit("CLP").alias("currencyCode")).alias("shopMoney"))
 
@@ -302,14 +302,15 @@ def nest_flatten_addresses(spark, sf):
 
 
 def semi_join_keys(spark, sf):
-    """SC16/JN19/JN11/FL8: headers of a date range; their lines by a left
+    """SC16/SC19/JN19/JN11/FL8: headers of a date range; their lines by a left
     semi join (one scan instead of one call per header); header + line sum
     inner-joined (headers without lines drop out)."""
-    o = table(spark, sf, "orders").where(F.to_date("o_orderdate").between(F.lit("2000-01-01").cast("date"),
-                                                                           F.lit("2000-06-30").cast("date")))
-    hdr = o.select("o_orderkey", "o_orderdate", "o_orderstatus")
+    o = table(spark, sf, "orders")
+    hdr = o.where(F.to_date("o_orderdate").between(F.lit("2000-01-01").cast("date"), F.lit("2000-06-30").cast("date"))) \
+        .select("o_orderkey", "o_orderdate", "o_orderstatus")
+    keys = column_between(o, "o_orderkey", "o_orderdate", "2000-01-01", "2000-06-30")  # SC19: kept distributed
     li = table(spark, sf, "lineitem")
-    lines = li.join(hdr.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+    lines = li.join(keys.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
     sums = lines.groupBy("l_orderkey").agg(F.round(F.sum("l_quantity"), 2).alias("total_qty"))
     return hdr.join(sums, hdr.o_orderkey == sums.l_orderkey, "inner").select("o_orderkey", "o_orderdate", "o_orderstatus", "total_qty")
 

@@ -225,7 +225,7 @@ def _prepared(spark, sf):
 
 
 def replenish_summary(spark, sf):
-    """PL19 tally: per replenishment attempted / successful / refused /
+    """PL19/AG22/CD3: per replenishment attempted / successful / refused /
     missing counts and the outcome class."""
     _, _, _, valid, missing, res = _prepared(spark, sf)
     return outcome(valid, missing, res)
@@ -252,6 +252,15 @@ def replenish_failures(spark, sf):
     return failures(missing, res, valid)
 
 
+def replenish_export(spark, sf):
+    """SK14/JN10/WN2: rows of the results CSV (lines inner-joined to the
+    product master, numbered per replenishment and store by SKU, sorted);
+    ``export_csv`` writes them ``;``-separated with a header."""
+    lines, products, _ = _inputs(spark, sf)
+    return export_rows(lines, products).select("REPLENISHMENT_ID", "STORE", "LINENUMBER", "SKU", "ITEMNUMBER",
+                                               "PRODUCTNAME", F.col("REPLENISHMENT").alias("TRANSFERQUANTITY"))
+
+
 def transfer_documents_q(spark, sf):
     """AG12/JS3/JN18: transfer documents; the XML is parsed back and its
     detail count, unit total and observations are returned."""
@@ -288,6 +297,12 @@ _R_INPUTS = """
 """
 
 ORACLE = {
+    "q_replenish_export": "WITH " + _R_INPUTS + """
+        SELECT l.rid AS REPLENISHMENT_ID, l.store AS STORE,
+               CAST(ROW_NUMBER() OVER (PARTITION BY l.rid, l.store ORDER BY l.sku) AS INTEGER) AS LINENUMBER,
+               l.sku AS SKU, p.item AS ITEMNUMBER, pp.p_name AS PRODUCTNAME, l.qty AS TRANSFERQUANTITY
+        FROM lines l JOIN prod p ON l.sku = p.sku
+             JOIN part pp ON 'SKU' || CAST(pp.p_partkey AS VARCHAR) = l.sku""",
     "q_replenish_summary": "WITH " + _R_INPUTS + """,
         att AS (SELECT rid, COUNT(*) AS attempted FROM valid GROUP BY rid),
         r AS (SELECT rid, COUNT(*) FILTER (WHERE err IS NULL) AS successful,
@@ -332,6 +347,7 @@ ORACLE = {
 }
 
 QUERIES = {
+    "q_replenish_export": replenish_export,
     "q_replenish_summary": replenish_summary,
     "q_replenish_transfers": replenish_transfers,
     "q_replenish_lines": replenish_lines,
