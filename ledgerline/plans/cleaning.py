@@ -144,7 +144,7 @@ def date_parse(spark, sf):
 
 
 def month_end_fanout(spark, sf):
-    """CD4/DT12: every daily rate is written for each base rate type, and
+    """PL20/CD4/DT12: every daily rate is written for each base rate type, and
     once more as the closing rate on month-end days (fixed list: 28 Feb
     always, 29 Feb never)."""
     o = table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("rate_date"),
@@ -233,7 +233,7 @@ PART_COLUMNS = [("PART_ID", "BIGINT"), ("NAME", "VARCHAR(100)"), ("BRAND", "VARC
 
 
 def conform_schema(spark, sf):
-    """PR10-PR14/SK10: camelCase extract renamed, upper-cased, unknown
+    """PL13/PR10-PR14/SK10: camelCase extract renamed, upper-cased, unknown
     columns dropped, missing ones added as '', cast and ordered."""
     p = table(spark, sf, "part").select(
         F.col("p_partkey").alias("partId"), F.col("p_name").alias("name"), F.col("p_brand").alias("brand"),
@@ -245,7 +245,7 @@ def conform_schema(spark, sf):
 
 
 def scan_pruned(spark, sf):
-    """SC6-SC8/SC10/SC12: five columns, one month, one flag; the plan reads
+    """SC6-SC8/SC10/SC12/SC18: five columns, one month, one flag; the plan reads
     only those columns with the predicates pushed to Parquet."""
     return scan(spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_quantity", "l_returnflag", "l_shipdate"],
                 D.period_filter(F.col("l_shipdate"), "1999-06-01", "month") & (F.col("l_returnflag") == "N"))

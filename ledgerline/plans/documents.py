@@ -165,7 +165,7 @@ def land_oms_orders(spark, sf):
 
 
 def line_map_lookup(spark, sf):
-    """PL4/PR7/JN14/AR3/DS2/ST16: OMS documents flattened to lines; each
+    """PL4/PR7/NU2/JN14/AR3/DS2/ST16: OMS documents flattened to lines; each
     line's transfer warehouses are looked up inside its own document (same
     SKU), joined as sorted distinct text; repeated line ids keep the first."""
     docs = land_oms_orders(spark, sf).select(S.parse_json(F.col("payload"), S.OMS_ORDER).alias("d")).select("d.*")
@@ -252,7 +252,7 @@ PART_ODATA = [("PARTID", "BIGINT"), ("NAME", "VARCHAR"), ("BRAND", "VARCHAR"), (
 
 
 def json_array_docs(spark, sf):
-    """SC11/SC13-SC15/PL12: OData pages ``{"@odata.etag", "value": [...]}``
+    """SC11/SC13-SC15/PL12/PL13: OData pages ``{"@odata.etag", "value": [...]}``
     (one per brand and type) parsed, inlined, conformed to the declared
     schema; text price made numeric; ``Yes``/``No`` flag to boolean."""
     p = table(spark, sf, "part")
@@ -286,7 +286,7 @@ def land_customers(spark, sf):
 
 
 def nest_flatten_customers(spark, sf):
-    """SC2/PR4/PR5/ST3/AG8/JN12: customer documents -> address rows with
+    """PL2/SC2/PR4/PR5/ST3/AG8/JN12: customer documents -> address rows with
     the parent id, and per customer the most repeated address fields."""
     docs = land_customers(spark, sf).select(S.parse_json(F.col("payload"), S.COMMERCE_CUSTOMER).alias("d")).select("d.*")
     with_modes, addresses = flatten_commerce_customers(docs)

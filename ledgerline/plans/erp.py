@@ -227,7 +227,53 @@ def processed_sales_rollup_q(spark, sf):
                     F.round("QTYTOTAL", 2).alias("QTYTOTAL"), "CURRENCYCODE", "CANAL", "CECO", "TAXGROUP", "ORDERNUMBER")
 
 
+def accounting_entries_q(spark, sf):
+    """PL8/SC8/FL1/CV4: one month of accounting entries (from the lines:
+    debit per line) with the 0/1 flags as booleans (null -> false)."""
+    li = table(spark, sf, "lineitem")
+    entries = li.select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
+                    F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")).alias("ENTRY_ID"),
+        F.col("l_shipdate").alias("ACCOUNTINGDATE"), F.col("l_extendedprice").alias("AMOUNT"),
+        F.when(F.col("l_returnflag") == "R", F.lit(1)).otherwise(F.lit(0)).alias("ISSELECTED"),
+        F.when(F.col("l_linestatus") == "F", F.lit(1)).when(F.col("l_returnflag") == "N", F.lit(None)).otherwise(F.lit(0))
+        .alias("TRANSFERSTATUS"))
+    out = accounting_entries(entries, "1999-06-15", "month")
+    return out.select("ENTRY_ID", F.date_format("ACCOUNTINGDATE", "yyyy-MM-dd").alias("ACCOUNTINGDATE"),
+                      "AMOUNT", "ISSELECTED", "TRANSFERSTATUS")
+
+
+def transfer_orders_q(spark, sf):
+    """PL14/SC15/SC16/JN19/PR10/PR11/CV5/DT3: transfer headers (camelCase
+    OData rows) of the 30 days up to ``asof`` and the lines of exactly those
+    headers, renamed to upper snake case, with the reservation flag as a
+    boolean."""
+    o, li = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    headers = o.select(F.concat(F.lit("TR-"), F.col("o_orderkey").cast("string")).alias("TransferOrderNumber"),
+                       F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("RequestedReceiptDate"),
+                       F.col("o_orderpriority").alias("ReceivingWarehouseId"))
+    lines = li.select(F.concat(F.lit("TR-"), F.col("l_orderkey").cast("string")).alias("TransferOrderNumber"),
+                      F.col("l_linenumber").alias("LineNumber"), F.col("l_partkey").alias("ItemNumber"),
+                      F.when(F.col("l_returnflag") == "A", F.lit("Yes")).when(F.col("l_returnflag") == "N", F.lit("No"))
+                      .alias("IsAutomaticallyReserved"))
+    _, ln = transfer_orders(headers, lines, "2001-08-01", 30)
+    return ln.select("TRANSFER_ORDER_NUMBER", "LINE_NUMBER", "ITEM_NUMBER", "IS_AUTOMATICALLY_RESERVED")
+
+
 ORACLE = {
+    "q_accounting_entries": """
+        SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR)
+                 || '-' || CAST(l_suppkey AS VARCHAR) AS ENTRY_ID,
+               strftime(l_shipdate, '%Y-%m-%d') AS ACCOUNTINGDATE, l_extendedprice AS AMOUNT,
+               l_returnflag = 'R' AS ISSELECTED,
+               COALESCE(CASE WHEN l_linestatus = 'F' THEN 1 WHEN l_returnflag = 'N' THEN NULL ELSE 0 END, 0) != 0 AS TRANSFERSTATUS
+        FROM lineitem WHERE l_shipdate >= TIMESTAMP '1999-06-01' AND l_shipdate < TIMESTAMP '1999-07-01'""",
+    "q_transfer_orders": """
+        SELECT 'TR-' || CAST(l_orderkey AS VARCHAR) AS TRANSFER_ORDER_NUMBER, l_linenumber AS LINE_NUMBER,
+               l_partkey AS ITEM_NUMBER, COALESCE(l_returnflag = 'A', FALSE) AS IS_AUTOMATICALLY_RESERVED
+        FROM lineitem
+        WHERE l_orderkey IN (SELECT o_orderkey FROM orders
+                             WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '2001-07-02' AND DATE '2001-08-01')""",
     "q_erp_sales_lines": """
         WITH l AS (SELECT 'SO-' || CAST(l_orderkey AS VARCHAR) AS so, * FROM lineitem
                    WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_shipdate < TIMESTAMP '1999-01-01'),
@@ -251,6 +297,8 @@ ORACLE = {
 }
 
 QUERIES = {
+    "q_accounting_entries": accounting_entries_q,
+    "q_transfer_orders": transfer_orders_q,
     "q_erp_sales_lines": erp_sales_lines_q,
     "q_processed_sales_rollup": processed_sales_rollup_q,
 }

@@ -224,7 +224,7 @@ def _event_inputs(spark, sf):
 
 
 def build_events(spark, sf):
-    """PL17/JS2/AG11-AG15/JN13/ST13: event documents for Q1 1998; the
+    """PL17/JS2/AR5/AG11-AG15/JN13/ST13: event documents for Q1 1998; the
     scalar parts are read back out of the JSON document."""
     sales, erp, addrs, variants, profiles = _event_inputs(spark, sf)
     ev = retail_events(sales, erp, addrs, variants, profiles, "1998-01-01", "1998-03-31")

@@ -57,7 +57,7 @@ def update_order_status(spark, sf, since="2001-01-01"):
 
 
 def snapshot_history(spark, sf):
-    """SK7/SM5: closing row per user per day (latest capture of the day)."""
+    """PL10/SK7/SM5: closing row per user per day (latest capture of the day)."""
     e = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
     return latest_by(e.select("user_id", "day", "ts", "event_id", "value"), ["user_id", "day"], ["ts", "event_id"]) \
         .select("user_id", F.date_format("day", "yyyy-MM-dd").alias("day"), "event_id",
@@ -65,7 +65,7 @@ def snapshot_history(spark, sf):
 
 
 def full_refresh_clean(spark, sf):
-    """SK8/CV2/NU1: product master with a price coerced from text (bad ->
+    """PL11/SK8/CV2/NU1: product master with a price coerced from text (bad ->
     0) and blank strings filled; one overwrite job publishes it."""
     p = table(spark, sf, "part")
     dirty = p.select(
@@ -114,7 +114,7 @@ def period_calendar(spark, sf):
 
 
 def lookback_window(spark, sf, asof="2024-01-30 12:00:00", days=3):
-    """FL2/FL3/SC9: rows changed within ``days`` of ``asof`` (and an
+    """PL9/FL2/FL3/SC9: rows changed within ``days`` of ``asof`` (and an
     inclusive-day variant on the midnight-truncated bound)."""
     e = scan(spark, sf, "events", ["event_id", "user_id", "ts"])
     return e.where(lookback_filter("ts", asof, days)).withColumn(

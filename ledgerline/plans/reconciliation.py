@@ -178,7 +178,7 @@ def move_item_excluded(spark, sf):
 
 
 def alert_report(spark, sf, asof=ASOF, max_days=60, min_rows=100):
-    """PL16 end: one row with the three report counts, whether any report row
+    """PL16/AG16/AG17/DT8: one row with the three report counts, whether any report row
     is older than ``max_days`` whole days (DT8), and the combined alert."""
     oms = missing_in_erp(spark, sf, asof)
     shop = table(spark, sf, "orders").where(
