@@ -44,6 +44,7 @@ def test_destination_city(spark):
         ("T5", "ZZ", "", "Barrio"),               # raw district
         ("T6", None, None, None),                 # Unknown
     ], "t string, RECEIVING_WAREHOUSE_ID string, RECEIVING_ADDRESS_CITY string, RECEIVING_ADDRESS_DISTRICT_NAME string")
-    out = destination_city(df, distance_table(spark), warehouse_table(spark), table_rows=len(FT.DISTANCE_TABLE))
+    out = destination_city(df, distance_table(spark), warehouse_table(spark), table_rows=len(FT.DISTANCE_TABLE),
+                           warehouse_rows=len(FT.WAREHOUSE_TO_CITY))
     assert rows(out, "t", "DEST") == [("T1", "Lo Barnechea"), ("T2", "Providencia"), ("T3", "Temuco"),
                                       ("T4", "Somewhere"), ("T5", "Barrio"), ("T6", "Unknown")]
