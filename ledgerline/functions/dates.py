@@ -42,9 +42,41 @@ def _lit_date(v) -> Column:
     return F.lit(str(v)[:10]).cast("date")
 
 
+_FIELDS = [("yyyy", "%04d", F.year), ("SSSSSS", "%06d", None), ("MM", "%02d", F.month), ("dd", "%02d", F.dayofmonth),
+           ("HH", "%02d", F.hour), ("mm", "%02d", F.minute), ("ss", "%02d", F.second)]
+
+
+def ntz_format(c, pattern: str) -> Column:
+    """Text of an NTZ timestamp (or date) from its own wall-clock fields.
+
+    ``date_format`` renders through the session time zone, which moves a
+    wall time that does not exist locally (a DST gap at midnight) by an
+    hour; reading the fields of the NTZ value does not.  Supports the
+    tokens ``yyyy MM dd HH mm ss SSSSSS`` and ``'quoted'`` literals.
+    """
+    c = as_col(c)
+    fmt, args, i = "", [], 0
+    while i < len(pattern):
+        if pattern[i] == "'":
+            j = pattern.index("'", i + 1)
+            fmt += pattern[i + 1:j].replace("%", "%%")
+            i = j + 1
+            continue
+        for tok, spec, fn in _FIELDS:
+            if pattern.startswith(tok, i):
+                fmt += spec
+                args.append(F.pmod(ts_micros(c.cast("timestamp_ntz")), F.lit(1_000_000)) if fn is None else fn(c))
+                i += len(tok)
+                break
+        else:
+            fmt += pattern[i].replace("%", "%%")
+            i += 1
+    return F.when(c.isNotNull(), F.format_string(fmt, *args))
+
+
 def ts_text(c) -> Column:
     """DT1: timestamp -> ``yyyy-MM-dd HH:mm:ss`` (exports only)."""
-    return F.date_format(as_col(c), "yyyy-MM-dd HH:mm:ss")
+    return ntz_format(c, "yyyy-MM-dd HH:mm:ss")
 
 
 def day_of(c) -> Column:
@@ -53,17 +85,26 @@ def day_of(c) -> Column:
 
 
 def safe_timestamp(c, fmt: str | None = None) -> Column:
-    """DT3: text -> timestamp, unparsable -> null."""
+    """DT3: text -> wall-clock (NTZ) timestamp, unparsable -> null.
+
+    Without a pattern this is a safe cast (ISO dates and date-times, a
+    trailing ``Z`` kept as written); with a date-only pattern the text is
+    parsed as a date; otherwise a valid text is parsed straight to NTZ.  None
+    of the forms goes through the session time zone.
+    """
     c = as_col(c).cast("string")
-    return (F.try_to_timestamp(c, F.lit(fmt)) if fmt else F.try_to_timestamp(c)).cast("timestamp_ntz")
+    if not fmt:
+        return c.try_cast("timestamp_ntz")
+    if not any(t in fmt for t in ("H", "h", "m", "s")):
+        return F.try_to_date(c, fmt).cast("timestamp_ntz")
+    return F.when(F.try_to_timestamp(c, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(c, F.lit(fmt)))
 
 
 def parse_day_first(c) -> Column:
     """DT4: ``dd/MM/yyyy`` or ISO text -> timestamp; anything else -> null
     (the caller routes those rows to a rejects frame)."""
     c = as_col(c).cast("string")
-    return F.coalesce(F.try_to_timestamp(c, F.lit("dd/MM/yyyy")),
-                      F.try_to_timestamp(c)).cast("timestamp_ntz")
+    return F.coalesce(F.try_to_date(c, "dd/MM/yyyy").cast("timestamp_ntz"), c.try_cast("timestamp_ntz"))
 
 
 def date_from_prefix(c) -> Column:
@@ -83,7 +124,7 @@ def local_to_utc(c, zone: str = LOCAL_ZONE) -> Column:
 
 def iso_utc_text(c) -> Column:
     """DT6: UTC wall time as ISO text with offset ``+00:00``."""
-    return F.concat(F.date_format(as_col(c), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+    return F.concat(ntz_format(c, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
 
 
 def ts_micros(c) -> Column:
@@ -153,7 +194,7 @@ def is_month_end(c, leap_aware: bool = False) -> Column:
     d = as_col(c).cast("date")
     if leap_aware:
         return d == F.last_day(d)
-    return F.date_format(d, "MM-dd").isin(*MONTH_END_DAYS)
+    return ntz_format(d, "MM-dd").isin(*MONTH_END_DAYS)
 
 
 def resolve_range(start=None, end=None, lookback_days: int = 1, today=None):

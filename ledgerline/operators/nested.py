@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import arrays as A
 from ..functions import casts as C
 from ..functions import text as T
-from ..functions.dates import parse_day_first, ts_micros
+from ..functions.dates import ntz_format, parse_day_first, ts_micros
 from ..operators.dedupe import keep_first
 from ..operators.rollup import mode_per_group
 from ..sources.documents import TAX_DOCUMENT
@@ -220,12 +220,12 @@ def flatten_incidences(docs: DataFrame, arrival_col: str | None = None):
     ts = F.col("h.create_date").try_cast("timestamp_ntz")
     rows = h.select(
         "ecommerce_name_child", "_inc_date", "_arrival", "_pos", ts.alias("_ts"),
-        F.concat_ws("-", F.col("ecommerce_name_child"), F.date_format(ts, "yyyy-MM-dd HH:mm:ss"),
+        F.concat_ws("-", F.col("ecommerce_name_child"), ntz_format(ts, "yyyy-MM-dd HH:mm:ss"),
                     F.col("h.name")).alias("PRIMARY_KEY"),
         F.col("h.description").alias("DESCRIPTION"), F.col("h.name").alias("NAME"),
         F.coalesce(F.col("h.state"), F.lit("")).alias("STATE"), F.coalesce(F.col("h.user"), F.lit("")).alias("USER"))
     history = rows.select("PRIMARY_KEY", F.col("ecommerce_name_child").alias("ECOMMERCE_NAME_CHILD"),
-                          F.date_format("_ts", "yyyy-MM-dd HH:mm:ss").alias("CREATE_DATE"),
+                          ntz_format("_ts", "yyyy-MM-dd HH:mm:ss").alias("CREATE_DATE"),
                           "DESCRIPTION", "NAME", "STATE", "USER").distinct()
     # latest entry; on equal dates the earliest arrival, then list position
     # (the reference replaces only on a strictly later date); null dates lose
@@ -235,8 +235,8 @@ def flatten_incidences(docs: DataFrame, arrival_col: str | None = None):
                      ["ecommerce_name_child"], ["_nf", "_arrival", "_pos"])
     current = cur.select(
         F.col("ecommerce_name_child").alias("ECOMMERCE_NAME_CHILD"),
-        F.date_format(F.col("_inc_date").try_cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss").alias("INCIDENCE_CREATE_DATE"),
-        F.date_format("_ts", "yyyy-MM-dd HH:mm:ss").alias("LAST_REGISTER_DATE"),
+        ntz_format(F.col("_inc_date").try_cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss").alias("INCIDENCE_CREATE_DATE"),
+        ntz_format("_ts", "yyyy-MM-dd HH:mm:ss").alias("LAST_REGISTER_DATE"),
         "DESCRIPTION", "NAME", "STATE", "USER")
     return current, history
 

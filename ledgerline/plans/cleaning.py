@@ -131,11 +131,11 @@ def tz_shift(spark, sf, asof="2024-02-01 00:00:00"):
 def date_parse(spark, sf):
     """DT3-DT5: ``dd/MM/yyyy``, ISO and broken date text parsed safely."""
     o = table(spark, sf, "orders")
-    txt = (F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "dd/MM/yyyy"))
-           .when(F.col("o_orderstatus") == "O", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    txt = (F.when(F.col("o_orderstatus") == "F", D.ntz_format("o_orderdate", "dd/MM/yyyy"))
+           .when(F.col("o_orderstatus") == "O", D.ntz_format("o_orderdate", "yyyy-MM-dd"))
            .otherwise(F.concat(F.lit("xx/13/"), F.year("o_orderdate").cast("string"))))
     iso = F.when(F.col("o_orderpriority").startswith("3"), F.lit("not a date")) \
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+        .otherwise(D.ntz_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
     return o.select("o_orderkey", txt.alias("raw"), iso.alias("iso_raw")).select(
         "o_orderkey", "raw",
         D.parse_day_first("raw").alias("parsed"),

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import casts as C
+from ..functions import dates as D
 from ..operators.conform import conform
 from ..operators.nested import (flatten_commerce_customers, flatten_commerce_orders,
                                 flatten_incidences, flatten_oms_orders, flatten_product_variants,
@@ -40,7 +41,7 @@ def land_commerce_orders(spark, sf):
     doc = F.struct(
         F.concat(F.lit("gid://shopify/Order/"), k).alias("id"), k.alias("name"),
         F.concat(F.lit("c"), F.col("o_custkey").cast("string"), F.lit("@shop.example")).alias("email"),
-        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("createdAt"),
+        D.ntz_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("createdAt"),
         F.col("o_orderstatus").alias("displayFinancialStatus"),
         _money(F.col("o_totalprice")).alias("totalPriceSet"),
         F.struct(F.concat(F.lit("gid://shopify/Customer/"), F.col("o_custkey").cast("string")).alias("id")).alias("customer"),
@@ -180,7 +181,7 @@ def land_status_docs(spark, sf):
     e = table(spark, sf, "events")
     e = where_all(e, [("value", ">", 0.5)])  # FL11: source-side tuple predicates
     st = F.struct(F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.col("event_type")).alias("status"),
-                  F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("create_date"))
+                  D.ntz_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("create_date"))
     g = e.groupBy("user_id", F.to_date("ts").alias("day")).agg(F.array_sort(F.collect_list(st)).alias("h"))
     doc = F.struct(F.col("user_id").alias("id"), F.col("user_id").cast("string").alias("ecommerce_name_child"),
                    F.col("h").alias("status_histories_ids"))
@@ -198,14 +199,14 @@ def nest_flatten_status(spark, sf):
 def land_incidences(spark, sf):
     """OMS incidence documents (B5 shape): one per user, event type and day."""
     e = table(spark, sf, "events")
-    h = F.struct(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("create_date"), F.col("event_type").alias("name"),
+    h = F.struct(D.ntz_format("ts", "yyyy-MM-dd HH:mm:ss").alias("create_date"), F.col("event_type").alias("name"),
                  F.col("props").alias("description"),
                  F.when(F.col("value") > 50, F.lit("done")).alias("state"),
                  F.when(F.col("value") <= 80, F.concat(F.lit("u"), F.col("user_id").cast("string"))).alias("user"))
     g = e.groupBy("user_id", "event_type", F.to_date("ts").alias("day")) \
         .agg(F.min("ts").alias("first_ts"), F.array_sort(F.collect_list(h)).alias("history"))
     doc = F.struct(F.col("user_id").cast("string").alias("ecommerce_name_child"),
-                   F.date_format("first_ts", "yyyy-MM-dd HH:mm:ss").alias("create_date"), "history")
+                   D.ntz_format("first_ts", "yyyy-MM-dd HH:mm:ss").alias("create_date"), "history")
     return g.select(F.to_json(doc).alias("payload"), F.col("event_type").alias("arrival"))
 
 
@@ -223,8 +224,8 @@ def land_tax_payloads(spark, sf):
     documents escaped as text; names hold lone ampersands, some amounts are
     ``null`` and some dates ISO or broken."""
     o = table(spark, sf, "orders")
-    fecha = (F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "dd/MM/yyyy"))
-             .when(F.col("o_orderstatus") == "O", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    fecha = (F.when(F.col("o_orderstatus") == "F", D.ntz_format("o_orderdate", "dd/MM/yyyy"))
+             .when(F.col("o_orderstatus") == "O", D.ntz_format("o_orderdate", "yyyy-MM-dd"))
              .otherwise(F.lit("31-31-2001")))
     neto = F.when(F.col("o_orderpriority").startswith("5"), F.lit("null")).otherwise(F.col("o_totalprice").cast("string"))
     doc = F.concat(F.lit("<Documento><TipoDTE>33</TipoDTE><Folio>"), F.col("o_orderkey").cast("string"),

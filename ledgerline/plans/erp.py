@@ -250,7 +250,7 @@ def transfer_orders_q(spark, sf):
     boolean."""
     o, li = table(spark, sf, "orders"), table(spark, sf, "lineitem")
     headers = o.select(F.concat(F.lit("TR-"), F.col("o_orderkey").cast("string")).alias("TransferOrderNumber"),
-                       F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("RequestedReceiptDate"),
+                       D.ntz_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("RequestedReceiptDate"),
                        F.col("o_orderpriority").alias("ReceivingWarehouseId"))
     lines = li.select(F.concat(F.lit("TR-"), F.col("l_orderkey").cast("string")).alias("TransferOrderNumber"),
                       F.col("l_linenumber").alias("LineNumber"), F.col("l_partkey").alias("ItemNumber"),

@@ -152,3 +152,17 @@ def test_calendars_and_rate_fanout(spark):
     assert got == [("2024-02-28", "Cierre"), ("2024-02-28", "Predeterminado"), ("2024-02-28", "Tienda"),
                    ("2024-02-29", "Predeterminado"), ("2024-02-29", "Tienda"),
                    ("2024-03-15", "Predeterminado"), ("2024-03-15", "Tienda")]
+
+
+def test_ntz_text_ignores_session_zone(spark):
+    """A wall time in a DST gap of the session zone keeps its text."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Santiago")
+    try:
+        df = spark.createDataFrame([(dt.datetime(1995, 10, 15, 0, 0, 0, 1500),)], "t timestamp_ntz")
+        r = df.select(D.ntz_format("t", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"), D.ts_text("t"),
+                      D.parse_day_first(F.lit("15/10/1995")), D.safe_timestamp(F.lit("1995-10-15T00:00:00Z"))).first()
+        assert r[0] == "1995-10-15T00:00:00.001500Z" and r[1] == "1995-10-15 00:00:00"
+        assert r[2] == dt.datetime(1995, 10, 15) and r[3] == dt.datetime(1995, 10, 15)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
