@@ -93,3 +93,22 @@ def test_write_version(spark, tmp_path):
     df = spark.range(3)
     p = write_version(df, str(tmp_path / "tbl"), 1)
     assert spark.read.parquet(p).count() == 3
+
+
+def test_upsert_table_versions(spark):
+    import uuid
+    from ledgerline.operators.merge import upsert_table
+    from ledgerline.session import ensure_checkpoint_dir
+    base = f"{ensure_checkpoint_dir(spark)}/tbl-{uuid.uuid4().hex}"
+    b1 = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "k string, v double")
+    v, st = upsert_table(spark, base, b1, ["k"], "2024-01-01 00:00:00")
+    assert v == 1 and (st.first()["inserted_rows"], st.first()["updated_rows"]) == (2, 0)
+    b2 = spark.createDataFrame([("b", 20.0), ("c", 3.0)], "k string, v double")
+    v, st = upsert_table(spark, base, b2, ["k"], "2024-01-02 00:00:00")
+    assert v == 2 and (st.first()["inserted_rows"], st.first()["updated_rows"]) == (1, 1)
+    v, rejected = upsert_table(spark, base, spark.createDataFrame([("d", 1.0), ("d", 2.0)], "k string, v double"),
+                               ["k"], "2024-01-03 00:00:00")
+    assert v is None and rejected.count() == 1
+    assert upsert_table(spark, base, b1.limit(0), ["k"], "2024-01-03 00:00:00") == (None, None)
+    latest = spark.read.parquet(f"{base}/v=0000000002")
+    assert rows(latest, "k", "v") == [("a", 1.0), ("b", 20.0), ("c", 3.0)]
