@@ -93,3 +93,15 @@ def test_tax_payload(spark):
     assert out["33"]["RAZON_SOCIAL"] == "Cobre & Co"
     assert str(out["33"]["FECHA_EMISION"])[:10] == "2024-12-31"
     assert out["39"]["ID"] == "" and out["39"]["TOTAL"] is None and out["39"]["RAZON_SOCIAL"] == "A & B"
+
+
+def test_read_landed_json_files(spark, tmp_path):
+    from ledgerline.sources.documents import OMS_INCIDENCE, read_json_documents
+    path = tmp_path / "inc.jsonl"
+    path.write_text('{"ecommerce_name_child": "E1", "create_date": "2024-01-01 00:00:00", '
+                    '"history": [{"create_date": "2024-01-02 00:00:00", "name": "a"}]}\n'
+                    '{"ecommerce_name_child": "E2", "history": "not a list"\n')
+    df = read_json_documents(spark, str(path), OMS_INCIDENCE)
+    got = {r["ecommerce_name_child"]: r["history"] for r in df.collect()}
+    assert got["E1"][0]["name"] == "a"
+    assert len(got) == 2 and None in got              # malformed record -> nulls, the scan does not fail

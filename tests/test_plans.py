@@ -23,3 +23,9 @@ def test_scan_pruned_reads_five_columns(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_returnflag:string," \
            "l_shipdate:timestamp_ntz>" in p
     assert "EqualTo(l_returnflag,N)" in p
+
+
+def test_every_query_cites_survey_ids():
+    import re
+    for name, fn in E.queries().items():
+        assert re.search(r"\b(SC|SK|PR|FL|JN|AG|DS|WN|SO|SE|ST|CV|NU|DT|MA|AR|JS|MP|CD|SM|PL)\d", fn.__doc__ or ""), name
