@@ -67,6 +67,22 @@ def merge_next_state(target: DataFrame, source: DataFrame, keys: list[str],
     """
     columns = columns or [c for c in source.columns if c not in (CREATED_AT, UPDATED_AT)]
     now = _asof_col(asof)
+    # Rows with a null key part can never match (and would all meet in one
+    # hash partition of the join): stored ones pass through, incoming ones
+    # are inserted, and only complete keys go through the join.
+    complete = None
+    for k in keys:
+        c = F.col(k).isNotNull()
+        complete = c if complete is None else complete & c
+    typed = {c: source.schema[c].dataType for c in columns}
+    t_cols = set(target.columns)
+    t_null = target.where(~complete).select(
+        *[(F.col(c) if c in t_cols else F.lit(None).cast(typed[c])).alias(c) for c in columns],
+        (F.col(CREATED_AT) if CREATED_AT in t_cols else F.lit(None).cast("timestamp_ntz")).alias(CREATED_AT),
+        (F.col(UPDATED_AT) if UPDATED_AT in t_cols else F.lit(None).cast("timestamp_ntz")).alias(UPDATED_AT))
+    s_null = source.where(~complete).select(*columns, now.alias(CREATED_AT), now.alias(UPDATED_AT))
+    target = target.where(complete)
+    source = source.where(complete)
     t = target.select(*[F.col(c).alias(f"t__{c}") for c in target.columns],
                       F.lit(True).alias("t__present"))
     s = source.select(*[F.col(c).alias(f"s__{c}") for c in columns], F.lit(True).alias("s__present"))
@@ -86,7 +102,7 @@ def merge_next_state(target: DataFrame, source: DataFrame, keys: list[str],
     out.append(F.when(matched, F.coalesce(t_created, now)).when(hit, now)
                .otherwise(t_created).alias(CREATED_AT))
     out.append(F.when(hit, now).otherwise(t_updated).alias(UPDATED_AT))
-    return j.select(*out)
+    return j.select(*out).unionByName(t_null).unionByName(s_null)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], asof,
