@@ -97,11 +97,21 @@ def dedupe_within_lateness(stream: DataFrame, keys: list[str], ts_col: str, late
 def guarded_merge(target: DataFrame | None, batch: DataFrame, keys: list[str], ts_col: str) -> DataFrame:
     """SM3: next state: per key the batch's latest row replaces the stored
     row only when strictly newer; stored rows without a batch row stay.
-    One full outer join on the key."""
-    newest = latest_by(batch, keys, [ts_col])
+    One full outer join on the complete keys; rows with a null key part
+    bypass it (kept / appended)."""
+    complete = None
+    for k in keys:
+        c = F.col(k).isNotNull()
+        complete = c if complete is None else complete & c
+    # a key with a null part never matches: such rows are appended as they
+    # come (as a MERGE inserts them) and stay out of the join
+    loose = batch.where(~complete)
+    newest = latest_by(batch.where(complete), keys, [ts_col])
     if target is None:
-        return newest
+        return newest.unionByName(loose)
     cols = target.columns
+    kept_loose = target.where(~complete)
+    target = target.where(complete)
     t = target.select(*[F.col(c).alias(f"t__{c}") for c in cols])
     s = newest.select(*[F.col(c).alias(f"s__{c}") for c in cols])
     cond = None
@@ -111,7 +121,8 @@ def guarded_merge(target: DataFrame | None, batch: DataFrame, keys: list[str], t
     j = t.join(s, cond, "full_outer")
     take_s = F.col(f"s__{keys[0]}").isNotNull() & (F.col(f"t__{keys[0]}").isNull()
                                                    | (F.col(f"s__{ts_col}") > F.col(f"t__{ts_col}")))
-    return j.select(*[F.when(take_s, F.col(f"s__{c}")).otherwise(F.col(f"t__{c}")).alias(c) for c in cols])
+    merged = j.select(*[F.when(take_s, F.col(f"s__{c}")).otherwise(F.col(f"t__{c}")).alias(c) for c in cols])
+    return merged.unionByName(kept_loose).unionByName(loose.select(*cols))
 
 
 def stream_upsert(stream: DataFrame, table_path: str, keys: list[str], ts_col: str,

@@ -80,3 +80,11 @@ def test_stream_late_older_batch_does_not_overwrite(spark, tmp_path):
     vt = VersionedTable(spark, base)
     assert len(vt.versions()) == 2                      # one version per micro-batch
     assert rows(vt.latest(), "user_id", "v") == [(1, 5), (2, 7), (3, 9)]
+
+
+def test_guarded_merge_null_keys(spark):
+    s = "k string, ts timestamp_ntz, v int"
+    t = spark.createDataFrame([("a", dt.datetime(2024, 1, 5), 5), (None, dt.datetime(2024, 1, 1), 0)], s)
+    b = spark.createDataFrame([("a", dt.datetime(2024, 1, 6), 6), (None, dt.datetime(2024, 1, 7), 7)], s)
+    assert rows(guarded_merge(t, b, ["k"], "ts"), "k", "v") == [(None, 0), (None, 7), ("a", 6)]
+    assert rows(guarded_merge(None, b, ["k"], "ts"), "k", "v") == [(None, 7), ("a", 6)]
