@@ -44,10 +44,21 @@ def retail_lines(sales: DataFrame, erp_customers: DataFrame, shop_addresses: Dat
     customer's e-mail chosen by truthiness from ERP primary contact, ERP
     receipt mail, the sale line and the latest shipping address (by order id
     as text, descending); lines without any e-mail are dropped."""
+    erp, latest = _email_sources(erp_customers, shop_addresses)
+    return _lines_with_email(sales, erp, latest, start, end)
+
+
+def _email_sources(erp_customers: DataFrame, shop_addresses: DataFrame):
+    """The two e-mail lookups: ERP customer contacts, and each customer's
+    latest shipping-address e-mail (a per-key aggregate, computed once)."""
     latest = latest_by(shop_addresses.select("CUSTOMER_ID", "ORDER_ID", "EMAIL"), ["CUSTOMER_ID"], ["ORDER_ID"]) \
         .select(F.col("CUSTOMER_ID").alias("_sa_id"), F.col("EMAIL").alias("SHOPIFY_EMAIL"))
     erp = erp_customers.select(F.col("CUSTOMERACCOUNT").alias("_ec_id"),
                                F.col("PRIMARYCONTACTEMAIL").alias("ERP_CUST_PRIMARYCONTACTEMAIL"), "RECEIPTEMAIL")
+    return erp, latest
+
+
+def _lines_with_email(sales: DataFrame, erp: DataFrame, latest: DataFrame, start, end) -> DataFrame:
     sl = sales.where(D.between_days("INVOICEDATE", start, end) & (F.col("CECO") == RETAIL_COST_CENTRE)
                      & ~F.col("CUSTACCOUNT").isin(*AVOID_ACCOUNTS))
     j = sl.join(erp, sl.CUSTACCOUNT == erp._ec_id, "left").join(latest, sl.CUSTACCOUNT == latest._sa_id, "left")
@@ -136,12 +147,13 @@ def retail_events(sales: DataFrame, erp_customers: DataFrame, shop_addresses: Da
     """
     start_d = start if isinstance(start, _dt.date) else _dt.date.fromisoformat(str(start)[:10])
     back = (start_d.replace(year=start_d.year - 1))
-    base = retail_lines(sales, erp_customers, shop_addresses, start, end)
+    erp, latest = _email_sources(erp_customers, shop_addresses)
+    base = _lines_with_email(sales, erp, latest, start, end)
     first = keep_first(base.select("CUSTACCOUNT", *_ARRIVAL, "LINE_EMAIL"), ["CUSTACCOUNT"], _ARRIVAL)
     prof = profiles.select(F.col("EMAIL").alias("_pe")).distinct()
     new = first.join(prof, first.LINE_EMAIL == prof._pe, "left_anti").select("CUSTACCOUNT")
     known_lines = base.join(new, "CUSTACCOUNT", "left_anti")
-    back_lines = retail_lines(sales, erp_customers, shop_addresses, back, end).join(new, "CUSTACCOUNT", "left_semi")
+    back_lines = _lines_with_email(sales, erp, latest, back, end).join(new, "CUSTACCOUNT", "left_semi")
     # the event lines feed two aggregations (customer, sale): materialise once
     ensure_checkpoint_dir(sales.sparkSession)
     lines = with_variants(known_lines.unionByName(back_lines), variants).checkpoint(eager=True)
