@@ -56,13 +56,17 @@ def get_session(master: str | None = None, app: str = "ledgerline",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the operator sets it to a shared file system.  Only when it
-    is unset (local tests) a fresh scratch folder is used.
+    On a cluster the operator sets it to a shared file system (unset is an
+    error there).  Only a single-machine ``local[...]`` run without the
+    setting gets a fresh scratch folder.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store): "
+                               "checkpoints must survive the loss of any one machine")
+        d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")  # single-machine runs only
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir()
