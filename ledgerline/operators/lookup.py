@@ -57,8 +57,8 @@ def cascading_lookup(df: DataFrame, value_col: str, table: DataFrame, name_col:
     """
     tbl = table.select(F.col(name_col).alias("_name"), F.col(order_col).alias("_ord"),
                        *[F.col(p).alias(f"_p_{p}") for p in payload])
-    tbl = tbl.withColumn("_lname", F.lower("_name"))
-    tbl = _maybe_broadcast(tbl, broadcast_rows, table_rows)
+    raw = tbl.withColumn("_lname", F.lower("_name"))
+    tbl = _maybe_broadcast(raw, broadcast_rows, table_rows)  # hint only where it is joined
     # the distinct values feed four candidate joins and a length scan: computed
     # once and materialised (a small set) in the shared checkpoint folder
     ensure_checkpoint_dir(df.sparkSession)
@@ -70,7 +70,7 @@ def cascading_lookup(df: DataFrame, value_col: str, table: DataFrame, name_col:
     fold = vals.join(tbl, F.col("_lv") == F.col("_lname")).select("_v", F.lit(2).alias("_rank"), "_ord", *pcols)
     # name contained in value: substrings of the value with a name's length
     # distinct name lengths: a handful of small ints (bounded by the longest name)
-    ks = sorted(r[0] for r in tbl.select(F.length("_lname")).distinct().collect() if r[0])
+    ks = sorted(r[0] for r in raw.select(F.length("_lname")).distinct().collect() if r[0])
     ks_col = F.array(*[F.lit(k) for k in ks]) if ks else F.array().cast("array<int>")
     v_sub = (vals.select("_v", F.explode(_substrings(F.col("_lv"), ks_col)).alias("_s")).distinct())
     in_value = v_sub.join(tbl, F.col("_s") == F.col("_lname")) \
@@ -79,7 +79,7 @@ def cascading_lookup(df: DataFrame, value_col: str, table: DataFrame, name_col:
     # distinct values have (a small set, bounded by the longest value)
     vls = sorted(r[0] for r in vals.select(F.length("_lv")).distinct().collect() if r[0])
     vls_col = F.array(*[F.lit(k) for k in vls]) if vls else F.array().cast("array<int>")
-    n_sub = tbl.select("_ord", *pcols, F.explode(F.array_distinct(_substrings(F.col("_lname"), vls_col))).alias("_s"))
+    n_sub = raw.select("_ord", *pcols, F.explode(F.array_distinct(_substrings(F.col("_lname"), vls_col))).alias("_s"))
     in_name = vals.join(n_sub, F.col("_lv") == F.col("_s")) \
         .select("_v", F.lit(3).alias("_rank"), "_ord", *pcols)
 
