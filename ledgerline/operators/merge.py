@@ -207,7 +207,8 @@ def export_csv(df: DataFrame, path: str, order_by: list | None = None, sep: str
 
 
 def upsert_table(spark, base_path: str, batch: DataFrame, keys: list[str], asof,
-                 columns: list[str] | None = None, on_duplicate: str = "reject"):
+                 columns: list[str] | None = None, on_duplicate: str = "reject",
+                 partition_by: list[str] | None = None):
     """SK1-SK5 end to end, the counterpart of the reference's single writer
     every load calls: read the newest complete version of the table under
     ``base_path`` (none yet -> empty), refuse a batch that repeats a key,
@@ -215,7 +216,8 @@ def upsert_table(spark, base_path: str, batch: DataFrame, keys: list[str], asof,
     publish it as the next version and return ``(version, stats)`` where
     ``stats`` is the one-row inserted / updated count (SK4).  An empty batch
     publishes nothing and returns ``(None, None)`` (SK5); a refused batch
-    returns ``(None, rejected_keys)``.
+    returns ``(None, rejected_keys)``.  ``partition_by`` lays the version
+    out in directories (e.g. by day) so readers prune them.
     """
     from ..streaming.incremental import VersionedTable
     table = VersionedTable(spark, base_path)
@@ -233,7 +235,7 @@ def upsert_table(spark, base_path: str, batch: DataFrame, keys: list[str], asof,
     if not res.accepted:
         return None, res.rejected
     nxt = (versions[-1] + 1) if versions else 1
-    table.publish(check_unique_nonnull(res.table, keys), nxt)
+    table.publish(check_unique_nonnull(res.table, keys), nxt, partition_by)
     return nxt, upsert_stats(table.latest(), asof)
 
 

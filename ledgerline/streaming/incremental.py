@@ -71,9 +71,14 @@ class VersionedTable:
             return None
         return self.spark.read.parquet(f"{self.base}/{VERSION_PREFIX}{v[-1]:010d}")
 
-    def publish(self, df: DataFrame, version: int) -> str:
+    def publish(self, df: DataFrame, version: int, partition_by: list[str] | None = None) -> str:
+        """Write one complete state; ``partition_by`` (e.g. a date column)
+        lets later scans prune whole directories."""
         path = f"{self.base}/{VERSION_PREFIX}{version:010d}"
-        df.write.mode("overwrite").parquet(path)
+        w = df.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
         return path
 
 

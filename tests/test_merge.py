@@ -112,3 +112,14 @@ def test_upsert_table_versions(spark):
     assert upsert_table(spark, base, b1.limit(0), ["k"], "2024-01-03 00:00:00") == (None, None)
     latest = spark.read.parquet(f"{base}/v=0000000002")
     assert rows(latest, "k", "v") == [("a", 1.0), ("b", 20.0), ("c", 3.0)]
+
+
+def test_upsert_table_partitioned(spark):
+    import uuid
+    from ledgerline.operators.merge import upsert_table
+    from ledgerline.session import ensure_checkpoint_dir
+    base = f"{ensure_checkpoint_dir(spark)}/ptbl-{uuid.uuid4().hex}"
+    b = spark.createDataFrame([("a", "2024-01-01", 1.0), ("b", "2024-01-02", 2.0)], "k string, day string, v double")
+    v, _ = upsert_table(spark, base, b, ["k"], "2024-01-02 00:00:00", partition_by=["day"])
+    df = spark.read.parquet(f"{base}/v={v:010d}")
+    assert rows(df.where("day = '2024-01-02'"), "k") == [("b",)]
