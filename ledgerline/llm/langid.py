@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import words as W
 
-BUCKETS = 1 << 15
+BUCKETS = 1 << 14
 #: Labelled texts learned from at most, per language in expectation (those with the smallest hashed ids).
 ROWS_PER_LANG = 20_000
 #: Window widths in bytes.
-ORDERS = (3, 5)
+ORDERS = (3,)
 STEPS, REFINE_STEPS, MOST_LANGS = 8, 5, 3
 #: Cost of one more language: so many times log(n-grams) / 2 (windows overlap, so they count for less than one each).
 PENALTY = 8.0
@@ -54,7 +54,7 @@ def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
     parts = []
     for order in ORDERS:
         code = np.full(len(at), order, np.uint64)
-        for j in range(-(order // 2), order // 2 + 1):
+        for j in range(-(order // 2), order - order // 2):
             place = at + j
             byte = np.where((place >= low) & (place < high), wide[place + pad], 32)
             code = code * np.uint64(257) + byte.astype(np.uint64)
@@ -100,7 +100,8 @@ def mixtures(bucket: np.ndarray, of: np.ndarray, n: int, logp: np.ndarray) -> tu
     best, share = np.full(n, -1, np.int64), np.zeros(n)
     if not len(bucket) or not len(logp):
         return best, share
-    key, times = np.unique(of * BUCKETS + bucket, return_counts=True)
+    key = of * BUCKETS + bucket
+    key, times = np.unique(key.astype(np.int32) if n * BUCKETS < 1 << 31 else key, return_counts=True)
     doc, g = key // BUCKETS, key % BUCKETS
     start = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
     ids = doc[start]

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe
+from ledgerline.llm import bpe, dsir, langid, rules
 
 #: The vocabulary the queries use; every operator takes its path as a parameter.
 VOCABULARY = "byte_bpe_50k.json"
@@ -20,7 +21,33 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
-QUERIES = {"op1_bpe": op1_bpe}
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text of ``documents``, learned from the rows not held out."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op7_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance resampling of ``documents`` towards those labelled good: weight, noisy key, verdict."""
+    return dsir.resample(table(spark, sf_dir, "documents"), good_ids(spark, sf_dir))
+
+
+def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counted statistics, base rules and the robust outlier verdict of every document."""
+    v = rules.verdicts(table(spark, sf_dir, "documents"))
+    return v.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
+def good_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the documents labelled good (the target of the quality classifier)."""
+    return table(spark, sf_dir, "labels").where(F.col("quality") == 1).select("doc_id")
+
+
+QUERIES = {
+    "op1_bpe": op1_bpe,
+    "op4_language": op4_language,
+    "op7_importance": op7_importance,
+    "op8_rules": op8_rules,
+}
 
 #: Queries that SQL can express; the others are tested against brute force in tests/llm.
 ORACLE: dict[str, str] = {}
