@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, dsir, langid, rules
+from ledgerline.llm import bpe, dsir, jaccard, langid, packing, pii, rules
 
 #: The vocabulary the queries use; every operator takes its path as a parameter.
-VOCABULARY = "byte_bpe_50k.json"
+VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+#: The pseudonyms' key in the queries; a user passes their own.
+PII_KEY = b"ledgerline demonstration key"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,11 +23,26 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of ``documents`` that share 85 % of their 4-word shingles: class id of every document."""
+    return jaccard.linked(table(spark, sf_dir, "documents"), k=4, pct=85)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` packed into sequences of at most 2048 tokens: the place of every piece."""
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.path(RANKS))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every whole text of ``documents``, learned from the rows not held out."""
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its validated numbers, dates and addresses replaced by pseudonyms."""
+    return pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+
+
 def op7_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance resampling of ``documents`` towards those labelled good: weight, noisy key, verdict."""
     return dsir.resample(table(spark, sf_dir, "documents"), good_ids(spark, sf_dir))
@@ -44,7 +61,10 @@ def good_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_jaccard": op2_jaccard,
+    "op3_packing": op3_packing,
     "op4_language": op4_language,
+    "op6_pseudonyms": op6_pseudonyms,
     "op7_importance": op7_importance,
     "op8_rules": op8_rules,
 }

@@ -28,6 +28,8 @@ MIN_WORDS, MAX_REPEAT_PCT = 10, 20
 CORE_SHARE, STEPS = 0.75, 4
 #: Groups with fewer rows are judged against their language, then against all rows.
 MIN_GROUP = 200
+#: Groups whose estimates are broadcast at most, and the tasks a group is dealt to beyond that.
+BROADCAST_GROUPS, SALTS = 10_000, 64
 #: Chance that a document of its group's own normal distribution is rejected.
 TAIL = 1e-6
 #: The transformed statistics and, for each, the spread below which differences count as noise.
@@ -191,6 +193,20 @@ def levels(n_by: int) -> list[Column]:
     return [F.to_json(F.array(*(F.col(f"by{i}") for i in range(k)))) if k else F.lit("all") for k in range(n_by, -1, -1)]
 
 
+def with_fit(rows: DataFrame, fit: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """rows joined with one row a group, without gathering a hot group in one task.
+
+    Up to BROADCAST_GROUPS groups (counted first; some 500 bytes each) the
+    groups are broadcast; beyond that each group's rows are dealt out by SALTS
+    salts and its fit is repeated once a salt.
+    """
+    if fit.count() <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(fit), on, how)
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(*XS), F.lit(SALTS)))
+    repeated = fit.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(repeated, [on, "salt"], how).drop("salt")
+
+
 def fits(rows: DataFrame) -> DataFrame:
     """MCD estimates (g, n, mu, p, logdet) of every group of at least MIN_GROUP rows.
 
@@ -209,7 +225,7 @@ def fits(rows: DataFrame) -> DataFrame:
                        F.array(*(prec[i] if i == j else F.lit(0.0) for i, j in PAIRS)).alias("p"), F.lit(0.0).alias("logdet"))
     fit = fit.checkpoint()
     for step in range(STEPS + 1):
-        far = rows.join(fit, "g").withColumn("d2", _distance())
+        far = with_fit(rows, fit, "g").withColumn("d2", _distance())
         if step < STEPS:
             binned = far.groupBy("g", "n", F.floor(F.log(F.greatest("d2", F.lit(1e-3))) / BIN).alias("bin")).agg(*_moments())
             size = binned.groupBy("g").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("bin", "m")))).alias("sizes"))  # at most one entry a bin
@@ -241,11 +257,12 @@ def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by
     passed = stats.where(~F.col("base_failed"))
     rows = passed.select(F.explode(F.array(*names)).alias("g"), *XS)
     fit = fits(rows)
-    # which of a document's few groups has a fit: one row a group and level, joined by group name
+    # the finest level with a fit, for every finest group
     groups = passed.select(*(g.alias(f"g{i}") for i, g in enumerate(names))).distinct()
-    known = reduce(lambda a, i: a.join(fit.select(F.col("g").alias(f"g{i}"), F.lit(True).alias(f"h{i}")), f"g{i}", "left"), range(len(names)), groups)
-    best = known.select(F.col("g0"), F.coalesce(*(F.when(F.col(f"h{i}"), F.col(f"g{i}")) for i in range(len(names)))).alias("g")).join(fit, "g", "left")
-    judged = stats.withColumn("g0", names[0]).join(best, "g0", "left").withColumn("distance", _distance())
+    levels_of = groups.select("g0", F.posexplode(F.array(*(f"g{i}" for i in range(len(names))))).alias("level", "g"))
+    best = levels_of.join(fit.select("g"), "g", "left_semi").groupBy("g0").agg(F.min_by("g", "level").alias("g"))
+    chosen = best.join(fit, "g").checkpoint()
+    judged = with_fit(stats.withColumn("g0", names[0]), chosen, "g0", "left").withColumn("distance", _distance())
     limit = chi2_quantile(1 - TAIL, len(XS))
     kept = ~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= limit)
     return judged.select(F.col("key").alias(id_col), *COUNTS, "base_failed", F.when(~F.col("base_failed"), F.col("distance")).alias("distance"), kept.alias("kept"))
