@@ -21,80 +21,77 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows of a shard and queries of a block, on average: they bound what a task holds.
-SHARD_ROWS, QUERY_ROWS = 2048, 512
+SHARD_ROWS, QUERY_ROWS = 4096, 256
+#: Non-essential terms probed before the next test for competitiveness.
+PROBED = 8
 SCALE = 256
-#: Larger quantised components would not fit the score's 64 bits; they are held at this size.
-LARGEST = 1 << 24
+#: Terms, and rows for each of the k, that the first threshold is taken from.
+GUESSED = 8
+#: Up to this size of a component bounds are exact as doubles; larger ones are searched without a threshold.
+LARGEST = 1 << 22
+#: Components are held at this size, so that scores fit 64 bits.
+MOST = 1 << 28
 
 
 class Shard:
-    """An inverted index over the rows of a matrix of integers."""
+    """An inverted index over the rows of a matrix of integers.
+
+    Term 2 * d holds the positive, term 2 * d + 1 the negative values of
+    dimension d; a term's postings are a row of impacts, 0 where it is absent.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
         n, dims = vectors.shape
-        #: impacts[2 * d] of the positive, impacts[2 * d + 1] of the negative values of dimension d
-        self.postings = []
-        for d in range(dims):
-            column = self.vectors[:, d]
-            for sign in (1, -1):
-                at = np.flatnonzero(column * sign > 0)
-                self.postings.append((at, column[at] * sign))
-        self.largest = np.array([int(w.max()) if len(w) else 0 for _, w in self.postings], np.int64)
-
-    def search(self, query: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
-        """(rows, scores) of the k best rows whose id is not ``own``: higher score, then smaller id, first."""
-        n = len(self.ids)
-        dims = np.flatnonzero(query)
-        terms = 2 * dims + (query[dims] < 0)
-        weights = np.abs(query[dims])
-        bounds = weights * self.largest[terms]
-        order = np.argsort(-bounds, kind="stable")
-        terms, weights, bounds, dims = terms[order], weights[order], bounds[order], dims[order]
-        rest = np.concatenate([np.cumsum(bounds[::-1])[::-1], [0]])  # bound of the terms from each on
-        threshold = self.first_guess(query, k, own, terms)
+        self.postings = np.zeros((2 * dims, n))
+        self.postings[0::2] = np.maximum(self.vectors.T, 0)
+        self.postings[1::2] = np.maximum(-self.vectors.T, 0)
+        self.largest = self.postings.max(axis=1) if n else np.zeros(2 * dims)
+
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(query id, row ids, scores) of each query's k best rows other than its own id: higher score, then smaller id, first."""
+        n, dims = self.vectors.shape
+        weights = np.zeros((len(queries), 2 * dims))
+        weights[:, 0::2] = np.maximum(queries, 0)
+        weights[:, 1::2] = np.maximum(-queries, 0)
+        bounds = weights * self.largest
+        order = np.argsort(-bounds, axis=1, kind="stable")
+        ordered = np.take_along_axis(bounds, order, 1)
+        #: rest[:, i]: what the terms from the i-th heaviest on can add at most
+        rest = np.concatenate([np.cumsum(ordered[:, ::-1], axis=1)[:, ::-1], np.zeros((len(queries), 1))], axis=1)
+        # a first threshold: the k-th best score among the rows strongest in the heaviest terms
+        place = np.argsort(order, axis=1)
+        strong = np.where(place < GUESSED, weights, 0) @ self.postings
+        thresholds = np.full(len(queries), -np.inf)
+        if n > GUESSED * k and max(np.abs(self.vectors).max(initial=0), np.abs(queries).max(initial=0)) <= LARGEST:
+            seeds = np.argpartition(-strong, GUESSED * k, axis=1)[:, :GUESSED * k]
+            for i, own in enumerate(query_ids):
+                rows = seeds[i][self.ids[seeds[i]] != own]
+                thresholds[i] = np.sort(self.vectors[rows] @ queries[i])[-k] if len(rows) >= k else -np.inf
         # essential: the terms before the first place from which the others stay below the threshold
-        essential = len(terms) if threshold is None or threshold <= 0 else int(np.argmax(rest < threshold))
-        score = np.zeros(n, np.int64)
-        for t, w in zip(terms[:essential], weights[:essential], strict=True):
-            at, impacts = self.postings[t]
-            score[at] += w * impacts
-        if threshold is None or threshold <= 0:
-            rows = np.arange(n)  # rows without any positive term may be among the best too
-        else:
-            rows = np.flatnonzero(score + rest[essential] >= threshold)
-            for i in range(essential, len(terms)):
-                value = self.vectors[rows, dims[i]] * (-1 if terms[i] % 2 else 1)
-                score[rows] += weights[i] * np.maximum(value, 0)
-                rows = rows[score[rows] + rest[i + 1] >= threshold]
-        for t, w in zip(terms, weights, strict=True):  # the opposite terms only take away
-            if not len(rows):
-                break
-            value = self.vectors[rows, t // 2] * (1 if t % 2 else -1)
-            score[rows] -= w * np.maximum(value, 0)
-            if threshold is not None:
-                rows = rows[score[rows] >= threshold]
-        rows = rows[self.ids[rows] != own]
-        best = rows[np.lexsort((self.ids[rows], -score[rows]))[:k]]
-        return best, score[best]
-
-    def first_guess(self, query: np.ndarray, k: int, own: int, terms: np.ndarray) -> int | None:
-        """A score that at least k rows reach: the k-th best of a few rows strong in the heaviest terms."""
-        found = []
-        for t in terms[:4]:
-            at, impacts = self.postings[t]
-            found.append(at[np.argpartition(-impacts, 4 * k)[:4 * k]] if len(at) > 4 * k else at)
-        rows = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-        rows = rows[self.ids[rows] != own]
-        scores = self.vectors[rows] @ query
-        return int(np.sort(scores)[-k]) if len(scores) >= k else None
+        essential = np.where(thresholds > 0, (rest < thresholds[:, None]).argmax(axis=1), 2 * dims)
+        scores = np.where(place < essential[:, None], weights, 0) @ self.postings
+        for i, own in enumerate(query_ids):
+            score, e, threshold = scores[i], int(essential[i]), thresholds[i]
+            # without a positive threshold rows that hold no positive term may be among the best too
+            rows = np.flatnonzero(score + rest[i, e] >= threshold) if threshold > 0 else np.arange(n)
+            while e < 2 * dims and len(rows) > k and ordered[i, e] > 0:
+                probed = order[i, e:e + PROBED]
+                e += len(probed)
+                score[rows] += weights[i, probed] @ self.postings[np.ix_(probed, rows)]
+                rows = rows[score[rows] + rest[i, e] >= threshold]
+            # the opposite terms only take away: what is still competitive gets its whole score
+            rows = rows[self.ids[rows] != own]
+            whole = self.vectors[rows] @ queries[i]
+            best = np.lexsort((self.ids[rows], -whole))[:k]
+            yield own, self.ids[rows[best]], whole[best]
 
 
 def quantised(column: Column) -> Column:
     """floor(256 * x) of every component as double; null where the vector or a component is null or not finite."""
     usable = F.coalesce(F.forall(column, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
-    whole = F.transform(column, lambda x: F.greatest(F.least(F.floor(x.cast("double") * SCALE).cast("double"), F.lit(float(LARGEST))), F.lit(-float(LARGEST))).cast("int"))
+    whole = F.transform(column, lambda x: F.greatest(F.least(F.floor(x.cast("double") * SCALE).cast("double"), F.lit(float(MOST))), F.lit(-float(MOST))).cast("int"))
     return F.when(usable, whole)
 
 
@@ -122,10 +119,9 @@ def search(vectors: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: s
         if len(rows) and len(asked):
             dims = max(max(map(len, rows["v"])), max(map(len, asked["v"])))
             shard = Shard(rows["id"].to_numpy(), _matrix(rows["v"], dims))
-            for query_id, q in zip(asked["id"].to_numpy(), _matrix(asked["v"], dims), strict=True):
-                best, scores = shard.search(q, k, query_id)
-                out["query_id"] += [query_id] * len(best)
-                out["id"] += shard.ids[best].tolist()
+            for query_id, ids, scores in shard.search(asked["id"].to_numpy(), _matrix(asked["v"], dims), k):
+                out["query_id"] += [query_id] * len(ids)
+                out["id"] += ids.tolist()
                 out["score"] += scores.tolist()
         return pd.DataFrame(out)
 
