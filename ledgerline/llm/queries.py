@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, dsir, jaccard, langid, maxscore, packing, pii, rules
+from ledgerline.llm import bpe, dsir, jaccard, langid, licenses, maxscore, packing, pii, rules
 
 #: The vocabulary the queries use; every operator takes its path as a parameter.
 VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -54,6 +54,11 @@ def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licences and notices in every document: by its whole text and line by line."""
+    return licenses.scanned(table(spark, sf_dir, "documents"), licenses.known(spark))
+
+
 def op10_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best inner products of every fiftieth of ``embeddings`` against all others."""
     return maxscore.search(table(spark, sf_dir, "embeddings"), k=5)
@@ -72,20 +77,22 @@ QUERIES = {
     "op6_pseudonyms": op6_pseudonyms,
     "op7_importance": op7_importance,
     "op8_rules": op8_rules,
+    "op9_licenses": op9_licenses,
     "op10_maxscore": op10_maxscore,
 }
 
 #: Queries that SQL can express; the others are tested against brute force in tests/llm.
 ORACLE: dict[str, str] = {
+    "op9_licenses": licenses.oracle(),
     "op10_maxscore": """
         WITH usable AS (
-            SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
         scored AS (
             SELECT q.vec_id AS query_id, c.vec_id,
-                   CAST(list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i])) AS BIGINT) AS score
+                   CAST(list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)]) AS BIGINT) AS score
             FROM usable q JOIN usable c ON c.vec_id <> q.vec_id
             WHERE q.vec_id % 50 = 0),
         ranked AS (
