@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, dsir, jaccard, langid, licenses, maxscore, packing, pii, rules
+from ledgerline.llm import bpe, dsir, htmlmain, jaccard, langid, licenses, maxscore, packing, pii, rules
 
 #: The vocabulary the queries use; every operator takes its path as a parameter.
 VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -38,6 +38,12 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page of ``pages``, by a field trained on pages labelled by their structure."""
+    pages = table(spark, sf_dir, "pages")
+    return htmlmain.extracted(pages, htmlmain.fitted(pages))
+
+
 def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its validated numbers, dates and addresses replaced by pseudonyms."""
     return pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
@@ -74,6 +80,7 @@ QUERIES = {
     "op2_jaccard": op2_jaccard,
     "op3_packing": op3_packing,
     "op4_language": op4_language,
+    "op5_main_text": op5_main_text,
     "op6_pseudonyms": op6_pseudonyms,
     "op7_importance": op7_importance,
     "op8_rules": op8_rules,
