@@ -3,8 +3,8 @@
 A document is its set of word shingles, as 64-bit hashes.  All shingles have
 one global order, rare ones first; a linked pair must share one of the first
 few shingles of both (prefix filter), at places that still leave room for the
-needed overlap (position filter), and have similar sizes (length filter).  For
-the candidate pairs the global order is cut into fragments; each fragment's
+needed overlap (position filter), have similar sizes (length filter) and share
+enough of both prefixes.  For the pairs that are left the global order is cut into fragments; each fragment's
 partial overlap is counted on its own, and the counts are summed per pair.
 
 Equal sets are one node.  Candidates are checked in two rounds: first every
@@ -163,6 +163,19 @@ def may_link(pct: int) -> Column:
     return (100 * F.least("n", "n2") >= pct * F.greatest("n", "n2")) & (room >= need)
 
 
+def promising(pairs: DataFrame, nodes: DataFrame, pct: int) -> DataFrame:
+    """The pairs that may still link once all shingles of both prefixes are compared.
+
+    Of two prefixes the one that ends first in the global order holds no
+    shared shingle outside the other, so the overlap is at most the prefixes'
+    own plus what follows that prefix.
+    """
+    sides = nodes.select("node", "prefix")
+    both = pairs.join(sides.withColumnsRenamed({"node": "a", "prefix": "x"}), "a").join(sides.withColumnsRenamed({"node": "b", "prefix": "y"}), "b")
+    most = F.size(F.array_intersect("x", "y")) + F.greatest(F.col("na") - F.size("x"), F.col("nb") - F.size("y"))
+    return both.where(most * (100 + pct) >= pct * (F.col("na") + F.col("nb"))).select("a", "b", "na", "nb")
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, pct: int, order) -> DataFrame:
     """The pairs (a, b, na, nb) that link: partial overlaps by fragment, summed per pair."""
     used = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
@@ -200,7 +213,8 @@ def linked(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "doc_id", t
     # round 1: each document with the most central document of each shingle
     hubs = shared.groupBy("h").agg(F.min(F.struct((F.col("pos") / F.col("n")).alias("share"), "node", "n", "pos")).alias("hub"))
     near = shared.join(hubs.select("h", F.col("hub.node").alias("node2"), F.col("hub.n").alias("n2"), F.col("hub.pos").alias("pos2")), "h")
-    first = _pairs(near, pct).checkpoint()
+    tried = _pairs(near, pct).checkpoint()
+    first = promising(tried, nodes, pct).checkpoint()
     links = verified(first, nodes, texts, k, pct, order).checkpoint()
     roots = components(links).checkpoint()
     # round 2: what lies in different components after that
@@ -208,7 +222,8 @@ def linked(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "doc_id", t
     mixed = marked.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("h")
     open_ = marked.join(mixed, "h").checkpoint()
     other = open_.select("h", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "pos", "root")))
-    rest = _pairs(open_.join(other, "h").where("root < root2"), pct).join(first.select("a", "b"), ["a", "b"], "left_anti").checkpoint()
+    rest = _pairs(open_.join(other, "h").where("root < root2"), pct).join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    rest = promising(rest, nodes, pct).checkpoint()
     if not rest.isEmpty():
         roots = components(links.union(verified(rest, nodes, texts, k, pct, order))).checkpoint()
     owner = nodes.select("node", "s1", "s2", "n", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
