@@ -77,13 +77,21 @@ def exclude_duplicated(df: DataFrame, group_cols: list[str], entity_col: str) ->
     return not_in(df, entity_col, dups, entity_col)
 
 
-HOT_GROUP_ROWS = 2_000_000
+def number_within(df: DataFrame, partition_cols: list[str], order_cols: list[str],
+                  name: str = "line_number", counters: dict | None = None) -> DataFrame:
+    """WN2/WN3: ``row_number() OVER (PARTITION BY p ORDER BY o)``.
 
+    ``counters`` maps extra output columns to predicates: each gets the
+    running count of rows satisfying its predicate up to this row (null
+    where the predicate is false), i.e. the renumbering 1..n of the rows that
+    pass a filter (WN3) in the same pass.
 
-def _sliced_numbering(df: DataFrame, partition_cols: list[str], order_cols: list[str], name: str,
-                      counters: dict | None = None) -> DataFrame:
-    """Row numbers (and running conditional counts) for (possibly huge)
-    groups spread over many tasks."""
+    A plain window numbers a whole group inside one task.  Here rows are
+    range-partitioned on ``(p, o)``, so the sampler spreads a hot group over
+    many tasks; they are numbered per slice and shifted by per-slice offsets
+    from a small (tasks x groups) count table.  ``order_cols`` must be a
+    total order within ``p`` for a deterministic result, as for the window.
+    """
     counters = counters or {}
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The slice id is the task that holds the row after range partitioning; it
@@ -117,51 +125,3 @@ def _sliced_numbering(df: DataFrame, partition_cols: list[str], order_cols: list
     drop = ["_slice", "_off", "_o_slice", *[f"_o_{c}" for c in partition_cols],
             *[f"_off_{c}" for c in counters], *flags.values()]
     return out.drop(*drop)
-
-
-def number_within(df: DataFrame, partition_cols: list[str], order_cols: list[str],
-                  name: str = "line_number", skew_safe: bool = True,
-                  hot_rows: int = HOT_GROUP_ROWS, counters: dict | None = None) -> DataFrame:
-    """WN2/WN3: ``row_number() OVER (PARTITION BY p ORDER BY o)``.
-
-    ``counters`` maps extra output columns to predicates: each gets the
-    running count of rows satisfying its predicate up to this row (null
-    where the predicate is false), i.e. the renumbering 1..n of the rows that
-    pass a filter (WN3) in the same pass.
-
-    A plain window numbers a whole group inside one task.  With
-    ``skew_safe`` the groups are first sized with one partial aggregate;
-    groups above ``hot_rows`` (at most ``rows / hot_rows`` of them) are numbered by :func:`_sliced_numbering`:
-    range-partitioned on ``(p, o)`` so the sampler spreads a hot group over
-    many tasks, numbered per slice, plus per-slice offsets from a small
-    (tasks x groups) count table.  All other groups use the window, each
-    bounded by ``hot_rows``.  ``order_cols`` must be a total order within
-    ``p`` for a deterministic result, as for the window itself.
-    """
-    counters = counters or {}
-    w = Window.partitionBy(*partition_cols).orderBy(*order_cols)
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    def windowed(d):
-        d = d.withColumn(name, F.row_number().over(w).cast("int"))
-        for c, pred in counters.items():
-            d = d.withColumn(c, F.when(pred, F.sum(F.when(pred, F.lit(1)).otherwise(F.lit(0))).over(running)
-                                       .cast("int")))
-        return d
-
-    if not skew_safe:
-        return windowed(df)
-    hot = (df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("_rows"))
-           .where(F.col("_rows") > hot_rows).drop("_rows"))
-    if hot.isEmpty():
-        return windowed(df)
-    # no broadcast hint: the hot list is small by construction (<= rows / hot_rows)
-    # and AQE turns the join into a broadcast at run time when it is
-    hot = hot.select(*[F.col(c).alias(f"_h_{c}") for c in partition_cols])
-    cond = None
-    for c in partition_cols:
-        e = F.col(c).eqNullSafe(F.col(f"_h_{c}"))
-        cond = e if cond is None else cond & e
-    cold_rows = windowed(df.join(hot, cond, "left_anti"))
-    hot_rows_df = _sliced_numbering(df.join(hot, cond, "left_semi"), partition_cols, order_cols, name, counters)
-    return cold_rows.unionByName(hot_rows_df)

@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.versions import VersionedTable
+
 CREATED_AT = "created_at"
 UPDATED_AT = "updated_at"
 
@@ -59,13 +61,14 @@ def merge_next_state(target: DataFrame, source: DataFrame, keys: list[str],
     """SK1 core: the MERGE as one full outer join.
 
     matched      -> every listed column from the batch, ``created_at`` kept,
-                    ``updated_at`` = asof
+                    ``updated_at`` = asof; target columns that the batch does
+                    not list keep their values (null on inserted rows)
     not matched  -> inserted with both audit columns = asof
     target only  -> unchanged
     Keys compare with plain equality, so a key with a null part never matches
     and is inserted again (JN20), as in SQL ``MERGE``.
     """
-    columns = columns or [c for c in source.columns if c not in (CREATED_AT, UPDATED_AT)]
+    columns = list(columns or [c for c in source.columns if c not in (CREATED_AT, UPDATED_AT)])
     now = _asof_col(asof)
     # Rows with a null key part can never match (and would all meet in one
     # hash partition of the join): stored ones pass through, incoming ones
@@ -74,13 +77,14 @@ def merge_next_state(target: DataFrame, source: DataFrame, keys: list[str],
     for k in keys:
         c = F.col(k).isNotNull()
         complete = c if complete is None else complete & c
-    typed = {c: source.schema[c].dataType for c in columns}
     t_cols = set(target.columns)
+    extra = [c for c in target.columns if c not in columns and c not in (CREATED_AT, UPDATED_AT)]
+    typed = {c: source.schema[c].dataType for c in columns} | {c: target.schema[c].dataType for c in extra}
     t_null = target.where(~complete).select(
-        *[(F.col(c) if c in t_cols else F.lit(None).cast(typed[c])).alias(c) for c in columns],
+        *[(F.col(c) if c in t_cols else F.lit(None).cast(typed[c])).alias(c) for c in columns + extra],
         (F.col(CREATED_AT) if CREATED_AT in t_cols else F.lit(None).cast("timestamp_ntz")).alias(CREATED_AT),
         (F.col(UPDATED_AT) if UPDATED_AT in t_cols else F.lit(None).cast("timestamp_ntz")).alias(UPDATED_AT))
-    s_null = source.where(~complete).select(*columns, now.alias(CREATED_AT), now.alias(UPDATED_AT))
+    s_null = source.where(~complete).select(*columns, *[F.lit(None).cast(typed[c]).alias(c) for c in extra], now.alias(CREATED_AT), now.alias(UPDATED_AT))
     target = target.where(complete)
     source = source.where(complete)
     t = target.select(*[F.col(c).alias(f"t__{c}") for c in target.columns],
@@ -96,6 +100,7 @@ def merge_next_state(target: DataFrame, source: DataFrame, keys: list[str],
     for c in columns:
         tc = F.col(f"t__{c}") if c in target.columns else F.lit(None)
         out.append(F.when(hit, F.col(f"s__{c}")).otherwise(tc).alias(c))
+    out += [F.col(f"t__{c}").alias(c) for c in extra]
     t_created = F.col(f"t__{CREATED_AT}") if CREATED_AT in target.columns else F.lit(None).cast("timestamp_ntz")
     t_updated = F.col(f"t__{UPDATED_AT}") if UPDATED_AT in target.columns else F.lit(None).cast("timestamp_ntz")
     matched = hit & F.col("t__present").isNotNull()
@@ -150,10 +155,11 @@ def structure_of(df: DataFrame) -> DataFrame:
 def update_from(target: DataFrame, changes: DataFrame, keys: list[str],
                 set_cols: list[str]) -> DataFrame:
     """SK11/SK13: ``UPDATE target SET c = changes.c FROM changes WHERE keys
-    match``.  One left join; rows without a match keep their values.  The
-    change set must be unique per key (checked by the caller with
-    :func:`duplicate_keys`), otherwise rows would multiply.
+    match``.  One left join; rows without a match keep their values.  A change
+    set that repeats a complete key would multiply rows and raises
+    ``ValueError`` (one small aggregate over the changes).
     """
+    check_unique_nonnull(changes, keys)
     ch = changes.select(*keys, *[F.col(c).alias(f"u__{c}") for c in set_cols],
                         F.lit(True).alias("u__hit"))
     j = target.join(ch, keys, "left")
@@ -169,34 +175,27 @@ def update_where(target: DataFrame, cond: Column, assignments: dict) -> DataFram
                            if c in assignments else F.col(c) for c in target.columns])
 
 
-def snapshot_and_history(history: DataFrame, capture: DataFrame, keys: list[str],
-                         ts_col: str, asof):
+def snapshot_and_history(snapshot: DataFrame, history: DataFrame, capture: DataFrame, keys: list[str],
+                         ts_col: str, asof) -> tuple[DataFrame, UpsertResult]:
     """SK7/SM5: append one capture to the history (upsert on key + capture
     time) and rebuild the snapshot from the capture alone (truncate + load).
 
-    Returns ``(snapshot, history)``; cache ``capture`` when both are written.
+    Returns ``(snapshot, result)``: ``result.table`` is the next history.  A
+    capture that repeats a key is refused: ``result.accepted`` is False,
+    ``result.rejected`` lists the keys, and snapshot and history come back as
+    they were.  Cache ``capture`` when both are written.
     """
-    hist = upsert(history, capture, keys + [ts_col], asof, on_duplicate="reject")
-    snapshot = capture.dropDuplicates()
-    return snapshot, hist.table
+    result = upsert(history, capture, keys + [ts_col], asof, on_duplicate="reject")
+    return (capture if result.accepted else snapshot), result
 
 
-def write_version(df: DataFrame, base_path: str, version: int, mode: str = "overwrite",
+def write_version(df: DataFrame, base_path: str, version: int,
                   partition_by: list[str] | None = None) -> str:
-    """SK6/SK8: publish a table state to ``base/v=NNNNNN``.
-
-    Spark's commit protocol writes ``_SUCCESS`` only when every task
-    succeeded, so a failed load leaves the previous version untouched
-    (staged full refresh) and readers pick the newest complete version.  A
-    version path is private until then, so a retried job overwrites what a
-    failed attempt left behind.
-    """
-    path = f"{base_path.rstrip('/')}/v={version:06d}"
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
+    """SK6/SK8: publish a table state as version ``version`` of
+    :class:`VersionedTable` ``base_path`` (staged full refresh).  A version
+    path is private until it is complete, so a retried job overwrites what a
+    failed attempt left behind."""
+    return VersionedTable(df.sparkSession, base_path).publish(df, version, partition_by)
 
 
 def export_csv(df: DataFrame, path: str, order_by: list | None = None, sep: str = ";") -> None:
@@ -219,11 +218,10 @@ def upsert_table(spark, base_path: str, batch: DataFrame, keys: list[str], asof,
     returns ``(None, rejected_keys)``.  ``partition_by`` lays the version
     out in directories (e.g. by day) so readers prune them.
     """
-    from ..streaming.incremental import VersionedTable
     table = VersionedTable(spark, base_path)
     versions = table.versions()
     if versions:
-        current = spark.read.parquet(f"{table.base}/v={versions[-1]:010d}")
+        current = table.read(versions[-1])
     else:
         cols = columns or [c for c in batch.columns if c not in (CREATED_AT, UPDATED_AT)]
         fields = [batch.schema[c] for c in cols]
@@ -241,7 +239,8 @@ def upsert_table(spark, base_path: str, batch: DataFrame, keys: list[str], asof,
 
 def check_unique_nonnull(df: DataFrame, keys: list[str]) -> DataFrame:
     """SK3 on the keys that can match: rows with a null key part never
-    match in a merge (JN20) and are allowed to repeat."""
+    match in a merge (JN20) and are allowed to repeat (SURVEY 2.14, decision
+    on null keys; :func:`check_unique` also counts nulls as a group)."""
     cond = None
     for k in keys:
         c = F.col(k).isNotNull()

@@ -146,7 +146,8 @@ def retail_events(sales: DataFrame, erp_customers: DataFrame, shop_addresses: Da
     found a variant (AG14), else the short shape.
     """
     start_d = start if isinstance(start, _dt.date) else _dt.date.fromisoformat(str(start)[:10])
-    back = (start_d.replace(year=start_d.year - 1))
+    leap_day = start_d.month == 2 and start_d.day == 29  # the month's last day a year before, as add_months has it
+    back = start_d.replace(year=start_d.year - 1, day=28 if leap_day else start_d.day)
     erp, latest = _email_sources(erp_customers, shop_addresses)
     base = _lines_with_email(sales, erp, latest, start, end)
     first = keep_first(base.select("CUSTACCOUNT", *_ARRIVAL, "LINE_EMAIL"), ["CUSTACCOUNT"], _ARRIVAL)

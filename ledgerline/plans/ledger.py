@@ -226,19 +226,14 @@ def cascading_lookup_q(spark, sf):
 
 
 def union_distinct(spark, sf):
-    """SE1/SE2/SE5: per-year frames (early years carry an extra column)
-    unioned by name with missing columns as null, then made distinct."""
+    """SE1/SE2/SE5: an early and a late frame of the orders (the early one
+    carries an extra column, undated orders count as late), unioned by name
+    with missing columns as null, then made distinct."""
     o = table(spark, sf, "orders").select("o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
-    frames = []
-    for y in range(1995, 2002):
-        f = o.where((F.col("o_orderdate") >= F.lit(f"{y}-01-01").cast("timestamp_ntz"))
-                    & (F.col("o_orderdate") < F.lit(f"{y + 1}-01-01").cast("timestamp_ntz")))
-        cols = ["o_custkey", "o_orderstatus"] + (["o_orderpriority"] if y < 1998 else [])
-        frames.append(f.select(*cols))
-    u = frames[0]
-    for f in frames[1:]:
-        u = u.unionByName(f, allowMissingColumns=True)
-    return u.distinct()
+    early = F.coalesce(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"), F.lit(False))
+    frames = [o.where(early).select("o_custkey", "o_orderstatus", "o_orderpriority"),
+              o.where(~early).select("o_custkey", "o_orderstatus")]
+    return frames[0].unionByName(frames[1], allowMissingColumns=True).distinct()
 
 
 _LEDGER_INPUTS_SQL = """
@@ -326,10 +321,10 @@ ORACLE = {
         FROM v LEFT JOIN b ON v.c_custkey = b.c_custkey""",
     "q_union_distinct": """
         SELECT DISTINCT o_custkey, o_orderstatus, o_orderpriority FROM orders
-        WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'
+        WHERE o_orderdate < TIMESTAMP '1998-01-01'
         UNION
         SELECT DISTINCT o_custkey, o_orderstatus, NULL FROM orders
-        WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '2002-01-01'""",
+        WHERE o_orderdate >= TIMESTAMP '1998-01-01' OR o_orderdate IS NULL""",
 }
 
 QUERIES = {

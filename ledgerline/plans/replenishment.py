@@ -16,7 +16,6 @@ from ..functions import text as T
 from ..operators.dedupe import number_within
 from ..operators.lookup import exact_lookup
 from ..operators.merge import update_from
-from ..session import ensure_checkpoint_dir
 from ..sources.tables import table
 
 # Fixed values of the transfer documents (must equal the reference's).
@@ -80,6 +79,14 @@ def enrich_lines(lines: DataFrame, products: DataFrame, replenishment_id: str |
         "DELIVERY", F.col("ITEMNUMBER").isNull().alias("IS_MISSING_ERP_DATA"), "LINE_NO")
 
 
+def matched_lines(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """JN9/CD1: the lines' keys, quantity and ``IS_MISSING_ERP_DATA``, for
+    the steps that return no line number."""
+    known = products.select("SKU", F.col("ITEMNUMBER").isNotNull().alias("_known"))
+    return lines.join(known, "SKU", "left").select(
+        *KEYS, F.col("REPLENISHMENT").alias("TRANSFERQUANTITY"), (~F.coalesce("_known", F.lit(False))).alias("IS_MISSING_ERP_DATA"))
+
+
 def split_valid(enriched: DataFrame):
     """FL12/WN3: ``(valid, missing)``; the valid lines carry ``LINE_NO``,
     their 1..n renumbering per (replenishment, store) in line order, which
@@ -108,19 +115,22 @@ def failures(missing: DataFrame, results: DataFrame, valid: DataFrame) -> DataFr
     return m.unionByName(f, allowMissingColumns=True)
 
 
-def outcome(valid: DataFrame, missing: DataFrame, results: DataFrame) -> DataFrame:
+def outcome(lines: DataFrame, results: DataFrame) -> DataFrame:
     """AG22/CD3: per replenishment: attempted, successful, refused, missing,
     total failed, and the outcome: ``failed`` when nothing succeeded,
-    ``partial`` when something failed, else ``ok``."""
-    ok = results.join(valid.select(*KEYS), KEYS, "left_semi")
-    att = valid.groupBy("REPLENISHMENT_ID").agg(F.count(F.lit(1)).alias("attempted"))
-    res = ok.groupBy("REPLENISHMENT_ID").agg(F.count_if(F.col("ERROR").isNull()).alias("successful"),
-                                             F.count_if(F.col("ERROR").isNotNull()).alias("api_failed"))
-    mis = missing.groupBy("REPLENISHMENT_ID").agg(F.count(F.lit(1)).alias("missing"))
-    ids = att.select("REPLENISHMENT_ID").unionByName(mis.select("REPLENISHMENT_ID")).distinct()
-    t = ids.join(att, "REPLENISHMENT_ID", "left").join(res, "REPLENISHMENT_ID", "left").join(mis, "REPLENISHMENT_ID", "left")
-    t = t.select("REPLENISHMENT_ID", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
-                                       for c in ("attempted", "successful", "api_failed", "missing")])
+    ``partial`` when something failed, else ``ok``.
+
+    ``lines`` carry their key and ``IS_MISSING_ERP_DATA``; they are joined once
+    with the answers per key, then counted.  Answers for keys without a valid
+    line do not count."""
+    answers = results.groupBy(*KEYS).agg(F.count_if(F.col("ERROR").isNull()).alias("_ok"),
+                                         F.count_if(F.col("ERROR").isNotNull()).alias("_bad"))
+    valid = ~F.col("IS_MISSING_ERP_DATA")
+    t = lines.select(*KEYS, "IS_MISSING_ERP_DATA").join(answers, KEYS, "left").groupBy("REPLENISHMENT_ID").agg(
+        F.count_if(valid).alias("attempted"),
+        F.coalesce(F.sum(F.when(valid, F.col("_ok"))), F.lit(0)).cast("bigint").alias("successful"),
+        F.coalesce(F.sum(F.when(valid, F.col("_bad"))), F.lit(0)).cast("bigint").alias("api_failed"),
+        F.count_if(~valid).alias("missing"))
     t = t.withColumn("total_failed", F.col("api_failed") + F.col("missing"))
     return t.withColumn("outcome", F.when(F.col("successful") == 0, F.lit("failed"))
                         .when(F.col("total_failed") > 0, F.lit("partial")).otherwise(F.lit("ok")))
@@ -214,33 +224,33 @@ def _results(enriched):
                      F.lit("sent").alias("WMS_SEND_STATUS"))
 
 
-def _prepared(spark, sf):
-    """Enriched lines materialised once (they feed valid / missing / results
-    / documents), cutting the lineage in the shared checkpoint folder."""
+def _numbered(spark, sf):
+    """Numbered lines (materialised where they are numbered), split into
+    valid and missing, and the answers for them."""
     lines, products, store_info = _inputs(spark, sf)
-    ensure_checkpoint_dir(spark)
-    enriched = enrich_lines(lines, products).checkpoint(eager=True)
+    enriched = enrich_lines(lines, products)
     valid, missing = split_valid(enriched)
-    return lines, products, store_info, valid, missing, _results(enriched)
+    return store_info, valid, missing, _results(enriched)
 
 
 def replenish_summary(spark, sf):
     """PL19/AG22/CD3: per replenishment attempted / successful / refused /
     missing counts and the outcome class."""
-    _, _, _, valid, missing, res = _prepared(spark, sf)
-    return outcome(valid, missing, res)
+    lines, products, _ = _inputs(spark, sf)
+    matched = matched_lines(lines, products)
+    return outcome(matched, _results(matched))
 
 
 def replenish_transfers(spark, sf):
     """SK11/AG9: answers applied to the lines, summarised per transfer."""
-    lines, _, _, _, _, res = _prepared(spark, sf)
-    return transfer_summary(apply_results(lines, res))
+    lines, products, _ = _inputs(spark, sf)
+    return transfer_summary(apply_results(lines, _results(matched_lines(lines, products))))
 
 
 def replenish_lines(spark, sf):
     """JN9/WN2/WN3/FL12: enriched lines with their store numbering, the
     missing flag and the renumbering of the valid ones."""
-    _, _, _, valid, missing, _ = _prepared(spark, sf)
+    _, valid, missing, _ = _numbered(spark, sf)
     return valid.unionByName(missing, allowMissingColumns=True).select(
         "REPLENISHMENT_ID", "STORE", "SKU", "LINENUMBER", "LINE_NO", "IS_MISSING_ERP_DATA", "ITEMNUMBER",
         "TRANSFERQUANTITY")
@@ -248,7 +258,7 @@ def replenish_lines(spark, sf):
 
 def replenish_failures(spark, sf):
     """SE5: missing-product lines and refused lines in one list."""
-    _, _, _, valid, missing, res = _prepared(spark, sf)
+    _, valid, missing, res = _numbered(spark, sf)
     return failures(missing, res, valid)
 
 
@@ -264,7 +274,7 @@ def replenish_export(spark, sf):
 def transfer_documents_q(spark, sf):
     """AG12/JS3/JN18: transfer documents; the XML is parsed back and its
     detail count, unit total and observations are returned."""
-    _, _, store_info, valid, _, res = _prepared(spark, sf)
+    store_info, valid, _, res = _numbered(spark, sf)
     docs = transfer_documents(valid, res, "2001-08-01", store_info)
     schema = ("IdDocSalida string, IdSucursal string, Observaciones string, "
               "Detalles struct<DetalleSalida:array<struct<IdArticulo:string,NroLinea:int,Cantidad:int>>>")

@@ -4,24 +4,27 @@ The reference polls the last *d* days on a schedule and merges by key, so
 late and repeated records are absorbed by the upsert.  Here that is a file
 stream with ``trigger(availableNow=True)``:
 
-* SM2  lateness = watermark delay; exact repeats inside it are dropped with
-       ``dropDuplicatesWithinWatermark([key, ts])`` (never on the key alone,
-       which would drop real updates);
+* SM2  no row is too late: the merge itself absorbs repeats, so no watermark
+       drops anything (``dedupe_within_lateness`` remains for append-only
+       streams, where the loss of later rows is the caller's choice);
 * SM1/SM3 each micro-batch is merged into the table by key, a row replacing
        the stored one only when its event time is newer (so an old batch can
-       never overwrite a newer state, quirk Q6), which also makes a replayed
-       batch a no-op;
+       never overwrite a newer state, quirk Q6); equal times are ordered by
+       the other columns, so any split into batches ends in the same state;
 * SM4  a batch's changed keys re-aggregate *all* their lines;
 * SM5  captures are appended with their capture time (history) and the
        closing row per key and day is a ``max_by``.
 
 Each batch publishes the next table state as a new version directory under
 a shared base path (never overwriting what is being read); Spark's commit
-protocol makes a version visible only when all its tasks succeeded.
+protocol makes a version visible only when all its tasks succeeded.  A version
+carries the stream's checkpoint and epoch: a replayed batch rewrites its own
+version, and a stream with another checkpoint goes on from the newest state.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,55 +35,7 @@ from ..functions.dates import ts_micros
 from ..operators.dedupe import latest_by
 from ..operators.rollup import rollup_lines
 from ..session import ensure_checkpoint_dir
-
-VERSION_PREFIX = "v="
-
-
-class VersionedTable:
-    """A table stored as immutable state versions ``base/v=NNNNNNNNNN``.
-
-    Readers take the newest version whose ``_SUCCESS`` marker exists; writers
-    publish the whole next state as a new version.  Works on any Hadoop file
-    system (local, HDFS, object stores).
-    """
-
-    def __init__(self, spark: SparkSession, base: str):
-        self.spark = spark
-        self.base = base.rstrip("/")
-
-    def _fs(self):
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.base)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path, jvm
-
-    def versions(self) -> list[int]:
-        fs, path, jvm = self._fs()
-        if not fs.exists(path):
-            return []
-        out = []
-        for st in fs.listStatus(path):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(VERSION_PREFIX):
-                if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                    out.append(int(name[len(VERSION_PREFIX):]))
-        return sorted(out)
-
-    def latest(self) -> DataFrame | None:
-        v = self.versions()
-        if not v:
-            return None
-        return self.spark.read.parquet(f"{self.base}/{VERSION_PREFIX}{v[-1]:010d}")
-
-    def publish(self, df: DataFrame, version: int, partition_by: list[str] | None = None) -> str:
-        """Write one complete state; ``partition_by`` (e.g. a date column)
-        lets later scans prune whole directories."""
-        path = f"{self.base}/{VERSION_PREFIX}{version:010d}"
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        return path
-
+from ..sources.versions import VersionedTable
 
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
                 max_files_per_trigger: int | None = None) -> DataFrame:
@@ -101,17 +56,19 @@ def dedupe_within_lateness(stream: DataFrame, keys: list[str], ts_col: str, late
 
 def guarded_merge(target: DataFrame | None, batch: DataFrame, keys: list[str], ts_col: str) -> DataFrame:
     """SM3: next state: per key the batch's latest row replaces the stored
-    row only when strictly newer; stored rows without a batch row stay.
-    One full outer join on the complete keys; rows with a null key part
-    bypass it (kept / appended)."""
+    row only when newer; stored rows without a batch row stay.  Rows of equal
+    time are ordered by their other columns (in name order), so the winner does
+    not depend on how rows were split into batches.  One full outer join on
+    the complete keys; rows with a null key part bypass it (kept / appended)."""
     complete = None
     for k in keys:
         c = F.col(k).isNotNull()
         complete = c if complete is None else complete & c
+    rest = sorted(c for c in batch.columns if c not in keys and c != ts_col)
     # a key with a null part never matches: such rows are appended as they
     # come (as a MERGE inserts them) and stay out of the join
     loose = batch.where(~complete)
-    newest = latest_by(batch.where(complete), keys, [ts_col])
+    newest = latest_by(batch.where(complete), keys, [ts_col, *rest])
     if target is None:
         return newest.unionByName(loose)
     cols = target.columns
@@ -124,18 +81,27 @@ def guarded_merge(target: DataFrame | None, batch: DataFrame, keys: list[str], t
         e = F.col(f"t__{k}") == F.col(f"s__{k}")
         cond = e if cond is None else cond & e
     j = t.join(s, cond, "full_outer")
-    take_s = F.col(f"s__{keys[0]}").isNotNull() & (F.col(f"t__{keys[0]}").isNull()
-                                                   | (F.col(f"s__{ts_col}") > F.col(f"t__{ts_col}")))
+    order = [ts_col, *rest]
+    newer = F.struct(*[F.col(f"s__{c}").alias(c) for c in order]) > F.struct(*[F.col(f"t__{c}").alias(c) for c in order])
+    take_s = F.col(f"s__{keys[0]}").isNotNull() & (F.col(f"t__{keys[0]}").isNull() | newer)
     merged = j.select(*[F.when(take_s, F.col(f"s__{c}")).otherwise(F.col(f"t__{c}")).alias(c) for c in cols])
     return merged.unionByName(kept_loose).unionByName(loose.select(*cols))
 
 
+def batch_tag(checkpoint: str, epoch: int) -> str:
+    """Names one micro-batch of the stream that owns ``checkpoint``."""
+    return f"{hashlib.sha256(checkpoint.rstrip('/').encode()).hexdigest()[:16]}-{epoch}"
+
+
 def stream_upsert(stream: DataFrame, table_path: str, keys: list[str], ts_col: str,
-                  lateness: str = "2 days", checkpoint: str | None = None,
-                  available_now: bool = True) -> StreamingQuery:
-    """SM1-SM3: dedupe within the lateness, then merge every micro-batch into
-    the versioned table (version = batch id, so a replayed batch rewrites
-    the same version with the same content)."""
+                  checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """SM1-SM3: merge every micro-batch into the versioned table.
+
+    ``checkpoint`` is the stream's own folder and has no default: with it a
+    restarted load goes on where it stopped.  Each batch writes the version
+    after the newest one, tagged with checkpoint and epoch; a replayed batch
+    rewrites that same version from the same predecessor, and a stream with
+    another checkpoint adds to the table's newest state."""
     spark = stream.sparkSession
     table = VersionedTable(spark, table_path)
     cols = stream.columns
@@ -143,16 +109,12 @@ def stream_upsert(stream: DataFrame, table_path: str, keys: list[str], ts_col: s
     def merge_batch(batch: DataFrame, epoch: int) -> None:
         if batch.isEmpty():
             return
-        # the state before this batch: a replayed batch re-derives the same
-        # version from the same predecessor
-        prev = [v for v in table.versions() if v < epoch]
-        current = spark.read.parquet(f"{table.base}/{VERSION_PREFIX}{prev[-1]:010d}") if prev else None
-        nxt = guarded_merge(current, batch.select(*cols), keys, ts_col)
-        table.publish(nxt, epoch)
-
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    w = dedupe_within_lateness(stream, keys, ts_col, lateness).writeStream.foreachBatch(merge_batch) \
-        .option("checkpointLocation", ckpt)
+        tag = batch_tag(checkpoint, epoch)
+        version, before = table.version_for(tag)
+        current = None if before is None else table.read(before)
+        table.publish(guarded_merge(current, batch.select(*cols), keys, ts_col), version, tag=tag)
+
+    w = stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
@@ -171,7 +133,7 @@ def daily_closing(history: DataFrame, keys: list[str], ts_col: str) -> DataFrame
 
 
 def stream_rollup(stream: DataFrame, lines: DataFrame, key: str, table_path: str, asof_col: str,
-                  checkpoint: str | None = None, **rollup_args) -> StreamingQuery:
+                  checkpoint: str, **rollup_args) -> StreamingQuery:
     """SM4: for every micro-batch of changed lines, re-aggregate *all* lines
     of the changed keys (``lines`` is the full line table, read fresh each
     batch) and replace those keys' rows in the versioned header table.
@@ -184,23 +146,23 @@ def stream_rollup(stream: DataFrame, lines: DataFrame, key: str, table_path: str
             return
         heads = changed_keys_rollup(lines, batch, key, **rollup_args) \
             .join(batch.groupBy(key).agg(F.max(asof_col).alias("updated_at")), key)
-        prev = [v for v in table.versions() if v < epoch]
-        if prev:
-            current = spark.read.parquet(f"{table.base}/{VERSION_PREFIX}{prev[-1]:010d}")
-            heads = current.join(heads.select(key), key, "left_anti").unionByName(heads)
-        table.publish(heads, epoch)
-
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/rollup-{uuid.uuid4().hex}"
-    return (stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", ckpt)
+        tag = batch_tag(checkpoint, epoch)
+        version, before = table.version_for(tag)
+        if before is not None:
+            heads = table.read(before).join(heads.select(key), key, "left_anti").unionByName(heads)
+        table.publish(heads, version, tag=tag)
+
+    return (stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
 def stream_snapshots(stream: DataFrame, history_path: str, snapshot_path: str, keys: list[str],
-                     capture_col: str, checkpoint: str | None = None) -> StreamingQuery:
-    """SM5/SK7: each micro-batch is one stock capture: appended to the
-    history (partitioned by capture day) and published as the new snapshot
-    version (truncate + load).  ``daily_closing`` over the history gives the
-    closing row per key and day."""
+                     capture_col: str, checkpoint: str) -> StreamingQuery:
+    """SM5/SK7: each micro-batch is one stock capture: added to the history
+    (a folder per micro-batch, partitioned by capture day; a replayed batch
+    overwrites its own) and published as the new snapshot version (truncate +
+    load).  ``daily_closing`` over the history gives the closing row per key
+    and day."""
     spark = stream.sparkSession
     snap = VersionedTable(spark, snapshot_path)
 
@@ -208,37 +170,67 @@ def stream_snapshots(stream: DataFrame, history_path: str, snapshot_path: str, k
         if batch.isEmpty():
             return
         b = batch.dropDuplicates()
-        (b.withColumn("capture_day", F.to_date(capture_col)).write.mode("append")
-         .partitionBy("capture_day").parquet(history_path))
-        snap.publish(b, epoch)
+        tag = batch_tag(checkpoint, epoch)
+        (b.withColumn("capture_day", F.to_date(capture_col)).write.mode("overwrite")
+         .partitionBy("capture_day").parquet(f"{history_path.rstrip('/')}/batch={tag}"))
+        snap.publish(b, snap.version_for(tag)[0], tag=tag)
 
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/snap-{uuid.uuid4().hex}"
-    return (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
+    return (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
-# ------------------------------------------------------------------ query
+# ---------------------------------------------------------------- queries
+def _event_stream(spark, sf, *cols):
+    """The ``events`` file as a stream, and a fresh shared folder for one load."""
+    schema = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").schema
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return file_stream(spark, f"{sf.rstrip('/')}/events*.parquet", schema).select(*cols), base
+
+
 def stream_dedupe_upsert(spark, sf):
-    """SM1-SM3: the ``events`` file as a stream (availableNow), repeats
-    dropped within a 2-day watermark, each micro-batch merged into a
-    versioned table keyed by user with the newer-event guard; the final
-    version is read back as a batch: the latest event per user."""
-    src = f"{sf.rstrip('/')}/events*.parquet"
-    schema = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").select(
-        "user_id", "event_id", "ts", "event_type", "value").schema
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-upsert-{uuid.uuid4().hex}"
-    stream = file_stream(spark, src, spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").schema)
-    q = stream_upsert(stream.select(*schema.fieldNames()), f"{base}/table", ["user_id"], "ts",
-                      checkpoint=f"{base}/_checkpoint")
-    q.awaitTermination()
+    """SM1-SM3: the ``events`` file as a stream (availableNow), each
+    micro-batch merged into a versioned table keyed by user with the
+    newer-event guard; the final version is read back as a batch: the latest
+    event per user."""
+    stream, base = _event_stream(spark, sf, "user_id", "event_id", "ts", "event_type", "value")
+    stream_upsert(stream, f"{base}/table", ["user_id"], "ts", f"{base}/_checkpoint").awaitTermination()
     out = VersionedTable(spark, f"{base}/table").latest()
     return out.select("user_id", "event_id", "ts", "event_type", "value")
 
 
+def stream_changed_rollup(spark, sf):
+    """SM4: the large ``events`` as the stream of changes: all events of the
+    users they name are rolled up again into a versioned header table."""
+    stream, base = _event_stream(spark, sf, "user_id", "ts", "value")
+    lines = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").select("user_id", F.col("event_id"))
+    stream_rollup(stream.where("value > 100"), lines, "user_id", f"{base}/table", "ts", f"{base}/_checkpoint",
+                  sum_cols=["event_id"], count_name="n_events").awaitTermination()
+    out = VersionedTable(spark, f"{base}/table").latest()
+    return out.select("user_id", F.col("event_id").cast("bigint").alias("sum_id"), F.col("n_events").cast("bigint").alias("n_events"), "updated_at")
+
+
+def stream_daily_closing(spark, sf):
+    """SM5/SK7: ``events`` as a stream of captures: the history written per
+    micro-batch, and its closing row per user and day."""
+    stream, base = _event_stream(spark, sf, "user_id", "event_id", "ts", "value")
+    stream_snapshots(stream, f"{base}/history", f"{base}/snapshot", ["user_id"], "ts", f"{base}/_checkpoint").awaitTermination()
+    history = spark.read.parquet(f"{base}/history").select("user_id", "event_id", "ts", "value")
+    return daily_closing(history, ["user_id"], "ts").select("user_id", F.date_format("day", "yyyy-MM-dd").alias("day"), "event_id", "ts", "value")
+
+
 ORACLE = {
     "q_stream_dedupe_upsert": """
         SELECT user_id, event_id, ts, event_type, value FROM (
-          SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events) WHERE rn = 1""",
+          SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
+    "q_stream_changed_rollup": """
+        SELECT e.user_id, CAST(SUM(e.event_id) AS BIGINT) AS sum_id, COUNT(*) AS n_events, MAX(c.last) AS updated_at
+        FROM events e JOIN (SELECT user_id, MAX(ts) AS last FROM events WHERE value > 100 GROUP BY user_id) c
+          ON e.user_id = c.user_id
+        GROUP BY e.user_id""",
+    "q_stream_daily_closing": """
+        SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, event_id, ts, value FROM (
+          SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC) AS rn FROM events) WHERE rn = 1""",
 }
 
-QUERIES = {"q_stream_dedupe_upsert": stream_dedupe_upsert}
+QUERIES = {"q_stream_dedupe_upsert": stream_dedupe_upsert, "q_stream_changed_rollup": stream_changed_rollup,
+           "q_stream_daily_closing": stream_daily_closing}

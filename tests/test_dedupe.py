@@ -36,29 +36,28 @@ def test_exclude_duplicated(spark):
                 min_size=1, max_size=300, unique_by=lambda t: t[1]))
 def test_number_within_matches_window(spark, data):
     df = spark.createDataFrame(data, "store string, sku int")
-    got = rows(number_within(df, ["store"], ["sku"], "n", hot_rows=20), "store", "sku", "n")
+    got = rows(number_within(df, ["store"], ["sku"], "n"), "store", "sku", "n")
     w = Window.partitionBy("store").orderBy("sku")
     want = rows(df.withColumn("n", F.row_number().over(w)), "store", "sku", "n")
     assert got == want
 
 
-def test_number_within_hot_and_cold_paths(spark):
+def test_number_within_hot_and_cold_groups(spark):
     data = [("hot", i) for i in range(200)] + [("cold", i) for i in range(5)] + [(None, i) for i in range(30)]
     df = spark.createDataFrame(data, "store string, sku int")
-    got = rows(number_within(df, ["store"], ["sku"], "n", hot_rows=25), "store", "sku", "n")
+    got = rows(number_within(df, ["store"], ["sku"], "n"), "store", "sku", "n")
     want = [(s, k, i + 1) for s, n in (("hot", 200), ("cold", 5), (None, 30)) for i, k in enumerate(range(n))]
     assert got == sorted(want, key=lambda t: tuple((x is not None, "" if x is None else x) for x in t))
 
 
-def test_number_within_counters_both_paths(spark):
+def test_number_within_counters(spark):
     data = [("hot", i, i % 3 != 0) for i in range(120)] + [("cold", i, i % 2 == 0) for i in range(7)]
     df = spark.createDataFrame(data, "g string, o int, ok boolean")
-    for hot_rows in (25, 10_000):
-        got = rows(number_within(df, ["g"], ["o"], "n", hot_rows=hot_rows, counters={"m": F.col("ok")}), "g", "o", "n", "m")
-        want = []
-        for g in ("hot", "cold"):
-            k = 0
-            for i, (gg, o, ok) in enumerate([d for d in data if d[0] == g]):
-                k += ok
-                want.append((g, o, i + 1, k if ok else None))
-        assert got == sorted(want, key=lambda t: tuple((x is not None, "" if x is None else x) for x in t))
+    got = rows(number_within(df, ["g"], ["o"], "n", counters={"m": F.col("ok")}), "g", "o", "n", "m")
+    want = []
+    for g in ("hot", "cold"):
+        k = 0
+        for i, (gg, o, ok) in enumerate([d for d in data if d[0] == g]):
+            k += ok
+            want.append((g, o, i + 1, k if ok else None))
+    assert got == sorted(want, key=lambda t: tuple((x is not None, "" if x is None else x) for x in t))

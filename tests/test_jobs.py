@@ -103,7 +103,9 @@ def test_replenishment_edge_rows(spark):
                                  ("R1", "S2", "A", "TR2", None, "boom", None)],
                                 "REPLENISHMENT_ID string, STORE string, SKU string, ERP_TR_ID string, ERP_LINE_ID string, "
                                 "ERROR string, WMS_SEND_STATUS string")
-    o = R.outcome(valid, missing, res).first()
+    stray = spark.createDataFrame([("R1", "S9", "A", "TR9", "L9", None, "ok")], res.schema)  # no such line: not counted
+    o = R.outcome(enriched, res.unionByName(stray)).first()
+    assert o == R.outcome(R.matched_lines(lines, products), res).first()
     assert (o["attempted"], o["successful"], o["api_failed"], o["missing"], o["outcome"]) == (3, 1, 2, 1, "partial")
     f = rows(R.failures(missing, res, valid), "STORE", "SKU", "ERROR", "LINE_NUMBER")
     assert f == [("S1", "B", "Missing ERP data", None), ("S1", "C", "boom", 2), ("S2", "A", "boom", 1)]

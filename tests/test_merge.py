@@ -82,17 +82,40 @@ def test_update_from_and_point_update(spark):
     assert rows(out2, "sku", "tr") == [("A", "TR1"), ("A", "TR2"), ("B", "N/A")]
 
 
-def test_snapshot_history(spark):
-    hist = spark.createDataFrame([], "sku string, qty int, ts timestamp_ntz, created_at timestamp_ntz, updated_at timestamp_ntz")
-    cap = spark.createDataFrame([("x", 1, T0), ("x", 1, T0), ("y", 2, T0)], "sku string, qty int, ts timestamp_ntz")
-    snap, h = snapshot_and_history(hist, cap.dropDuplicates(), ["sku"], "ts", ASOF)
-    assert snap.count() == 2 and h.count() == 2
+def test_update_from_refuses_repeated_keys(spark):
+    t = spark.createDataFrame([("a", 1)], "k string, v int")
+    with pytest.raises(ValueError):
+        update_from(t, spark.createDataFrame([("a", 2), ("a", 3)], "k string, v int"), ["k"], ["v"])
+
 
+def test_merge_keeps_columns_the_batch_does_not_list(spark):
+    t = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y"), (None, 3, "z")], "k string, v int, extra string")
+    b = spark.createDataFrame([("a", 10), ("c", 30), (None, 40)], "k string, v int")
+    out = merge_next_state(t, b, ["k"], asof=ASOF)
+    assert rows(out, "k", "v", "extra") == [(None, 3, "z"), (None, 40, None), ("a", 10, "x"), ("b", 2, "y"), ("c", 30, None)]
 
-def test_write_version(spark, tmp_path):
-    df = spark.range(3)
-    p = write_version(df, str(tmp_path / "tbl"), 1)
-    assert spark.read.parquet(p).count() == 3
+
+def test_snapshot_history(spark):
+    hist = spark.createDataFrame([], "sku string, qty int, ts timestamp_ntz, created_at timestamp_ntz, updated_at timestamp_ntz")
+    old = spark.createDataFrame([("w", 9, T0)], "sku string, qty int, ts timestamp_ntz")
+    cap = spark.createDataFrame([("x", 1, T0), ("y", 2, T0)], "sku string, qty int, ts timestamp_ntz")
+    snap, res = snapshot_and_history(old, hist, cap, ["sku"], "ts", ASOF)
+    assert res.accepted and rows(snap, "sku") == [("x",), ("y",)] and res.table.count() == 2
+    twice = cap.unionByName(spark.createDataFrame([("x", 5, T0)], cap.schema))
+    snap, res = snapshot_and_history(old, hist, twice, ["sku"], "ts", ASOF)
+    assert not res.accepted and rows(res.rejected, "sku") == [("x",)]
+    assert rows(snap, "sku") == [("w",)] and res.table.count() == 0     # snapshot and history stay
+
+
+def test_write_version_and_versioned_table_agree(spark, tmp_path):
+    from ledgerline.sources.versions import VersionedTable
+    base = str(tmp_path / "tbl")
+    assert spark.read.parquet(write_version(spark.range(3), base, 1)).count() == 3
+    table = VersionedTable(spark, base)
+    assert table.versions() == [1] and table.latest().count() == 3
+    assert table.version_for("s-0") == (2, 1)
+    table.publish(spark.range(4), 2, tag="s-0")
+    assert table.version_for("s-0") == (2, 1) and table.version_for("s-1") == (3, 2) and table.latest().count() == 4
 
 
 def test_upsert_table_versions(spark):

@@ -3,7 +3,7 @@ and pruned scans read only the selected columns."""
 
 import pytest
 
-import __spark_entry__ as E
+from ledgerline import registry
 
 from .conftest import SF_SMALL
 
@@ -12,14 +12,14 @@ def explain(df):
     return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_nested_loop_or_cartesian(spark, name):
-    p = explain(E.queries()[name](spark, SF_SMALL))
+    p = explain(registry.queries()[name](spark, SF_SMALL))
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
 
 
 def test_scan_pruned_reads_five_columns(spark):
-    p = explain(E.queries()["q_scan_pruned"](spark, SF_SMALL))
+    p = explain(registry.queries()["q_scan_pruned"](spark, SF_SMALL))
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_returnflag:string," \
            "l_shipdate:timestamp_ntz>" in p
     assert "EqualTo(l_returnflag,N)" in p
@@ -27,5 +27,5 @@ def test_scan_pruned_reads_five_columns(spark):
 
 def test_every_query_cites_survey_ids():
     import re
-    for name, fn in E.queries().items():
+    for name, fn in registry.queries().items():
         assert re.search(r"\b(SC|SK|PR|FL|JN|AG|DS|WN|SO|SE|ST|CV|NU|DT|MA|AR|JS|MP|CD|SM|PL)\d", fn.__doc__ or ""), name

@@ -9,12 +9,13 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from ledgerline import registry
 from ledgerline.sources.tables import TABLES
 
 from .conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = registry.oracle_sql()
 
 
 def _norm(v):
