@@ -12,8 +12,10 @@ match steps are equi-joins:
    name``); both length sets are small (bounded by the longest string), so
    each side explodes to O(length x lengths) rows.
 
-Nothing is a nested-loop join, so the table may be large; it is broadcast
-only when its row count is below ``broadcast_rows`` (checked).
+Nothing is a nested-loop join.  Before each join the table is reduced to one
+row per join key (the first in table order), so a value has at most one hit
+per step and key, whatever the table repeats.  Whether a side is broadcast is
+left to Spark, which decides by its size in bytes.
 """
 
 from __future__ import annotations
@@ -23,13 +25,6 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-BROADCAST_ROWS = 100_000
-
-
-def _maybe_broadcast(df: DataFrame, limit: int, known_rows: int | None = None) -> DataFrame:
-    n = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if n <= limit else df
-
 
 def _substrings(c: Column, lengths: Column | None = None) -> Column:
     """All substrings of ``c`` (or only those with a length in ``lengths``)."""
@@ -39,14 +34,13 @@ def _substrings(c: Column, lengths: Column | None = None) -> Column:
                                      lambda i: F.transform(F.sequence(i, F.greatest(n, i)),
                                                            lambda j: F.substring(c, i, j - i + 1))))
     return F.flatten(F.transform(
-        F.filter(lengths, lambda k: k <= n),
+        F.filter(lengths, lambda k: (k > 0) & (k <= n)),
         lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substring(c, i, k))))
 
 
 def cascading_lookup(df: DataFrame, value_col: str, table: DataFrame, name_col: str,
                      payload: list[str], order_col: str, default: dict,
-                     out_prefix: str = "match_", broadcast_rows: int = BROADCAST_ROWS,
-                     table_rows: int | None = None) -> DataFrame:
+                     out_prefix: str = "match_") -> DataFrame:
     """JN16: add ``payload`` columns (prefixed) found for ``value_col``.
 
     Order of preference: exact (after trim) -> case-insensitive -> containment
@@ -57,31 +51,37 @@ def cascading_lookup(df: DataFrame, value_col: str, table: DataFrame, name_col:
     """
     tbl = table.select(F.col(name_col).alias("_name"), F.col(order_col).alias("_ord"),
                        *[F.col(p).alias(f"_p_{p}") for p in payload])
-    raw = tbl.withColumn("_lname", F.lower("_name"))
-    tbl = _maybe_broadcast(raw, broadcast_rows, table_rows)  # hint only where it is joined
+    tbl = tbl.withColumn("_lname", F.lower("_name"))
+    pcols = [f"_p_{p}" for p in payload]
+
+    def first_of(rows: DataFrame, key: str) -> DataFrame:
+        """The first row in table order of each key (combined map-side)."""
+        picked = F.min_by(F.struct("_ord", *pcols), F.col("_ord")).alias("_row")
+        return rows.groupBy(F.col(key).alias("_k")).agg(picked).select("_k", "_row.*")
+
+    def hits(values: DataFrame, on: str, rows: DataFrame, rank: int) -> DataFrame:
+        return values.join(rows, F.col(on) == F.col("_k")).select("_v", F.lit(rank).alias("_rank"), "_ord", *pcols)
+
     # the distinct values feed four candidate joins and a length scan: computed
     # once and materialised (a small set) in the shared checkpoint folder
     ensure_checkpoint_dir(df.sparkSession)
     vals = (df.select(F.trim(F.col(value_col)).alias("_v")).where(F.col("_v") != "")
             .distinct().withColumn("_lv", F.lower("_v")).checkpoint(eager=True))
-    pcols = [f"_p_{p}" for p in payload]
-
-    exact = vals.join(tbl, F.col("_v") == F.col("_name")).select("_v", F.lit(1).alias("_rank"), "_ord", *pcols)
-    fold = vals.join(tbl, F.col("_lv") == F.col("_lname")).select("_v", F.lit(2).alias("_rank"), "_ord", *pcols)
+    by_lname = first_of(tbl, "_lname")
+    exact = hits(vals, "_v", first_of(tbl, "_name"), 1)
+    fold = hits(vals, "_lv", by_lname, 2)
+    # the lengths that occur on each side: subqueries of a few small numbers
+    # (bounded by the longest string), so nothing passes through the driver
+    name_lengths = tbl.agg(F.array_sort(F.collect_set(F.length("_lname")))).scalar()
+    value_lengths = vals.agg(F.array_sort(F.collect_set(F.length("_lv")))).scalar()
     # name contained in value: substrings of the value with a name's length
-    # distinct name lengths: a handful of small ints (bounded by the longest name)
-    ks = sorted(r[0] for r in raw.select(F.length("_lname")).distinct().collect() if r[0])
-    ks_col = F.array(*[F.lit(k) for k in ks]) if ks else F.array().cast("array<int>")
-    v_sub = (vals.select("_v", F.explode(_substrings(F.col("_lv"), ks_col)).alias("_s")).distinct())
-    in_value = v_sub.join(tbl, F.col("_s") == F.col("_lname")) \
-        .select("_v", F.lit(3).alias("_rank"), "_ord", *pcols)
-    # value contained in name: the names' substrings, only of the lengths the
-    # distinct values have (a small set, bounded by the longest value)
-    vls = sorted(r[0] for r in vals.select(F.length("_lv")).distinct().collect() if r[0])
-    vls_col = F.array(*[F.lit(k) for k in vls]) if vls else F.array().cast("array<int>")
-    n_sub = raw.select("_ord", *pcols, F.explode(F.array_distinct(_substrings(F.col("_lname"), vls_col))).alias("_s"))
-    in_name = vals.join(n_sub, F.col("_lv") == F.col("_s")) \
-        .select("_v", F.lit(3).alias("_rank"), "_ord", *pcols)
+    v_sub = (vals.withColumn("_ks", name_lengths)
+             .select("_v", F.explode(F.array_distinct(_substrings(F.col("_lv"), F.col("_ks")))).alias("_s")))
+    in_value = hits(v_sub, "_s", by_lname, 3)
+    # value contained in name: the names' substrings with a value's length, one row a substring
+    n_sub = (by_lname.withColumn("_ks", value_lengths)
+             .select("_ord", *pcols, F.explode(F.array_distinct(_substrings(F.col("_k"), F.col("_ks")))).alias("_s")))
+    in_name = hits(vals, "_lv", first_of(n_sub, "_s"), 3)
 
     cands = exact.unionByName(fold).unionByName(in_value).unionByName(in_name)
     best = (cands.groupBy("_v")
@@ -98,12 +98,10 @@ def cascading_lookup(df: DataFrame, value_col: str, table: DataFrame, name_col:
 
 
 def exact_lookup(df: DataFrame, key: Column, table: DataFrame, table_key: str,
-                 payload: list[str], default: dict | None = None,
-                 broadcast_rows: int = BROADCAST_ROWS, table_rows: int | None = None) -> DataFrame:
+                 payload: list[str], default: dict | None = None) -> DataFrame:
     """JN15/JN18/MP1: left lookup by an (expression) key, with defaults."""
     default = default or {}
     t = table.select(F.col(table_key).alias("_lk"), *[F.col(p).alias(f"_lp_{p}") for p in payload])
-    t = _maybe_broadcast(t, broadcast_rows, table_rows)
     j = df.join(t, key == F.col("_lk"), "left")
     cols = [F.col(c) for c in df.columns]
     for p in payload:

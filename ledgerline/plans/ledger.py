@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays as A
 from ..operators.dedupe import not_in
-from ..operators.lookup import BROADCAST_ROWS, cascading_lookup, exact_lookup
+from ..operators.lookup import cascading_lookup, exact_lookup
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import table
 from . import footprint_tables as FT
@@ -48,20 +48,12 @@ def _end_of_day(d) -> F.Column:
 
 def destination_city(df: DataFrame, distances: DataFrame, warehouses: DataFrame,
                      warehouse_col="RECEIVING_WAREHOUSE_ID", city_col="RECEIVING_ADDRESS_CITY",
-                     district_col="RECEIVING_ADDRESS_DISTRICT_NAME", table_rows: int | None = None,
-                     warehouse_rows: int | None = None) -> DataFrame:
+                     district_col="RECEIVING_ADDRESS_DISTRICT_NAME") -> DataFrame:
     """JN15/JN17: destination by cascading source choice: warehouse map
     (upper-cased id) -> district if it is a table city -> city if it is a
-    table city -> raw city -> raw district -> ``Unknown``; adds ``DEST``.
-    ``table_rows`` / ``warehouse_rows`` are the known sizes of the two
-    lookup tables (fixed tables); unknown sizes are counted before any
-    broadcast."""
-    df = exact_lookup(df, F.upper(F.col(warehouse_col)), warehouses, "warehouse_id", ["city"],
-                      table_rows=warehouse_rows).withColumnRenamed("city", "_wh_city")
+    table city -> raw city -> raw district -> ``Unknown``; adds ``DEST``."""
+    df = exact_lookup(df, F.upper(F.col(warehouse_col)), warehouses, "warehouse_id", ["city"]).withColumnRenamed("city", "_wh_city")
     names = distances.select(F.col("city").alias("_name")).distinct()
-    if table_rows is None:
-        table_rows = names.count()
-    names = F.broadcast(names) if table_rows <= BROADCAST_ROWS else names
     d = df.join(names.withColumnRenamed("_name", "_dist_hit"),
                 F.trim(F.col(district_col)) == F.col("_dist_hit"), "left")
     d = d.join(names.withColumnRenamed("_name", "_city_hit"), F.trim(F.col(city_col)) == F.col("_city_hit"), "left")
@@ -114,13 +106,9 @@ def freight_ledger(headers: DataFrame, lines: DataFrame, sales: DataFrame, start
     cascading lookup (JN16); weight = quantity x average weight and all
     decimals HALF_UP (MA1).  Keyed by ``REFERENCE_NUMBER``."""
     spark = headers.sparkSession
-    known, known_wh = None, None
-    if distances is None:
-        distances, known = distance_table(spark), len(FT.DISTANCE_TABLE)
-    if warehouses is None:
-        warehouses, known_wh = warehouse_table(spark), len(FT.WAREHOUSE_TO_CITY)
-    t = destination_city(transfer_quantities(headers, lines, start, end), distances, warehouses,
-                         table_rows=known, warehouse_rows=known_wh)
+    distances = distance_table(spark) if distances is None else distances
+    warehouses = warehouse_table(spark) if warehouses is None else warehouses
+    t = destination_city(transfer_quantities(headers, lines, start, end), distances, warehouses)
     tr = t.select(F.lit("Retail").alias("CHANNEL"), F.col("TRANSFER_ORDER_NUMBER").alias("REFERENCE_NUMBER"),
                   "DEST", F.col("TOTAL_QUANTITY").cast("double").alias("TOTAL_QUANTITY"),
                   F.to_date("REQUESTED_SHIPPING_DATE").alias("FECHA"))
@@ -133,7 +121,7 @@ def freight_ledger(headers: DataFrame, lines: DataFrame, sales: DataFrame, start
     ensure_checkpoint_dir(spark)
     recs = tr.unionByName(wh).checkpoint(eager=True)
     recs = cascading_lookup(recs, "DEST", distances, "city", ["zip", "km"], "ordinal",
-                            {"zip": FT.DEFAULT_ZIP, "km": FT.DEFAULT_KM}, table_rows=known)
+                            {"zip": FT.DEFAULT_ZIP, "km": FT.DEFAULT_KM})
     return recs.select(
         F.lit(FT.ORIGIN_NAME).alias("ORIGIN_NAME"), F.lit(FT.ORIGIN_ZIP_CODE).alias("ORIGIN_ZIP_CODE"), "CHANNEL",
         F.col("match_zip").alias("DESTINATION_ZIP_CODE"),

@@ -13,7 +13,7 @@ def test_distance_cascade(spark):
     vals = spark.createDataFrame([(1, "Temuco"), (2, "temuco "), (3, "Comuna de Providencia"), (4, "Vina"),
                                   (5, "Nowhere"), (6, "   "), (7, None), (8, "San Clemente")], "id int, city string")
     out = cascading_lookup(vals, "city", distance_table(spark), "city", ["zip", "km"], "ordinal",
-                           {"zip": FT.DEFAULT_ZIP, "km": FT.DEFAULT_KM}, table_rows=len(FT.DISTANCE_TABLE))
+                           {"zip": FT.DEFAULT_ZIP, "km": FT.DEFAULT_KM})
     got = {r["id"]: (r["match_zip"], r["match_rank"]) for r in out.collect()}
     assert got[1] == ("4780000", 1)          # exact
     assert got[2] == ("4780000", 2)          # case-insensitive after trim
@@ -44,7 +44,16 @@ def test_destination_city(spark):
         ("T5", "ZZ", "", "Barrio"),               # raw district
         ("T6", None, None, None),                 # Unknown
     ], "t string, RECEIVING_WAREHOUSE_ID string, RECEIVING_ADDRESS_CITY string, RECEIVING_ADDRESS_DISTRICT_NAME string")
-    out = destination_city(df, distance_table(spark), warehouse_table(spark), table_rows=len(FT.DISTANCE_TABLE),
-                           warehouse_rows=len(FT.WAREHOUSE_TO_CITY))
+    out = destination_city(df, distance_table(spark), warehouse_table(spark))
     assert rows(out, "t", "DEST") == [("T1", "Lo Barnechea"), ("T2", "Providencia"), ("T3", "Temuco"),
                                       ("T4", "Somewhere"), ("T5", "Barrio"), ("T6", "Unknown")]
+
+
+def test_one_letter_values_and_repeated_names(spark):
+    """Each value has one answer, the first in table order, however often the table repeats a name or letter."""
+    names = [(f"{x} town", f"z{i}", i) for i, x in enumerate(["ab", "ab", "AB", "ba", "b"] * 20)]
+    tbl = spark.createDataFrame(names, "city string, zip string, ordinal int")
+    vals = spark.createDataFrame([(1, "a"), (2, "b"), (3, "Ab Town"), (4, "ab town"), (5, "in ba town"), (6, "q")], "id int, city string")
+    out = cascading_lookup(vals, "city", tbl, "city", ["zip"], "ordinal", {"zip": "0"})
+    got = sorted((r["id"], r["match_zip"], r["match_rank"]) for r in out.select("id", "match_zip", F.coalesce("match_rank", F.lit(0)).alias("match_rank")).collect())
+    assert got == [(1, "z0", 3), (2, "z0", 3), (3, "z0", 2), (4, "z0", 1), (5, "z3", 3), (6, "0", 0)]
