@@ -31,7 +31,7 @@ FREQUENT = 1 << 18
 LOT = 1 << 22
 #: Pieces of the rare shingles' order; the frequent ones are one more.
 FRAGMENTS = 8
-#: Bits of the map that spares documents outside all candidate pairs (4 MB; a wrong hit only costs time).
+#: Bits of the maps that spare rows a join would drop (4 MB; a wrong hit only costs time).
 MAP_BITS = 1 << 25
 
 
@@ -125,6 +125,16 @@ def prefixes(texts: DataFrame, k: int, pct: int, order) -> DataFrame:
     return texts.mapInArrow(run, f"key {texts.schema['key'].dataType.simpleString()}, n long, s1 long, s2 long, prefix array<long>")
 
 
+def signed(texts: DataFrame, k: int) -> DataFrame:
+    """(key, n, s1, s2): size and signature of every text's set."""
+
+    def run(batches):
+        for rows, h, of in shingle_slices(batches, k):
+            yield pa.RecordBatch.from_arrays([rows.column(0), *map(pa.array, signatures(h, of, rows.num_rows))], ["key", "n", "s1", "s2"])
+
+    return texts.mapInArrow(run, f"key {texts.schema['key'].dataType.simpleString()}, n long, s1 long, s2 long")
+
+
 def segments(texts: DataFrame, k: int, order) -> DataFrame:
     """(s1, s2, n, fragment, part): every set, cut where the fragments of the global order begin."""
 
@@ -143,17 +153,20 @@ def segments(texts: DataFrame, k: int, order) -> DataFrame:
     return texts.mapInArrow(run, "s1 long, s2 long, n long, fragment int, part array<long>")
 
 
-def _bit(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(MAP_BITS)) + 1
+def maybe_in(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """The rows of df whose column may be among the one column of keys: all that are, few others while the map is sparse.
 
+    A bit map over hashed keys, of MAP_BITS / 8 bytes at most, is broadcast;
+    it saves shuffling what a join would drop, and never decides a result.
+    """
+    def bit(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(MAP_BITS)) + 1
 
-def only(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """The texts whose id hits the bit map of ids: all of these, and few others while the map is sparse."""
-    bits = ids.select(_bit("id").alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map"))
-    at = F.bitmap_bit_position(_bit("key"))
-    byte = F.conv(F.hex(F.substring("map", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    hit = F.shiftrightunsigned(byte, 0).bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0
-    return texts.withColumn("bucket", F.bitmap_bucket_number(_bit("key"))).join(F.broadcast(bits), "bucket").where(hit).select("key", "text")  # at most MAP_BITS / 8 bytes
+    bits = keys.select(bit(F.col(keys.columns[0])).alias("_bit")).groupBy(F.bitmap_bucket_number("_bit").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("_map"))
+    at = F.bitmap_bit_position(bit(F.col(column)))
+    byte = F.conv(F.hex(F.substring("_map", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = byte.bitwiseAND(F.element_at(F.array(*(F.lit(1 << i) for i in range(8))), (at % 8 + 1).cast("int"))) != 0
+    return df.withColumn("_bucket", F.bitmap_bucket_number(bit(F.col(column)))).join(F.broadcast(bits), "_bucket").where(hit).select(*df.columns)
 
 
 def may_link(pct: int) -> Column:
@@ -170,7 +183,8 @@ def promising(pairs: DataFrame, nodes: DataFrame, pct: int) -> DataFrame:
     shared shingle outside the other, so the overlap is at most the prefixes'
     own plus what follows that prefix.
     """
-    sides = nodes.select("node", "prefix")
+    ends = pairs.select("a").union(pairs.select("b"))
+    sides = maybe_in(nodes.select("node", "prefix"), "node", ends)
     both = pairs.join(sides.withColumnsRenamed({"node": "a", "prefix": "x"}), "a").join(sides.withColumnsRenamed({"node": "b", "prefix": "y"}), "b")
     most = F.size(F.array_intersect("x", "y")) + F.greatest(F.col("na") - F.size("x"), F.col("nb") - F.size("y"))
     return both.where(most * (100 + pct) >= pct * (F.col("na") + F.col("nb"))).select("a", "b", "na", "nb")
@@ -180,7 +194,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, pct:
     """The pairs (a, b, na, nb) that link: partial overlaps by fragment, summed per pair."""
     used = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = nodes.join(used, "node").select("node", "s1", "s2", "n", "id").checkpoint()
-    parts = segments(only(texts, wanted.select("id")), k, order).join(wanted.select("node", "s1", "s2", "n"), ["s1", "s2", "n"]).select("node", "fragment", "part")
+    parts = segments(maybe_in(texts, "key", wanted.select("id")), k, order).join(wanted.select("node", "s1", "s2", "n"), ["s1", "s2", "n"]).select("node", "fragment", "part")
     left = parts.select(F.col("node").alias("a"), "fragment", F.col("part").alias("x"))
     right = parts.select(F.col("node").alias("b"), "fragment", F.col("part").alias("y"))
     partial = pairs.join(left, "a").join(right, ["b", "fragment"]).groupBy("a", "b", "na", "nb", "fragment").agg(F.max(F.size(F.array_intersect("x", "y"))).alias("o"))
@@ -202,14 +216,13 @@ def linked(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "doc_id", t
     ensure_checkpoint_dir(spark)
     texts = docs.select(docs[id_col].alias("key"), docs[text_col].cast("string").alias("text"))
     order = spark.sparkContext.broadcast(Order(frequent(texts, k)))
-    base = prefixes(texts, k, pct, order).checkpoint()
-    full = base.where("n > 0")
     # equal sets are one node; a hot group of copies is combined before it is shuffled
-    classes = full.groupBy("s1", "s2", "n").agg(F.min("key").alias("id"), F.first("prefix").alias("prefix"))
+    classes = prefixes(texts, k, pct, order).where("n > 0").groupBy("s1", "s2", "n").agg(F.min("key").alias("id"), F.first("prefix").alias("prefix"))
     nodes = classes.withColumn("node", F.monotonically_increasing_id()).checkpoint()
     postings = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "h"))
     common = postings.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("h")
-    shared = postings.join(common.hint("shuffle_hash"), "h").checkpoint()
+    common = common.checkpoint()
+    shared = maybe_in(postings, "h", common).join(common.hint("shuffle_hash"), "h").checkpoint()
     # round 1: each document with the most central document of each shingle
     hubs = shared.groupBy("h").agg(F.min(F.struct((F.col("pos") / F.col("n")).alias("share"), "node", "n", "pos")).alias("hub"))
     near = shared.join(hubs.select("h", F.col("hub.node").alias("node2"), F.col("hub.n").alias("n2"), F.col("hub.pos").alias("pos2")), "h")
@@ -229,9 +242,11 @@ def linked(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "doc_id", t
     owner = nodes.select("node", "s1", "s2", "n", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = owner.groupBy("root").agg(F.min("id").alias("component_id"))
     of = owner.join(smallest, "root").select("s1", "s2", "n", "component_id")
-    out = full.select("key", "n", "s1", "s2").join(of, ["s1", "s2", "n"]).select("key", "n", "component_id")
-    alone = base.where("n = 0").select("key", "n", F.col("key").alias("component_id"))
-    return out.union(alone).select(F.col("key").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    # the sets' signatures are worked out again: cheaper than keeping every document's prefix until now
+    own = signed(texts, k)
+    out = own.join(of, ["s1", "s2", "n"], "left")
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key"))
+    return out.select(F.col("key").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 def _pairs(candidates: DataFrame, pct: int) -> DataFrame:
