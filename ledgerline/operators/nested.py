@@ -242,6 +242,23 @@ def flatten_incidences(docs: DataFrame, arrival_col: str | None = None):
 
 
 # ------------------------------------------------------------- PL15 tax XML
+def _tax_documents(text_col: str) -> Column:
+    xml = T.repair_ampersands(T.html_unescape(F.col(text_col)))
+    docs_schema = f"Documento array<struct<{TAX_DOCUMENT.replace(' string', ':string')}>>"
+    return F.from_xml(F.regexp_extract(xml, r"(?s)(<Documentos>.*</Documentos>)", 1), docs_schema)
+
+
+def rejected_tax_payloads(payload: DataFrame, text_col: str = "payload") -> DataFrame:
+    """PL15/Q14: the payloads no document could be read from, with the reason:
+    ``empty`` (null or blank text), ``no documents`` (no such element) or
+    ``unparsable``."""
+    text, found = F.col(text_col), F.col("_d.Documento")
+    d = payload.withColumn("_d", _tax_documents(text_col)).where(found.isNull() | (F.size(found) == 0))
+    reason = (F.when(F.trim(F.coalesce(text, F.lit(""))) == "", F.lit("empty"))
+              .when(~T.html_unescape(text).contains("<Documento>"), F.lit("no documents")).otherwise(F.lit("unparsable")))
+    return d.withColumn("REASON", reason).drop("_d")
+
+
 def parse_tax_payload(payload: DataFrame, text_col: str = "payload") -> DataFrame:
     """SC17/PL15: escaped XML payload -> one row per tax document.
 
@@ -250,13 +267,10 @@ def parse_tax_payload(payload: DataFrame, text_col: str = "payload") -> DataFram
     declared schema and exploded; ``null`` text becomes null (ST17), amounts
     are safe doubles (CV1), the date accepts ``dd/MM/yyyy`` or ISO (DT4) and
     the id is ``type-folio`` ('' when a part is missing, ST6).  Rows whose
-    date does not parse keep ``FECHA`` null for a rejects split.
+    date does not parse keep ``FECHA`` null; payloads without any document
+    give no row here and are listed by :func:`rejected_tax_payloads` (Q14).
     """
-    xml = T.repair_ampersands(T.html_unescape(F.col(text_col)))
-    docs_schema = f"Documento array<struct<{TAX_DOCUMENT.replace(' string', ':string')}>>"
-    parsed = payload.select(F.from_xml(F.regexp_extract(xml, r"(?s)(<Documentos>.*</Documentos>)", 1),
-                                       docs_schema).alias("d"))
-    d = parsed.select(F.explode("d.Documento").alias("x")).select("x.*")
+    d = payload.select(_tax_documents(text_col).alias("d")).select(F.explode("d.Documento").alias("x")).select("x.*")
     n = lambda c: T.null_sentinel(F.col(c))
     return d.select(
         T.key_if_all(n("TipoDTE"), n("Folio")).alias("ID"),

@@ -49,13 +49,26 @@ def rollup_lines(lines: DataFrame, keys: list[str], max_cols=(), sum_cols=(),
 def mode_per_group(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """AG8: most frequent value of each column per key; nulls ignored; ties
     -> smallest value; all-null -> null.  Rows with a null key are dropped
-    first (as a pandas ``groupby`` does).  ``mode(c, true)`` is Spark's
-    deterministic mode: one map-side combinable buffer per group."""
+    first (as a pandas ``groupby`` does).
+
+    Two combinable steps: the rows of each (key, column, value) are counted,
+    then the best count per key is picked; so no task holds all values of a
+    key at once.  Values are compared within their own column, by struct
+    fields of the columns' types."""
     nonnull = None
     for k in keys:
         cond = F.col(k).isNotNull()
         nonnull = cond if nonnull is None else nonnull & cond
-    return df.where(nonnull).groupBy(*keys).agg(*[F.mode(c, True).alias(c) for c in cols])
+    rows = df.where(nonnull).select(*keys, *cols)
+    typed = [F.struct(F.lit(i).alias("_i"), *[(F.col(c) if c == col else F.lit(None).cast(df.schema[c].dataType)).alias(f"_v{j}")
+                                              for j, c in enumerate(cols)]) for i, col in enumerate(cols)]
+    counted = (rows.select(*keys, F.explode(F.array(*typed)).alias("_x")).select(*keys, "_x.*")
+               .groupBy(*keys, "_i", *[f"_v{j}" for j in range(len(cols))]).agg(F.count(F.lit(1)).alias("_n")))
+    picks = []
+    for j, c in enumerate(cols):
+        here = (F.col("_i") == j) & F.col(f"_v{j}").isNotNull()
+        picks.append(F.min_by(F.when(here, F.col(f"_v{j}")), F.when(here, F.struct((-F.col("_n")).alias("n"), F.col(f"_v{j}").alias("v")))).alias(c))
+    return counted.groupBy(*keys).agg(*picks)
 
 
 def sum_having_positive(df: DataFrame, keys: list[str], qty_col: str, name: str) -> DataFrame:

@@ -10,11 +10,15 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..functions import dates as D
 from ..operators.merge import CREATED_AT, UPDATED_AT, snapshot_and_history, structure_of, write_version
+from ..operators.nested import flatten_commerce_orders, flatten_incidences, parse_tax_payload, rejected_tax_payloads
 from ..session import ensure_checkpoint_dir
+from ..sources import documents as S
 from ..sources.tables import table
 from ..sources.versions import VersionedTable
 from . import erp
+from .documents import land_incidences, land_tax_payloads
 from .reconciliation import ASOF, ORDER_LINK, discrepancy_alert, oms_missing, quantity_discrepancies, shop_missing
 
 
@@ -145,6 +149,47 @@ def job_processed_lines(spark, sf):
     return erp.processed_sales_lines(lines, "1997-06-01", "year").select("SALESID", "LINENUM", "QTY", "TENDERTYPEID", "SALESLINEPK")
 
 
+# ------------------------------------------- second outputs of the flatteners
+def job_order_addresses(spark, sf):
+    """PL1/PR2/SC1: the address table of commerce order documents; every fifth order has no address."""
+    o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
+    address = F.struct(F.col("c_name").alias("firstName"), F.col("c_mktsegment").alias("city"))
+    doc = F.struct(F.concat(F.lit("gid://shopify/Order/"), F.col("o_orderkey").cast("string")).alias("id"),
+                   F.when(F.col("o_orderkey") % 5 != 0, address).alias("shippingAddress"))
+    docs = o.join(c, o.o_custkey == c.c_custkey).select(S.parse_json(F.to_json(doc), S.COMMERCE_ORDER).alias("d")).select("d.*")
+    _, addresses, _ = flatten_commerce_orders(docs)
+    return addresses.select("ORDER_ID", "FIRST_NAME", "CITY", "ZIP", "ACCEPTS_MARKETING")
+
+
+def job_incidence_history(spark, sf):
+    """PL5/PR9/SC5/DS1: the history table of incidence documents."""
+    docs = land_incidences(spark, sf).select(S.parse_json(F.col("payload"), S.OMS_INCIDENCE).alias("d"), "arrival").select("d.*", "arrival")
+    _, history = flatten_incidences(docs, arrival_col="arrival")
+    return history.select("PRIMARY_KEY", "ECOMMERCE_NAME_CHILD", "CREATE_DATE", "NAME", "STATE", "USER", F.col("DESCRIPTION").alias("NOTE"))
+
+
+def job_transfer_headers(spark, sf):
+    """PL14/PR10/SC15/DT3: the transfer headers of the 30 days up to the run, names in upper snake case."""
+    o = table(spark, sf, "orders")
+    headers = o.select(F.concat(F.lit("TR-"), F.col("o_orderkey").cast("string")).alias("TransferOrderNumber"),
+                       D.ntz_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("RequestedReceiptDate"),
+                       F.col("o_orderpriority").alias("AXXDocTypeCode"))
+    lines = headers.select("TransferOrderNumber", F.lit(1).alias("LineNumber"))
+    h, _ = erp.transfer_orders(headers, lines, "2001-08-01", 30)
+    return h.select("TRANSFER_ORDER_NUMBER", F.date_format("REQUESTED_RECEIPT_DATE", "yyyy-MM-dd").alias("DAY"), "AXX_DOC_TYPE_CODE")
+
+
+def job_tax_rejects(spark, sf):
+    """PL15/SC17/Q14: tax payloads, some cut off, some without documents, some blank: documents read, and payloads rejected by reason."""
+    p = land_tax_payloads(spark, sf)
+    folio = F.regexp_extract("payload", r"Folio&gt;([0-9]+)&lt;", 1).cast("long")
+    broken = p.select(F.when(folio % 7 == 1, F.expr("left(payload, length(payload) - 60)")).when(folio % 7 == 2, F.lit(" "))
+                      .when(folio % 7 == 3, F.lit("<soap:Envelope><soap:Body/></soap:Envelope>")).otherwise(F.col("payload")).alias("payload"))
+    read = parse_tax_payload(broken).agg(F.lit("read").alias("outcome"), F.count(F.lit(1)).alias("n"))
+    rejected = rejected_tax_payloads(broken).groupBy(F.col("REASON").alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+    return read.unionByName(rejected)
+
+
 _RECONCILIATION = """
   erp AS (SELECT CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 'NC-' || CAST(l_orderkey AS VARCHAR) ELSE CAST(l_orderkey AS VARCHAR) END AS num,
                  CASE WHEN l_returnflag = 'N' THEN 'ECOM' ELSE 'STORE' END AS pool, l_linenumber = 2 AS shipping, CAST(l_quantity AS DECIMAL(38,6)) AS qty
@@ -170,6 +215,23 @@ _RECONCILIATION = """
 _OLDER = "COALESCE((SELECT BOOL_OR(FLOOR(EPOCH(TIMESTAMP '2001-08-01 00:00:00' - created_at) / 86400) > 60) FROM {0}), FALSE) AS {0}_older"
 
 ORACLE = {
+    "q_job_order_addresses": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS ORDER_ID, CASE WHEN o_orderkey % 5 <> 0 THEN c_name END AS FIRST_NAME,
+               CASE WHEN o_orderkey % 5 <> 0 THEN c_mktsegment END AS CITY, CAST(NULL AS VARCHAR) AS ZIP, FALSE AS ACCEPTS_MARKETING
+        FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "q_job_incidence_history": """
+        SELECT DISTINCT CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '-' || event_type AS PRIMARY_KEY,
+               CAST(user_id AS VARCHAR) AS ECOMMERCE_NAME_CHILD, strftime(ts, '%Y-%m-%d %H:%M:%S') AS CREATE_DATE, event_type AS NAME,
+               CASE WHEN value > 50 THEN 'done' ELSE '' END AS STATE, CASE WHEN value <= 80 THEN 'u' || CAST(user_id AS VARCHAR) ELSE '' END AS "USER", props AS NOTE
+        FROM events""",
+    "q_job_transfer_headers": """
+        SELECT 'TR-' || CAST(o_orderkey AS VARCHAR) AS TRANSFER_ORDER_NUMBER, strftime(o_orderdate, '%Y-%m-%d') AS DAY, o_orderpriority AS AXX_DOC_TYPE_CODE
+        FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '2001-07-02' AND DATE '2001-08-01'""",
+    "q_job_tax_rejects": """
+        WITH g AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS d, COUNT(*) AS docs,
+                          min_by(o_orderkey, CAST(o_orderkey AS VARCHAR)) % 7 AS m FROM orders GROUP BY 1, 2)
+        SELECT 'read' AS outcome, CAST(SUM(CASE WHEN m IN (1, 2, 3) THEN 0 ELSE docs END) AS BIGINT) AS n FROM g
+        UNION ALL SELECT CASE m WHEN 1 THEN 'unparsable' WHEN 2 THEN 'empty' ELSE 'no documents' END, COUNT(*) FROM g WHERE m IN (1, 2, 3) GROUP BY 1""",
     "q_job_oms_missing": "WITH " + _RECONCILIATION + " SELECT * FROM oms",
     "q_job_shop_missing": "WITH " + _RECONCILIATION + " SELECT * FROM shop",
     "q_job_quantity": "WITH " + _RECONCILIATION + " SELECT * FROM qty",
@@ -206,6 +268,10 @@ ORACLE = {
 }
 
 QUERIES = {
+    "q_job_order_addresses": job_order_addresses,
+    "q_job_incidence_history": job_incidence_history,
+    "q_job_transfer_headers": job_transfer_headers,
+    "q_job_tax_rejects": job_tax_rejects,
     "q_job_oms_missing": job_oms_missing,
     "q_job_shop_missing": job_shop_missing,
     "q_job_quantity": job_quantity,
