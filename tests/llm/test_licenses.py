@@ -28,7 +28,7 @@ def test_equal_texts_in_other_dress(spark):
 def test_query_equals_sql(spark, docs, odd, empty):
     con = duckdb.connect()
     for df in (docs, odd):
-        documents = df.select("doc_id", "text").toPandas()  # noqa: F841
+        documents = df.select("doc_id", "text").toArrow()
         con.register("documents", documents)
         want = sorted(map(str, con.execute(licenses.oracle()).fetchall()))
         got = [tuple(r) for r in licenses.scanned(df, licenses.known(spark)).collect()]
