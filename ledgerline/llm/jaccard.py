@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import words as W
 from ledgerline.llm.components import components
+from ledgerline.llm.members import maybe_in
 from ledgerline.session import ensure_checkpoint_dir
 
 #: Frequent shingles whose counts are known to the order at most; all others count as rare (a matter of speed alone).
@@ -31,8 +32,6 @@ FREQUENT = 1 << 18
 LOT = 1 << 22
 #: Pieces of the rare shingles' order; the frequent ones are one more.
 FRAGMENTS = 8
-#: Bits of the maps that spare rows a join would drop (4 MB; a wrong hit only costs time).
-MAP_BITS = 1 << 25
 
 
 def shingle_slices(batches, k: int, column: int = 1):
@@ -153,22 +152,6 @@ def segments(texts: DataFrame, k: int, order) -> DataFrame:
     return texts.mapInArrow(run, "s1 long, s2 long, n long, fragment int, part array<long>")
 
 
-def maybe_in(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
-    """The rows of df whose column may be among the one column of keys: all that are, few others while the map is sparse.
-
-    A bit map over hashed keys, of MAP_BITS / 8 bytes at most, is broadcast;
-    it saves shuffling what a join would drop, and never decides a result.
-    """
-    def bit(c: Column) -> Column:
-        return F.pmod(F.xxhash64(c), F.lit(MAP_BITS)) + 1
-
-    bits = keys.select(bit(F.col(keys.columns[0])).alias("_bit")).groupBy(F.bitmap_bucket_number("_bit").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("_map"))
-    at = F.bitmap_bit_position(bit(F.col(column)))
-    byte = F.conv(F.hex(F.substring("_map", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    hit = byte.bitwiseAND(F.element_at(F.array(*(F.lit(1 << i) for i in range(8))), (at % 8 + 1).cast("int"))) != 0
-    return df.withColumn("_bucket", F.bitmap_bucket_number(bit(F.col(column)))).join(F.broadcast(bits), "_bucket").where(hit).select(*df.columns)
-
-
 def may_link(pct: int) -> Column:
     """Length and position filter of (n, pos) against (n2, pos2), both at the same shingle."""
     need = F.ceil(F.lit(pct) * (F.col("n") + F.col("n2")) / F.lit(100.0 + pct) - F.lit(1e-6))
