@@ -15,14 +15,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import dsir, jaccard, packing, pii, queries, rules
+from ledgerline.llm import dsir, jaccard, members, packing, pii, queries, rules
 from ledgerline.session import ensure_checkpoint_dir
 
 
 def _keep(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The rows of docs whose id has a kept verdict; a null id is matched too."""
-    kept = verdicts.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    """The rows of docs whose id has a kept verdict (null is an id too).
+
+    Only ids and verdicts are shuffled, and the texts of rejected rows; the
+    kept texts stay where they were read.
+    """
+    by_id = verdicts.groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    rejected = by_id.where("not kept").select("doc_id").checkpoint()
+    return members.split(docs, "doc_id", rejected)[0]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +48,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     classes = jaccard.linked(docs, k=5, pct=80)
     kept = classes.select(F.coalesce("component_id", "doc_id").eqNullSafe(F.col("doc_id")).alias("kept"), "doc_id")
-    return _keep(docs, kept).dropDuplicates(["doc_id", "text"])
+    left = _keep(docs, kept)
+    repeated = docs.groupBy("doc_id").count().where("count > 1").select("doc_id").checkpoint()
+    if repeated.isEmpty():
+        return left
+    once, again = members.split(left, "doc_id", repeated)
+    return once.union(again.dropDuplicates(["doc_id", "text"]))
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
