@@ -29,9 +29,11 @@ from ledgerline.session import ensure_checkpoint_dir
 #: Frequent shingles whose counts are known to the order at most; all others count as rare (a matter of speed alone).
 FREQUENT = 1 << 18
 #: Shingles counted at once; those met only once in such a lot are left out.
-LOT = 1 << 22
+LOT = 1 << 21
 #: Pieces of the rare shingles' order; the frequent ones are one more.
 FRAGMENTS = 8
+#: Sets of candidate pairs whose signatures (32 bytes each) are broadcast at most; beyond it the segments are shuffled to them.
+BROADCAST_SETS = 100_000
 
 
 def shingle_slices(batches, k: int, column: int = 1):
@@ -177,7 +179,10 @@ def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, pct:
     """The pairs (a, b, na, nb) that link: partial overlaps by fragment, summed per pair."""
     used = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = nodes.join(used, "node").select("node", "s1", "s2", "n", "id").checkpoint()
-    parts = segments(maybe_in(texts, "key", wanted.select("id")), k, order).join(wanted.select("node", "s1", "s2", "n"), ["s1", "s2", "n"]).select("node", "fragment", "part")
+    sets = wanted.select("node", "s1", "s2", "n")
+    if wanted.count() <= BROADCAST_SETS:
+        sets = F.broadcast(sets)
+    parts = segments(maybe_in(texts, "key", wanted.select("id")), k, order).join(sets, ["s1", "s2", "n"]).select("node", "fragment", "part")
     left = parts.select(F.col("node").alias("a"), "fragment", F.col("part").alias("x"))
     right = parts.select(F.col("node").alias("b"), "fragment", F.col("part").alias("y"))
     partial = pairs.join(left, "a").join(right, ["b", "fragment"]).groupBy("a", "b", "na", "nb", "fragment").agg(F.max(F.size(F.array_intersect("x", "y"))).alias("o"))
