@@ -19,6 +19,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from ledgerline.llm.words import small_batches
+
 #: Words longer than this are encoded afresh each time (they hardly repeat).
 CACHED_CHARS = 64
 #: Words of a generation that a worker remembers; it keeps the last two.
@@ -214,6 +216,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 ["key", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
+    small_batches(docs.sparkSession)
     d = docs.select(docs[id_col].alias("key"), docs[text_col].alias("text"))
     kind = d.schema["key"].dataType.simpleString()
     return d.mapInArrow(run, f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("key", id_col)

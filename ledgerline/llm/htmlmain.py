@@ -362,6 +362,7 @@ def extracted(pages: DataFrame, field: Field, id_col: str = "page_id", html_col:
 
     Null or empty html, and pages without main text, have an empty text.
     """
+    W.small_batches(pages.sparkSession)
     known = pages.sparkSession.sparkContext.broadcast(field)  # a few thousand weights
 
     def run(batches):

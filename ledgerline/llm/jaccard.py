@@ -202,6 +202,7 @@ def linked(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "doc_id", t
     """
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
+    W.small_batches(spark)
     texts = docs.select(docs[id_col].alias("key"), docs[text_col].cast("string").alias("text"))
     order = spark.sparkContext.broadcast(Order(frequent(texts, k)))
     # equal sets are one node; a hot group of copies is combined before it is shuffled

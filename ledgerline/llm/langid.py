@@ -166,5 +166,6 @@ def predict(docs: DataFrame, langs: list[str], logp: np.ndarray, id_col: str = "
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(id, held_out, lang_pred, score): learned from the rows that are not held out, predicted for all."""
+    W.small_batches(docs.sparkSession)
     langs, logp = learn(docs.where(~held_out(id_col)), id_col, text_col, lang_col)
     return predict(docs, langs, logp, id_col, text_col).select(id_col, held_out(id_col).alias("held_out"), "lang_pred", "score")

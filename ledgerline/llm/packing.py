@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import bpe
+from ledgerline.llm import words as W
 from ledgerline.llm.ranks import global_rank
 from ledgerline.session import ensure_checkpoint_dir
 
@@ -185,5 +186,6 @@ def pack(items: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataFr
 def packed(docs: DataFrame, vocab_path: str, ranks_path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, piece, start, length, ids_crc32, sequence_id, offset) of every piece of every document."""
     ensure_checkpoint_dir(docs.sparkSession)
+    W.small_batches(docs.sparkSession)
     cut = pieces(docs, vocab_path, ranks_path, capacity, id_col, text_col).checkpoint()
     return pack(cut, [id_col, "piece", "ids_crc32"], capacity)

@@ -269,6 +269,7 @@ def pseudonymised(docs: DataFrame, key: bytes, text_col: str = "text", spans_col
     replaced values in code points.  Null text stays null with no spans; empty
     texts stay empty.  ``forward`` False undoes the pseudonyms under the key.
     """
+    W.small_batches(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

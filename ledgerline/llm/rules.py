@@ -252,6 +252,7 @@ def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by
     texts have zero counts and fail.
     """
     ensure_checkpoint_dir(docs.sparkSession)
+    W.small_batches(docs.sparkSession)
     stats = statistics(docs, id_col, text_col, by).withColumns(transformed()).withColumn("base_failed", base_failed()).checkpoint()
     names = levels(len(by))
     passed = stats.where(~F.col("base_failed"))

@@ -13,10 +13,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 #: Bytes of text worked on at once (one text may be longer).
 SLICE_BYTES = 1 << 20
 
+#: Bytes of an Arrow batch that a Python task is handed at most (the engine's own bound is far larger).
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -24,6 +29,12 @@ LOWER[ord("A"):ord("Z") + 1] += 32
 FIRST_BYTE = (np.arange(256) & 0xC0) != 0x80  # not a continuation byte: one a character
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts may be long: hand them to Python a few megabytes at a time, unless the session asks for less."""
+    if int(spark.conf.get(BATCH_SETTING, "64").rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit (splitmix64's finaliser)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
