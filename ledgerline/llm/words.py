@@ -31,7 +31,7 @@ FIRST_BYTE = (np.arange(256) & 0xC0) != 0x80  # not a continuation byte: one a c
 
 def small_batches(spark: SparkSession) -> None:
     """Texts may be long: hand them to Python a few megabytes at a time, unless the session asks for less."""
-    if int(spark.conf.get(BATCH_SETTING, "64").rstrip("b")) > BATCH_BYTES:
+    if int(spark.conf.get(BATCH_SETTING).rstrip("b")) > BATCH_BYTES:
         spark.conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
 
 
