@@ -164,8 +164,12 @@ class Field:
     def train(self, pages: list[list[list[int]]], labels: list[list[int]], steps: int = STEPS, rate: float = RATE, l2: float = L2) -> None:
         """Maximum likelihood by Adam; every gradient is the exact forward-backward one over all pages."""
         count, most = len(pages), max(map(len, pages))
-        feature = np.concatenate([np.array(r, np.int64) for p in pages for r in p])
-        cell = np.repeat(np.array([i * most + j for i, p in enumerate(pages) for j in range(len(p))]), [len(r) for p in pages for r in p])
+        # blocks with the same features share one pattern
+        number: dict[tuple[int, ...], int] = {}
+        pattern = np.array([number.setdefault(tuple(r), len(number)) for p in pages for r in p])
+        feature = np.concatenate([np.array(r, np.int64) for r in number])
+        holder = np.repeat(np.arange(len(number)), [len(r) for r in number])
+        place = np.array([i * most + j for i, p in enumerate(pages) for j in range(len(p))])
         length = np.array([len(p) for p in pages])
         real = np.arange(most) < length[:, None]
         gold = np.zeros((count, most), np.int64)
@@ -173,14 +177,19 @@ class Field:
             gold[i, :len(y)] = y
         pair = np.zeros((2, 2))
         np.add.at(pair, (gold[:, :-1][real[:, 1:]], gold[:, 1:][real[:, 1:]]), 1)
-        seen = np.zeros_like(self.emit)
-        np.add.at(seen, (feature, gold.reshape(-1)[cell]), 1)
+
+        def per_feature(weight: np.ndarray) -> np.ndarray:
+            """Sums over blocks (count * most, 2) for every feature and label."""
+            own = (np.bincount(pattern, weights=weight[place, y], minlength=len(number)) for y in (0, 1))
+            return np.stack([np.bincount(feature, weights=w[holder], minlength=len(self.emit)) for w in own], axis=1)
+
+        seen = per_feature(np.eye(2)[gold.reshape(-1)])
         total = real.sum()
         state = [np.zeros_like(self.emit), np.zeros_like(self.emit), np.zeros((2, 2)), np.zeros((2, 2))]
         for step in range(1, steps + 1):
             score = np.zeros((count * most, 2))
             for y in (0, 1):
-                score[:, y] = np.bincount(cell, weights=self.emit[feature, y], minlength=count * most)
+                score[place, y] = np.bincount(holder, weights=self.emit[feature, y], minlength=len(number))[pattern]
             score = score.reshape(count, most, 2)
             fore, back = score.copy(), np.zeros_like(score)
             for j in range(1, most):
@@ -190,7 +199,7 @@ class Field:
             norm = np.logaddexp.reduce(fore[np.arange(count), length - 1], axis=1)
             alone = np.exp(fore + back - norm[:, None, None]) * real[:, :, None]
             both = np.exp(fore[:, :-1, :, None] + self.move + (score + back)[:, 1:, None, :] - norm[:, None, None, None]) * real[:, 1:, None, None]
-            expected = np.stack([np.bincount(feature, weights=alone.reshape(-1, 2)[cell, y], minlength=len(self.emit)) for y in (0, 1)], axis=1)
+            expected = per_feature(alone.reshape(-1, 2))
             for k, (weight, slope) in enumerate(((self.emit, (seen - expected) / total - l2 * self.emit / len(self.emit)), (self.move, (pair - both.sum(axis=(0, 1))) / total))):
                 m, v = state[2 * k], state[2 * k + 1]
                 m += 0.1 * (slope - m)
@@ -353,7 +362,9 @@ def main_text(page: str, field: Field) -> str:
 def fitted(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", train_pages: int = TRAIN_PAGES) -> Field:
     """A field trained on the ``train_pages`` pages with the smallest hashed ids that have an article or main element."""
     d = pages.select(pages[id_col].alias("key"), pages[html_col].cast("string").alias("html")).where(F.col("html").rlike("(?i)<(article|main)[\\s>]"))
-    rows = d.orderBy(F.xxhash64("key"), "key").limit(train_pages).collect()  # at most train_pages
+    order = [F.xxhash64("key"), F.col("key")]
+    ids = [r["key"] for r in d.where("key is not null").select("key").distinct().orderBy(*order).limit(train_pages).collect()]
+    rows = d.where(F.col("key").isin(ids)).groupBy("key").agg(F.min("html").alias("html")).orderBy(*order).collect()  # one page an id
     return train([r["html"] for r in rows])
 
 

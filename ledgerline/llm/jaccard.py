@@ -61,8 +61,8 @@ def frequent(texts: DataFrame, k: int, most: int = FREQUENT) -> np.ndarray:
     """Hashes of the most frequent shingles, rarest first, as far as single lots show them.
 
     Every lot of about LOT shingles reports those it holds in two different
-    sets or more; reports are summed and the ``most`` largest sums kept, so
-    what reaches the driver has a fixed bound.
+    sets or more; reports are summed, and the shingles above the sum that fewer
+    than ``most`` exceed are kept, so what reaches the driver has a fixed bound.
     """
 
     def run(batches):
@@ -84,7 +84,15 @@ def frequent(texts: DataFrame, k: int, most: int = FREQUENT) -> np.ndarray:
         yield report()
 
     sums = texts.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    top = sums.orderBy(F.desc("n"), "h").limit(most).toArrow()
+    sums = sums.checkpoint()
+    sizes = sums.groupBy("n").agg(F.count(F.lit(1)).alias("shingles")).orderBy(F.desc("n")).collect()  # one row a sum that occurs
+    kept, floor = 0, None
+    for r in sizes:
+        kept += r["shingles"]
+        if kept > most:
+            floor = r["n"]
+            break
+    top = (sums if floor is None else sums.where(F.col("n") > floor)).toArrow()
     order = np.lexsort((top["h"].to_numpy(), top["n"].to_numpy()))
     return top["h"].to_numpy()[order].view(np.uint64)
 
