@@ -233,19 +233,57 @@ FIND = {kind: re.compile(pattern) for kind, pattern in LAYOUTS.items()}
 HINT = re.compile(r"[0-9@=:]|A[KS]IA")
 
 
+#: Kinds whose greedy match may take in what stands beside the value: shorter ends are tried too.
+RETRIED = {"card", "phone", "iban"}
+#: Usual layouts, preferred to longer matches at the same start.  They look at digits that pseudonyms keep in place.
+USUAL = {
+    "card": re.compile(r"\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{5}"),
+    "phone": re.compile(r"(?:\+?1[ .-]?)?(?:\([2-9]\d\d\)[ .-]?|[2-9]\d\d[ .-])[2-9]\d\d[ .-]\d{4}"),
+}
+#: Cards of other layouts than the usual do not touch a number of this shape, the usual ones none with another separator.
+PHONE_SHAPE = re.compile(r"(?<!\d)(?:\(\d{3}\)[ .-]?\d{3}[ .-]|\d{3}([ .-])\d{3}\1)\d{4}(?!\d)")
+
+
+def _ends(kind: str, text: str, m: re.Match, high: int) -> list[int]:
+    """Ends of the layout from the match's start: usual layouts first, then the longest."""
+    if kind not in RETRIED:
+        return [m.end()]
+    inner = str.isalnum if kind == "iban" else str.isdecimal
+    out = [m.end()] + [e for e in range(m.end() - 1, m.start() + 7, -1) if inner(text[e - 1]) and not inner(text[e]) and FIND[kind].fullmatch(text, m.start(), e)]
+    usual = USUAL.get(kind)
+    if kind == "card":
+        shapes = list(PHONE_SHAPE.finditer(text, max(0, m.start() - 20), min(high, m.end() + 20)))
+        out = [e for e in out if not any(p.start() < e and p.end() > m.start() and not (usual.fullmatch(text, m.start(), e) and p.group()[-5] == text[m.start() + 4]) for p in shapes)]
+    return sorted(out, key=lambda e: (not usual.fullmatch(text, m.start(), e), -e)) if usual else out
+
+
+def _inside(kind: str, text: str, low: int, high: int, names: Pseudonyms) -> Iterator[Span]:
+    """Validated values of a kind between two places; a match that does not validate gives way to shorter ends, then later starts."""
+    while m := FIND[kind].search(text, low, high):
+        low = m.start() + 1
+        for end in _ends(kind, text, m, high):
+            if (value := getattr(names, kind)(text[m.start():end])) is not None:
+                yield Span(m.start(), end, kind, value)
+                low = end
+                break
+
+
 def spans(text: str, names: Pseudonyms) -> list[Span]:
-    """Validated values of a text in order, none overlapping another."""
+    """Validated values of a text in order, none overlapping another.
+
+    Each kind is looked for in the stretches that the kinds before it left free.
+    """
     if not HINT.search(text):
         return []
     found: list[Span] = []
     digit = re.search(r"\d", text) is not None
-    for kind, find in FIND.items():
+    for kind in FIND:
         if not ("@" in text if kind == "email" else "=" in text or ":" in text if kind == "secret" else "IA" in text if kind == "access_key" else digit):
             continue
-        for m in find.finditer(text):
-            if all(m.end() <= s.start or m.start() >= s.end for s in found) and (value := getattr(names, kind)(m.group())) is not None:
-                found.append(Span(m.start(), m.end(), kind, value))
-    return sorted(found)
+        edges = zip([0, *(s.end for s in found)], [*(s.start for s in found), len(text)], strict=True)
+        new = [s for low, high in edges for s in _inside(kind, text, low, high, names)]
+        found = sorted(found + new)
+    return found
 
 
 def replaced(text: str, found: list[Span]) -> str:
@@ -256,6 +294,12 @@ def replaced(text: str, found: list[Span]) -> str:
     return "".join([*out, text[at:]])
 
 
+def undone(text: str, places: list[tuple[int, int, str]], key: bytes) -> str:
+    """The text before pseudonyms were put at the (start, end, kind) of its spans."""
+    names = _names(key, False)
+    return replaced(text, [Span(start, end, kind, getattr(names, kind)(text[start:end])) for start, end, kind in places])
+
+
 @functools.lru_cache(4)
 def _names(key: bytes, forward: bool) -> Pseudonyms:
     return Pseudonyms(key, forward)
@@ -267,7 +311,9 @@ def pseudonymised(docs: DataFrame, key: bytes, text_col: str = "text", spans_col
     All columns stay, rows pass one by one (repeats too).  ``spans_col`` (left
     out if None; must not be a column of docs) lists start, end and kind of the
     replaced values in code points.  Null text stays null with no spans; empty
-    texts stay empty.  ``forward`` False undoes the pseudonyms under the key.
+    texts stay empty.  ``forward`` False undoes the pseudonyms under the key, of
+    the values it finds in the text.  Digits beside a value may then be read
+    otherwise; ``undone`` at the listed places is exact.
     """
     W.small_batches(docs.sparkSession)
     at = docs.columns.index(text_col)

@@ -74,3 +74,40 @@ def test_frames(spark, odd, empty):
             assert rows[r.doc_id].text[s.start:s.end] != r.text[s.start:s.end]
     same = pii.pseudonymised(odd, b"key", spans_col=None).collect()
     assert sorted(map(str, same)) == sorted(map(str, odd.collect())) and pii.pseudonymised(empty, b"key").count() == 0
+
+
+@pytest.mark.parametrize(("text", "values"), [
+    ("+1 (826) 555-4081 190.137.223.204", ["+1 (826) 555-4081", "190.137.223.204"]), ("2024-05-01 415-555-2671", ["2024-05-01", "415-555-2671"]),
+    ("415-555-2671 988-555-2485", ["415-555-2671", "988-555-2485"]), ("415-555-2671 24 hours", ["415-555-2671"]), ("+1 415-555-2671 24 hours", ["+1 415-555-2671"]),
+    ("12 415-555-2671", ["415-555-2671"]), ("4111 1111 1111 1111 05/27", ["4111 1111 1111 1111"]), ("1234 4111 1111 1111 1111", ["4111 1111 1111 1111"]),
+    ("BE68 5390 0754 7034 THIS", ["BE68 5390 0754 7034"]), ("4111 1111 1111 1111 415-555-2671", ["4111 1111 1111 1111", "415-555-2671"]),
+])
+def test_values_beside_other_digits(text, values):
+    found = pii.spans(text, NAMES)
+    assert [text[s.start:s.end] for s in found] == values
+    out = pii.replaced(text, found)
+    assert not any(v in out for v in values)
+    assert pii.undone(out, [(s.start, s.end, s.kind) for s in found], b"key") == text
+
+
+def test_phones_side_by_side_are_all_found():
+    rng = random.Random(4)
+    for _ in range(3000):
+        values = [f"{rng.randint(2, 9)}{rng.randint(0, 99):02d}-{rng.randint(2, 9)}{rng.randint(0, 99):02d}-{rng.randint(0, 9999):04d}" for _ in range(2)]
+        text = " ".join(values)
+        assert [text[s.start:s.end] for s in pii.spans(text, NAMES)] == values
+
+
+def test_independent_patterns_are_covered():
+    """Phone numbers and cards of the documents, found by plain patterns of their own, lie within spans."""
+    import pyarrow.parquet as pq
+
+    plain = re.compile(r"\+1 \([2-9]\d\d\) [2-9]\d\d-\d{4}(?!\d)|(?<![\d-])[2-9]\d\d-[2-9]\d\d-\d{4}(?![\d-])")
+    seen = 0
+    for t in pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"])["text"].to_pylist():
+        wanted = list(plain.finditer(t or ""))
+        if wanted:
+            found = pii.spans(t, NAMES)
+            assert all(any(s.start <= m.start() and m.end() <= s.end for s in found) for m in wanted)
+            seen += len(wanted)
+    assert seen > 100
