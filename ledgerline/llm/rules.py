@@ -26,8 +26,8 @@ WINDOW = 5
 MIN_WORDS, MAX_REPEAT_PCT = 10, 20
 #: Share of a group that the covariance determinant is minimised over, and the concentration steps taken.
 CORE_SHARE, STEPS = 0.75, 4
-#: Groups with fewer rows are judged against their language, then against all rows.
-MIN_GROUP = 200
+#: Groups with fewer rows (ten a statistic) are judged against their language, then against all rows; the least rows of those.
+MIN_GROUP, MIN_ALL = 60, 13
 #: Groups whose estimates are broadcast at most, and the tasks a group is dealt to beyond that.
 BROADCAST_GROUPS, SALTS = 10_000, 64
 #: Chance that a document of its group's own normal distribution is rejected.
@@ -208,7 +208,7 @@ def with_fit(rows: DataFrame, fit: DataFrame, on: str, how: str = "inner") -> Da
 
 
 def fits(rows: DataFrame) -> DataFrame:
-    """MCD estimates (g, n, mu, p, logdet) of every group of at least MIN_GROUP rows.
+    """MCD estimates (g, n, mu, p, logdet) of every group of at least MIN_GROUP rows, and of "all" from MIN_ALL rows.
 
     rows: (g, XS...), each document once per level.  Starts from medians and
     quartiles; each concentration step counts the distances of all rows in
@@ -219,7 +219,7 @@ def fits(rows: DataFrame) -> DataFrame:
     d = len(XS)
     core = CORE_SHARE / chi2_cdf(chi2_quantile(CORE_SHARE, d), d + 2)
     wide = 0.975 / chi2_cdf(chi2_quantile(0.975, d), d + 2)
-    start = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), *(F.percentile_approx(x, [0.25, 0.5, 0.75], 1000).alias(x) for x in XS)).where(F.col("n") >= MIN_GROUP)
+    start = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), *(F.percentile_approx(x, [0.25, 0.5, 0.75], 1000).alias(x) for x in XS)).where(F.col("n") >= F.when(F.col("g") == "all", MIN_ALL).otherwise(MIN_GROUP))
     prec = [F.round(1 / (F.pow((F.col(x)[2] - F.col(x)[0]) / 1.349, 2) + FLOORS[x] ** 2), 3) for x in XS]
     fit = start.select("g", "n", F.array(*(F.round(F.col(x)[1], 3) for x in XS)).alias("mu"),
                        F.array(*(prec[i] if i == j else F.lit(0.0) for i, j in PAIRS)).alias("p"), F.lit(0.0).alias("logdet"))
@@ -247,8 +247,9 @@ def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by
     the squared Mahalanobis distance to the document's group exceeds the
     chi-square quantile of 1 - TAIL.  The group is the finest of (all ``by``
     columns, fewer of them, all rows) that has MIN_GROUP rows that pass the
-    base rules; without any such group (an empty or tiny table) only the base
-    rules decide.  Null ``by`` values are a group of their own; null or empty
+    base rules, else all rows; where the whole table has fewer than MIN_ALL
+    of them, too few for a covariance of six statistics, only the base rules
+    decide.  Null ``by`` values are a group of their own; null or empty
     texts have zero counts and fail.
     """
     ensure_checkpoint_dir(docs.sparkSession)

@@ -83,3 +83,17 @@ def test_fallback_levels_and_empty_table(odd, empty):
 
 def test_chi2_quantile():
     assert abs(rules.chi2_quantile(0.95, 1) - 3.841459) < 1e-5 and abs(rules.chi2_quantile(0.975, 6) - 14.449375) < 1e-5
+
+
+def test_small_tables_get_verdicts(spark):
+    sf = "/root/testdata/sf0.001"
+    v = rules.verdicts(spark.read.parquet(f"{sf}/documents.parquet")).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("not base_failed").collect()
+    assert all(r.distance is not None for r in v)
+    assert {r.quality: {x.kept for x in v if x.quality == r.quality} for r in v} == {0: {False}, 1: {True}}
+
+
+def test_smallest_groups_with_an_estimate(spark):
+    x = np.random.default_rng(3).normal(size=(60, 6)) * 0.1
+    rows = spark.createDataFrame([(g, *map(float, r)) for g, n in (("a", 60), ("b", 59), ("all", 13)) for r in x[:n]], ["g", *rules.XS])
+    assert {r.g for r in rules.fits(rows).collect()} == {"a", "all"}
+    assert [r.g for r in rules.fits(rows.where("g <> 'all'").unionByName(rows.where("g = 'all'").limit(12))).collect()] == ["a"]
