@@ -19,41 +19,59 @@ from ledgerline.llm import dsir, jaccard, members, packing, pii, queries, rules
 from ledgerline.session import ensure_checkpoint_dir
 
 
-def _keep(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The rows of docs whose id has a kept verdict (null is an id too).
+ROW = "_row_key"
 
-    Only ids and verdicts are shuffled, and the texts of rejected rows; the
-    kept texts stay where they were read.
+
+def _keyed(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """docs with ROW: the row's id and a 128-bit hash of its columns, ordered by id (null last), then hash.
+
+    It depends on the row alone, so every read of the stage's input gives the
+    same; rows that are equal in the columns share it and every verdict.
+    """
+    parts = [part for c in columns for part in (docs[c].isNull(), docs[c])]
+    whole = lambda c: F.unhex(F.lpad(F.hex(c), 16, "0"))
+    number = docs["doc_id"].cast("long").bitwiseXOR(F.lit(-1 << 63))
+    given = F.coalesce(F.concat(F.unhex(F.lit("00")), whole(number)), F.unhex(F.lit("01")))
+    return docs.withColumn(ROW, F.concat(given, *(whole(F.xxhash64(F.lit(i), *parts)) for i in (1, 2))))
+
+
+def _keep(keyed: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """The rows of keyed with a kept verdict, without ROW.
+
+    Only row keys and verdicts are shuffled, and the texts of rejected rows;
+    the kept texts stay where they were read.
     """
-    by_id = verdicts.groupBy("doc_id").agg(F.max("kept").alias("kept"))
-    rejected = by_id.where("not kept").select("doc_id").checkpoint()
-    return members.split(docs, "doc_id", rejected)[0]
+    by_row = verdicts.groupBy(ROW).agg(F.max("kept").alias("kept"))
+    rejected = by_row.where("not kept").select(ROW).checkpoint()
+    return members.split(keyed, ROW, rejected)[0]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are no outliers of their language and source."""
-    return _keep(docs, rules.verdicts(docs))
+    keyed = _keyed(docs, docs.columns)
+    return _keep(keyed, rules.verdicts(keyed, id_col=ROW)).drop(ROW)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by importance resampling towards those labelled good."""
-    return _keep(docs, dsir.resample(docs, queries.good_ids(spark, sf_dir)))
+    keyed = _keyed(docs, docs.columns)
+    return _keep(keyed, dsir.resample(keyed, queries.good_ids(spark, sf_dir), keep=(ROW,))).drop(ROW)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies (five-word shingles, similarity 0.8): the smallest id.
 
-    Repeated rows of it stay once.  Rows without an id are kept unless they
-    equal each other or are near copies of a row with one.
+    Repeated rows of it stay once.  Of several texts under the smallest id, or
+    of rows that all have no id, one stays, the one with the smallest hash.
     """
-    classes = jaccard.linked(docs, k=5, pct=80)
-    kept = classes.select(F.coalesce("component_id", "doc_id").eqNullSafe(F.col("doc_id")).alias("kept"), "doc_id")
-    left = _keep(docs, kept)
-    repeated = docs.groupBy("doc_id").count().where("count > 1").select("doc_id").checkpoint()
+    keyed = _keyed(docs, ["doc_id", "text"])
+    classes = jaccard.linked(keyed, k=5, pct=80, id_col=ROW)
+    left = _keep(keyed, classes.select((F.col("component_id") == F.col(ROW)).alias("kept"), ROW))
+    repeated = keyed.groupBy(ROW).count().where("count > 1").select(ROW).checkpoint()
     if repeated.isEmpty():
-        return left
-    once, again = members.split(left, "doc_id", repeated)
-    return once.union(again.dropDuplicates(["doc_id", "text"]))
+        return left.drop(ROW)
+    once, again = members.split(left, ROW, repeated)
+    return once.union(again.dropDuplicates([ROW])).drop(ROW)
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

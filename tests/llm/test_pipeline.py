@@ -47,3 +47,26 @@ def test_stages_keep_the_columns_and_take_odd_rows(spark, odd, empty):
             out = stage(spark, df, SF)
             assert out.columns == df.columns, name
             out.count()
+
+
+def test_rows_without_an_id_or_with_a_repeated_one_are_judged_one_by_one(spark):
+    """Null or equal ids rescue no rejected row: the same texts stay as under ids of their own."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    want = {r.text for r in rules.verdicts(docs).where("kept").join(docs, "doc_id").select("text").collect()}
+    for one in (F.lit(None), F.lit(1)):
+        out = corpus_pipeline.quality_rules(spark, docs.withColumn("doc_id", one.cast("long")), SF)
+        assert {r.text for r in out.collect()} == want and len(want) < docs.count()
+    # the middle of a weight list falls between rows of one id
+    out = dsir.resample(docs.withColumn("doc_id", F.lit(1).cast("long")), docs.select("doc_id"), k=50, keep=("text",)).where("kept")
+    assert out.columns[-1] == "text" and out.count() == 50
+
+
+def test_near_copies_without_an_id_or_with_a_repeated_one(spark):
+    base = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcd"]
+    near = [t + " more" for t in base]
+    rows = [(None, base[0]), (None, near[0]), (2, base[1]), (None, near[1]), (3, base[2]), (3, near[2]), (3, near[2]), (5, base[3]), (4, near[3])]
+    df = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = [(r.doc_id, r.text[0]) for r in corpus_pipeline.near_duplicates(spark, df, SF).collect()]
+    assert sorted(out, key=str) == [(2, "b"), (3, "c"), (4, "d"), (None, "a")]
