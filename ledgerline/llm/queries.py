@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, dsir, htmlmain, jaccard, langid, licenses, maxscore, packing, pii, rules
+from ledgerline.llm import bpe, chat, dsir, htmlmain, jaccard, langid, licenses, maxscore, packing, periodic, pii, rules, targets
 
 #: The vocabulary the queries use; every operator takes its path as a parameter.
 VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -70,6 +70,24 @@ def op10_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxscore.search(table(spark, sf_dir, "embeddings"), k=5)
 
 
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``conversations``, and one that says control strings, formatted by the chat template and read back."""
+    tricky = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string")
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.formatted(given.unionByName(extra)), together=True)
+
+
+def op12_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of ``documents`` drawn towards the words of ``benchmark``: weight, noisy score and rank of every document."""
+    return targets.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every text of ``documents``, one in ten with a periodic tail, and the text without repeats."""
+    return periodic.digests(periodic.runs(table(spark, sf_dir, "documents"), planted=periodic.planted_tail))
+
+
 def good_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of the documents labelled good (the target of the quality classifier)."""
     return table(spark, sf_dir, "labels").where(F.col("quality") == 1).select("doc_id")
@@ -86,6 +104,9 @@ QUERIES = {
     "op8_rules": op8_rules,
     "op9_licenses": op9_licenses,
     "op10_maxscore": op10_maxscore,
+    "op11_chat": op11_chat,
+    "op12_targets": op12_targets,
+    "op13_periodic": op13_periodic,
 }
 
 #: Queries that SQL can express; the others are tested against brute force in tests/llm.
@@ -107,4 +128,6 @@ ORACLE: dict[str, str] = {
             FROM scored)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op11_chat": chat.ORACLE,
+    "op12_targets": targets.ORACLE,
 }
