@@ -86,42 +86,51 @@ def number_within(df: DataFrame, partition_cols: list[str], order_cols: list[str
     where the predicate is false), i.e. the renumbering 1..n of the rows that
     pass a filter (WN3) in the same pass.
 
-    A plain window numbers a whole group inside one task.  Here rows are
-    range-partitioned on ``(p, o)``, so the sampler spreads a hot group over
-    many tasks; they are numbered per slice and shifted by per-slice offsets
-    from a small (tasks x groups) count table.  ``order_cols`` must be a
-    total order within ``p`` for a deterministic result, as for the window.
+    A plain window numbers a whole group inside one task.  Here the rows are
+    sorted once by ``(p, o)`` over all tasks, so the sampler spreads a hot group
+    over many of them, and written to the shared checkpoint folder: every
+    later reader, and any retried task, sees the same places.  A row's place
+    in the whole order is its index in its partition plus the sizes of the
+    partitions before it (one row a partition, broadcast); its number is its
+    place less that of its group's first row.  The groups' first places are an
+    aggregate combined in each partition, joined back on ``p``; Spark
+    broadcasts it where it is small, and where it is not, a hot group's rows
+    are split by AQE.  A counter's rows are placed the same way among
+    themselves.  ``order_cols`` must be a total order within ``p`` for a
+    deterministic result, as for the window.
     """
-    counters = counters or {}
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # The slice id is the task that holds the row after range partitioning; it
-    # is read by two branches (counts, rows), so the slices are materialised
-    # once in the shared checkpoint folder: both branches then see the same
-    # assignment, and a lost executor cannot re-slice rows differently.
     ensure_checkpoint_dir(df.sparkSession)
-    flags = {c: f"_f_{c}" for c in counters}
-    base = df
-    for c, pred in counters.items():
-        base = base.withColumn(flags[c], F.when(pred, F.lit(1)).otherwise(F.lit(0)))
-    ranged = base.repartitionByRange(n, *partition_cols, *order_cols) \
-        .withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True)
-    counts = ranged.groupBy(*partition_cols, "_slice").agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(flags[c]).alias(f"_n_{c}") for c in counters])
-    wo = Window.partitionBy(*partition_cols).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*[F.col(c).alias(f"_o_{c}") for c in partition_cols],
-                            F.col("_slice").alias("_o_slice"),
-                            F.coalesce(F.sum("_n").over(wo), F.lit(0)).alias("_off"),
-                            *[F.coalesce(F.sum(f"_n_{c}").over(wo), F.lit(0)).alias(f"_off_{c}") for c in counters])
-    cond = F.col("_slice") == F.col("_o_slice")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    flags = {c: f"_f_{c}" for c in (counters or {})}
+    base = df.withColumns({flags[c]: F.coalesce(pred, F.lit(False)) for c, pred in (counters or {}).items()}) if counters else df
+    ordered = base.repartitionByRange(n, *partition_cols, *order_cols).sortWithinPartitions(*partition_cols, *order_cols) \
+        .withColumn("_at", F.monotonically_increasing_id()).checkpoint()
+    out = _numbered(ordered, partition_cols, name, "_at")
+    for c, flag in flags.items():
+        counted = _numbered(ordered.where(flag).withColumn("_i", F.monotonically_increasing_id()), partition_cols, c, "_i")
+        if len(flags) == 1:  # rows that count and rows that do not, each numbered where they are
+            rest = _numbered(ordered.where(~F.col(flag)), partition_cols, name, "_at", ordered).withColumn(c, F.lit(None).cast("int"))
+            out = _numbered(counted.drop("_i"), partition_cols, name, "_at", ordered).unionByName(rest)
+        else:
+            out = out.join(counted.select("_at", c), "_at", "left")
+    return out.select(*df.columns, name, *flags)
+
+
+def _numbered(rows: DataFrame, partition_cols: list[str], name: str, at: str, among: DataFrame | None = None) -> DataFrame:
+    """rows with ``name``, their number within their group; ``at`` holds partition and index in it,
+    counted over ``among`` (the rows themselves by default)."""
+    among = rows if among is None else among
+    part, index = F.shiftright(at, 33), F.col(at).bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = among.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    starts = F.broadcast(sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+
+    def placed(df: DataFrame) -> DataFrame:
+        return df.withColumn("_part", part).join(starts, "_part").withColumn("_place", F.col("_start") + index).drop("_part", "_start")
+
+    firsts = placed(among).groupBy(*[F.col(c).alias(f"_k_{c}") for c in partition_cols]).agg(F.min("_place").alias("_first"))
+    same = F.lit(True)
     for c in partition_cols:  # null-safe: a null store is a group too
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
-    local = Window.partitionBy(*partition_cols, "_slice").orderBy(*order_cols)
-    running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = ranged.join(offsets, cond, "inner") \
-        .withColumn(name, (F.col("_off") + F.row_number().over(local)).cast("int"))
-    for c in counters:
-        out = out.withColumn(c, F.when(F.col(flags[c]) == 1,
-                                       (F.col(f"_off_{c}") + F.sum(flags[c]).over(running)).cast("int")))
-    drop = ["_slice", "_off", "_o_slice", *[f"_o_{c}" for c in partition_cols],
-            *[f"_off_{c}" for c in counters], *flags.values()]
-    return out.drop(*drop)
+        same = same & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    return placed(rows).join(firsts, same).withColumn(name, (F.col("_place") - F.col("_first") + 1).cast("int")) \
+        .drop("_place", "_first", *[f"_k_{c}" for c in partition_cols])

@@ -99,9 +99,13 @@ def cascading_lookup(df: DataFrame, value_col: str, table: DataFrame, name_col:
 
 def exact_lookup(df: DataFrame, key: Column, table: DataFrame, table_key: str,
                  payload: list[str], default: dict | None = None) -> DataFrame:
-    """JN15/JN18/MP1: left lookup by an (expression) key, with defaults."""
+    """JN15/JN18/MP1: left lookup by an (expression) key, with defaults.
+
+    Every row of ``df`` comes back once: of several table rows with one key the
+    smallest payload counts (one aggregate over the table)."""
     default = default or {}
-    t = table.select(F.col(table_key).alias("_lk"), *[F.col(p).alias(f"_lp_{p}") for p in payload])
+    t = (table.select(F.col(table_key).alias("_lk"), *[F.col(p).alias(f"_lp_{p}") for p in payload]).where(F.col("_lk").isNotNull())
+         .groupBy("_lk").agg(F.min(F.struct(*[f"_lp_{p}" for p in payload])).alias("_row")).select("_lk", "_row.*"))
     j = df.join(t, key == F.col("_lk"), "left")
     cols = [F.col(c) for c in df.columns]
     for p in payload:

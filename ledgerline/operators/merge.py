@@ -10,11 +10,16 @@ caller validates it (duplicate guard) and publishes it to a new directory
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+from ..sources.files import Files
+from ..sources.parts import PART, UNMATCHED, Change, PartTable, Version
 from ..sources.versions import VersionedTable
 
 CREATED_AT = "created_at"
@@ -88,14 +93,14 @@ def merge_next_state(target: DataFrame, source: DataFrame, keys: list[str],
     target = target.where(complete)
     source = source.where(complete)
     t = target.select(*[F.col(c).alias(f"t__{c}") for c in target.columns],
-                      F.lit(True).alias("t__present"))
-    s = source.select(*[F.col(c).alias(f"s__{c}") for c in columns], F.lit(True).alias("s__present"))
+                      F.lit(True).alias("hit__t"))
+    s = source.select(*[F.col(c).alias(f"s__{c}") for c in columns], F.lit(True).alias("hit__s"))
     cond = None
     for k in keys:
         e = F.col(f"t__{k}") == F.col(f"s__{k}")
         cond = e if cond is None else cond & e
     j = t.join(s, cond, "full_outer")
-    hit = F.col("s__present").isNotNull()
+    hit = F.col("hit__s").isNotNull()
     out = []
     for c in columns:
         tc = F.col(f"t__{c}") if c in target.columns else F.lit(None)
@@ -103,7 +108,7 @@ def merge_next_state(target: DataFrame, source: DataFrame, keys: list[str],
     out += [F.col(f"t__{c}").alias(c) for c in extra]
     t_created = F.col(f"t__{CREATED_AT}") if CREATED_AT in target.columns else F.lit(None).cast("timestamp_ntz")
     t_updated = F.col(f"t__{UPDATED_AT}") if UPDATED_AT in target.columns else F.lit(None).cast("timestamp_ntz")
-    matched = hit & F.col("t__present").isNotNull()
+    matched = hit & F.col("hit__t").isNotNull()
     out.append(F.when(matched, F.coalesce(t_created, now)).when(hit, now)
                .otherwise(t_created).alias(CREATED_AT))
     out.append(F.when(hit, now).otherwise(t_updated).alias(UPDATED_AT))
@@ -205,6 +210,32 @@ def export_csv(df: DataFrame, path: str, order_by: list | None = None, sep: str
     df.write.mode("overwrite").option("sep", sep).option("header", True).csv(path)
 
 
+def export_csv_file(df: DataFrame, path: str, order_by: list, sep: str = ";", bom: bool = True) -> str:
+    """SK14: one ``sep``-separated file, rows in order, a byte order mark and one header.
+
+    The rows are sorted over all tasks and written as parts without a header
+    beside the file; the parts' bytes are then joined in order
+    (:meth:`Files.join`), so no row passes through the driver and no task
+    writes more than its part.  Text with separators, quotes or line breaks is
+    quoted, quotes are doubled; null and empty text are empty.
+    """
+    files, folder = Files(df.sparkSession), f"{path}._parts-{uuid.uuid4().hex}"
+    exact = {"sep": sep, "header": False, "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.orderBy(*order_by).write.options(**exact).csv(folder)
+    quoted = ['"' + c.replace('"', '""') + '"' if any(x in c for x in (sep, '"', "\n", "\r")) else c for c in df.columns]
+    parts = [f"{folder}/{n}" for n in files.names(folder) if n.startswith("part-")]  # named in the order of the sort
+    files.join(parts, path, (b"\xef\xbb\xbf" if bom else b"") + (sep.join(quoted) + "\n").encode())
+    files.delete(folder)
+    return path
+
+
+def empty_target(batch: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """The state before the first load: no rows, the batch's columns and the audit columns."""
+    cols = columns or [c for c in batch.columns if c not in (CREATED_AT, UPDATED_AT)]
+    stamps = [F.lit(None).cast("timestamp_ntz").alias(c) for c in (CREATED_AT, UPDATED_AT)]
+    return batch.select(*cols, *stamps).limit(0)
+
+
 def upsert_table(spark, base_path: str, batch: DataFrame, keys: list[str], asof,
                  columns: list[str] | None = None, on_duplicate: str = "reject",
                  partition_by: list[str] | None = None):
@@ -217,24 +248,96 @@ def upsert_table(spark, base_path: str, batch: DataFrame, keys: list[str], asof,
     publishes nothing and returns ``(None, None)`` (SK5); a refused batch
     returns ``(None, rejected_keys)``.  ``partition_by`` lays the version
     out in directories (e.g. by day) so readers prune them.
+
+    Each load rewrites the whole table; :func:`upsert_parts` rewrites only the
+    parts its batch touches.  Of two loads at a time the second merges again
+    into what the first published (:meth:`VersionedTable.commit`).  The batch is
+    computed once, the merge once, and the result is checked before it is
+    published, where it is read by the check and by the write.
     """
+    ensure_checkpoint_dir(spark)
+    batch = batch.checkpoint()
+    rejected = _refused(batch, keys, on_duplicate)
+    if rejected is None or not rejected.isEmpty():
+        return None, rejected
     table = VersionedTable(spark, base_path)
-    versions = table.versions()
-    if versions:
-        current = table.read(versions[-1])
-    else:
-        cols = columns or [c for c in batch.columns if c not in (CREATED_AT, UPDATED_AT)]
-        fields = [batch.schema[c] for c in cols]
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-        current = spark.createDataFrame([], f"{schema}, {CREATED_AT} timestamp_ntz, {UPDATED_AT} timestamp_ntz")
-    res = upsert(current, batch, keys, asof, columns, on_duplicate)
+
+    def next_state(current: DataFrame | None) -> DataFrame:
+        target = empty_target(batch, columns) if current is None else current
+        return check_unique_nonnull(merge_next_state(target, batch, keys, columns, asof).checkpoint(), keys)
+
+    version = table.commit(next_state, partition_by, first=1)
+    return version, upsert_stats(table.read(version), asof)
+
+
+def _refused(batch: DataFrame, keys: list[str], on_duplicate: str) -> DataFrame | None:
+    """None for an empty batch, else its repeated keys (none: the batch is good); raises if asked to."""
     if batch.isEmpty():
-        return None, None
-    if not res.accepted:
-        return None, res.rejected
-    nxt = (versions[-1] + 1) if versions else 1
-    table.publish(check_unique_nonnull(res.table, keys), nxt, partition_by)
-    return nxt, upsert_stats(table.latest(), asof)
+        return None
+    rejected = duplicate_keys(batch, keys)
+    if on_duplicate == "raise" and not rejected.isEmpty():
+        raise ValueError(f"duplicate keys {keys} in the incoming batch")
+    return rejected
+
+
+def upsert_parts(table: PartTable, batch: DataFrame, keys: list[str], asof, columns: list[str] | None = None,
+                 on_duplicate: str = "reject", writer: str = "", epoch: int | None = None):
+    """SK1-SK5 on a table of parts: only the parts that hold a key of the batch are read and written.
+
+    Same rules and results as :func:`upsert_table`, but for columns that are
+    stored already the batch takes the stored types, and the counts are of the
+    rows this load inserted and updated, in the parts it wrote.  ``writer`` and
+    ``epoch``: see :meth:`PartTable.commit`.
+    """
+    ensure_checkpoint_dir(table.spark)
+    batch = batch.checkpoint()
+    rejected = _refused(batch, keys, on_duplicate)
+    if rejected is None or not rejected.isEmpty():
+        return None, rejected
+    version = merge_into_parts(table, batch, keys, lambda current, rows: merge_next_state(current, rows, keys, columns, asof),
+                               empty_target(batch, columns), writer, epoch)
+    return version.number, load_stats(table.read(version, table.changed_parts(version)), asof)
+
+
+def load_stats(rows: DataFrame, asof) -> DataFrame:
+    """SK4: how many of the rows the load of exactly this time inserted, and how many it updated."""
+    now = _asof_col(asof)
+    created = F.col(CREATED_AT) == now
+    return rows.agg(F.count_if(created).cast("bigint").alias("inserted_rows"),
+                    F.count_if((F.col(UPDATED_AT) == now) & ~F.coalesce(created, F.lit(False))).cast("bigint").alias("updated_rows"))
+
+
+def merge_into_parts(table: PartTable, batch: DataFrame, keys: list[str], merge: Callable[[DataFrame, DataFrame], DataFrame],
+                     empty: DataFrame, writer: str = "", epoch: int | None = None) -> Version:
+    """Publish ``merge(stored rows, batch)`` for the parts the batch touches; the others are carried over unread.
+
+    The table's parts must follow from ``keys``, so that a stored row and its
+    update meet in one part.  Rows with a null key part match nothing and are
+    added to a part of their own.  ``empty`` is the state before the first load;
+    ``batch`` is read several times (a table or checkpointed).  One aggregate
+    names the touched parts (at most as many as the table has).  The merged rows
+    are written where no reader looks, and their keys are checked there (SK3)
+    before the version is published.
+    """
+    complete = F.lit(True)
+    for k in keys:
+        complete = complete & F.col(k).isNotNull()
+
+    def change(version: Version | None) -> Change:
+        none = table.read(version, []) if version else empty
+        typed = batch.withColumns({c: F.col(c).cast(none.schema[c].dataType) for c in batch.columns if c in none.columns})
+        rows, loose = typed.where(complete), typed.where(~complete)
+        touched = {r[0] for r in table.with_part(rows).select(PART).distinct().collect()}
+        merged = merge(table.read(version, touched) if version else empty, rows)
+        written = table.write(table.with_part(merged))
+        if written:
+            check_unique(table.rows_of(written, merged.schema).select(*keys), keys)
+        if not loose.isEmpty():
+            added = table.write(merge(none.limit(0), loose).withColumn(PART, F.lit(UNMATCHED)))
+            written[UNMATCHED] = [*(version.parts.get(UNMATCHED, []) if version else []), *added[UNMATCHED]]
+        return Change(written, merged.schema, reads=touched)
+
+    return table.commit(change, writer, epoch)
 
 
 def check_unique_nonnull(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -7,14 +7,20 @@ period scans and calendars (PL6-PL11, SK1-SK13, FL1-FL3, DT10, DT11, SC6-SC12).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.casts import double_or_zero, fill_blank_strings
 from ..functions.dates import lookback_filter, period_filter
 from ..operators.calendar import calendar_from
 from ..operators.dedupe import latest_by
-from ..operators.merge import update_from, upsert, upsert_stats
+from ..operators.intervals import add_capture, state_at
+from ..operators.merge import update_from, upsert, upsert_parts, upsert_stats, upsert_table
+from ..session import ensure_checkpoint_dir
+from ..sources.parts import PartTable, bucket_of
 from ..sources.tables import scan, table
+from ..sources.versions import VersionedTable
 
 UPSERT_ASOF = "2024-01-31 00:00:00"
 
@@ -44,6 +50,67 @@ def upsert_events_stats(spark, sf):
     return upsert_stats(upsert(target, source, ["event_id"], UPSERT_ASOF).table, UPSERT_ASOF)
 
 
+FIRST_LOAD, SECOND_LOAD = "2024-01-30 06:00:00", "2024-01-31 06:00:00"
+
+
+def _order_loads(spark, sf):
+    """All ``orders``, and a later load that changes some and brings new ones (with negative keys)."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    changed = o.where(F.col("o_orderkey") % 50 == 0).select(
+        "o_orderkey", "o_custkey", F.lit("X").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    new = o.where(F.col("o_orderkey") % 97 == 0).withColumn("o_orderkey", -F.col("o_orderkey") - 1)
+    return o, changed.unionByName(new)
+
+
+def _new_folder(spark):
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/loads-{uuid.uuid4().hex}"
+
+
+def upsert_whole_table(spark, sf):
+    """SK1-SK5 end to end: two loads through the single writer, each publishing a whole new state."""
+    base = _new_folder(spark)
+    for batch, asof in zip(_order_loads(spark, sf), (FIRST_LOAD, SECOND_LOAD)):
+        upsert_table(spark, base, batch, ["o_orderkey"], asof)
+    return VersionedTable(spark, base).latest()
+
+
+def _loaded_parts(spark, sf):
+    t = PartTable(spark, _new_folder(spark), bucket_of(["o_orderkey"], 64))
+    stats = None
+    for batch, asof in zip(_order_loads(spark, sf), (FIRST_LOAD, SECOND_LOAD)):
+        _, stats = upsert_parts(t, batch, ["o_orderkey"], asof)
+    return t, stats
+
+
+def upsert_touched_parts(spark, sf):
+    """SK1/SK3/SM1: the same two loads into a table of parts; the second reads and writes only the parts of its keys."""
+    return _loaded_parts(spark, sf)[0].read()
+
+
+def upsert_touched_stats(spark, sf):
+    """SK4/AG21: rows the second load inserted and updated."""
+    return _loaded_parts(spark, sf)[1]
+
+
+CAPTURES = ("2024-01-06 00:00:00", "2024-01-11 00:00:00", "2024-01-16 00:00:00", "2024-01-16 12:00:00", "2024-01-21 00:00:00", "2024-01-31 00:00:00")
+
+
+def history_from_intervals(spark, sf):
+    """SK7/SM5: six captures (the latest event type of each user seen in the ten
+    days before) kept as intervals of validity, and every capture rebuilt from them."""
+    e = table(spark, sf, "events").select("user_id", "event_id", "ts", "event_type")
+    t = PartTable(spark, _new_folder(spark), bucket_of(["user_id"], 8))
+    for at in CAPTURES:
+        until = F.lit(at).cast("timestamp_ntz")
+        seen = e.where((F.col("ts") < until) & (F.col("ts") >= until - F.expr("INTERVAL 10 DAYS")))
+        add_capture(t, latest_by(seen, ["user_id"], ["ts", "event_id"]).select("user_id", "event_type"), ["user_id"], at)
+    out = None
+    for at in CAPTURES:
+        state = state_at(t, at).select(F.lit(at).alias("capture"), "user_id", "event_type")
+        out = state if out is None else out.unionByName(state)
+    return out
+
+
 def update_order_status(spark, sf, since="2001-01-01"):
     """SK11-SK13: set each order's status from a keyed change set (orders
     with a line shipped since ``since``: the latest line status)."""
@@ -121,6 +188,16 @@ def lookback_window(spark, sf, asof="2024-01-30 12:00:00", days=3):
         "since_midnight_bound", lookback_filter("ts", asof, days, midnight=True))
 
 
+_ORDER_LOADS = """
+        WITH b AS (
+            SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice + 1 AS o_totalprice FROM orders WHERE o_orderkey % 50 = 0
+            UNION ALL SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 97 = 0)
+        SELECT COALESCE(b.o_orderkey, o.o_orderkey) AS o_orderkey, COALESCE(b.o_custkey, o.o_custkey) AS o_custkey,
+               COALESCE(b.o_orderstatus, o.o_orderstatus) AS o_orderstatus, COALESCE(b.o_totalprice, o.o_totalprice) AS o_totalprice,
+               CASE WHEN o.o_orderkey IS NULL THEN TIMESTAMP '2024-01-31 06:00:00' ELSE TIMESTAMP '2024-01-30 06:00:00' END AS created_at,
+               CASE WHEN b.o_orderkey IS NULL THEN TIMESTAMP '2024-01-30 06:00:00' ELSE TIMESTAMP '2024-01-31 06:00:00' END AS updated_at
+        FROM orders o FULL OUTER JOIN b ON o.o_orderkey = b.o_orderkey"""
+
 ORACLE = {
     "q_upsert": """
         WITH t AS (SELECT event_id, user_id, event_type, value, ts AS created_at, ts AS updated_at
@@ -153,6 +230,17 @@ ORACLE = {
             FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-01-01 00:00:00') WHERE rn = 1)
         SELECT o.o_orderkey, o.o_custkey, COALESCE(ch.l_linestatus, o.o_orderstatus) AS o_orderstatus, o.o_orderdate
         FROM orders o LEFT JOIN ch ON o.o_orderkey = ch.l_orderkey""",
+    "q_upsert_table": _ORDER_LOADS,
+    "q_upsert_parts": _ORDER_LOADS,
+    "q_upsert_parts_stats": """
+        SELECT CAST(COUNT(*) FILTER (WHERE o_orderkey % 97 = 0) AS BIGINT) AS inserted_rows,
+               CAST(COUNT(*) FILTER (WHERE o_orderkey % 50 = 0) AS BIGINT) AS updated_rows FROM orders""",
+    "q_history_intervals": """
+        WITH c(capture) AS (VALUES ('2024-01-06 00:00:00'), ('2024-01-11 00:00:00'), ('2024-01-16 00:00:00'), ('2024-01-16 12:00:00'),
+                                   ('2024-01-21 00:00:00'), ('2024-01-31 00:00:00'))
+        SELECT capture, user_id, event_type FROM (
+          SELECT capture, user_id, event_type, ROW_NUMBER() OVER (PARTITION BY capture, user_id ORDER BY ts DESC, event_id DESC) AS rn
+          FROM events JOIN c ON ts < CAST(capture AS TIMESTAMP) AND ts >= CAST(capture AS TIMESTAMP) - INTERVAL 10 DAY) WHERE rn = 1""",
     "q_snapshot_history": """
         SELECT user_id, STRFTIME(day, '%Y-%m-%d') AS day, event_id, ts AS closing_ts, value FROM (
           SELECT *, CAST(ts AS DATE) AS day, ROW_NUMBER() OVER (PARTITION BY user_id, CAST(ts AS DATE)
@@ -194,7 +282,11 @@ ORACLE = {
 QUERIES = {
     "q_upsert": upsert_events,
     "q_upsert_stats": upsert_events_stats,
+    "q_upsert_table": upsert_whole_table,
+    "q_upsert_parts": upsert_touched_parts,
+    "q_upsert_parts_stats": upsert_touched_stats,
     "q_update_from": update_order_status,
+    "q_history_intervals": history_from_intervals,
     "q_snapshot_history": snapshot_history,
     "q_full_refresh_clean": full_refresh_clean,
     "q_period_day": period_day,

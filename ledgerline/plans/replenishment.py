@@ -9,13 +9,16 @@ ERP's answers come back as a results table joined by key (SK11).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators.dedupe import number_within
 from ..operators.lookup import exact_lookup
-from ..operators.merge import update_from
+from ..operators.merge import export_csv_file, update_from
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import table
 
 # Fixed values of the transfer documents (must equal the reference's).
@@ -271,6 +274,19 @@ def replenish_export(spark, sf):
                                                "PRODUCTNAME", F.col("REPLENISHMENT").alias("TRANSFERQUANTITY"))
 
 
+def replenish_csv(spark, sf):
+    """SK14: the results CSV as one file in order, and its lines read back (the mark at its start taken off)."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/export-{uuid.uuid4().hex}/replenishment.csv"
+    export_csv_file(replenish_export(spark, sf), path, ["REPLENISHMENT_ID", "STORE", "LINENUMBER"])
+    return spark.read.text(path).select(F.regexp_replace("value", "^\\x{FEFF}", "").alias("line"))
+
+
+def replenish_one(spark, sf):
+    """SC20: the lines of one replenishment, which must have some."""
+    lines, products, _ = _inputs(spark, sf)
+    return enrich_lines(lines, products, "RPL-N").select("REPLENISHMENT_ID", "STORE", "SKU", "LINENUMBER", "ITEMNUMBER")
+
+
 def transfer_documents_q(spark, sf):
     """AG12/JS3/JN18: transfer documents; the XML is parsed back and its
     detail count, unit total and observations are returned."""
@@ -307,6 +323,13 @@ _R_INPUTS = """
 """
 
 ORACLE = {
+    "q_replenish_csv": "WITH " + _R_INPUTS + """,
+        x AS (SELECT l.rid, l.store, ROW_NUMBER() OVER (PARTITION BY l.rid, l.store ORDER BY l.sku) AS ln, l.sku, p.item, pp.p_name, l.qty
+              FROM lines l JOIN prod p ON l.sku = p.sku JOIN part pp ON 'SKU' || CAST(pp.p_partkey AS VARCHAR) = l.sku)
+        SELECT 'REPLENISHMENT_ID;STORE;LINENUMBER;SKU;ITEMNUMBER;PRODUCTNAME;TRANSFERQUANTITY' AS line
+        UNION ALL SELECT CONCAT_WS(';', rid, store, ln, sku, item, p_name, qty) FROM x""",
+    "q_replenish_one": "WITH " + _R_INPUTS + """
+        SELECT rid AS REPLENISHMENT_ID, store AS STORE, sku AS SKU, ln AS LINENUMBER, item AS ITEMNUMBER FROM enr WHERE rid = 'RPL-N'""",
     "q_replenish_export": "WITH " + _R_INPUTS + """
         SELECT l.rid AS REPLENISHMENT_ID, l.store AS STORE,
                CAST(ROW_NUMBER() OVER (PARTITION BY l.rid, l.store ORDER BY l.sku) AS INTEGER) AS LINENUMBER,
@@ -331,9 +354,10 @@ ORACLE = {
         FROM lines JOIN res ON lines.rid = res.rid AND lines.store = res.store AND lines.sku = res.sku
         GROUP BY 1, 2""",
     "q_replenish_lines": "WITH " + _R_INPUTS + """
-        SELECT e.rid AS REPLENISHMENT_ID, e.store AS STORE, e.sku AS SKU, e.ln AS LINENUMBER, v.line_no AS LINE_NO,
-               e.item IS NULL AS IS_MISSING_ERP_DATA, e.item AS ITEMNUMBER, e.qty AS TRANSFERQUANTITY
-        FROM enr e LEFT JOIN valid v ON e.rid = v.rid AND e.store = v.store AND e.sku = v.sku""",
+        SELECT rid AS REPLENISHMENT_ID, store AS STORE, sku AS SKU, ln AS LINENUMBER,
+               CASE WHEN item IS NOT NULL THEN CAST(COUNT(item) OVER (PARTITION BY rid, store ORDER BY ln) AS INTEGER) END AS LINE_NO,
+               item IS NULL AS IS_MISSING_ERP_DATA, item AS ITEMNUMBER, qty AS TRANSFERQUANTITY
+        FROM enr""",
     "q_replenish_failures": "WITH " + _R_INPUTS + """
         SELECT rid AS REPLENISHMENT_ID, store AS STORE, sku AS SKU, qty AS QUANTITY, 'Missing ERP data' AS ERROR,
                CAST(NULL AS VARCHAR) AS TR_NUMBER, CAST(NULL AS INTEGER) AS LINE_NUMBER FROM missing
@@ -357,6 +381,8 @@ ORACLE = {
 }
 
 QUERIES = {
+    "q_replenish_csv": replenish_csv,
+    "q_replenish_one": replenish_one,
     "q_replenish_export": replenish_export,
     "q_replenish_summary": replenish_summary,
     "q_replenish_transfers": replenish_transfers,

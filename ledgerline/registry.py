@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 import textwrap
 
-_MODULES = ["reconciliation", "rollups", "loads", "cleaning", "documents", "ledger", "events", "replenishment", "erp", "jobs"]
+_MODULES = ["reconciliation", "rollups", "loads", "cleaning", "documents", "ledger", "events", "replenishment", "erp", "jobs", "rejects"]
 
 
 _EXTRA = ["ledgerline.streaming.incremental"]

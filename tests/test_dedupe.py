@@ -61,3 +61,17 @@ def test_number_within_counters(spark):
             k += ok
             want.append((g, o, i + 1, k if ok else None))
     assert got == sorted(want, key=lambda t: tuple((x is not None, "" if x is None else x) for x in t))
+
+
+def test_number_within_two_counters(spark):
+    data = [(f"g{i % 3}" if i % 7 else None, i, i % 2 == 0, None if i % 5 == 0 else i % 3 == 0) for i in range(200)]
+    df = spark.createDataFrame(data, "g string, o int, a boolean, b boolean")
+    got = rows(number_within(df, ["g"], ["o"], "n", counters={"na": F.col("a"), "nb": F.col("b")}), "g", "o", "n", "na", "nb")
+    want, seen = [], {}
+    for g, o, a, b in data:
+        c = seen.setdefault(g, [0, 0, 0])
+        c[0] += 1
+        c[1] += a
+        c[2] += bool(b)
+        want.append((g, o, c[0], c[1] if a else None, c[2] if b else None))
+    assert got == sorted(want, key=lambda t: tuple((x is not None, "" if x is None else x) for x in t))

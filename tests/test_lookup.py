@@ -57,3 +57,13 @@ def test_one_letter_values_and_repeated_names(spark):
     out = cascading_lookup(vals, "city", tbl, "city", ["zip"], "ordinal", {"zip": "0"})
     got = sorted((r["id"], r["match_zip"], r["match_rank"]) for r in out.select("id", "match_zip", F.coalesce("match_rank", F.lit(0)).alias("match_rank")).collect())
     assert got == [(1, "z0", 3), (2, "z0", 3), (3, "z0", 2), (4, "z0", 1), (5, "z3", 3), (6, "0", 0)]
+
+
+def test_exact_lookup_gives_each_row_once(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators.lookup import exact_lookup
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
+    table = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), (None, 9, "n")], "k string, v int, w string")
+    got = exact_lookup(df, F.col("k"), table, "k", ["v", "w"], {"w": "-"})
+    assert sorted(map(str, got.collect())) == sorted(["Row(k='a', v=1, w='y')"] * 2 + ["Row(k='b', v=None, w='-')", "Row(k=None, v=None, w='-')"])

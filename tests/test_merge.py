@@ -146,3 +146,9 @@ def test_upsert_table_partitioned(spark):
     v, _ = upsert_table(spark, base, b, ["k"], "2024-01-02 00:00:00", partition_by=["day"])
     df = spark.read.parquet(f"{base}/v={v:010d}")
     assert rows(df.where("day = '2024-01-02'"), "k") == [("b",)]
+
+
+def test_merge_takes_a_column_named_present(spark):
+    t = spark.createDataFrame([("a", True, 1)], "k string, present boolean, hit int")
+    out = merge_next_state(t, spark.createDataFrame([("a", False, 2), ("b", True, 3)], t.schema), ["k"], asof=ASOF)
+    assert rows(out, "k", "present", "hit") == [("a", False, 2), ("b", True, 3)]

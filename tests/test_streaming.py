@@ -135,3 +135,14 @@ def test_replayed_batches_write_their_own_version_again(spark):
     t = load(spark, [[(1, dt.datetime(2024, 1, 1), 1)], [(1, dt.datetime(2024, 1, 2), 2)]], base, f"{base}-c")
     assert t.versions() == [0, 1]
     assert t.version_for(batch_tag(f"{base}-c", 1)) == (1, 0) and t.version_for(batch_tag(f"{base}-c", 2)) == (2, 1)
+
+
+def test_guarded_merge_when_columns_come_and_go(spark):
+    day = lambda d: dt.datetime(2024, 1, d)
+    t = spark.createDataFrame([("a", day(1), 1, "x"), ("b", day(1), 2, "y"), (None, day(1), 0, "z")], "k string, ts timestamp_ntz, v int, w string")
+    more = spark.createDataFrame([("a", day(2), 5, "n", True), ("c", day(2), 6, "m", False)], "k string, ts timestamp_ntz, v int, w string, present boolean")
+    got = guarded_merge(t, more, ["k"], "ts")
+    assert rows(got, "k", "v", "w", "present") == [(None, 0, "z", None), ("a", 5, "n", True), ("b", 2, "y", None), ("c", 6, "m", False)]
+    fewer = spark.createDataFrame([("a", day(3), 9), ("b", day(0 + 1), 9), ("d", day(1), 7), (None, day(1), 8)], "k string, ts timestamp_ntz, v int")
+    got = guarded_merge(t, fewer, ["k"], "ts")
+    assert rows(got, "k", "v", "w") == [(None, 0, "z"), (None, 8, None), ("a", 9, "x"), ("b", 9, "y"), ("d", 7, None)]
