@@ -89,15 +89,15 @@ def number_within(df: DataFrame, partition_cols: list[str], order_cols: list[str
     A plain window numbers a whole group inside one task.  Here the rows are
     sorted once by ``(p, o)`` over all tasks, so the sampler spreads a hot group
     over many of them, and written to the shared checkpoint folder: every
-    later reader, and any retried task, sees the same places.  A row's place
-    in the whole order is its index in its partition plus the sizes of the
-    partitions before it (one row a partition, broadcast); its number is its
-    place less that of its group's first row.  The groups' first places are an
-    aggregate combined in each partition, joined back on ``p``; Spark
-    broadcasts it where it is small, and where it is not, a hot group's rows
-    are split by AQE.  A counter's rows are placed the same way among
-    themselves.  ``order_cols`` must be a total order within ``p`` for a
-    deterministic result, as for the window.
+    later reader, and any retried task, sees the same places.  A row's number
+    is its index in its partition, less that of the first row its group has
+    there, plus the group's rows in the partitions before.  These two come
+    from a count table with one row per partition and group, added up by group
+    and joined back; Spark broadcasts it where it is small, and where it is
+    not, AQE splits a large partition's rows.  The rows themselves are neither
+    shuffled again for a window nor sorted again.  A counter's rows are
+    numbered the same way among themselves.  ``order_cols`` must be a total
+    order within ``p`` for a deterministic result, as for the window.
     """
     ensure_checkpoint_dir(df.sparkSession)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -119,18 +119,13 @@ def number_within(df: DataFrame, partition_cols: list[str], order_cols: list[str
 def _numbered(rows: DataFrame, partition_cols: list[str], name: str, at: str, among: DataFrame | None = None) -> DataFrame:
     """rows with ``name``, their number within their group; ``at`` holds partition and index in it,
     counted over ``among`` (the rows themselves by default)."""
-    among = rows if among is None else among
     part, index = F.shiftright(at, 33), F.col(at).bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = among.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
-    starts = F.broadcast(sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
-
-    def placed(df: DataFrame) -> DataFrame:
-        return df.withColumn("_part", part).join(starts, "_part").withColumn("_place", F.col("_start") + index).drop("_part", "_start")
-
-    firsts = placed(among).groupBy(*[F.col(c).alias(f"_k_{c}") for c in partition_cols]).agg(F.min("_place").alias("_first"))
-    same = F.lit(True)
-    for c in partition_cols:  # null-safe: a null store is a group too
-        same = same & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
-    return placed(rows).join(firsts, same).withColumn(name, (F.col("_place") - F.col("_first") + 1).cast("int")) \
-        .drop("_place", "_first", *[f"_k_{c}" for c in partition_cols])
+    counts = (rows if among is None else among).groupBy(part.alias("_k_part"), *[F.col(c).alias(f"_k_{i}") for i, c in enumerate(partition_cols)]) \
+        .agg(F.min(index).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*[f"_k_{i}" for i in range(len(partition_cols))]).orderBy("_k_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = counts.select("_k_part", *[f"_k_{i}" for i in range(len(partition_cols))], (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    same = part == F.col("_k_part")
+    for i, c in enumerate(partition_cols):  # null-safe: a null store is a group too
+        same = same & F.col(c).eqNullSafe(F.col(f"_k_{i}"))
+    return rows.join(shifts, same).withColumn(name, (index + F.col("_shift") + 1).cast("int")) \
+        .drop("_shift", "_k_part", *[f"_k_{i}" for i in range(len(partition_cols))])
