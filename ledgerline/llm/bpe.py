@@ -53,10 +53,11 @@ class Bpe:
         pairs = [p.split(" ") if isinstance(p, str) else p for p in spec["model"]["merges"]]
         self.ranks = {(vocab[a], vocab[b]): rank for rank, (a, b) in enumerate(pairs)}
         self.merged = [vocab[a + b] for a, b in pairs]
-        self.strings = {i: s for s, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        self.special_strings = {i: s for s, i in self.special.items()}
-        self.byte_of = {c: b for b, c in enumerate(chars)}
+        byte_of = {c: b for b, c in enumerate(chars)}
+        #: The bytes that each id stands for.
+        self.raw = {i: s.encode("utf-8") for s, i in self.special.items()}
+        self.raw |= {i: bytes(byte_of[c] for c in s) for s, i in vocab.items() if s not in self.special}
         self.words = regex.compile(self.PATTERN).findall
         tokens = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, tokens)) + ")").split if tokens else None
@@ -109,14 +110,8 @@ class Bpe:
         return out
 
     def bytes_of(self, ids: list[int]) -> bytes:
-        """The bytes that ids stand for: their vocabulary strings, one after another."""
-        out = bytearray()
-        for i in ids:
-            if (s := self.strings.get(i)) is not None:
-                out += bytes(self.byte_of[c] for c in s)
-            elif i in self.special_strings:
-                out += self.special_strings[i].encode("utf-8")
-        return bytes(out)
+        """The bytes that ids stand for: their vocabulary strings, one after another; unknown ids stand for none."""
+        return b"".join([self.raw.get(i, b"") for i in ids])
 
     def decode(self, ids: list[int]) -> str:
         return self.bytes_of(ids).decode("utf-8", errors="replace")
@@ -128,6 +123,21 @@ def vocabulary(path: str) -> Bpe:
     return Bpe(path)
 
 
+@functools.lru_cache(maxsize=2)
+def remembered(path: str, make: Callable[[Bpe, list[int]], object]) -> Remembered:
+    """One memory of words per Python worker, kept from task to task (make: a function of this module)."""
+    return Remembered(vocabulary(path), functools.partial(make, vocabulary(path)))
+
+
+def _ids(bpe: Bpe, ids: list[int]) -> list[int]:
+    return ids
+
+
+def _spelled(bpe: Bpe, ids: list[int]) -> tuple[int, str, bytes]:
+    """How many ids, their decimal form, the bytes they stand for."""
+    return len(ids), ",".join(map(str, ids)), bpe.bytes_of(ids)
+
+
 class Remembered(dict):
     """word -> make(ids of the word), kept for the words met lately within a fixed bound."""
 
@@ -166,7 +176,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """
 
     def run(batches):
-        ids = Remembered(vocabulary(path), lambda x: x).of
+        ids = remembered(path, _ids).of
         for rows in slices(batches):
             keys, texts = rows.column(0), rows.column(1).to_pylist()
             out = pa.array([[i for w in ids(t or "") for i in w] for t in texts], pa.list_(pa.int32()))
@@ -200,8 +210,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     """
 
     def run(batches):
-        bpe = vocabulary(path)
-        known = Remembered(bpe, lambda ids: (len(ids), ",".join(map(str, ids)), bpe.bytes_of(ids)))
+        known = remembered(path, _spelled)
         for rows in slices(batches):
             counts, id_digests, text_digests = [], [], []
             for text in rows.column(1).to_pylist():
