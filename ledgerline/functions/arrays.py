@@ -69,3 +69,8 @@ def decimal_product(a, b, places: int = 2, a_type: str = "decimal(18,4)",
 def int_quantity(c) -> Column:
     """MA2: integer cast of a quantity (truncates)."""
     return as_col(c).cast("int")
+
+
+def distinct_of_lists(lists) -> Column:
+    """AG15: the sorted distinct values of a list of lists (of a group that is gathered in one row anyway)."""
+    return F.array_sort(F.array_distinct(F.flatten(as_col(lists))))

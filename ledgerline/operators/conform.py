@@ -1,8 +1,8 @@
 """Schema declaration and conformance (PR10-PR14, SK10).
 
 Target schemas are declared as ``(name, sql_type)`` lists, as in the
-reference's config modules; the same list gives the ``StructType``, the
-projection and the casts, all in one ``select``.
+reference's config modules; the same list gives the projection and the casts,
+all in one ``select``.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 _VARCHAR = re.compile(r"^(VARCHAR|STRING|TEXT)(\(\d+\))?$", re.I)
 _NUMBER = re.compile(r"^NUMBER(\((\d+)(,\s*(\d+))?\))?$", re.I)
@@ -34,11 +33,6 @@ def spark_type(sql_type: str) -> str:
     }.get(t, t.lower())
 
 
-def struct_of(columns: list[tuple[str, str]]) -> StructType:
-    """SK10: ``StructType`` from a declared column list."""
-    return StructType.fromDDL(", ".join(f"`{n}` {spark_type(t)}" for n, t in columns))
-
-
 def upper_names(df: DataFrame) -> DataFrame:
     """PR12: upper-case every column name."""
     return df.toDF(*[c.upper() for c in df.columns])

@@ -1,21 +1,19 @@
-"""Lookups against reference tables (JN13, JN15-JN18, MP1, ST18).
+"""Lookups against reference tables (JN15-JN18, MP1, ST18).
 
 The cascading lookup resolves each *distinct* input value once and joins
-the answer back by equality, so the per-row cost is one hash join.  All its
-match steps are equi-joins:
+the answer back by equality, so the per-row cost is one hash join.  Its match
+steps are
 
 1. exact name;
 2. case-insensitive name;
-3. containment either way, found by joining on substrings: the value's
-   substrings of every name length in the table (``name in value``) and
-   the names' substrings of every distinct value length (``value in
-   name``); both length sets are small (bounded by the longest string), so
-   each side explodes to O(length x lengths) rows.
-
-Nothing is a nested-loop join.  Before each join the table is reduced to one
-row per join key (the first in table order), so a value has at most one hit
-per step and key, whatever the table repeats.  Whether a side is broadcast is
-left to Spark, which decides by its size in bytes.
+3. containment either way, through a q-gram index: a text that holds another
+   holds all its q-grams, so the other's rarest q-gram finds the few texts
+   that may hold it, and only those are compared.  A text of n characters
+   has n postings, however many lengths or names there are.
+
+Nothing is a nested-loop join.  The table is first reduced to one row per name
+(the first in table order).  Whether a side is broadcast is left to Spark,
+which decides by its size in bytes.
 """
 
 from __future__ import annotations
@@ -26,16 +24,34 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
-def _substrings(c: Column, lengths: Column | None = None) -> Column:
-    """All substrings of ``c`` (or only those with a length in ``lengths``)."""
-    n = F.length(c)
-    if lengths is None:
-        return F.flatten(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-                                     lambda i: F.transform(F.sequence(i, F.greatest(n, i)),
-                                                           lambda j: F.substring(c, i, j - i + 1))))
-    return F.flatten(F.transform(
-        F.filter(lengths, lambda k: (k > 0) & (k <= n)),
-        lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substring(c, i, k))))
+#: Length of the index's q-grams; shorter texts are looked up whole.
+Q = 3
+
+
+def _grams(c: Column, q: int) -> Column:
+    """The substrings of length q, in order."""
+    last = F.length(c) - q + 1
+    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substring(c, i, F.lit(q)))) \
+        .otherwise(F.array().cast("array<string>"))
+
+
+def contained(needles: DataFrame, needle: str, texts: DataFrame, text: str) -> DataFrame:
+    """ST18: (needle, text) of every needle that is a substring of a text.
+
+    Both frames have one row a value (null and empty needles are in nothing).
+    The texts' q-grams, and their shorter substrings for needles below Q
+    characters, are the postings.  Every q-gram of a needle is counted over
+    them: one that occurs nowhere rules the needle out, else the rarest one's
+    postings are its candidates, which are then compared as a whole.
+    """
+    n, t = F.col(needle), F.col(text)
+    postings = texts.select(t, F.explode(F.array_distinct(F.concat(*[_grams(t, q) for q in range(1, Q + 1)]))).alias("_g"))
+    wanted = needles.where(F.length(n) > 0).select(n, F.array_distinct(F.when(F.length(n) < Q, F.array(n)).otherwise(_grams(n, Q))).alias("_all"))
+    counts = postings.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = (wanted.select(n, F.size("_all").alias("_size"), F.explode("_all").alias("_g")).join(counts, "_g")
+              .groupBy(needle).agg(F.min_by("_g", F.struct("_n", "_g")).alias("_g"), F.count(F.lit(1)).alias("_found"), F.max("_size").alias("_size"))
+              .where(F.col("_found") == F.col("_size")).select(needle, "_g"))
+    return rarest.join(postings, "_g").where(F.contains(t, n)).select(needle, text)
 
 
 def cascading_lookup(df: DataFrame, value_col: str, table: DataFrame, name_col: str,
@@ -62,28 +78,20 @@ def cascading_lookup(df: DataFrame, value_col: str, table: DataFrame, name_col:
     def hits(values: DataFrame, on: str, rows: DataFrame, rank: int) -> DataFrame:
         return values.join(rows, F.col(on) == F.col("_k")).select("_v", F.lit(rank).alias("_rank"), "_ord", *pcols)
 
-    # the distinct values feed four candidate joins and a length scan: computed
-    # once and materialised (a small set) in the shared checkpoint folder
+    # the distinct values feed every step: computed once and materialised (a small
+    # set) in the shared checkpoint folder
     ensure_checkpoint_dir(df.sparkSession)
     vals = (df.select(F.trim(F.col(value_col)).alias("_v")).where(F.col("_v") != "")
             .distinct().withColumn("_lv", F.lower("_v")).checkpoint(eager=True))
     by_lname = first_of(tbl, "_lname")
     exact = hits(vals, "_v", first_of(tbl, "_name"), 1)
     fold = hits(vals, "_lv", by_lname, 2)
-    # the lengths that occur on each side: subqueries of a few small numbers
-    # (bounded by the longest string), so nothing passes through the driver
-    name_lengths = tbl.agg(F.array_sort(F.collect_set(F.length("_lname")))).scalar()
-    value_lengths = vals.agg(F.array_sort(F.collect_set(F.length("_lv")))).scalar()
-    # name contained in value: substrings of the value with a name's length
-    v_sub = (vals.withColumn("_ks", name_lengths)
-             .select("_v", F.explode(F.array_distinct(_substrings(F.col("_lv"), F.col("_ks")))).alias("_s")))
-    in_value = hits(v_sub, "_s", by_lname, 3)
-    # value contained in name: the names' substrings with a value's length, one row a substring
-    n_sub = (by_lname.withColumn("_ks", value_lengths)
-             .select("_ord", *pcols, F.explode(F.array_distinct(_substrings(F.col("_k"), F.col("_ks")))).alias("_s")))
-    in_name = hits(vals, "_lv", first_of(n_sub, "_s"), 3)
-
-    cands = exact.unionByName(fold).unionByName(in_value).unionByName(in_name)
+    names, folded = by_lname.select("_k"), vals.select("_lv").distinct()
+    either = contained(names, "_k", folded, "_lv").unionByName(contained(folded, "_lv", names, "_k"))
+    inside = first_of(either.join(by_lname, "_k"), "_lv")
+    held = hits(vals, "_lv", inside, 3)
+
+    cands = exact.unionByName(fold).unionByName(held)
     best = (cands.groupBy("_v")
             .agg(F.min_by(F.struct(F.col("_rank"), *[F.col(p) for p in pcols]),
                           F.struct("_rank", "_ord")).alias("_b"))
@@ -112,10 +120,3 @@ def exact_lookup(df: DataFrame, key: Column, table: DataFrame, table_key: str,
         cols.append(F.coalesce(F.col(f"_lp_{p}"), F.lit(default.get(p))).alias(p)
                     if p in default else F.col(f"_lp_{p}").alias(p))
     return j.select(*cols)
-
-
-def dedupe_lookup_last_wins(table: DataFrame, key: str, order_by: list) -> DataFrame:
-    """JN13: the reference builds a dict row by row, so the *last* row of a
-    key wins; here "last" is the largest ``order_by``."""
-    from .dedupe import latest_by
-    return latest_by(table, [key], order_by)

@@ -280,14 +280,3 @@ def parse_tax_payload(payload: DataFrame, text_col: str = "payload") -> DataFram
         C.safe_double(n("Neto")).alias("NETO"), C.safe_double(n("Exento")).alias("EXENTO"),
         C.safe_double(n("IVA")).alias("IVA"), C.safe_double(n("Total")).alias("TOTAL"),
         n("EstadoSII").alias("ESTADO_SII"), n("URL").alias("URL"))
-
-
-# --------------------------------------------------------- builders (JS2/JS3)
-def to_json_document(*fields: Column) -> Column:
-    """JS2: nested result document as JSON text."""
-    return F.to_json(F.struct(*fields))
-
-
-def to_xml_document(*fields: Column, row_tag: str = "ROW") -> Column:
-    """JS3: nested result document as XML text (text is escaped)."""
-    return F.to_xml(F.struct(*fields), {"rowTag": row_tag})

@@ -40,14 +40,6 @@ def quantity_mismatch(a: DataFrame, a_keys: list[str], a_key_join, a_qty: Column
     return sa.join(sb, ak == F.col("_bk"), "inner").where(F.col(a_name) != F.col(b_name))
 
 
-def report_summary(df: DataFrame, ts_col: str, asof, max_days: int, prefix: str) -> DataFrame:
-    """AG16 + count for one report: rows, and whether any row is older than
-    ``max_days`` whole days at ``asof``.  One global aggregate (one row)."""
-    older = whole_days(asof, F.col(ts_col)) > F.lit(max_days)
-    return df.agg(F.count(F.lit(1)).cast("bigint").alias(f"{prefix}_count"),
-                  F.coalesce(F.bool_or(older), F.lit(False)).alias(f"{prefix}_older"))
-
-
 def alert(reports: dict, asof, max_days: int, min_rows: int) -> DataFrame:
     """AG17: one-row alert over several reports.
 

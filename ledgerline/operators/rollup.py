@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import split_list
-
 
 def listagg_by_value(c, sep: str = ", ") -> Column:
     """AG3: ``LISTAGG(NULLIF(c, ''), sep) WITHIN GROUP (ORDER BY c)``.
@@ -71,32 +69,6 @@ def mode_per_group(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame
     return counted.groupBy(*keys).agg(*picks)
 
 
-def sum_having_positive(df: DataFrame, keys: list[str], qty_col: str, name: str) -> DataFrame:
-    """AG4: ``SUM(q) ... HAVING SUM(q) > 0``."""
-    return df.groupBy(*keys).agg(F.sum(qty_col).alias(name)).where(F.col(name) > 0)
-
-
-def distinct_values_per_group(df: DataFrame, keys: list[str], list_col, sep: str = ", ",
-                              name: str = "tags") -> DataFrame:
-    """AG15 (skew-safe form): sorted distinct values of a ``sep``-joined list
-    column per group.  The lists are exploded and reduced with
-    ``collect_set`` (merged map-side), so a group's buffer holds each
-    distinct value once however many rows the group has."""
-    c = F.col(list_col) if isinstance(list_col, str) else list_col
-    exploded = df.select(*keys, F.explode(split_list(c, sep)).alias("_v"))
-    return exploded.groupBy(*keys).agg(F.array_sort(F.collect_set("_v")).alias(name))
-
-
-def all_present(c) -> Column:
-    """AG14: every row of the group has a non-null value."""
-    return F.bool_and((F.col(c) if isinstance(c, str) else c).isNotNull())
-
-
-def any_true(cond: Column) -> Column:
-    """AG16: some row of the group satisfies ``cond`` (false on no rows)."""
-    return F.coalesce(F.bool_or(cond), F.lit(False))
-
-
 def coverage(df: DataFrame, c: str) -> DataFrame:
     """AG20: min and max of a column."""
     return df.agg(F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"))

@@ -75,9 +75,13 @@ def json_props(spark, sf):
                                        F.max(F.get_json_object("props", "$.k").cast("bigint")).alias("max_k"))
 
 
+#: Rows of an OData page, and variants of a product document, at most.
+PAGE_ROWS, VARIANTS = 10_000, 100
+
+
 def land_products(spark, sf):
     """Product documents (B3 shape): one product per brand, its parts as
-    variants (inventory level only for larger sizes, image only for some)."""
+    variants, in documents of VARIANTS at most (inventory level only for larger sizes, image only for some)."""
     p = table(spark, sf, "part")
     brand_no = F.regexp_extract("p_brand", r"(\d+)$", 1)
     opts = F.array(F.struct(F.lit("Title").alias("name"), F.col("p_name").alias("value")),
@@ -100,9 +104,8 @@ def land_products(spark, sf):
         F.when(F.col("p_size") < 10, F.lit("GRAMS")).when(F.col("p_size") < 30, F.lit("KILOGRAMS")).alias("weightUnit"))
     img = F.struct(F.struct(F.concat(F.lit("img-"), brand_no).alias("id"), F.col("p_brand").alias("altText"),
                             F.concat(F.lit("https://img.example/"), brand_no).alias("url")).alias("node"))
-    prods = p.groupBy("p_brand").agg(
-        F.collect_list(F.struct(variant.alias("node"))).alias("vedges"),
-        F.collect_set("p_type").alias("types"))
+    types = p.groupBy("p_brand").agg(F.collect_set("p_type").alias("types"))
+    prods = S.in_pages(p, ["p_brand"], F.struct(variant.alias("node")), ["p_partkey"], VARIANTS, "vedges").join(types, "p_brand")
     doc = F.struct(
         F.concat(F.lit("gid://shopify/Product/"), F.regexp_extract("p_brand", r"(\d+)$", 1)).alias("id"),
         F.col("p_brand").alias("title"), F.lit("ACTIVE").alias("status"),
@@ -254,13 +257,13 @@ PART_ODATA = [("PARTID", "BIGINT"), ("NAME", "VARCHAR"), ("BRAND", "VARCHAR"), (
 
 def json_array_docs(spark, sf):
     """SC11/SC13-SC15/PL12/PL13: OData pages ``{"@odata.etag", "value": [...]}``
-    (one per brand and type) parsed, inlined, conformed to the declared
+    (per brand and type, of PAGE_ROWS rows at most) parsed, inlined, conformed to the declared
     schema; text price made numeric; ``Yes``/``No`` flag to boolean."""
     p = table(spark, sf, "part")
     row = F.struct(F.col("p_partkey").alias("partId"), F.col("p_name").alias("name"), F.col("p_brand").alias("brand"),
                    F.col("p_retailprice").cast("string").alias("price"), F.col("p_size").alias("size"),
                    F.when(F.col("p_type") == "PROMO", F.lit("Yes")).when(F.col("p_size") > 25, F.lit("No")).alias("isPromo"))
-    pages = p.groupBy("p_brand", "p_type").agg(F.collect_list(row).alias("value")) \
+    pages = S.in_pages(p, ["p_brand", "p_type"], row, ["p_partkey"], PAGE_ROWS) \
         .select(F.to_json(F.struct(F.lit("W/\"1\"").alias("@odata.etag"), "value")).alias("payload"))
     schema = "`@odata.etag` string, value array<struct<partId:bigint,name:string,brand:string,price:string,size:int,isPromo:string>>"
     rows = S.odata_rows(pages.select(S.parse_json(F.col("payload"), schema).alias("d")).select("d.*"))

@@ -3,11 +3,13 @@ FL3, FL9, DT6, NU3, AG11-AG15, AG18, ST5, ST12, ST13, JS2).
 
 The reference walks rows in Python, keeps a dict per customer and sale, and
 asks an external service per customer whether a profile exists.  Here the
-whole job is one plan: two left joins (ERP customer, latest shipping
-address), an e-mail cascade, one join to the variant table, one
-``groupBy(customer, sale)`` and ``to_json``.  The profile check is a join to
-a ``profiles`` table; customers without a profile get their last 12 months
-of sales in one second scan (not one query per customer).
+job reads the sales of 13 months once, with a flag for the period's own
+lines.  One aggregate gives each customer's first lines; the e-mail cascade
+(ERP customer, sale line, latest shipping address) and the profile check, a
+join to a ``profiles`` table, then work on one row a customer.  A bit map of
+the customers without a profile filters the older lines before they are
+shuffled; what remains is joined to the variant table, grouped once by
+``(customer, sale)`` and written by ``to_json``.
 """
 
 from __future__ import annotations
@@ -20,8 +22,9 @@ from pyspark.sql import functions as F
 from ..functions import casts as C
 from ..functions import dates as D
 from ..functions import text as T
-from ..operators.dedupe import keep_first, latest_by
-from ..operators.rollup import distinct_values_per_group
+from ..functions.arrays import distinct_of_lists
+from ..operators.dedupe import latest_by
+from ..operators.membership import maybe_member
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import table
 
@@ -34,39 +37,50 @@ SOURCE_NAME = "retail"
 LINE_GRAMS = 200
 IMAGE_SIZE = 2000
 
-EMAIL_SOURCES = ("erp_primary_contact", "erp_receipt", "sale_line", "shop_address")
 _ARRIVAL = ["SALESID", "LINENUM", "SALESLINEPK"]
 
 
-def retail_lines(sales: DataFrame, erp_customers: DataFrame, shop_addresses: DataFrame,
-                 start, end) -> DataFrame:
-    """JN7/JN8/WN1/FL3/FL9/NU3: retail lines of ``[start, end]`` with the
-    customer's e-mail chosen by truthiness from ERP primary contact, ERP
-    receipt mail, the sale line and the latest shipping address (by order id
-    as text, descending); lines without any e-mail are dropped."""
-    erp, latest = _email_sources(erp_customers, shop_addresses)
-    return _lines_with_email(sales, erp, latest, start, end)
+def period_lines(sales: DataFrame, back, start, end) -> DataFrame:
+    """JN7/FL3/FL9: retail lines of ``[back, end]`` of accounts that count, with
+    IN_PERIOD: is the line of ``[start, end]``."""
+    return (sales.where(D.between_days("INVOICEDATE", back, end) & (F.col("CECO") == RETAIL_COST_CENTRE)
+                        & ~F.col("CUSTACCOUNT").isin(*AVOID_ACCOUNTS))
+            .withColumn("IN_PERIOD", D.between_days("INVOICEDATE", start, end)))
 
 
-def _email_sources(erp_customers: DataFrame, shop_addresses: DataFrame):
-    """The two e-mail lookups: ERP customer contacts, and each customer's
-    latest shipping-address e-mail (a per-key aggregate, computed once)."""
-    latest = latest_by(shop_addresses.select("CUSTOMER_ID", "ORDER_ID", "EMAIL"), ["CUSTOMER_ID"], ["ORDER_ID"]) \
-        .select(F.col("CUSTOMER_ID").alias("_sa_id"), F.col("EMAIL").alias("SHOPIFY_EMAIL"))
-    erp = erp_customers.select(F.col("CUSTOMERACCOUNT").alias("_ec_id"),
-                               F.col("PRIMARYCONTACTEMAIL").alias("ERP_CUST_PRIMARYCONTACTEMAIL"), "RECEIPTEMAIL")
-    return erp, latest
+def customers_of(lines: DataFrame, erp_customers: DataFrame, shop_addresses: DataFrame, profiles: DataFrame) -> DataFrame:
+    """JN7/JN8/WN1/WN4/NU3: one row per customer with a line of the period that has an e-mail.
 
+    A line's e-mail is the first truthy one of ERP primary contact, ERP receipt
+    mail, the sale line and the latest shipping address (by order id as text,
+    descending).  NEW: the first such line's e-mail has no profile.  EMAIL and
+    FULL_NAME come from the customer's first line with an e-mail (arrival
+    order: sale, line number, line key), for new customers among all lines.
+    HAS_EMAIL: every line has one, also without one of its own.
+    """
+    own, arrival = F.nullif("PRIMARYCONTACTEMAIL", F.lit("")), F.struct(*_ARRIVAL)
+    line = F.struct(own.alias("own"), F.col("ORGANIZATIONNAME").alias("name"))
+    firsts = lines.groupBy("CUSTACCOUNT").agg(
+        F.min_by(line, F.when(F.col("IN_PERIOD"), arrival)).alias("period_any"),
+        F.min_by(line, F.when(F.col("IN_PERIOD") & own.isNotNull(), arrival)).alias("period_own"),
+        F.min_by(line, arrival).alias("all_any"), F.min_by(line, F.when(own.isNotNull(), arrival)).alias("all_own")) \
+        .where(F.col("period_any").isNotNull())
+    latest = latest_by(shop_addresses.select("CUSTOMER_ID", "ORDER_ID", "EMAIL"), ["CUSTOMER_ID"], ["ORDER_ID"])
+    contacts = erp_customers.groupBy("CUSTOMERACCOUNT").agg(F.min(F.struct("PRIMARYCONTACTEMAIL", "RECEIPTEMAIL")).alias("erp"))
+    j = firsts.join(contacts, F.col("CUSTACCOUNT") == F.col("CUSTOMERACCOUNT"), "left") \
+        .join(latest.select("CUSTOMER_ID", F.col("EMAIL").alias("shop")), F.col("CUSTACCOUNT") == F.col("CUSTOMER_ID"), "left")
+    has = C.first_truthy("erp.PRIMARYCONTACTEMAIL", "erp.RECEIPTEMAIL", "shop").isNotNull()
+
+    def chosen(any_, own_):
+        mail = C.first_truthy("erp.PRIMARYCONTACTEMAIL", "erp.RECEIPTEMAIL", f"{any_}.own", "shop")
+        return F.when(has, F.struct(mail.alias("EMAIL"), F.col(f"{any_}.name").alias("FULL_NAME"))) \
+            .when(F.col(own_).isNotNull(), F.struct(F.col(f"{own_}.own").alias("EMAIL"), F.col(f"{own_}.name").alias("FULL_NAME")))
 
-def _lines_with_email(sales: DataFrame, erp: DataFrame, latest: DataFrame, start, end) -> DataFrame:
-    sl = sales.where(D.between_days("INVOICEDATE", start, end) & (F.col("CECO") == RETAIL_COST_CENTRE)
-                     & ~F.col("CUSTACCOUNT").isin(*AVOID_ACCOUNTS))
-    j = sl.join(erp, sl.CUSTACCOUNT == erp._ec_id, "left").join(latest, sl.CUSTACCOUNT == latest._sa_id, "left")
-    named = [(EMAIL_SOURCES[0], F.col("ERP_CUST_PRIMARYCONTACTEMAIL")), (EMAIL_SOURCES[1], F.col("RECEIPTEMAIL")),
-             (EMAIL_SOURCES[2], F.col("PRIMARYCONTACTEMAIL")), (EMAIL_SOURCES[3], F.col("SHOPIFY_EMAIL"))]
-    return (j.withColumn("LINE_EMAIL", C.first_truthy(*[c for _, c in named]))
-            .withColumn("EMAIL_SOURCE", C.first_truthy_source(named))
-            .where(F.col("LINE_EMAIL").isNotNull()).drop("_ec_id", "_sa_id"))
+    c = j.select("CUSTACCOUNT", has.alias("HAS_EMAIL"), chosen("period_any", "period_own").alias("in_period"), chosen("all_any", "all_own").alias("in_all")) \
+        .where(F.col("in_period").isNotNull())
+    known = profiles.select(F.col("EMAIL").alias("_profile")).distinct()
+    c = c.join(known, F.col("in_period.EMAIL") == F.col("_profile"), "left").withColumn("NEW", F.col("_profile").isNull())
+    return c.withColumn("_c", F.when(F.col("NEW"), F.col("in_all")).otherwise(F.col("in_period"))).select("CUSTACCOUNT", "HAS_EMAIL", "NEW", "_c.*")
 
 
 def with_variants(lines: DataFrame, variants: DataFrame) -> DataFrame:
@@ -80,9 +94,7 @@ def with_variants(lines: DataFrame, variants: DataFrame) -> DataFrame:
 def _event_docs(sale: DataFrame, show_location: Column, vendor: str = DEFAULT_VENDOR) -> Column:
     lines = F.col("lines")
     store = F.col("CANAL")
-    name = F.when(F.col("INVOICEID").startswith(T.RETURN_INVOICE_PREFIX), F.lit("[NC] Placed retail return")) \
-        .otherwise(F.lit("Placed Retail Order"))
-    name = F.when(show_location, F.concat(name, F.lit(" - "), F.upper(store.cast("string")))).otherwise(name)
+    name = F.when(show_location, T.sale_event_name("INVOICEID", store)).otherwise(T.sale_event_name("INVOICEID"))
     money = lambda v: F.struct(F.struct(v.alias("amount"), F.lit(CURRENCY).alias("currency_code")).alias("shop_money"),
                                F.struct(v.alias("amount"), F.lit(CURRENCY).alias("currency_code")).alias("presentment_money"))
     image = lambda l: F.array(F.struct(l["IMAGE_SRC"].alias("src"), l["IMAGE_SRC"].alias("thumb_src"),
@@ -140,42 +152,33 @@ def retail_events(sales: DataFrame, erp_customers: DataFrame, shop_addresses: Da
     Customers whose e-mail has no profile get the sales of the 12 months
     before ``start`` too (DT7).  Each sale yields two events, without and
     with the store in the event name.  Per customer, e-mail and name come
-    from its first line with an e-mail (WN4, arrival order = sale, line
-    number, line key); per sale the store, time and invoice come from its
-    first line.  The document takes the full commerce shape when every line
+    from its first line with an e-mail (:func:`customers_of`); per sale the
+    store, time and invoice come from its first line.  The document takes the full commerce shape when every line
     found a variant (AG14), else the short shape.
     """
     start_d = start if isinstance(start, _dt.date) else _dt.date.fromisoformat(str(start)[:10])
     leap_day = start_d.month == 2 and start_d.day == 29  # the month's last day a year before, as add_months has it
     back = start_d.replace(year=start_d.year - 1, day=28 if leap_day else start_d.day)
-    erp, latest = _email_sources(erp_customers, shop_addresses)
-    base = _lines_with_email(sales, erp, latest, start, end)
-    first = keep_first(base.select("CUSTACCOUNT", *_ARRIVAL, "LINE_EMAIL"), ["CUSTACCOUNT"], _ARRIVAL)
-    prof = profiles.select(F.col("EMAIL").alias("_pe")).distinct()
-    new = first.join(prof, first.LINE_EMAIL == prof._pe, "left_anti").select("CUSTACCOUNT")
-    known_lines = base.join(new, "CUSTACCOUNT", "left_anti")
-    back_lines = _lines_with_email(sales, erp, latest, back, end).join(new, "CUSTACCOUNT", "left_semi")
-    # the event lines feed two aggregations (customer, sale): materialise once
+    # the sales are read once: the customers' aggregate and the event lines both read what is written here
     ensure_checkpoint_dir(sales.sparkSession)
-    lines = with_variants(known_lines.unionByName(back_lines), variants).checkpoint(eager=True)
-
-    cust = keep_first(lines.select("CUSTACCOUNT", *_ARRIVAL, F.col("LINE_EMAIL").alias("EMAIL"),
-                                   F.col("ORGANIZATIONNAME").alias("FULL_NAME")), ["CUSTACCOUNT"], _ARRIVAL) \
-        .select("CUSTACCOUNT", "EMAIL", "FULL_NAME")
+    used = ["CUSTACCOUNT", *_ARRIVAL, "PRIMARYCONTACTEMAIL", "ORGANIZATIONNAME", "IN_PERIOD", "CANAL", "CREATEDTRANSACTIONDATE2", "INVOICEID",
+            "ITEMID", "INVENTCOLORID", "INVENTSIZEID", "QTY", "LINEAMOUNTWITHTAXES"]
+    lines = period_lines(sales, back, start, end).select(*used).checkpoint()
+    customers = customers_of(lines, erp_customers, shop_addresses, profiles).checkpoint()
+    new = customers.where("NEW")
+    older = maybe_member(lines.where("NOT IN_PERIOD"), "CUSTACCOUNT", new.select("CUSTACCOUNT"), "_new").where("_new").select(*used)
+    lines = lines.where("IN_PERIOD").join(customers, "CUSTACCOUNT").unionByName(older.join(new, "CUSTACCOUNT")) \
+        .where(F.col("HAS_EMAIL") | C.truthy("PRIMARYCONTACTEMAIL"))
     line = F.struct(*[F.col(c) for c in _ARRIVAL], "SKU", "QTY", F.col("LINEAMOUNTWITHTAXES").alias("PRICE"),
                     "VARIANT_ID", "PRODUCT_ID", "PRODUCT_TITLE", "PRODUCT_TYPE", "PRODUCT_HANDLE",
-                    "IMAGE_ID", "IMAGE_ALT", "IMAGE_SRC")
+                    "IMAGE_ID", "IMAGE_ALT", "IMAGE_SRC", "PRODUCT_TAGS")
     first_line = F.min_by(F.struct("CANAL", "CREATEDTRANSACTIONDATE2", "INVOICEID"), F.struct(*_ARRIVAL))
-    sale = lines.groupBy("CUSTACCOUNT", "SALESID").agg(
-        first_line.alias("_s"), F.array_sort(F.collect_list(line)).alias("lines"),
-        F.bool_and(F.col("VARIANT_ID").isNotNull()).alias("all_matched"),
+    sale = with_variants(lines, variants).groupBy("CUSTACCOUNT", "SALESID").agg(
+        first_line.alias("_s"), F.any_value("EMAIL").alias("EMAIL"), F.any_value("FULL_NAME").alias("FULL_NAME"),
+        F.array_sort(F.collect_list(line)).alias("lines"), F.bool_and(F.col("VARIANT_ID").isNotNull()).alias("all_matched"),
         F.round(F.sum("LINEAMOUNTWITHTAXES"), 2).alias("total"), F.count(F.lit(1)).alias("item_count"))
-    tags = distinct_values_per_group(lines, ["CUSTACCOUNT", "SALESID"], "PRODUCT_TAGS", name="tags")
-    sale = sale.join(tags, ["CUSTACCOUNT", "SALESID"], "left") \
-        .withColumn("tags", F.coalesce("tags", F.array().cast("array<string>")))
-    sale = sale.select("*", "_s.*").drop("_s") \
-        .withColumn("event_time", D.iso_utc_text("CREATEDTRANSACTIONDATE2")) \
-        .join(cust, "CUSTACCOUNT", "inner")
+    sale = sale.select("*", "_s.*", distinct_of_lists(F.transform("lines", lambda x: T.split_list(x["PRODUCT_TAGS"]))).alias("tags")).drop("_s") \
+        .withColumn("event_time", D.iso_utc_text("CREATEDTRANSACTIONDATE2"))
     ev = sale.select("*", F.explode(F.array(F.lit(False), F.lit(True))).alias("show_location"))
     name, doc = _event_docs(ev, F.col("show_location"), vendor)
     return ev.select("CUSTACCOUNT", "SALESID", "show_location", name.alias("event"), "EMAIL", "all_matched",
@@ -183,12 +186,6 @@ def retail_events(sales: DataFrame, erp_customers: DataFrame, shop_addresses: Da
                      doc.alias("document"))
 
 
-def email_source_counts(lines: DataFrame) -> DataFrame:
-    """AG18: customers per winning e-mail source (exact distinct counts)."""
-    return lines.groupBy("EMAIL_SOURCE").agg(F.count_distinct("CUSTACCOUNT").alias("n_customers"),
-                                             F.count_distinct("SALESID").alias("n_sales"))
-
-
 # ------------------------------------------------------- test-table inputs
 def _event_inputs(spark, sf):
     li, o = table(spark, sf, "lineitem"), table(spark, sf, "orders")

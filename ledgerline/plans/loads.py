@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import double_or_zero, fill_blank_strings
 from ..functions.dates import lookback_filter, period_filter
-from ..operators.calendar import calendar_from
+from ..operators.calendar import calendar_from, day_pairs
 from ..operators.dedupe import latest_by
 from ..operators.intervals import add_capture, state_at
-from ..operators.merge import update_from, upsert, upsert_parts, upsert_stats, upsert_table
+from ..operators.merge import update_from, update_where, upsert, upsert_parts, upsert_stats, upsert_table
 from ..session import ensure_checkpoint_dir
 from ..sources.parts import PartTable, bucket_of
 from ..sources.tables import scan, table
@@ -123,6 +123,23 @@ def update_order_status(spark, sf, since="2001-01-01"):
     return update_from(o, changes, ["o_orderkey"], ["o_orderstatus"])
 
 
+def point_update(spark, sf):
+    """SK12: the header of one order set by its id; every other row as it was."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    return update_where(o, F.col("o_orderkey") == 100, {"o_orderstatus": "X", "o_totalprice": F.col("o_totalprice") + 1})
+
+
+def orders_by_day_pair(spark, sf):
+    """DT11: the orders of each day ``[d, d + 1)`` of a half-open range, by the pairs that the tax load asks for."""
+    since, until = (F.lit(d).cast("timestamp_ntz") for d in ("2000-01-28", "2000-03-02"))
+    o = table(spark, sf, "orders").where((F.col("o_orderdate") >= since) & (F.col("o_orderdate") < until))
+    pairs = day_pairs(spark, "2000-01-28", "2000-03-02")
+    counts = o.groupBy(F.to_date("o_orderdate").alias("day_start")).agg(F.count(F.lit(1)).alias("n"))
+    return pairs.join(counts, "day_start", "left").select(F.date_format("day_start", "yyyy-MM-dd").alias("day_start"),
+                                                          F.date_format("day_end", "yyyy-MM-dd").alias("day_end"),
+                                                          F.coalesce("n", F.lit(0)).cast("bigint").alias("n_orders"))
+
+
 def snapshot_history(spark, sf):
     """PL10/SK7/SM5: closing row per user per day (latest capture of the day)."""
     e = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
@@ -235,6 +252,15 @@ ORACLE = {
     "q_upsert_parts_stats": """
         SELECT CAST(COUNT(*) FILTER (WHERE o_orderkey % 97 = 0) AS BIGINT) AS inserted_rows,
                CAST(COUNT(*) FILTER (WHERE o_orderkey % 50 = 0) AS BIGINT) AS updated_rows FROM orders""",
+    "q_point_update": """
+        SELECT o_orderkey, CASE WHEN o_orderkey = 100 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_orderpriority,
+               CASE WHEN o_orderkey = 100 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders""",
+    "q_day_pairs": """
+        WITH d AS (SELECT CAST(UNNEST(GENERATE_SERIES(DATE '2000-01-28', DATE '2000-03-01', INTERVAL 1 DAY)) AS DATE) AS day_start),
+             c AS (SELECT CAST(o_orderdate AS DATE) AS day_start, COUNT(*) AS n FROM orders GROUP BY 1)
+        SELECT STRFTIME(d.day_start, '%Y-%m-%d') AS day_start, STRFTIME(CAST(d.day_start + INTERVAL 1 DAY AS DATE), '%Y-%m-%d') AS day_end,
+               CAST(COALESCE(n, 0) AS BIGINT) AS n_orders
+        FROM d LEFT JOIN c ON d.day_start = c.day_start""",
     "q_history_intervals": """
         WITH c(capture) AS (VALUES ('2024-01-06 00:00:00'), ('2024-01-11 00:00:00'), ('2024-01-16 00:00:00'), ('2024-01-16 12:00:00'),
                                    ('2024-01-21 00:00:00'), ('2024-01-31 00:00:00'))
@@ -287,6 +313,8 @@ QUERIES = {
     "q_upsert_parts_stats": upsert_touched_stats,
     "q_update_from": update_order_status,
     "q_history_intervals": history_from_intervals,
+    "q_point_update": point_update,
+    "q_day_pairs": orders_by_day_pair,
     "q_snapshot_history": snapshot_history,
     "q_full_refresh_clean": full_refresh_clean,
     "q_period_day": period_day,

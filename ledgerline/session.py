@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 
@@ -70,3 +71,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir()
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files and checkpoints that no frame refers to any more.
+
+    Spark's cleaner learns of them when the driver collects garbage, by itself
+    every half hour; a job of many steps calls this between two of them, after
+    dropping its own references, so that finished steps do not fill the disks.
+    """
+    gc.collect()
+    spark._jvm.System.gc()

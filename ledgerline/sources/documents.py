@@ -93,12 +93,20 @@ def parse_json(text: Column, schema: str) -> Column:
     return F.from_json(text, schema)
 
 
-def connection_nodes(df: DataFrame, connection: str) -> DataFrame:
-    """SC1/AR4: one row per ``connection.edges[].node`` (GraphQL pages)."""
-    return df.select(F.inline(F.transform(F.col(f"{connection}.edges"), lambda e: F.struct(e["node"].alias("node"))))) \
-        .select("node.*")
-
-
 def odata_rows(df: DataFrame, value_col: str = "value") -> DataFrame:
     """SC13-SC15: one row per element of an OData ``value`` array."""
     return df.select(F.inline(F.col(value_col)))
+
+
+def in_pages(rows: DataFrame, keys: list[str], row: Column, order: list[str], size: int, name: str = "value") -> DataFrame:
+    """SC11/SC13-SC15 the other way: (keys, page, ``name``): each group's rows as arrays of at most ``size``.
+
+    The rows of a group are dealt to pages by their number in the group
+    (:func:`~ledgerline.operators.dedupe.number_within`), so a page, and what a
+    task gathers for it, has a bound however many rows share the keys.
+    """
+    from ..operators.dedupe import number_within
+    numbered = number_within(rows.withColumn("_row", row).select(*keys, *order, "_row"), keys, order, "_number")
+    page = F.floor((F.col("_number") - 1) / size).cast("int")
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("_number", "_row"))), lambda x: x["_row"])
+    return numbered.groupBy(*keys, page.alias("page")).agg(listed.alias(name))

@@ -67,3 +67,23 @@ def test_exact_lookup_gives_each_row_once(spark):
     table = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), (None, 9, "n")], "k string, v int, w string")
     got = exact_lookup(df, F.col("k"), table, "k", ["v", "w"], {"w": "-"})
     assert sorted(map(str, got.collect())) == sorted(["Row(k='a', v=1, w='y')"] * 2 + ["Row(k='b', v=None, w='-')", "Row(k=None, v=None, w='-')"])
+
+
+def test_contained_equals_comparing_all(spark):
+    import random
+
+    from ledgerline.operators.lookup import contained
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcñ. ") for _ in range(n))
+    needles = sorted({word(rng.randint(0, 6)) for _ in range(150)} | {"a", "aa", "", "zzz"})
+    texts = sorted({word(rng.randint(0, 12)) for _ in range(150)} | {word(2000), "", "a"})
+    got = contained(spark.createDataFrame([(n,) for n in needles] + [(None,)], "n string"), "n", spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string"), "t")
+    assert sorted(map(tuple, got.collect())) == sorted((n, t) for n in needles if n for t in texts if n in t)
+
+
+def test_cascade_takes_values_of_any_length(spark):
+    table = spark.createDataFrame([(1, "Valparaiso", 10), (2, "Santiago", 20), (3, "a" * 2000 + "x", 30), (4, "Rio", 40)], "ord int, name string, km int")
+    values = ["i", "x", "zona de SANTIAGO centro " + "b" * 2000, "a" * 1500, "rio", "q", "valpar", None, " "]
+    df = spark.createDataFrame([(v,) for v in values], "city string")
+    got = {r["city"]: (r["match_km"], r["match_rank"]) for r in cascading_lookup(df, "city", table, "name", ["km"], "ord", {"km": 0}).collect()}
+    assert got == {"i": (10, 3), "x": (30, 3), values[2]: (20, 3), values[3]: (30, 3), "rio": (40, 2), "q": (0, None), "valpar": (10, 3), None: (0, None), " ": (0, None)}
