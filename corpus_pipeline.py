@@ -16,46 +16,64 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import dsir, jaccard, members, packing, pii, queries, rules
+from ledgerline.operators.membership import fresh_name
 from ledgerline.session import ensure_checkpoint_dir
 
 
-ROW = "_row_key"
+#: The session setting that names the pseudonyms' key; without it they have the demonstration key.
+KEY_SETTING = "spark.ledgerline.pii.key"
 
 
-def _keyed(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """docs with ROW: the row's id and a 128-bit hash of its columns, ordered by id (null last), then hash.
+def _keyed(docs: DataFrame, columns: list[str]) -> tuple[DataFrame, str]:
+    """docs with one column more, and its name: the row's id and a 128-bit hash of its columns, ordered by id (null last), then hash.
 
     It depends on the row alone, so every read of the stage's input gives the
-    same; rows that are equal in the columns share it and every verdict.
+    same; rows that are equal in the columns share it and every verdict.  The
+    name is one that docs does not have, so no column is lost.
     """
+    row = fresh_name(docs, "_row_key")
     parts = [part for c in columns for part in (docs[c].isNull(), docs[c])]
     whole = lambda c: F.unhex(F.lpad(F.hex(c), 16, "0"))
     number = docs["doc_id"].cast("long").bitwiseXOR(F.lit(-1 << 63))
     given = F.coalesce(F.concat(F.unhex(F.lit("00")), whole(number)), F.unhex(F.lit("01")))
-    return docs.withColumn(ROW, F.concat(given, *(whole(F.xxhash64(F.lit(i), *parts)) for i in (1, 2))))
+    return docs.withColumn(row, F.concat(given, *(whole(F.xxhash64(F.lit(i), *parts)) for i in (1, 2)))), row
 
 
-def _keep(keyed: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The rows of keyed with a kept verdict, without ROW.
+def _keep(keyed: DataFrame, row: str, verdicts: DataFrame) -> DataFrame:
+    """The rows of keyed whose row key has a kept verdict in verdicts (row key, kept).
 
     Only row keys and verdicts are shuffled, and the texts of rejected rows;
     the kept texts stay where they were read.
     """
-    by_row = verdicts.groupBy(ROW).agg(F.max("kept").alias("kept"))
-    rejected = by_row.where("not kept").select(ROW).checkpoint()
-    return members.split(keyed, ROW, rejected)[0]
+    by_row = verdicts.toDF("row", "kept").groupBy("row").agg(F.max("kept").alias("kept"))
+    rejected = by_row.where("not kept").select("row").checkpoint()
+    return members.split(keyed, row, rejected)[0]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and are no outliers of their language and source."""
-    keyed = _keyed(docs, docs.columns)
-    return _keep(keyed, rules.verdicts(keyed, id_col=ROW)).drop(ROW)
+    """Documents that pass the base rules and are no outliers of their language and source.
+
+    Null, empty and wordless texts fail the base rules and go.  Repeated rows
+    stay or go together; very long texts are judged whole; an empty table stays
+    empty; extra columns of any name come back as they were.
+    """
+    keyed, row = _keyed(docs, docs.columns)
+    plain = keyed.select(F.col(row).alias("row"), *(keyed[c] for c in ("text", "lang", "source")))
+    return _keep(keyed, row, rules.verdicts(plain, id_col="row").select("row", "kept")).drop(row)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn by importance resampling towards those labelled good."""
-    keyed = _keyed(docs, docs.columns)
-    return _keep(keyed, dsir.resample(keyed, queries.good_ids(spark, sf_dir), keep=(ROW,))).drop(ROW)
+    """Documents drawn by importance resampling towards those labelled good.
+
+    Null, empty and wordless texts are as likely either way and compete like
+    others; equal rows may be drawn one by one, but stay or go together; very
+    long texts are weighed whole; an empty table stays empty; extra columns of
+    any name come back as they were.
+    """
+    keyed, row = _keyed(docs, docs.columns)
+    plain = keyed.select("doc_id", "text", F.col(row).alias("row"))
+    drawn = dsir.resample(plain, queries.good_ids(spark, sf_dir), keep=("row",))
+    return _keep(keyed, row, drawn.select("row", "kept")).drop(row)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,24 +81,38 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Repeated rows of it stay once.  Of several texts under the smallest id, or
     of rows that all have no id, one stays, the one with the smallest hash.
+    Texts without words are copies of nothing and stay (equal rows once); very
+    long texts are compared whole; an empty table stays empty; extra columns of
+    any name come back as they were.
     """
-    keyed = _keyed(docs, ["doc_id", "text"])
-    classes = jaccard.linked(keyed, k=5, pct=80, id_col=ROW)
-    left = _keep(keyed, classes.select((F.col("component_id") == F.col(ROW)).alias("kept"), ROW))
-    repeated = keyed.groupBy(ROW).count().where("count > 1").select(ROW).checkpoint()
+    keyed, row = _keyed(docs, ["doc_id", "text"])
+    classes = jaccard.linked(keyed.select(F.col(row).alias("row"), "text"), k=5, pct=80, id_col="row")
+    left = _keep(keyed, row, classes.select("row", (F.col("component_id") == F.col("row")).alias("kept")))
+    repeated = keyed.groupBy(row).count().where("count > 1").select(row).checkpoint()
     if repeated.isEmpty():
-        return left.drop(ROW)
-    once, again = members.split(left, ROW, repeated)
-    return once.union(again.dropDuplicates([ROW])).drop(ROW)
+        return left.drop(row)
+    once, again = members.split(left, row, repeated)
+    return once.union(again.dropDuplicates([row])).drop(row)
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its personal data replaced by keyed pseudonyms of the same length."""
-    return pii.pseudonymised(docs, queries.PII_KEY, spans_col=None)
+    """Every document with its personal data replaced by keyed pseudonyms of the same length.
+
+    The key is the session's KEY_SETTING.  Null and empty texts stay as they
+    are; rows pass one by one, repeated ones too; very long texts are searched
+    whole; an empty table stays empty; other columns come back as they were.
+    """
+    key = spark.conf.get(KEY_SETTING, None)
+    return pii.pseudonymised(docs, key.encode() if key else queries.PII_KEY, spans_col=None)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every token piece in sequences of at most 2048 tokens."""
+    """The place of every token piece in sequences of at most 2048 tokens.
+
+    Null and empty texts are their end mark alone; repeated rows are packed
+    each; longer texts are cut; an empty table gives no rows; only doc_id and
+    text are read.
+    """
     return packing.packed(docs, public_tokenizers.path(queries.VOCABULARY), public_tokenizers.path(queries.RANKS))
 
 
