@@ -1,46 +1,32 @@
 """Rows by membership of their id in a table of ids, without shuffling the other rows.
 
-A bit map over the hashed ids, of MAP_BITS / 8 bytes at most, is broadcast.
-Rows that miss it are certainly no members; only the few that hit it are
-joined.  When the map fills up (very many ids) more rows are joined, with the
-same result.
+Rows that miss the bit map of the ids (:mod:`ledgerline.operators.membership`)
+are certainly no members; only the few that hit it are joined.  When the map
+fills up (very many ids) more rows are joined, with the same result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-#: 4 MB; a wrong hit only costs time.
-MAP_BITS = 1 << 25
-
-
-def _bit(c: Column) -> Column:
-    return F.pmod(F.xxhash64(c), F.lit(MAP_BITS)) + 1
-
-
-def _marked(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """df with _hit: whether the column's bit is set in the map of ids (one column)."""
-    bits = ids.select(_bit(F.col(ids.columns[0])).alias("_bit")).groupBy(F.bitmap_bucket_number("_bit").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("_map"))
-    at = F.bitmap_bit_position(_bit(F.col(column)))
-    byte = F.conv(F.hex(F.substring("_map", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    set_ = byte.bitwiseAND(F.element_at(F.array(*(F.lit(1 << i) for i in range(8))), (at % 8 + 1).cast("int"))) != 0
-    joined = df.withColumn("_bucket", F.bitmap_bucket_number(_bit(F.col(column)))).join(F.broadcast(bits), "_bucket", "left")
-    return joined.withColumn("_hit", F.coalesce(set_, F.lit(False)))
+from ledgerline.operators.membership import fresh_name, maybe_member
 
 
 def maybe_in(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """The rows whose column may be among ids: all that are, few others while the map is sparse."""
-    return _marked(df, column, ids).where("_hit").select(*df.columns)
+    hit = fresh_name(df, "_hit")
+    return maybe_member(df, column, ids, hit).where(f"`{hit}`").drop(hit)
 
 
 def split(df: DataFrame, column: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows whose column is not among ids, rows whose column is); null is a value like others.
 
-    df and ids are read more than once: give tables or checkpointed frames.
+    All columns come back as they were, whatever their names.  df and ids are
+    read more than once: give tables or checkpointed frames.
     """
-    marked = _marked(df, column, ids)
-    near = marked.where("_hit").select(*df.columns)
-    given = ids.toDF("_id").distinct()
-    same = near[column].eqNullSafe(given["_id"])
-    return marked.where("not _hit").select(*df.columns).union(near.join(given, same, "left_anti")), near.join(given, same, "left_semi")
+    hit, id_ = fresh_name(df, "_hit"), fresh_name(df, "_id")
+    marked = maybe_member(df, column, ids, hit)
+    near = marked.where(f"`{hit}`").drop(hit)
+    given = ids.toDF(id_).distinct()
+    same = near[f"`{column}`"].eqNullSafe(given[id_])
+    return marked.where(f"NOT `{hit}`").drop(hit).union(near.join(given, same, "left_anti")), near.join(given, same, "left_semi")

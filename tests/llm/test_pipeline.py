@@ -49,6 +49,30 @@ def test_stages_keep_the_columns_and_take_odd_rows(spark, odd, empty):
             out.count()
 
 
+def test_columns_of_any_name_come_back_as_they_were(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    names = ["_row_key", "_hit", "_bucket", "_bits", "_map", "_id", "row", "key", "kept", "Text_", "_Row_Key_"]
+    df = docs.select("*", *(F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, df, SF)
+        assert out.columns == df.columns, name
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names), name
+
+
+def test_the_key_of_the_pseudonyms_is_the_session_setting(spark):
+    df = spark.createDataFrame([(1, "call 415-555-2671 now", "en", "a", 21)], "doc_id long, text string, lang string, source string, n_chars long")
+    given = corpus_pipeline.pseudonyms(spark, df, SF).first().text
+    spark.conf.set(corpus_pipeline.KEY_SETTING, "another key")
+    try:
+        other = corpus_pipeline.pseudonyms(spark, df, SF).first().text
+    finally:
+        spark.conf.unset(corpus_pipeline.KEY_SETTING)
+    assert len({given, other, "call 415-555-2671 now"}) == 3
+
+
 def test_rows_without_an_id_or_with_a_repeated_one_are_judged_one_by_one(spark):
     """Null or equal ids rescue no rejected row: the same texts stay as under ids of their own."""
     from pyspark.sql import functions as F
