@@ -26,7 +26,10 @@ STEPS, RATE, L2 = 200, 0.2, 0.002
 # Fixed values of HTML: block-level elements, elements without content, and those whose content is no text.
 BLOCK = set("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split()) - {"br"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template textarea title iframe svg math object canvas audio video noembed noframes xmp".split())
+#: Elements whose content is no text of the page.  The first four run to their end tag, or to the end of the page;
+#: the others without an end tag, or closed in their start tag, are empty.
+TO_END = set("script style textarea title".split())
+RAW = TO_END | set("noscript template iframe svg object canvas audio video noembed noframes xmp".split())
 # Elements that a start tag closes, up to the element that holds them.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
           "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr"}, {"table", "tbody", "thead", "tfoot"})}
@@ -99,7 +102,7 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in RAW or tag == "head":
             stop = re.compile(rf"</{tag}\s*>" if tag != "head" else r"</head\s*>|<body\b", re.I).search(page, at)
-            if tag == "head" and stop is None:
+            if tag not in TO_END and (stop is None or m.group(3).rstrip().endswith("/")):
                 continue
             at = len(page) if stop is None else stop.start() if stop.group().lower().startswith("<body") else stop.end()
             continue

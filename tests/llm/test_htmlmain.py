@@ -26,6 +26,20 @@ def test_blocks():
     assert [b.text for b in H.blocks("just text")] == ["just text"] and H.blocks("") == [] and H.blocks("<script>x") == []
 
 
+@pytest.mark.parametrize("page, texts", [
+    ('<svg class="i"/><article><p>all of it</p></article>', ["all of it"]),
+    ('<p>before<iframe src=x/>after</p><iframe src="y"></iframe><p>more</p>', ["beforeafter", "more"]),
+    ("<p>with <math><mi>x</mi><mo>=</mo><mn>2</mn></math> in it</p>", ["with x=2 in it"]),
+    ("<svg><title>no</title><path d='M0'/></svg><p>text<canvas></canvas></p>", ["text"]),
+    ("<noscript>off<p>one</p>", ["off", "one"]),
+    ("<p>one</p><object data=x /><p>two</p><video src=v>", ["one", "two"]),
+    ("<p>one</p><style>p{}<p>two</p>", ["one"]),
+    ("<head/><body><p>one</p>", ["one"]),
+])
+def test_elements_without_an_end_tag_lose_no_text(page, texts):
+    assert [b.text for b in H.blocks(page)] == texts
+
+
 def test_article_text_of_the_pages(pages, field):
     rows = H.extracted(pages, field).collect()
     source = {r.page_id: r.html for r in pages.collect()}
