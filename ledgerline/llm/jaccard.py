@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm import words as W
 from ledgerline.llm.components import components
 from ledgerline.llm.members import maybe_in
-from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.session import ensure_checkpoint_dir, release
 
 #: Frequent shingles whose counts are known to the order at most; all others count as rare (a matter of speed alone).
 FREQUENT = 1 << 18
@@ -216,26 +216,40 @@ def linked(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "doc_id", t
     # equal sets are one node; a hot group of copies is combined before it is shuffled
     classes = prefixes(texts, k, pct, order).where("n > 0").groupBy("s1", "s2", "n").agg(F.min("key").alias("id"), F.first("prefix").alias("prefix"))
     nodes = classes.withColumn("node", F.monotonically_increasing_id()).checkpoint()
+    del classes
+    release(spark)  # here and below: what finished steps shuffled and wrote does not stay on disk
     postings = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "h"))
     common = postings.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("h")
     common = common.checkpoint()
     shared = maybe_in(postings, "h", common).join(common.hint("shuffle_hash"), "h").checkpoint()
+    del postings, common
+    release(spark)
     # round 1: each document with the most central document of each shingle
     hubs = shared.groupBy("h").agg(F.min(F.struct((F.col("pos") / F.col("n")).alias("share"), "node", "n", "pos")).alias("hub"))
     near = shared.join(hubs.select("h", F.col("hub.node").alias("node2"), F.col("hub.n").alias("n2"), F.col("hub.pos").alias("pos2")), "h")
     tried = _pairs(near, pct).checkpoint()
+    del hubs, near
     first = promising(tried, nodes, pct).checkpoint()
+    release(spark)
     links = verified(first, nodes, texts, k, pct, order).checkpoint()
+    del first
+    release(spark)
     roots = components(links).checkpoint()
     # round 2: what lies in different components after that
     marked = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = marked.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("h")
     open_ = marked.join(mixed, "h").checkpoint()
+    del marked, mixed, shared
+    release(spark)
     other = open_.select("h", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "pos", "root")))
     rest = _pairs(open_.join(other, "h").where("root < root2"), pct).join(tried.select("a", "b"), ["a", "b"], "left_anti")
     rest = promising(rest, nodes, pct).checkpoint()
+    del open_, other, tried
+    release(spark)
     if not rest.isEmpty():
         roots = components(links.union(verified(rest, nodes, texts, k, pct, order))).checkpoint()
+    del links, rest
+    release(spark)
     owner = nodes.select("node", "s1", "s2", "n", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = owner.groupBy("root").agg(F.min("id").alias("component_id"))
     of = owner.join(smallest, "root").select("s1", "s2", "n", "component_id")
