@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, shared_folder
 from .merge import duplicate_keys
 
 __all__ = ["duplicate_keys", "exclude_duplicated", "keep_first", "latest_by",
@@ -88,8 +88,8 @@ def number_within(df: DataFrame, partition_cols: list[str], order_cols: list[str
 
     A plain window numbers a whole group inside one task.  Here the rows are
     sorted once by ``(p, o)`` over all tasks, so the sampler spreads a hot group
-    over many of them, and written to the shared checkpoint folder: every
-    later reader, and any retried task, sees the same places.  A row's number
+    over many of them, and written to the shared folder: every later reader,
+    and any retried task, sees the same places.  A row's number
     is its index in its partition, less that of the first row its group has
     there, plus the group's rows in the partitions before.  These two come
     from a count table with one row per partition and group, added up by group
@@ -99,12 +99,19 @@ def number_within(df: DataFrame, partition_cols: list[str], order_cols: list[str
     numbered the same way among themselves.  ``order_cols`` must be a total
     order within ``p`` for a deterministic result, as for the window.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     flags = {c: f"_f_{c}" for c in (counters or {})}
     base = df.withColumns({flags[c]: F.coalesce(pred, F.lit(False)) for c, pred in (counters or {}).items()}) if counters else df
     ordered = base.repartitionByRange(n, *partition_cols, *order_cols).sortWithinPartitions(*partition_cols, *order_cols) \
-        .withColumn("_at", F.monotonically_increasing_id()).checkpoint()
+        .withColumn("_at", F.monotonically_increasing_id())
+    if flags:  # the rows that count are numbered in this order, partition by partition
+        ensure_checkpoint_dir(spark)
+        ordered = ordered.checkpoint()
+    else:  # a place says all; a table is written in one pass, a checkpoint in two
+        path = shared_folder(spark, "numbered")
+        ordered.write.parquet(path)
+        ordered = spark.read.schema(ordered.schema).parquet(path)
     out = _numbered(ordered, partition_cols, name, "_at")
     for c, flag in flags.items():
         counted = _numbered(ordered.where(flag).withColumn("_i", F.monotonically_increasing_id()), partition_cols, c, "_i")

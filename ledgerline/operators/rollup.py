@@ -58,14 +58,18 @@ def mode_per_group(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame
         cond = F.col(k).isNotNull()
         nonnull = cond if nonnull is None else nonnull & cond
     rows = df.where(nonnull).select(*keys, *cols)
-    typed = [F.struct(F.lit(i).alias("_i"), *[(F.col(c) if c == col else F.lit(None).cast(df.schema[c].dataType)).alias(f"_v{j}")
-                                              for j, c in enumerate(cols)]) for i, col in enumerate(cols)]
+    # one value column for each type that occurs, so columns of one type share it
+    kinds = list(dict.fromkeys(df.schema[c].dataType for c in cols))
+    slot = {c: kinds.index(df.schema[c].dataType) for c in cols}
+    typed = [F.struct(F.lit(i).alias("_i"), *[(F.col(c) if slot[c] == j else F.lit(None).cast(kind)).alias(f"_v{j}")
+                                              for j, kind in enumerate(kinds)]) for i, c in enumerate(cols)]
     counted = (rows.select(*keys, F.explode(F.array(*typed)).alias("_x")).select(*keys, "_x.*")
-               .groupBy(*keys, "_i", *[f"_v{j}" for j in range(len(cols))]).agg(F.count(F.lit(1)).alias("_n")))
+               .groupBy(*keys, "_i", *[f"_v{j}" for j in range(len(kinds))]).agg(F.count(F.lit(1)).alias("_n")))
     picks = []
-    for j, c in enumerate(cols):
-        here = (F.col("_i") == j) & F.col(f"_v{j}").isNotNull()
-        picks.append(F.min_by(F.when(here, F.col(f"_v{j}")), F.when(here, F.struct((-F.col("_n")).alias("n"), F.col(f"_v{j}").alias("v")))).alias(c))
+    for i, c in enumerate(cols):
+        value = F.col(f"_v{slot[c]}")
+        here = (F.col("_i") == i) & value.isNotNull()
+        picks.append(F.min_by(F.when(here, value), F.when(here, F.struct((-F.col("_n")).alias("n"), value.alias("v")))).alias(c))
     return counted.groupBy(*keys).agg(*picks)
 
 

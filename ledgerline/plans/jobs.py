@@ -6,14 +6,13 @@ and then calls the library's job function unchanged.
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..operators.merge import CREATED_AT, UPDATED_AT, snapshot_and_history, structure_of, write_version
 from ..operators.nested import flatten_commerce_orders, flatten_incidences, parse_tax_payload, rejected_tax_payloads
-from ..session import ensure_checkpoint_dir
+from ..session import shared_folder
 from ..sources import documents as S
 from ..sources.tables import table
 from ..sources.versions import VersionedTable
@@ -132,7 +131,7 @@ def job_products_publish(spark, sf):
     p = table(spark, sf, "part")
     raw = p.select(F.col("p_partkey").alias("PRODUCTNUMBER"), F.when(F.col("p_size") % 2 == 0, F.col("p_brand")).alias("BRAND"),
                    F.when(F.col("p_size") % 6 == 0, F.lit("?")).otherwise(F.col("p_size").cast("string")).alias("COSTO_HISTORICO"))
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/products-{uuid.uuid4().hex}"
+    base = shared_folder(spark, "products")
     write_version(raw, base, 1)  # an older state that readers no longer see
     write_version(erp.products_clean(raw), base, 2)
     return VersionedTable(spark, base).latest()

@@ -7,8 +7,6 @@ period scans and calendars (PL6-PL11, SK1-SK13, FL1-FL3, DT10, DT11, SC6-SC12).
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions.casts import double_or_zero, fill_blank_strings
@@ -17,7 +15,7 @@ from ..operators.calendar import calendar_from, day_pairs
 from ..operators.dedupe import latest_by
 from ..operators.intervals import add_capture, state_at
 from ..operators.merge import update_from, update_where, upsert, upsert_parts, upsert_stats, upsert_table
-from ..session import ensure_checkpoint_dir
+from ..session import shared_folder
 from ..sources.parts import PartTable, bucket_of
 from ..sources.tables import scan, table
 from ..sources.versions import VersionedTable
@@ -62,20 +60,16 @@ def _order_loads(spark, sf):
     return o, changed.unionByName(new)
 
 
-def _new_folder(spark):
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/loads-{uuid.uuid4().hex}"
-
-
 def upsert_whole_table(spark, sf):
     """SK1-SK5 end to end: two loads through the single writer, each publishing a whole new state."""
-    base = _new_folder(spark)
+    base = shared_folder(spark, "loads")
     for batch, asof in zip(_order_loads(spark, sf), (FIRST_LOAD, SECOND_LOAD)):
         upsert_table(spark, base, batch, ["o_orderkey"], asof)
     return VersionedTable(spark, base).latest()
 
 
 def _loaded_parts(spark, sf):
-    t = PartTable(spark, _new_folder(spark), bucket_of(["o_orderkey"], 64))
+    t = PartTable(spark, shared_folder(spark, "loads"), bucket_of(["o_orderkey"], 64))
     stats = None
     for batch, asof in zip(_order_loads(spark, sf), (FIRST_LOAD, SECOND_LOAD)):
         _, stats = upsert_parts(t, batch, ["o_orderkey"], asof)
@@ -99,7 +93,7 @@ def history_from_intervals(spark, sf):
     """SK7/SM5: six captures (the latest event type of each user seen in the ten
     days before) kept as intervals of validity, and every capture rebuilt from them."""
     e = table(spark, sf, "events").select("user_id", "event_id", "ts", "event_type")
-    t = PartTable(spark, _new_folder(spark), bucket_of(["user_id"], 8))
+    t = PartTable(spark, shared_folder(spark, "loads"), bucket_of(["user_id"], 8))
     for at in CAPTURES:
         until = F.lit(at).cast("timestamp_ntz")
         seen = e.where((F.col("ts") < until) & (F.col("ts") >= until - F.expr("INTERVAL 10 DAYS")))

@@ -65,7 +65,7 @@ def _cases(number, values):
 
 
 def source_rejects(spark, sf):
-    """UD5/Q14: every bad value of invoices, prices and transfers with its row's key, raw text and reason."""
+    """UD5/Q14/CV1/CV5/CV6/DT3/DT4: every bad value of invoices, prices and transfers with its row's key, raw text and reason."""
     out = None
     for name, (raw, columns) in _sources(spark, sf).items():
         _, bad = split_rejects(raw, columns, ["id"])

@@ -9,8 +9,6 @@ ERP's answers come back as a results table joined by key (SK11).
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +16,7 @@ from ..functions import text as T
 from ..operators.dedupe import number_within
 from ..operators.lookup import exact_lookup
 from ..operators.merge import export_csv_file, update_from
-from ..session import ensure_checkpoint_dir
+from ..session import shared_folder
 from ..sources.tables import table
 
 # Fixed values of the transfer documents (must equal the reference's).
@@ -276,7 +274,7 @@ def replenish_export(spark, sf):
 
 def replenish_csv(spark, sf):
     """SK14: the results CSV as one file in order, and its lines read back (the mark at its start taken off)."""
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/export-{uuid.uuid4().hex}/replenishment.csv"
+    path = f"{shared_folder(spark, 'export')}/replenishment.csv"
     export_csv_file(replenish_export(spark, sf), path, ["REPLENISHMENT_ID", "STORE", "LINENUMBER"])
     return spark.read.text(path).select(F.regexp_replace("value", "^\\x{FEFF}", "").alias("line"))
 

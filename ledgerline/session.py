@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import gc
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -73,6 +75,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def shared_folder(spark: SparkSession, stem: str) -> str:
+    """A new folder's name in the shared checkpoint folder; the folder goes when this program ends.
+
+    For what several steps or a result still to be computed read: every machine
+    sees it, and a task that runs again finds it.
+    """
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{stem}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    except Exception:  # noqa: BLE001  the session may be gone already; the folder is left to the checkpoint folder's owner
+        pass
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files and checkpoints that no frame refers to any more.
 

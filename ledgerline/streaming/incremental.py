@@ -30,7 +30,6 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +41,7 @@ from ..operators.dedupe import latest_by
 from ..operators.deltas import Rollup, apply_deltas, header_deltas, signed
 from ..operators.merge import merge_into_parts
 from ..operators.rollup import rollup_lines
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, shared_folder
 from ..sources.parts import PART, Change, PartTable, Version, bucket_of
 from ..sources.versions import VersionedTable
 
@@ -329,7 +328,7 @@ def stream_snapshots(stream: DataFrame, history_path: str, snapshot_path: str, k
 def _event_stream(spark, sf, *cols):
     """The ``events`` file as a stream, and a fresh shared folder for one load."""
     schema = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").schema
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    base = shared_folder(spark, "stream")
     return file_stream(spark, f"{sf.rstrip('/')}/events*.parquet", schema).select(*cols), base
 
 
@@ -372,14 +371,10 @@ def _load_in_turn(spark, base: str, rows: DataFrame, arrival, batches: int, star
         start(file_stream(spark, f"{base}/in/*", schema)).awaitTermination()
 
 
-def _fresh(spark) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 def stream_upsert_files(spark, sf):
     """SM1-SM3: ``events`` in files of ten days, the newest first, and a last
     file of old ones again, each merged into a stored state of parts."""
-    base = _fresh(spark)
+    base = shared_folder(spark, "stream")
     t = PartTable(spark, f"{base}/table", bucket_of(["user_id"], 16))
     e = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").select("user_id", "event_id", "ts", "event_type", "value")
     again = e.where(F.col("event_id") % 3 == 0).withColumn("_at", F.lit(3))
@@ -397,7 +392,7 @@ def _slice_of_ten_days(ts_col: str):
 def stream_closings_by_watermark(spark, sf):
     """SM2/SM5: ``events`` as captures that arrive up to two files late: closing
     rows of the days the watermark has passed, still open ones, and late rows."""
-    base = _fresh(spark)
+    base = shared_folder(spark, "stream")
     t = PartTable(spark, f"{base}/table")
     e = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").select("user_id", "event_id", "ts", "value")
     behind = F.when(F.col("event_id") % 10 == 0, 1).otherwise(0) + F.when(F.col("event_id") % 37 == 0, 1).otherwise(0)
@@ -424,7 +419,7 @@ def _line_changes(spark, sf):
 
 def stream_rollup_by_deltas(spark, sf):
     """SM4: changes of ``lineitem`` in four loads; order headers kept up to date by signed differences."""
-    base = _fresh(spark)
+    base = shared_folder(spark, "stream")
     lines, headers = (PartTable(spark, f"{base}/{n}", bucket_of(["l_orderkey"], 16)) for n in ("lines", "headers"))
     r = Rollup("l_orderkey", sums=("price",), maxes=("qty", "part"))
     _load_in_turn(spark, base, _line_changes(spark, sf), F.col("_at"), 4,

@@ -5,7 +5,7 @@ import pytest
 
 from ledgerline import registry
 
-from .conftest import SF_SMALL
+from .conftest import SF_MID, SF_SMALL
 
 
 def explain(df):
@@ -29,3 +29,18 @@ def test_every_query_cites_survey_ids():
     import re
     for name, fn in registry.queries().items():
         assert re.search(r"\b(SC|SK|PR|FL|JN|AG|DS|WN|SO|SE|ST|CV|NU|DT|MA|AR|JS|MP|CD|SM|PL)\d", fn.__doc__ or ""), name
+
+
+@pytest.mark.parametrize("name", ["q_line_numbering", "q_header_rollup", "q_scan_pruned", "q_build_events", "q_json_array_docs", "q_cascading_lookup", "q_upsert"])
+def test_the_plan_report_is_up_to_date(spark, name):
+    from tools import plan_report
+    report = open(f"{plan_report.ROOT}/docs/PLANS.md").read()
+    assert "\n".join(plan_report.section(spark, name, SF_MID)).strip() in report
+
+
+def test_retail_events_read_the_sales_once(spark):
+    from tools import plan_report
+    with plan_report.written_plans() as steps:
+        plans = [explain(registry.queries()["q_build_events"](spark, SF_SMALL))]
+    reads = [s for p in [*steps, *plans] for s in plan_report.scans(p) if s.startswith("lineitem(")]
+    assert len(reads) == 1

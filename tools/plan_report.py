@@ -1,12 +1,14 @@
-"""Write docs/PLANS.md: for every registered query, the physical plan's
+"""Write docs/PLANS.md: for every registered query, the physical plans'
 shape (exchanges, join strategies, windows, generators) and what reaches
-the Parquet scans (pushed filters, read schema).
+the Parquet scans (pushed filters, read schema), of the result and of every
+step that is written before it (checkpoints, table parts).
 
     python tools/plan_report.py [sf_dir]
 """
 
 from __future__ import annotations
 
+import contextlib
 import os
 import re
 import sys
@@ -14,9 +16,13 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+from pyspark.sql.classic.dataframe import DataFrame  # noqa: E402
+from pyspark.sql.readwriter import DataFrameWriter  # noqa: E402
+
 from ledgerline.registry import queries  # noqa: E402
 from ledgerline.session import get_session  # noqa: E402
 
+SF = "/root/testdata/sf0.01"
 OPS = ["Exchange", "BroadcastExchange", "SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin",
        "BroadcastNestedLoopJoin", "CartesianProduct", "Window", "HashAggregate", "ObjectHashAggregate",
        "SortAggregate", "Generate"]
@@ -45,27 +51,56 @@ def scans(plan: str) -> list[str]:
     return sorted(set(res))
 
 
+def explained(df) -> str:
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+@contextlib.contextmanager
+def written_plans():
+    """The plans of all frames that are checkpointed or written as Parquet meanwhile."""
+    steps: list[str] = []
+    checkpoint, parquet = DataFrame.checkpoint, DataFrameWriter.parquet
+
+    def noted(self, *a, **k):
+        steps.append(explained(self))
+        return checkpoint(self, *a, **k)
+
+    def noted_write(self, *a, **k):
+        steps.append(explained(self._df))
+        return parquet(self, *a, **k)
+
+    DataFrame.checkpoint, DataFrameWriter.parquet = noted, noted_write
+    try:
+        yield steps
+    finally:
+        DataFrame.checkpoint, DataFrameWriter.parquet = checkpoint, parquet
+
+
+def section(spark, name: str, sf: str) -> list[str]:
+    """The lines of one query."""
+    with written_plans() as steps:
+        plans = [explained(queries()[name](spark, sf))]
+    lines = [f"## `{name}`", ""]
+    for k, plan in enumerate([*steps, *plans]):
+        sh = shape(plan)
+        lines.append(("- plan: " if k == len(steps) else f"- written step {k + 1}: ") + (", ".join(f"{o} x{v}" for o, v in sorted(sh.items())) or "scan only"))
+        lines += [f"  - scan: `{s}`" for s in scans(plan) if not s.startswith("__part=")]
+        if sh.get("BroadcastNestedLoopJoin", 0) + sh.get("CartesianProduct", 0):
+            print("nested-loop join in", name)
+    return [*lines, ""]
+
+
 def main():
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    sf = sys.argv[1] if len(sys.argv) > 1 else SF
     spark = get_session("local[8]", shuffle_partitions=16)
     lines = ["# Physical plans", "",
              f"Generated by `tools/plan_report.py` on `{os.path.basename(sf)}` (the plans before adaptive",
              "re-optimisation; AQE may still demote a shuffle join to a broadcast at run time).  Per query:",
              "operator counts of the physical plan, and each Parquet scan with the columns it reads and",
-             "the predicates pushed into it.  No query has a nested-loop or cartesian join.", ""]
-    for name, fn in sorted(queries().items()):
-        df = fn(spark, sf)
-        plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
-        sh = shape(plan)
-        lines.append(f"## `{name}`")
-        lines.append("")
-        lines.append("- plan: " + (", ".join(f"{k} x{v}" for k, v in sorted(sh.items())) or "scan only"))
-        for s in scans(plan):
-            lines.append(f"- scan: `{s}`")
-        lines.append("")
-        bad = sh.get("BroadcastNestedLoopJoin", 0) + sh.get("CartesianProduct", 0)
-        if bad:
-            print("nested-loop join in", name)
+             "the predicates pushed into it, for the result and for every step written before it.",
+             "No query has a nested-loop or cartesian join.", ""]
+    for name in sorted(queries()):
+        lines += section(spark, name, sf)
     open(os.path.join(ROOT, "docs", "PLANS.md"), "w").write("\n".join(lines))
 
 
