@@ -9,15 +9,13 @@ stays short.  All stages but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import dsir, jaccard, members, packing, pii, queries, rules
 from ledgerline.operators.membership import fresh_name
-from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.session import shared_folder
 
 
 #: The session setting that names the pseudonyms' key; without it they have the demonstration key.
@@ -130,7 +128,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage, from the whole ``documents`` table."""
-    folder = f"{ensure_checkpoint_dir(spark)}/corpus-{uuid.uuid4().hex}"
+    folder = shared_folder(spark, "corpus")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
