@@ -21,7 +21,9 @@ BUCKETS = 1 << 14
 ROWS_PER_LANG = 20_000
 #: Window widths in bytes.
 ORDERS = (3,)
-STEPS, REFINE_STEPS, MOST_LANGS = 8, 5, 3
+STEPS, REFINE_STEPS = 8, 5
+#: Languages learned at most: what the driver and every task hold is BUCKETS numbers for each; more are refused.
+MOST_LANGS = 256
 #: Cost of one more language: so many times log(n-grams) / 2 (windows overlap, so they count for less than one each).
 PENALTY = 8.0
 UND = "und"
@@ -67,10 +69,14 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     A language with more than ``rows_per_lang`` rows is learned from the share
     of them with the smallest hashed ids.  One row a language and at most
-    BUCKETS rows a language reach the driver.
+    BUCKETS rows a language reach the driver; a table with more than
+    MOST_LANGS different values is refused (``ValueError``): clean the column
+    first.
     """
     d = docs.select(docs[id_col].alias("key"), docs[text_col].cast("string").alias("text"), docs[lang_col].cast("string").alias("lang")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r["lang"]: r["n"] for r in d.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r["lang"]: r["n"] for r in d.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGS + 1).collect()}
+    if len(sizes) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages")
     langs = sorted(sizes)
     if not langs:
         return [], np.zeros((0, BUCKETS))
@@ -126,7 +132,7 @@ def mixtures(bucket: np.ndarray, of: np.ndarray, n: int, logp: np.ndarray) -> tu
     pick, score = alone.argmax(axis=1), alone.max(axis=1)  # the best single language
     part = np.ones(len(ids))
     order = np.argsort(-full, axis=1, kind="stable")
-    for k in range(2, min(MOST_LANGS, langs) + 1):
+    for k in range(2, langs + 1):  # the likeliest pair, three, ... of the full mixture
         pi = np.zeros_like(full)
         chosen = order[:, :k]
         np.put_along_axis(pi, chosen, np.maximum(np.take_along_axis(full, chosen, 1), 1e-6), 1)
@@ -165,7 +171,13 @@ def predict(docs: DataFrame, langs: list[str], logp: np.ndarray, id_col: str = "
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(id, held_out, lang_pred, score): learned from the rows that are not held out, predicted for all."""
+    """(id, held_out, lang_pred, score): learned from the rows that are not held out, predicted for all.
+
+    Null, empty and letterless texts: ``und``, 0.  Very long texts count whole;
+    ties go to the language that sorts first; repeated rows are each predicted;
+    an empty table gives no rows; only the three named columns are read, so
+    extra columns cannot clash.
+    """
     W.small_batches(docs.sparkSession)
     langs, logp = learn(docs.where(~held_out(id_col)), id_col, text_col, lang_col)
     return predict(docs, langs, logp, id_col, text_col).select(id_col, held_out(id_col).alias("held_out"), "lang_pred", "score")

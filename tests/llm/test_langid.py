@@ -53,3 +53,24 @@ def test_odd_rows(odd, empty, docs):
     assert langid.identify(empty).count() == 0
     none = langid.predict(odd, *langid.learn(empty)).collect()
     assert {r.lang_pred for r in none} == {"und"}
+
+
+def test_a_text_in_four_languages_gets_its_set(docs):
+    """Equal parts of four languages: the largest share is about a quarter, not a third of a smaller set."""
+    import pyarrow as pa
+
+    langs, logp = langid.learn(docs)
+    assert len(langs) == 4
+    by_lang = {lang: " ".join(r.text for r in docs.where(F.col("lang") == lang).limit(40).collect() if r.text)[:6000] for lang in langs}
+    bucket, of, n = langid.grams(pa.array([" ".join(by_lang.values()), by_lang[langs[0]]]))
+    best, share = langid.mixtures(bucket, of, n, logp)
+    assert share[0] < 0.32 and share[1] > 0.9 and best[1] == 0
+
+
+def test_too_many_languages_are_refused(spark):
+    import pytest
+
+    rows = spark.range(langid.MOST_LANGS + 1).select(F.col("id").alias("doc_id"), F.lit("a text").alias("text"), F.concat(F.lit("l"), F.col("id").cast("string")).alias("lang"))
+    with pytest.raises(ValueError):
+        langid.learn(rows)
+    assert len(langid.learn(rows.where("doc_id > 0"))[0]) == langid.MOST_LANGS
