@@ -2,9 +2,10 @@
 
 Two bag models over hashed word unigrams and bigrams are counted: one of the
 target (documents labelled good), one of all the raw text.  A document's log
-weight is the sum over its n-grams of log p(target) - log p(raw); adding
-Gumbel noise and taking the k largest draws k documents without replacement
-in proportion to their weights.
+weight is the sum over its n-grams of log p(target) - log p(raw), tempered to
+the same number of n-grams for every document, so that its length does not
+decide, and raised by the sampling error of its mean; adding Gumbel noise and taking the k largest draws k documents without
+replacement in proportion to their tempered weights.
 """
 
 from __future__ import annotations
@@ -16,13 +17,16 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import words as W
 from ledgerline.llm.ranks import global_rank
+from ledgerline.session import ensure_checkpoint_dir
 
 BUCKETS = 10_000
 #: Target documents the target model is fitted on, in expectation at most (those with the smallest hashed ids).
 TARGET_ROWS = 20_000
-#: Without a given k: the documents that are at least exp(-MARGIN) as likely as target text as they are as raw text,
-#: and that lose at most PER_GRAM for each n-gram, so that short texts have to be like the target too.
-MARGIN, PER_GRAM = 20.0, 0.15
+#: Every document weighs as if it had so many n-grams of its own kind, each with its sampling error of so much
+#: over the root of their number added (few n-grams say little).
+TEMPER, ERROR = 500, 0.5
+#: Without a given k: as many documents are drawn as lose at most this an n-gram against raw text, beyond that error.
+LOSS = 0.02
 SEED = 7
 
 #: Byte classes: white space, letters and digits (all bytes of longer characters too), the rest.
@@ -70,7 +74,8 @@ def model(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_c
     target_ids: one column of ids; of more than ``target_rows``, the share of
     them with the smallest hashes is used (so many in expectation).  So the
     broadcast id list and the BUCKETS rows that reach the driver have a bound,
-    while the raw model counts every document.
+    while the raw model counts every document.  Without any target document
+    there is nothing to draw towards: all weights are 0.
     """
     ids = target_ids.toDF("good_id").where(F.col("good_id").isNotNull()).distinct()
     share = int(min(1.0, target_rows / max(1, ids.count())) * (1 << 20))
@@ -80,6 +85,8 @@ def model(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_c
     counts = np.ones((2, BUCKETS))
     for r in bucket_counts(flagged).collect():  # at most BUCKETS rows
         counts[:, r["bucket"]] += r["target"], r["raw"]
+    if counts[0].sum() == BUCKETS:
+        return np.zeros(BUCKETS)
     return np.diff(np.log(counts / counts.sum(axis=1, keepdims=True))[::-1], axis=0)[0]
 
 
@@ -101,20 +108,28 @@ def log_weights(docs: DataFrame, ratio: np.ndarray, id_col: str = "doc_id", text
 def resample(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int | None = None, seed: int = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, log_weight, gumbel_key, kept, keep...): k documents drawn by Gumbel top-k.
 
-    The noise is a function of id and seed, so a task that runs again draws
-    the same.  Rows are ranked by key, then id; exactly k rows are kept (all,
-    if there are fewer), repeated ids each on their own.  Without k the draw is
-    among the documents whose log weight is at least -MARGIN and at least
-    -PER_GRAM an n-gram, and takes all of them.  An empty target
-    leaves all weights equal in expectation; an empty table gives no rows.
+    gumbel_key: TEMPER * (log_weight / n + ERROR / sqrt(n)) over the document's n
+    n-grams, plus noise that is a function of id and seed, so a task that runs
+    again draws the same.  Rows
+    are ranked by it, then by id (null last); exactly the k first are kept (all,
+    if there are fewer), repeated rows each on their own.  Without a given k it
+    is the number of documents whose tempered weight is at least -TEMPER * LOSS.
+
+    Null, empty and wordless texts have no n-grams and weight 0: as likely
+    either way.  A long text is one slice; an empty table gives no rows; only
+    the named columns are read, so others cannot clash.  The texts are read
+    twice and never shuffled; a few numbers a document are sorted.
     """
     W.small_batches(docs.sparkSession)
-    scored = log_weights(docs, model(docs, target_ids, id_col, text_col), id_col, text_col, keep)
-    u = (F.xxhash64(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).bitwiseAND(F.lit((1 << 53) - 1)) + 0.5) / float(1 << 53)
-    keyed = scored.withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(u)))
+    ensure_checkpoint_dir(docs.sparkSession)
+    inner = docs.select(docs[id_col].alias("key"), docs[text_col].cast("string").alias("text"), *(docs[c].alias(f"keep{i}") for i, c in enumerate(keep)))
+    scored = log_weights(inner, model(docs, target_ids, id_col, text_col), "key", "text", tuple(f"keep{i}" for i in range(len(keep))))
+    u = (F.xxhash64(F.lit(seed), F.coalesce(F.col("key").cast("string"), F.lit(""))).bitwiseAND(F.lit((1 << 53) - 1)) + 0.5) / float(1 << 53)
+    n = F.greatest("n_grams", F.lit(1))
+    tempered = TEMPER * (F.col("log_weight") / n + ERROR / F.sqrt(n))
+    # _row tells repeated rows apart, so that the sort can split them; written out, it stays as it is
+    keyed = scored.withColumns({"tempered": tempered, "gumbel_key": tempered - F.log(-F.log(u)), "_row": F.monotonically_increasing_id()}).checkpoint()
     if k is None:
-        kept = F.col("log_weight") >= -F.least(F.lit(MARGIN), PER_GRAM * F.col("n_grams"))
-    else:
-        keyed = global_rank(keyed, [F.col("gumbel_key").desc(), F.col(id_col).asc_nulls_last()], "place")
-        kept = F.col("place") < k
-    return keyed.select(id_col, "log_weight", "gumbel_key", kept.alias("kept"), *keep)
+        k = keyed.where(F.col("tempered") >= -TEMPER * LOSS).count()
+    placed = global_rank(keyed, [F.col("gumbel_key").desc(), F.col("key").asc_nulls_last(), F.col("_row")], "place")
+    return placed.select(F.col("key").alias(id_col), "log_weight", "gumbel_key", (F.col("place") < k).alias("kept"), *(F.col(f"keep{i}").alias(c) for i, c in enumerate(keep)))
