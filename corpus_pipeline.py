@@ -18,10 +18,19 @@ from ledgerline.operators.membership import fresh_name
 from ledgerline.session import shared_folder
 
 
+#: Settings of the Python workers' allocators: what a slice needed goes back to the system, so that workers that live as
+#: long as the pipeline do not each keep the memory of its largest step.
+WORKER_MEMORY = {"MALLOC_ARENA_MAX": "1", "MALLOC_TRIM_THRESHOLD_": "131072", "ARROW_DEFAULT_MEMORY_POOL": "system"}
 #: The session setting that names the pseudonyms' key; without it they have the demonstration key.
 KEY_SETTING = "spark.ledgerline.pii.key"
 
 
+def _lean(spark: SparkSession) -> None:
+    """Workers started from now on have WORKER_MEMORY, where the session's launcher has not set it otherwise."""
+    for name, value in WORKER_MEMORY.items():
+        spark.sparkContext.environment.setdefault(name, value)
+
+
 def _keyed(docs: DataFrame, columns: list[str]) -> tuple[DataFrame, str]:
     """docs with one column more, and its name: the row's id and a 128-bit hash of its columns, ordered by id (null last), then hash.
 
@@ -55,6 +64,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     stay or go together; very long texts are judged whole; an empty table stays
     empty; extra columns of any name come back as they were.
     """
+    _lean(spark)
     keyed, row = _keyed(docs, docs.columns)
     plain = keyed.select(F.col(row).alias("row"), *(keyed[c] for c in ("text", "lang", "source")))
     return _keep(keyed, row, rules.verdicts(plain, id_col="row").select("row", "kept")).drop(row)
@@ -68,6 +78,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     long texts are weighed whole; an empty table stays empty; extra columns of
     any name come back as they were.
     """
+    _lean(spark)
     keyed, row = _keyed(docs, docs.columns)
     plain = keyed.select("doc_id", "text", F.col(row).alias("row"))
     drawn = dsir.resample(plain, queries.good_ids(spark, sf_dir), keep=("row",))
@@ -83,6 +94,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     long texts are compared whole; an empty table stays empty; extra columns of
     any name come back as they were.
     """
+    _lean(spark)
     keyed, row = _keyed(docs, ["doc_id", "text"])
     classes = jaccard.linked(keyed.select(F.col(row).alias("row"), "text"), k=5, pct=80, id_col="row")
     left = _keep(keyed, row, classes.select("row", (F.col("component_id") == F.col("row")).alias("kept")))
@@ -100,6 +112,7 @@ def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     are; rows pass one by one, repeated ones too; very long texts are searched
     whole; an empty table stays empty; other columns come back as they were.
     """
+    _lean(spark)
     key = spark.conf.get(KEY_SETTING, None)
     return pii.pseudonymised(docs, key.encode() if key else queries.PII_KEY, spans_col=None)
 
@@ -111,6 +124,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     each; longer texts are cut; an empty table gives no rows; only doc_id and
     text are read.
     """
+    _lean(spark)
     return packing.packed(docs, public_tokenizers.path(queries.VOCABULARY), public_tokenizers.path(queries.RANKS))
 
 
