@@ -206,7 +206,9 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     text in UTF-8.  A word's ids, their decimal form and the bytes its
     vocabulary strings stand for are worked out once per worker and word;
     both digests are fed word by word, so no id list of a document is held.
-    Null text: the empty text (no tokens).  Rows pass one by one.
+    Null text: the empty text (no tokens).  Rows pass one by one, repeated ones
+    too; a very long text is one row of a slice; an empty table gives no rows;
+    only the two named columns are read, so extra columns cannot clash.
     """
 
     def run(batches):

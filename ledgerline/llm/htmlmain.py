@@ -375,6 +375,9 @@ def extracted(pages: DataFrame, field: Field, id_col: str = "page_id", html_col:
     """(id, keep..., text, n_chars) of every page, repeats included.
 
     Null or empty html, and pages without main text, have an empty text.
+    Repeated pages come back each; a very long page is read whole; an empty
+    table gives no rows; only the named columns are read, so others cannot
+    clash.
     """
     W.small_batches(pages.sparkSession)
     known = pages.sparkSession.sparkContext.broadcast(field)  # a few thousand weights

@@ -207,6 +207,8 @@ def linked(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "doc_id", t
     than k words has its whole sequence as one shingle; one without words
     (null or empty text too) has no shingles and links with nothing.  Rows
     with equal texts link; a null id can be linked but is never the smallest.
+    Very long texts count whole; an empty table gives no rows; only the two
+    named columns are read, so extra columns cannot clash.
     """
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)

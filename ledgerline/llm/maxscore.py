@@ -103,7 +103,8 @@ def search(vectors: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: s
     Rows whose id or vector is null, or whose vector holds a null or non-finite
     component, take no part; of rows that share an id the query is asked once,
     with the smallest vector.  Shorter vectors count as zero in the missing
-    places.  Fewer than k candidates: all of them.  An empty table gives no rows.
+    places.  Fewer than k candidates: all of them.  An empty table gives no rows;
+    only the two named columns are read, so extra columns cannot clash.
     """
     d = vectors.select(vectors[id_col].cast("long").alias("id"), quantised(vectors[vector_col]).alias("v")).where("id is not null and v is not null")
     n = d.count()

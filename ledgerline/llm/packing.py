@@ -184,7 +184,13 @@ def pack(items: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataFr
 
 
 def packed(docs: DataFrame, vocab_path: str, ranks_path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, piece, start, length, ids_crc32, sequence_id, offset) of every piece of every document."""
+    """(id, piece, start, length, ids_crc32, sequence_id, offset) of every piece of every document.
+
+    Null and empty texts are their end mark alone, one piece.  Repeated rows and
+    null ids are packed each.  Very long texts are cut into pieces of
+    ``capacity``, the first may be shorter.  An empty table gives no rows; only
+    the two named columns are read, so extra columns cannot clash.
+    """
     ensure_checkpoint_dir(docs.sparkSession)
     W.small_batches(docs.sparkSession)
     cut = pieces(docs, vocab_path, ranks_path, capacity, id_col, text_col).checkpoint()

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ledgerline.llm import words as W
+from ledgerline.operators.membership import fresh_name
 
 ROUNDS = 8
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -309,14 +310,16 @@ def pseudonymised(docs: DataFrame, key: bytes, text_col: str = "text", spans_col
     """docs with every validated value in ``text_col`` replaced by its pseudonym.
 
     All columns stay, rows pass one by one (repeats too).  ``spans_col`` (left
-    out if None; must not be a column of docs) lists start, end and kind of the
-    replaced values in code points.  Null text stays null with no spans; empty
-    texts stay empty.  ``forward`` False undoes the pseudonyms under the key, of
+    out if None; where docs has a column of that name, with ``_`` behind it)
+    lists start, end and kind of the replaced values in code points.  Null text
+    stays null with no spans; empty texts stay empty; a very long text is
+    searched whole; an empty table gives no rows.  ``forward`` False undoes the pseudonyms under the key, of
     the values it finds in the text.  Digits beside a value may then be read
     otherwise; ``undone`` at the listed places is exact.
     """
     W.small_batches(docs.sparkSession)
     at = docs.columns.index(text_col)
+    spans_col = fresh_name(docs, spans_col) if spans_col else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = _names(key, forward)

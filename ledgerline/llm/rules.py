@@ -250,7 +250,9 @@ def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by
     base rules, else all rows; where the whole table has fewer than MIN_ALL
     of them, too few for a covariance of six statistics, only the base rules
     decide.  Null ``by`` values are a group of their own; null or empty
-    texts have zero counts and fail.
+    texts have zero counts and fail.  Very long texts are counted whole; an
+    empty table gives no rows; only the named columns are read, so extra
+    columns cannot clash.
     """
     ensure_checkpoint_dir(docs.sparkSession)
     W.small_batches(docs.sparkSession)

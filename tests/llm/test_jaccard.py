@@ -4,6 +4,7 @@ import re
 import pytest
 
 from ledgerline.llm import components, jaccard, members
+from ledgerline.operators import membership
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -78,7 +79,7 @@ def test_frequent_shingles_change_the_order_only(spark, monkeypatch):
     rows = family(4)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     monkeypatch.setattr(jaccard, "LOT", 50)
-    monkeypatch.setattr(members, "MAP_BITS", 1 << 16)
+    monkeypatch.setattr(membership, "MAP_BITS", 1 << 16)
     assert got(df, 4, 85) == brute(rows, 4, 85)
 
 
@@ -98,7 +99,7 @@ def test_membership_splits_rows_whatever_the_map_holds(spark, monkeypatch):
     df = spark.createDataFrame([(i if i else None, f"t{i}") for i in range(200)] * 2, "doc_id long, text string")
     ids = spark.createDataFrame([(i if i else None,) for i in range(0, 300, 7)] + [(7,)], "x long")
     for bits in (1 << 25, 1 << 16):
-        monkeypatch.setattr(members, "MAP_BITS", bits)
+        monkeypatch.setattr(membership, "MAP_BITS", bits)
         out, inside = members.split(df, "doc_id", ids)
         assert sorted(r.text for r in inside.collect()) == sorted([f"t{i}" for i in range(0, 200, 7)] * 2)
         assert out.count() == 400 - inside.count() and members.maybe_in(df, "doc_id", ids).count() >= inside.count()

@@ -25,6 +25,17 @@ def test_equal_texts_in_other_dress(spark):
     assert out[7].digest is None and out[8].digest is None and out[9].digest is None and out[9].n_license_lines == 0
 
 
+def test_titles_and_licences_from_a_table(spark):
+    bsd = dict((i, t) for i, t in reversed(licenses.KNOWN) if len(t) > 400)["BSD-3-Clause"]
+    out = scan(spark, ["BSD 3-Clause License\n\nCopyright (c) 2021, A. Nobody\nAll rights reserved.\n\n" + bsd, "The MIT License (MIT)\n\nCopyright 2019 X\n\n" + MIT, "MIT License " + bsd])
+    assert [out[i].license_id for i in range(3)] == ["BSD-3-Clause", "MIT", None]
+    own = spark.createDataFrame([("House-1", "You may read this."), ("House-2", "YOU MAY READ THIS!"), ("Empty", " "), ("None", None)], "license_id string, text string")
+    known = licenses.known(spark).union(licenses.known_from(own))
+    df = spark.createDataFrame([(1, "you may read this"), (2, "x\n You may read this. \ny"), (3, MIT)], "doc_id long, text string")
+    got = {r.doc_id: (r.license_id, r.line_licenses) for r in licenses.scanned(df, known).collect()}
+    assert got == {1: ("House-1", "House-1"), 2: (None, "House-1"), 3: ("MIT", "")}
+
+
 def test_query_equals_sql(spark, docs, odd, empty):
     con = duckdb.connect()
     for df in (docs, odd):

@@ -111,3 +111,9 @@ def test_independent_patterns_are_covered():
             assert all(any(s.start <= m.start() and m.end() <= s.end for s in found) for m in wanted)
             seen += len(wanted)
     assert seen > 100
+
+
+def test_a_column_named_like_the_spans_stays(spark):
+    df = spark.createDataFrame([(1, "mail a.b@example.com", "mine")], "doc_id long, text string, pii_spans string")
+    r = pii.pseudonymised(df, b"k").first()
+    assert r["pii_spans"] == "mine" and [s.kind for s in r["pii_spans_"]] == ["email"]
