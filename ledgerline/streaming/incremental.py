@@ -318,7 +318,7 @@ def stream_snapshots(stream: DataFrame, history_path: str, snapshot_path: str, k
         tag = batch_tag(checkpoint, epoch)
         (b.withColumn("capture_day", F.to_date(capture_col)).write.mode("overwrite")
          .partitionBy("capture_day").parquet(f"{history_path.rstrip('/')}/batch={tag}"))
-        snap.publish(b, snap.version_for(tag)[0], tag=tag)
+        snap.commit(lambda _: b, tag=tag)
 
     return (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
