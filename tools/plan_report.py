@@ -43,7 +43,7 @@ def scans(plan: str) -> list[str]:
     for block in plan.split("\n\n"):
         if "Scan parquet" in block and "ReadSchema" in block:
             loc = re.search(r"Location: \w+ \[(.*?)\]", block)
-            table = os.path.basename(loc.group(1)).replace(".parquet", "") if loc else "?"
+            table = re.sub(r"-?[0-9a-f]{32}", "", os.path.basename(loc.group(1)).replace(".parquet", "")) if loc else "?"  # no run's own names
             pushed = re.search(r"PushedFilters: \[(.*)\]", block)
             schema = re.search(r"ReadSchema: struct<(.*)>", block)
             cols = [c.split(":")[0] for c in re.split(r",(?![^<]*>)", schema.group(1))] if schema else []
