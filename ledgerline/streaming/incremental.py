@@ -39,10 +39,11 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.dates import ntz_format, ts_micros
 from ..operators.dedupe import latest_by
 from ..operators.deltas import Rollup, apply_deltas, header_deltas, signed
-from ..operators.merge import merge_into_parts
+from ..operators.membership import maybe_member
+from ..operators.merge import check_unique, merge_into_parts
 from ..operators.rollup import rollup_lines
 from ..session import ensure_checkpoint_dir, shared_folder
-from ..sources.parts import PART, Change, PartTable, Version, bucket_of
+from ..sources.parts import CAME, CHANGED, GONE, PART, Change, PartTable, Version, bucket_of
 from ..sources.versions import VersionedTable
 
 
@@ -182,6 +183,56 @@ def stream_upsert_parts(stream: DataFrame, table: PartTable, keys: list[str], ts
             .trigger(availableNow=True).start())
 
 
+#: A part's rows are merged in this many slices of their keys, so that a part, or a hot header in it, spans many tasks.
+SLICES = 64
+
+
+def merge_newest(table: PartTable, rows: DataFrame, keys: list[str], ts_col: str, near: str, writer: str = "", epoch: int | None = None) -> Version:
+    """:func:`guarded_merge` into a table of parts, which also records the rows it replaced and brought.
+
+    ``rows`` have complete keys and are read several times.  Stored rows whose ``near`` (one of
+    ``keys``) is surely not among the rows' are written on where they are; the others
+    and the batch are dealt out once, by part and slice of their keys, and the
+    greatest (time, other columns) of a key stays.  The fact CHANGED of the version lists
+    the directories of stored rows that a newer one replaced and of the rows that
+    came in a stored state; a first version has none, all its rows came.  Where batch and table
+    differ in columns, the rows are merged by the join and nothing is recorded.
+    """
+    order = [ts_col, *sorted(c for c in rows.columns if c not in keys and c != ts_col)]
+
+    def change(version: Version | None) -> Change | None:
+        none = table.read(version, []) if version else rows.limit(0)
+        came = rows.select(*[F.col(c).cast(none.schema[c].dataType).alias(c) for c in rows.columns])
+        touched = {x[0] for x in table.with_part(rows).select(PART).distinct().collect()}
+        stored, rest = F.lit(False).alias("_stored"), None
+        both = came.select("*", stored)
+        if version:
+            flagged = maybe_member(table.read(version, touched).select(*rows.columns), near, came.select(near), "_near")
+            rest = flagged.where("NOT _near").drop("_near")
+            both = both.unionByName(flagged.where("_near").drop("_near").withColumn("_stored", F.lit(True)))
+        row = F.struct(*order)
+        dealt = table.with_part(both).withColumn("_slice", F.pmod(F.xxhash64(*keys), F.lit(SLICES)).cast("int")).repartition(PART, "_slice")
+        best = dealt.groupBy(PART, "_slice", *keys).agg(F.max(row).alias("_new"), F.max(F.when(F.col("_stored"), row)).alias("_old"))
+        if version:
+            kind = lambda part, what: F.struct(part.alias("_p"), F.col(what).alias("_r"))
+            newer = F.coalesce(F.col("_new") > F.col("_old"), F.lit(True))
+            out = F.array(kind(F.col(PART), "_new"), F.when(newer, kind(F.lit(CAME), "_new")),
+                          F.when(newer & F.col("_old").isNotNull(), kind(F.lit(GONE), "_old")))
+            best = best.select(*keys, F.explode(F.filter(out, lambda x: x.isNotNull())).alias("_x")).select(*keys, "_x._r.*", F.col("_x._p").alias(PART))
+        else:
+            best = best.select(*keys, "_new.*", PART)
+        merged = best.select(*none.columns, PART)
+        written = table.write(merged if rest is None else merged.unionByName(table.with_part(rest).select(*none.columns, PART)), dealt=True)
+        changed = {what: written.pop(what, []) for what in (GONE, CAME)} if version else None
+        check_unique(table.rows_of(written, none.schema).select(*keys), keys)
+        return Change(written, none.schema, reads=touched, facts={CHANGED: changed})
+
+    version = table.version()
+    if version and set(table.read(version, []).columns) != set(rows.columns):
+        return merge_into_parts(table, rows, keys, lambda current, new: guarded_merge(current, new, keys, ts_col), rows.limit(0), writer, epoch)
+    return table.commit(change, writer, epoch)
+
+
 def stream_delta_rollup(stream: DataFrame, lines: PartTable, headers: PartTable, line_keys: list[str], ts_col: str,
                         rollup: Rollup, checkpoint: str) -> StreamingQuery:
     """SM4 by signed differences: every micro-batch of changed lines is merged
@@ -190,37 +241,56 @@ def stream_delta_rollup(stream: DataFrame, lines: PartTable, headers: PartTable,
     Both tables' parts follow from the header key, which is one of
     ``line_keys``.  Read are the parts of the batch's headers and, for headers
     whose maximum was withdrawn, the parts of their lines; no other line is
-    scanned.  The differences are taken between the two versions of ``lines``
-    around the batch, and each table applies an epoch once: a batch replayed
+    scanned.  The differences are those that the version of ``lines`` the batch made
+    records (:func:`merge_newest`), or else lie between the two versions around it, and each table applies an epoch once: a batch replayed
     after a crash between the two finds its lines merged and still makes the
     same differences.  Lines without a header key have no header; other lines
     with a null key part cannot be told apart and are refused."""
-    writer = batch_tag(checkpoint, 0)
-    r = rollup
+    spark, writer, r = stream.sparkSession, batch_tag(checkpoint, 0), rollup
 
     def merge_batch(batch: DataFrame, epoch: int) -> None:
-        rows = batch.where(F.col(r.header).isNotNull()).checkpoint()
-        if rows.isEmpty():
-            return
+        path = shared_folder(spark, "batch")  # read several times, computed once
+        batch.where(F.col(r.header).isNotNull()).write.parquet(path)
+        rows = spark.read.schema(batch.schema).parquet(path)
+        if not rows.isEmpty():
+            roll_up(rows, epoch)
+        lines.files.delete(path)
+
+    def roll_up(rows: DataFrame, epoch: int) -> None:
         if not rows.where(" OR ".join(f"`{k}` IS NULL" for k in line_keys)).isEmpty():
             raise ValueError(f"a changed line lacks one of {line_keys}")
-        merge_into_parts(lines, rows, line_keys, lambda current, new: guarded_merge(current, new, line_keys, ts_col), rows.limit(0), writer, epoch)
+        merge_newest(lines, rows, line_keys, ts_col, r.header, writer, epoch)
         earlier = lines.before(writer, epoch)
         later = lines.version((earlier.number if earlier else 0) + 1)
-        touched = {x[0] for x in lines.with_part(rows).select(PART).distinct().collect()}
-        changed = rows.select(*line_keys).distinct()
-        after = lines.read(later, touched).join(changed, line_keys, "left_semi")
-        before = lines.read(earlier, touched).join(changed, line_keys, "left_semi") if earlier else after.limit(0)
-        deltas = header_deltas(signed(before, after), r).checkpoint()
+        schema = lines.read(later, []).schema
+        recorded = later.facts.get(CHANGED)
+        if earlier is None:
+            after = lines.read(later)
+            before = after.limit(0)
+        elif recorded and later.facts.get(CHANGED) != earlier.facts.get(CHANGED):
+            before, after = (lines.rows_of({what: recorded[what]}, schema) for what in (GONE, CAME))
+        else:
+            touched = {x[0] for x in lines.with_part(rows).select(PART).distinct().collect()}
+            changed = rows.select(*line_keys).distinct()
+            after = lines.read(later, touched).join(changed, line_keys, "left_semi")
+            before = lines.read(earlier, touched).join(changed, line_keys, "left_semi")
+        lines_changed = signed(before, after)
+        deltas = header_deltas(lines_changed, r)  # dealt out by header, as the join with the stored headers needs them
+        named = lines_changed.select(r.header).distinct()
 
         def maxes_of(some: DataFrame) -> DataFrame:
             parts = {x[0] for x in lines.with_part(some).select(PART).distinct().collect()}
-            return lines.read(later, parts).join(some, r.header, "left_semi").groupBy(r.header).agg(*[F.max(c).alias(c) for c in r.maxes])
+            near = maybe_member(lines.read(later, parts).select(r.header, *r.maxes), r.header, some, "_near").where("_near").drop("_near")
+            return near.join(some, r.header, "left_semi").groupBy(r.header).agg(*[F.max(c).alias(c) for c in r.maxes])
 
         def change(version: Version | None) -> Change:
-            parts = {x[0] for x in headers.with_part(deltas.select(r.header)).select(PART).distinct().collect()}
-            stored = headers.read(version, parts) if version else r.whole(after.limit(0))
-            merged = apply_deltas(stored, deltas, r, maxes_of)
+            parts = {x[0] for x in headers.with_part(lines_changed.select(r.header)).select(PART).distinct().collect()}
+            if version:  # headers that surely have no difference are written on where they are
+                flagged = maybe_member(headers.read(version, parts), r.header, named, "_near")
+                merged = apply_deltas(flagged.where("_near").drop("_near"), deltas, r, maxes_of)
+                merged = merged.unionByName(flagged.where("NOT _near").drop("_near"))
+            else:
+                merged = apply_deltas(r.whole(after.limit(0)), deltas, r, maxes_of)
             written = headers.write(headers.with_part(merged))
             return Change({p: written.get(p, []) for p in parts}, merged.schema, reads=parts)
 
