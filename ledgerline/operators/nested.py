@@ -23,6 +23,12 @@ from ..sources.documents import TAX_DOCUMENT
 SUBSCRIBED = "SUBSCRIBED"
 
 
+def _exploded(c, name: str, pos: str = "_pos") -> Column:
+    """``posexplode`` whose parsed document is read once: the plain generator has Spark filter on the list's
+    size below it, which parses the document again for each such term.  Rows of null or empty lists have a null ``pos``."""
+    return F.posexplode_outer(c).alias(pos, name)
+
+
 # ---------------------------------------------------------------- PL1 orders
 def flatten_commerce_orders(docs: DataFrame):
     """PL1: commerce order documents -> ``(orders, shipping_addresses, lines)``.
@@ -253,7 +259,8 @@ def rejected_tax_payloads(payload: DataFrame, text_col: str = "payload") -> Data
     ``empty`` (null or blank text), ``no documents`` (no such element) or
     ``unparsable``."""
     text, found = F.col(text_col), F.col("_d.Documento")
-    d = payload.withColumn("_d", _tax_documents(text_col)).where(found.isNull() | (F.size(found) == 0))
+    # behind the generator the XML is read once a payload; a filter right above would read it again in each of its terms
+    d = payload.select("*", F.explode_outer(F.array(_tax_documents(text_col))).alias("_d")).where(found.isNull() | (F.size(found) == 0))
     reason = (F.when(F.trim(F.coalesce(text, F.lit(""))) == "", F.lit("empty"))
               .when(~T.html_unescape(text).contains("<Documento>"), F.lit("no documents")).otherwise(F.lit("unparsable")))
     return d.withColumn("REASON", reason).drop("_d")
@@ -270,7 +277,7 @@ def parse_tax_payload(payload: DataFrame, text_col: str = "payload") -> DataFram
     date does not parse keep ``FECHA`` null; payloads without any document
     give no row here and are listed by :func:`rejected_tax_payloads` (Q14).
     """
-    d = payload.select(_tax_documents(text_col).alias("d")).select(F.explode("d.Documento").alias("x")).select("x.*")
+    d = payload.select(_tax_documents(text_col).alias("d")).select(_exploded("d.Documento", "x")).where("_pos IS NOT NULL").select("x.*")
     n = lambda c: T.null_sentinel(F.col(c))
     return d.select(
         T.key_if_all(n("TipoDTE"), n("Folio")).alias("ID"),

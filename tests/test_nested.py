@@ -105,3 +105,21 @@ def test_read_landed_json_files(spark, tmp_path):
     got = {r["ecommerce_name_child"]: r["history"] for r in df.collect()}
     assert got["E1"][0]["name"] == "a"
     assert len(got) == 2 and None in got              # malformed record -> nulls, the scan does not fail
+
+
+def _times(df, call):
+    plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+    return plan.count(call)
+
+
+def test_tax_documents_are_parsed_once(spark):
+    from ledgerline.operators.nested import rejected_tax_payloads
+    doc = lambda *x: "<S><Documentos>" + "".join(f"<Documento><TipoDTE>33</TipoDTE><Folio>{i}</Folio></Documento>" for i in x) + "</Documentos></S>"
+    texts = [doc(1, 2), doc(3).replace("<", "&lt;"), "<S><Documentos></Documentos></S>", doc(4)[:-30], " ", None, "<S/>"]
+    p = spark.createDataFrame([(t,) for t in texts], "payload string").repartition(2)
+    read, bad = parse_tax_payload(p), rejected_tax_payloads(p)
+    assert sorted(r["ID"] for r in read.collect()) == ["33-1", "33-2", "33-3"]
+    assert sorted(r["REASON"] for r in bad.collect()) == ["empty", "empty", "no documents", "no documents", "unparsable"]
+    assert bad.columns == ["payload", "REASON"]
+    for df in (read, bad):
+        assert _times(df.agg(F.count(F.lit(1))), "from_xml(") == 1
