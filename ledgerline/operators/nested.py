@@ -71,7 +71,7 @@ def flatten_commerce_orders(docs: DataFrame):
         addr["latitude"].alias("LATITUDE"), addr["longitude"].alias("LONGITUDE"),
         F.col("_accepts").alias("ACCEPTS_MARKETING"), F.col("_opt_in").alias("MARKETING_OPT_IN_LEVEL"))
     lines = base.select("ORDER_ID", "createdAt", "name",
-                        F.explode(A.unwrap_edges(F.col("lineItems"))).alias("li")).select(
+                        _exploded(A.unwrap_edges(F.col("lineItems")), "li")).where("_pos IS NOT NULL").select(
         "ORDER_ID", T.strip_gid(F.col("li.id"), "LineItem").alias("LINE_ITEM_ID"),
         F.col("createdAt").alias("CREATED_AT"), F.col("name").alias("ORDER_NAME"),
         F.col("li.sku").alias("SKU"), F.col("li.quantity").cast("string").alias("QUANTITY"))
@@ -105,7 +105,7 @@ def flatten_commerce_customers(docs: DataFrame):
         consent["consentUpdatedAt"].alias("ACCEPTS_MARKETING_UPDATED_AT"),
         consent["marketingOptInLevel"].alias("MARKETING_OPT_IN_LEVEL"))
     addresses = docs.select(T.strip_gid(F.col("id"), "Customer").alias("CUSTOMER_ID"),
-                            F.explode("addresses").alias("a")).select(
+                            _exploded("addresses", "a")).where("_pos IS NOT NULL").select(
         T.cut_query_suffix(T.strip_gid(F.col("a.id"), "MailingAddress")).alias("SHOPIFY_ID"), "CUSTOMER_ID",
         F.col("a.firstName").alias("FIRST_NAME"), F.col("a.lastName").alias("LAST_NAME"),
         F.col("a.company").alias("COMPANY"), F.col("a.address1").alias("ADDRESS1"),
@@ -137,7 +137,7 @@ def flatten_product_variants(docs: DataFrame, variant_image: bool = False) -> Da
         F.col("bodyHtml").alias("BODY_HTML"), F.col("vendor").alias("VENDOR"),
         F.col("productType").alias("PRODUCT_TYPE"), F.col("handle").alias("HANDLE"),
         F.array_join("tags", ", ").alias("TAGS"), F.lower("status").alias("STATUS"),
-        first_img.alias("_img"), F.explode(A.unwrap_edges(F.col("variants"))).alias("v"))
+        first_img.alias("_img"), _exploded(A.unwrap_edges(F.col("variants")), "v")).where("_pos IS NOT NULL")
     v = F.col("v")
     level = A.first_or_null(A.unwrap_edges(v["inventoryItem"]["inventoryLevels"]))
     img = F.coalesce(v["image"], F.col("_img")) if variant_image else F.col("_img")
@@ -158,7 +158,7 @@ def flatten_product_variants(docs: DataFrame, variant_image: bool = False) -> Da
 
 
 # ------------------------------------------------------------------ PL4 OMS
-def flatten_oms_orders(docs: DataFrame, arrival_col: str | None = None):
+def flatten_oms_orders(docs: DataFrame, arrival_col: str | None = None, columns: list[str] | None = None):
     """PL4: OMS suborder documents -> ``(lines, status_history)``.
 
     Each line carries 20+ suborder columns; deep address paths default to
@@ -167,12 +167,14 @@ def flatten_oms_orders(docs: DataFrame, arrival_col: str | None = None):
     warehouses of the same SKU in the same document (JN14/AR3, no shuffle).
     A repeated line id keeps its first occurrence (DS2): "first" is the
     smallest ``arrival_col`` (e.g. the document's position in the landed
-    file), or the smallest suborder id when none is given.
+    file), or the smallest suborder id when none is given.  ``columns`` names
+    the line columns wanted beside ``LINE_ID`` (all by default): whole rows are
+    picked, so Spark cannot leave out the others by itself.
     """
     addr = F.col("ecommerce_sale_id.shipment_address_id")
     partner = F.col("partner_id")
     arrival = F.col(arrival_col) if arrival_col else F.col("id")
-    lines = docs.select("*", arrival.alias("_arrival"), F.posexplode("order_line").alias("_pos", "l"))
+    lines = docs.select("*", arrival.alias("_arrival"), _exploded("order_line", "l")).where("_pos IS NOT NULL")
     code = F.col("l.product_id.default_code")
     tw = F.filter("transfer_warehouse_ids", lambda t: t["product_id"]["sku"] == code)
     out = lines.select(
@@ -200,10 +202,12 @@ def flatten_oms_orders(docs: DataFrame, arrival_col: str | None = None):
         F.col("warehouse_id.name").alias("WAREHOUSE"),
         A.joined_set(F.transform(tw, lambda t: t["warehouse_name"])).alias("TRANSFER_WAREHOUSE"),
         "_arrival", "_pos")
+    if columns is not None:
+        out = out.select("LINE_ID", *columns, "_arrival", "_pos")
     lines_out = keep_first(out, ["LINE_ID"], ["_arrival", "_pos"]).drop("_arrival", "_pos")
     hist = docs.select("ecommerce_name_child", arrival.alias("_arrival"),
-                       F.posexplode("status_histories_ids").alias("_pos", "s")) \
-        .where(C.truthy(F.col("s.status")))
+                       _exploded("status_histories_ids", "s")) \
+        .where(F.col("_pos").isNotNull() & C.truthy(F.col("s.status")))
     hist = hist.select(
         T.key_text("ecommerce_name_child", F.col("s.status"), F.col("s.create_date")).alias("PRIMARY_KEY"),
         F.col("ecommerce_name_child").alias("ECOMMERCE_NAME_CHILD"), F.col("s.status").alias("STATUS"),
@@ -222,7 +226,7 @@ def flatten_incidences(docs: DataFrame, arrival_col: str | None = None):
     """
     arrival = F.col(arrival_col) if arrival_col else F.lit(0)
     h = docs.select("ecommerce_name_child", F.col("create_date").alias("_inc_date"), arrival.alias("_arrival"),
-                    F.posexplode("history").alias("_pos", "h"))
+                    _exploded("history", "h")).where("_pos IS NOT NULL")
     ts = F.col("h.create_date").try_cast("timestamp_ntz")
     rows = h.select(
         "ecommerce_name_child", "_inc_date", "_arrival", "_pos", ts.alias("_ts"),

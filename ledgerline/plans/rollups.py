@@ -32,14 +32,17 @@ SUBORDER_ROLLUP = [
 ]
 
 
-def oms_suborder_rollup(lines: DataFrame) -> DataFrame:
+def oms_suborder_rollup(lines: DataFrame, outputs: list[str] | None = None) -> DataFrame:
     """PL4/AG2/AG3/ST10/Q1: OMS lines -> one row per suborder.  Order-level
     amounts are repeated on every line and summed, so totals are multiplied
     by the line count (quirk Q1, kept for parity); the transfer warehouses
     are a ``LISTAGG`` of the non-blank values ordered by value (the
-    reference orders by the group key, which leaves the order undefined)."""
+    reference orders by the group key, which leaves the order undefined).
+    ``outputs`` names the columns wanted (all by default)."""
     aggs = []
     for out, how, col in SUBORDER_ROLLUP:
+        if outputs is not None and out not in outputs:
+            continue
         if how == "max":
             aggs.append(F.max(col).alias(out))
         elif how == "sum":
@@ -58,8 +61,10 @@ def oms_suborder_rollup_q(spark, sf):
     from ..operators.nested import flatten_oms_orders
     from ..sources import documents as S
     docs = land_oms_orders(spark, sf).select(S.parse_json(F.col("payload"), S.OMS_ORDER).alias("d")).select("d.*")
-    lines, _ = flatten_oms_orders(docs)
-    r = oms_suborder_rollup(lines)
+    outputs = ["ORDER_ID", "TOTAL_AMOUNT", "WAREHOUSE", "NUMBER_OF_ITEMS", "NUMBER_OF_PRODUCTS", "PRICE_TOTAL", "DISCOUNT", "PARTNER_VAT",
+               "CITY_NAME", "TRANSFER_WAREHOUSE"]
+    lines, _ = flatten_oms_orders(docs, columns=["SUBORDER_ID", *[col for out, _, col in SUBORDER_ROLLUP if out in outputs and col]])
+    r = oms_suborder_rollup(lines, outputs)
     return r.select("SUBORDER_ID", "ORDER_ID", F.round("TOTAL_AMOUNT", 2).alias("TOTAL_AMOUNT"), "WAREHOUSE",
                     "NUMBER_OF_ITEMS", F.round("NUMBER_OF_PRODUCTS", 2).alias("NUMBER_OF_PRODUCTS"),
                     F.round("PRICE_TOTAL", 2).alias("PRICE_TOTAL"), "DISCOUNT", "PARTNER_VAT", "CITY_NAME",

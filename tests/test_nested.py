@@ -123,3 +123,15 @@ def test_tax_documents_are_parsed_once(spark):
     assert bad.columns == ["payload", "REASON"]
     for df in (read, bad):
         assert _times(df.agg(F.count(F.lit(1))), "from_xml(") == 1
+
+
+def test_documents_are_parsed_once_and_only_wanted_columns_move(spark):
+    order = {"id": 1, "order_line": [{"id": 5, "product_id": {"default_code": "A"}}, {"id": 5, "product_id": {"default_code": "B"}}, {"id": 6}],
+             "warehouse_id": {"name": "w"}, "status_histories_ids": []}
+    d = docs(spark, [order, {"id": 2, "order_line": []}, {"id": 3, "order_line": [{"id": 5}]}], S.OMS_ORDER)
+    lines, hist = flatten_oms_orders(d, columns=["SUBORDER_ID", "DEFAULT_CODE"])
+    assert lines.columns == ["LINE_ID", "SUBORDER_ID", "DEFAULT_CODE"]
+    assert rows(lines) == rows(flatten_oms_orders(d)[0].select(*lines.columns)) == [(5, 1, "A"), (6, 1, "")]
+    plan = spark.createDataFrame([], "payload string").repartition(2).select(S.parse_json(F.col("payload"), S.OMS_ORDER).alias("d")).select("d.*")
+    for df in flatten_oms_orders(plan):
+        assert _times(df, "from_json(") == 1
