@@ -56,12 +56,12 @@ class Declared:
             text = raw
         else:
             whole = kind in ("int", "bigint", "smallint", "tinyint") or kind.endswith(",0)")
-            value = F.when(text.rlike(NUMBER), text.try_cast(kind))
-            bad = F.when(~text.rlike(NUMBER), F.lit(NOT_NUMBER))
+            good, number = text.rlike(WHOLE if whole else NUMBER), text.try_cast(kind)  # a whole number is a number: one pattern for good texts
+            value = F.when(good, number)
+            bad = F.when(good, F.when(number.isNull(), F.lit(OUT_OF_RANGE)))
             if whole:
-                value = F.when(text.rlike(WHOLE), value)
-                bad = bad.when(~text.rlike(WHOLE), F.lit(NOT_WHOLE))
-            bad = bad.when(value.isNull(), F.lit(OUT_OF_RANGE))
+                bad = bad.when(text.rlike(NUMBER), F.lit(NOT_WHOLE))
+            bad = bad.otherwise(F.lit(NOT_NUMBER))
         missing = F.lit(MISSING) if self.required else F.lit(None).cast("string")
         empty = text.isNull() if not self.required else F.nullif(F.trim(raw), F.lit("")).isNull()
         reason = F.when(empty, missing).otherwise(bad)
@@ -86,17 +86,21 @@ def checked(df: DataFrame, columns: list[Declared], keep: list[str] | None = Non
     return seen.select(*(keep or []), *typed, F.filter(F.array(*errors), lambda e: e.isNotNull()).alias(ERRORS))
 
 
-def split_rejects(df: DataFrame, columns: list[Declared], keys: list[str]) -> tuple[DataFrame, DataFrame]:
+def split_rejects(df: DataFrame, columns: list[Declared], keys: list[str], store: bool = True) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejects): the typed rows without errors, and (keys, column, raw, reason) of every bad value.
 
     ``keys`` name source columns that identify the row; they are kept as they
     came, also where their own declared value is bad.  The source is read
     and checked once: the checked rows are written to the shared checkpoint
-    folder, and both results read them there.
+    folder, and both results read them there.  Where only one result is used,
+    ``store=False`` saves that copy of the source: each result then reads the source itself.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     key_cols = [F.col(f"`{k}`").alias(f"_key_{i}") for i, k in enumerate(keys)]
-    rows = checked(df.select("*", *key_cols), columns, [f"_key_{i}" for i in range(len(keys))]).checkpoint()
+    rows = checked(df.select("*", *key_cols), columns, [f"_key_{i}" for i in range(len(keys))])
+    if store:
+        ensure_checkpoint_dir(df.sparkSession)
+        rows = rows.checkpoint()
     valid = rows.where(F.size(ERRORS) == 0).select(*[d.name for d in columns])
-    bad = rows.where(F.size(ERRORS) > 0).select(*[F.col(f"_key_{i}").alias(k) for i, k in enumerate(keys)], F.explode(ERRORS).alias("_e"))
+    # the outer generator has nothing to filter on below it, so a row is checked once
+    bad = rows.select(*[F.col(f"_key_{i}").alias(k) for i, k in enumerate(keys)], F.explode_outer(ERRORS).alias("_e")).where("_e IS NOT NULL")
     return valid, bad.select(*keys, "_e.column", "_e.raw", "_e.reason")

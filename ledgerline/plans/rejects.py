@@ -68,7 +68,7 @@ def source_rejects(spark, sf):
     """UD5/Q14/CV1/CV5/CV6/DT3/DT4: every bad value of invoices, prices and transfers with its row's key, raw text and reason."""
     out = None
     for name, (raw, columns) in _sources(spark, sf).items():
-        _, bad = split_rejects(raw, columns, ["id"])
+        _, bad = split_rejects(raw, columns, ["id"], store=False)
         bad = bad.select(F.lit(name).alias("source"), "id", "column", "raw", "reason")
         out = bad if out is None else out.unionByName(bad)
     return out
@@ -77,7 +77,7 @@ def source_rejects(spark, sf):
 def valid_invoices(spark, sf):
     """UD5/CV5/CV6/DT3/DT4: the invoices without a bad value, typed as declared."""
     raw, columns = _sources(spark, sf)["invoice"]
-    valid, _ = split_rejects(raw, columns, ["id"])
+    valid, _ = split_rejects(raw, columns, ["id"], store=False)
     return valid.withColumn("AMOUNT", F.col("AMOUNT").cast("double"))
 
 

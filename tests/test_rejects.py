@@ -88,3 +88,17 @@ def test_history_as_intervals(spark):
         add_capture(t, spark.createDataFrame(captures[0][1], s), ["k"], "2024-01-02 00:00:00")
     with pytest.raises(ValueError):
         add_capture(t, spark.createDataFrame([("a", 1, None)] * 2, s), ["k"], "2024-01-09 00:00:00")
+
+
+def test_one_result_alone_stores_nothing_and_checks_a_row_once(spark):
+    columns = [Declared("K", "BIGINT", "k", required=True), Declared("N", "INT", "n"), Declared("D", "DATE", "d")]
+    df = spark.createDataFrame([("1", "2", "2024-01-01"), ("x", "1.0", "2024-13-01"), (None, "99999999999", None), ("+3", "-4", "")], "k string, n string, d string")
+    df = df.repartition(2)
+    kept, alone = (split_rejects(df, columns, ["k"], store=s) for s in (True, False))
+    for a, b in zip(kept, alone):
+        assert rows(a) == rows(b)
+    assert rows(alone[1], "column", "reason") == [("D", "not a date"), ("K", "missing"), ("K", "not a number"), ("N", "not a whole number"), ("N", "out of range")]
+    assert rows(alone[0], "K", "N") == [(1, 2), (3, -4)]
+    fresh = split_rejects(df, columns, ["k"], store=False)[1]
+    plan = fresh._sc._jvm.PythonSQLUtils.explainString(fresh._jdf.queryExecution(), "simple")
+    assert plan.count("filter(array(") == 1
