@@ -121,17 +121,23 @@ def outcome(lines: DataFrame, results: DataFrame) -> DataFrame:
     total failed, and the outcome: ``failed`` when nothing succeeded,
     ``partial`` when something failed, else ``ok``.
 
-    ``lines`` carry their key and ``IS_MISSING_ERP_DATA``; they are joined once
-    with the answers per key, then counted.  Answers for keys without a valid
-    line do not count."""
-    answers = results.groupBy(*KEYS).agg(F.count_if(F.col("ERROR").isNull()).alias("_ok"),
-                                         F.count_if(F.col("ERROR").isNotNull()).alias("_bad"))
-    valid = ~F.col("IS_MISSING_ERP_DATA")
-    t = lines.select(*KEYS, "IS_MISSING_ERP_DATA").join(answers, KEYS, "left").groupBy("REPLENISHMENT_ID").agg(
-        F.count_if(valid).alias("attempted"),
-        F.coalesce(F.sum(F.when(valid, F.col("_ok"))), F.lit(0)).cast("bigint").alias("successful"),
-        F.coalesce(F.sum(F.when(valid, F.col("_bad"))), F.lit(0)).cast("bigint").alias("api_failed"),
-        F.count_if(~valid).alias("missing"))
+    ``lines`` carry their key and ``IS_MISSING_ERP_DATA``.  Lines and answers are
+    counted together per key, in counters of fixed size, instead of being sorted
+    for a join: each valid line has all answers of its key.  Answers for keys without
+    a valid line do not count, and a key with a null part has no answer."""
+    valid, none, error = ~F.col("IS_MISSING_ERP_DATA"), F.lit(0), F.col("ERROR")
+    one = lambda c: F.when(c, 1).otherwise(0)
+    # packed, and not combined before the shuffle: nearly every key has one line and one answer
+    kinds = lines.select(*KEYS, (one(valid) + 2 * one(~valid)).alias("_kind"), F.lit(1).alias("_line")).unionByName(
+        results.select(*KEYS, (4 * one(error.isNull()) + 8 * one(error.isNotNull())).alias("_kind"), F.lit(0).alias("_line")))
+    per_key = kinds.repartition(*KEYS).groupBy(*KEYS).agg(F.sum("_line").alias("_lines"), *[F.count_if(F.col("_kind") == k).alias(c) for k, c in ((1, "_valid"), (2, "_missing"), (4, "_ok"), (8, "_bad"))])
+    whole = F.lit(True)
+    for k in KEYS:
+        whole = whole & F.col(k).isNotNull()
+    answered = lambda c: F.sum(F.when(whole, F.col("_valid") * F.col(c)).otherwise(none)).cast("bigint")
+    t = per_key.where("_lines > 0").groupBy("REPLENISHMENT_ID").agg(
+        F.sum("_valid").alias("attempted"), answered("_ok").alias("successful"), answered("_bad").alias("api_failed"),
+        F.sum("_missing").alias("missing"))
     t = t.withColumn("total_failed", F.col("api_failed") + F.col("missing"))
     return t.withColumn("outcome", F.when(F.col("successful") == 0, F.lit("failed"))
                         .when(F.col("total_failed") > 0, F.lit("partial")).otherwise(F.lit("ok")))
@@ -225,9 +231,9 @@ def _results(enriched):
                      F.lit("sent").alias("WMS_SEND_STATUS"))
 
 
-def _numbered(spark, sf):
-    """Numbered lines (materialised where they are numbered), split into
-    valid and missing, and the answers for them."""
+def _numbered(spark, sf, *columns):
+    """Numbered lines (materialised where they are numbered) with their keys, quantity,
+    flag and number and the other ``columns``, split into valid and missing, and the answers for them."""
     lines, products, store_info = _inputs(spark, sf)
     enriched = enrich_lines(lines, products)
     valid, missing = split_valid(enriched)
