@@ -101,7 +101,8 @@ def apply_results(lines: DataFrame, results: DataFrame) -> DataFrame:
     """SK11/SK13: write the ERP's answers back to the replenishment lines:
     ``ERP_TR_ID``, ``ERP_LINE_ID`` and ``WMS_SEND_STATUS`` set where the
     (replenishment, store, SKU) key matches; other lines keep their values."""
-    ch = results.select(*KEYS, "ERP_TR_ID", "ERP_LINE_ID", "WMS_SEND_STATUS")
+    # dealt out first: the check for repeated keys would else fill a table of all keys in the tasks that make the results
+    ch = results.select(*KEYS, "ERP_TR_ID", "ERP_LINE_ID", "WMS_SEND_STATUS").repartition(*KEYS)
     return update_from(lines, ch, KEYS, ["ERP_TR_ID", "ERP_LINE_ID", "WMS_SEND_STATUS"])
 
 
@@ -145,10 +146,11 @@ def outcome(lines: DataFrame, results: DataFrame) -> DataFrame:
 
 def transfer_summary(lines: DataFrame) -> DataFrame:
     """AG9/DT9: per transfer and store: line count, units, WMS status."""
-    return (lines.where(F.col("ERP_TR_ID").isNotNull())
-            .groupBy("ERP_TR_ID", "STORE").agg(F.count(F.lit(1)).alias("LINE_COUNT"),
-                                               F.sum("REPLENISHMENT").cast("bigint").alias("TOTAL_UNITS"),
-                                               F.max("WMS_SEND_STATUS").alias("WMS_STATUS")))
+    # first per status, in counters of fixed size: a greatest text among all lines would have them sorted
+    per_status = (lines.where(F.col("ERP_TR_ID").isNotNull())
+                  .groupBy("ERP_TR_ID", "STORE", "WMS_SEND_STATUS").agg(F.count(F.lit(1)).alias("_lines"), F.sum("REPLENISHMENT").alias("_units")))
+    return per_status.groupBy("ERP_TR_ID", "STORE").agg(F.sum("_lines").alias("LINE_COUNT"), F.sum("_units").cast("bigint").alias("TOTAL_UNITS"),
+                                                        F.max("WMS_SEND_STATUS").alias("WMS_STATUS"))
 
 
 def transfer_documents(valid: DataFrame, results: DataFrame, fecha: str,
