@@ -50,17 +50,27 @@ STORE_DELIVERY_INFO = [
 
 KEYS = ["REPLENISHMENT_ID", "STORE", "SKU"]
 
+#: Columns of the enriched lines, in order, and where each comes from (None: made after the join).
+ENRICHED = {"REPLENISHMENT_ID": "REPLENISHMENT_ID", "LINENUMBER": None, "ITEMNUMBER": "ITEMNUMBER", "ORDEREDINVENTORYSTATUSID": None,
+            "PRODUCTCOLORID": "COLOR", "PRODUCTCONFIGURATIONID": "CONFIGURATION", "PRODUCTSIZEID": "SIZE", "PRODUCTSTYLEID": None,
+            "SHIPPINGWAREHOUSEID": None, "SHIPPINGWAREHOUSELOCATIONID": None, "TRANSFERQUANTITY": "REPLENISHMENT", "STORE": "STORE",
+            "SKU": "SKU", "TEAM": "TEAM", "CATEGORY": "CATEGORY", "PRODUCTNAME": "PRODUCTNAME", "DELIVERY": "DELIVERY",
+            "IS_MISSING_ERP_DATA": None, "LINE_NO": None}
+
 
 def store_info_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(STORE_DELIVERY_INFO, "store string, region string, comuna string, "
                                                       "ciudad string, direccion string")
 
 
-def enrich_lines(lines: DataFrame, products: DataFrame, replenishment_id: str | None = None) -> DataFrame:
+def enrich_lines(lines: DataFrame, products: DataFrame, replenishment_id: str | None = None,
+                 columns: list[str] | None = None) -> DataFrame:
     """JN9/WN2/PR15/PR16/CD1: replenishment lines left-joined to the product
     master by SKU, numbered per (replenishment, store) by SKU, with the
     constant transfer columns and ``IS_MISSING_ERP_DATA``.  ``replenishment_id``
-    restricts to one replenishment (SC20 raises when it has no lines)."""
+    restricts to one replenishment (SC20 raises when it has no lines).
+    ``columns`` names the output columns wanted (all by default): numbering
+    stores its rows, so Spark cannot leave out the others by itself."""
     if replenishment_id is not None:
         lines = lines.where(F.col("REPLENISHMENT_ID") == replenishment_id)
         if lines.isEmpty():
@@ -69,15 +79,15 @@ def enrich_lines(lines: DataFrame, products: DataFrame, replenishment_id: str |
     j = lines.join(prod, "SKU", "left")
     # LINENUMBER over all lines (WN2) and LINE_NO, the 1..n renumbering of
     # the lines with a product (WN3), in one numbering pass
-    j = number_within(j, ["REPLENISHMENT_ID", "STORE"], ["SKU"], "LINENUMBER",
-                      counters={"LINE_NO": F.col("ITEMNUMBER").isNotNull()})
-    return j.select(
-        "REPLENISHMENT_ID", "LINENUMBER", "ITEMNUMBER", F.lit(INVENTORY_STATUS).alias("ORDEREDINVENTORYSTATUSID"),
-        F.col("COLOR").alias("PRODUCTCOLORID"), F.col("CONFIGURATION").alias("PRODUCTCONFIGURATIONID"),
-        F.col("SIZE").alias("PRODUCTSIZEID"), F.lit(PRODUCT_STYLE).alias("PRODUCTSTYLEID"),
-        F.lit(SHIPPING_WAREHOUSE).alias("SHIPPINGWAREHOUSEID"), F.lit(SHIPPING_LOCATION).alias("SHIPPINGWAREHOUSELOCATIONID"),
-        F.col("REPLENISHMENT").alias("TRANSFERQUANTITY"), "STORE", "SKU", "TEAM", "CATEGORY", "PRODUCTNAME",
-        "DELIVERY", F.col("ITEMNUMBER").isNull().alias("IS_MISSING_ERP_DATA"), "LINE_NO")
+    known, fixed = F.col("ITEMNUMBER").isNotNull(), {
+        "ORDEREDINVENTORYSTATUSID": INVENTORY_STATUS, "PRODUCTSTYLEID": PRODUCT_STYLE,
+        "SHIPPINGWAREHOUSEID": SHIPPING_WAREHOUSE, "SHIPPINGWAREHOUSELOCATIONID": SHIPPING_LOCATION}
+    wanted = [c for c in ENRICHED if columns is None or c in columns]
+    stored = [F.col(source).alias(c) for c, source in ENRICHED.items() if source and (c in wanted or c in KEYS)]
+    j = number_within(j.select(*stored, known.alias("_known")), ["REPLENISHMENT_ID", "STORE"], ["SKU"], "LINENUMBER",
+                      counters={"LINE_NO": F.col("_known")})
+    made = {"IS_MISSING_ERP_DATA": ~F.col("_known")} | {c: F.lit(v) for c, v in fixed.items()}
+    return j.select(*[made[c].alias(c) if c in made else F.col(c) for c in wanted])
 
 
 def matched_lines(lines: DataFrame, products: DataFrame) -> DataFrame:
@@ -237,7 +247,7 @@ def _numbered(spark, sf, *columns):
     """Numbered lines (materialised where they are numbered) with their keys, quantity,
     flag and number and the other ``columns``, split into valid and missing, and the answers for them."""
     lines, products, store_info = _inputs(spark, sf)
-    enriched = enrich_lines(lines, products)
+    enriched = enrich_lines(lines, products, columns=[*KEYS, "TRANSFERQUANTITY", "IS_MISSING_ERP_DATA", "LINE_NO", *columns])
     valid, missing = split_valid(enriched)
     return store_info, valid, missing, _results(enriched)
 
@@ -259,7 +269,7 @@ def replenish_transfers(spark, sf):
 def replenish_lines(spark, sf):
     """JN9/WN2/WN3/FL12: enriched lines with their store numbering, the
     missing flag and the renumbering of the valid ones."""
-    _, valid, missing, _ = _numbered(spark, sf)
+    _, valid, missing, _ = _numbered(spark, sf, "LINENUMBER", "ITEMNUMBER")
     return valid.unionByName(missing, allowMissingColumns=True).select(
         "REPLENISHMENT_ID", "STORE", "SKU", "LINENUMBER", "LINE_NO", "IS_MISSING_ERP_DATA", "ITEMNUMBER",
         "TRANSFERQUANTITY")
@@ -290,7 +300,8 @@ def replenish_csv(spark, sf):
 def replenish_one(spark, sf):
     """SC20: the lines of one replenishment, which must have some."""
     lines, products, _ = _inputs(spark, sf)
-    return enrich_lines(lines, products, "RPL-N").select("REPLENISHMENT_ID", "STORE", "SKU", "LINENUMBER", "ITEMNUMBER")
+    wanted = ["REPLENISHMENT_ID", "STORE", "SKU", "LINENUMBER", "ITEMNUMBER"]
+    return enrich_lines(lines, products, "RPL-N", wanted).select("REPLENISHMENT_ID", "STORE", "SKU", "LINENUMBER", "ITEMNUMBER")
 
 
 def transfer_documents_q(spark, sf):
