@@ -86,7 +86,8 @@ def customers_of(lines: DataFrame, erp_customers: DataFrame, shop_addresses: Dat
 def with_variants(lines: DataFrame, variants: DataFrame) -> DataFrame:
     """ST5/JN13: SKU ``item-color-size`` joined to the variant table; a SKU
     listed twice takes its last row (largest variant id)."""
-    v = latest_by(variants, ["VARIANT_SKU"], ["VARIANT_ID"])
+    # few SKUs repeat: dealt out first, they are sorted where they are joined and not in the few tasks that read the table
+    v = latest_by(variants.where(F.col("VARIANT_SKU").isNotNull()).repartition("VARIANT_SKU"), ["VARIANT_SKU"], ["VARIANT_ID"])
     lines = lines.withColumn("SKU", T.key_text("ITEMID", "INVENTCOLORID", "INVENTSIZEID"))
     return lines.join(v, lines.SKU == v.VARIANT_SKU, "left").drop("VARIANT_SKU")
 
